@@ -8,6 +8,7 @@ import uuid
 from dataclasses import dataclass
 
 import pyspark
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,6 +96,8 @@ def prepare(
     elif max_uncompressed_gb is not None:
         files = inventory.prefix_by_budget(files, int(max_uncompressed_gb * inventory.GIGABYTE))
     chosen = max_files is not None or max_uncompressed_gb is not None
+    # Several small aggregates follow; each footer is read once.
+    files = files.persist(StorageLevel.MEMORY_AND_DISK)
     inventory.check_files(files, contract)
     sizes = inventory.totals(files).first()
     if not sizes.files:
@@ -136,7 +139,7 @@ def prepare(
     staging_seconds, cleaned_rows = 0.0, None
     try:
         if reuse_staging is None:
-            cleaned = read_heterogeneous(spark, source, contract, cleaning.clean, files if chosen else None)
+            cleaned = read_heterogeneous(spark, source, contract, cleaning.clean, files, chosen)
             if staging:
                 write_bucketed(cleaning.with_staging_columns(cleaned, contract, buckets), staging, "_bucket")
                 staging_seconds = time.perf_counter() - began
@@ -153,6 +156,8 @@ def prepare(
         if runs:
             runlog.record(spark, runs, status="failed", error=str(error)[:2000], **facts)
         raise
+    finally:
+        files.unpersist()
     if runs:
         runlog.record(
             spark,

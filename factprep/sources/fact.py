@@ -49,12 +49,22 @@ def schema_groups(files: DataFrame, contract: FactContract, root: str | None = N
     return dict(groups)
 
 
+def file_groups(files: DataFrame, contract: FactContract) -> dict[str, list[str]]:
+    """The same for part of a folder: every file is named."""
+    groups: dict[str, list[str]] = defaultdict(list)
+    for row in files.select("path", "column_types").collect():
+        types = json.loads(row.column_types)
+        groups[json.dumps([types.get(c, "") for c in contract.columns])].append(row.path)
+    return dict(groups)
+
+
 def read_heterogeneous(
     spark: SparkSession,
     path: str,
     contract: FactContract,
     prepare: Callable[[DataFrame, FactContract], DataFrame] | None = None,
     files: DataFrame | None = None,
+    only_files: bool = False,
 ) -> DataFrame:
     """One table from files whose physical types differ.
 
@@ -64,17 +74,12 @@ def read_heterogeneous(
     filters each group in its own types, which lets the rules reach the Parquet
     reader.
 
-    ``files`` restricts the read to an inventory, such as a prefix.
+    ``files`` is the inventory of ``path`` where it is known already; with
+    ``only_files`` it is a part of the folder, such as a prefix, and only that
+    part is read.
     """
-    chosen = files is not None
     files = file_inventory(spark, path) if files is None else files
-    if chosen:
-        groups = defaultdict(list)
-        for row in files.select("path", "column_types").collect():
-            types = json.loads(row.column_types)
-            groups[json.dumps([types.get(c, "") for c in contract.columns])].append(row.path)
-    else:
-        groups = schema_groups(files, contract, path)
+    groups = file_groups(files, contract) if only_files else schema_groups(files, contract, path)
     prepare = prepare or as_doubles
     parts = [prepare(read_fact(spark, groups[kind], contract), contract) for kind in sorted(groups)]
     return reduce(DataFrame.unionByName, parts)
