@@ -1,4 +1,4 @@
-"""Coercion, validity rules and normal forms of single columns.
+"""Coercion, validity rules and normal forms of single columns, as SQL expressions.
 
 Every helper looks at the physical type it is given, so that a column which
 already has a suitable type is used untouched and its rule can reach the
@@ -7,8 +7,6 @@ Parquet reader as a pushed filter.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Bounds of the contract.
@@ -18,60 +16,62 @@ TIME_FIRST = "1678-01-01 00:00:00"
 TIME_END = "2262-01-01 00:00:00"
 
 # A clock time followed by a zone: "…00:00Z", "…00:00:00+05:30", "…00:00 Europe/Paris".
-ZONED_TEXT = r"\d:\d{2}(:\d{2}(\.\d+)?)?\s*([zZ]|[+-]\d{1,2}(:?\d{2})?|[A-Za-z]{3,}(/[A-Za-z_]+)*)\s*$"
+ZONED_TEXT = r"[0-9]:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)? *([zZ]|[+-][0-9]{1,2}(:?[0-9]{2})?|[A-Za-z]{3,}(/[A-Za-z_]+)*) *$"
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def coerce_numeric(column: Column, dtype: T.DataType) -> Column:
+def quoted(name: str) -> str:
+    return f"`{name}`"
+
+
+def coerce_numeric(name: str, dtype: T.DataType) -> str:
     """The column as bigint (integral input) or double; what cannot be read becomes null."""
+    column = quoted(name)
     if isinstance(dtype, (T.LongType, T.DoubleType)):
         return column
-    if isinstance(dtype, INTEGRAL):
-        return column.cast("bigint")
-    return column.try_cast("double")
+    return f"CAST({column} AS BIGINT)" if isinstance(dtype, INTEGRAL) else f"TRY_CAST({column} AS DOUBLE)"
 
 
-def coerce_float(column: Column, dtype: T.DataType) -> Column:
-    return column if isinstance(dtype, T.DoubleType) else column.try_cast("double")
+def coerce_float(name: str, dtype: T.DataType) -> str:
+    return quoted(name) if isinstance(dtype, T.DoubleType) else f"TRY_CAST({quoted(name)} AS DOUBLE)"
 
 
-def coerce_timestamp(column: Column, dtype: T.DataType) -> Column:
+def coerce_timestamp(name: str, dtype: T.DataType) -> str:
     """The column as a zone-free timestamp; unreadable text becomes null.
 
     Text that names a time zone stops the job, like a zoned column does.
     """
+    column = quoted(name)
     if isinstance(dtype, T.TimestampNTZType):
         return column
     if isinstance(dtype, T.TimestampType):
         raise ValueError("Zoned timestamps are not accepted; wall times must be free of a zone.")
+    parsed = f"TRY_CAST({column} AS TIMESTAMP_NTZ)"
     if isinstance(dtype, T.StringType):
-        zoned = F.raise_error(F.concat(F.lit("Timestamp text names a time zone: "), column))
-        return F.when(column.rlike(ZONED_TEXT), zoned.cast("timestamp_ntz")).otherwise(
-            column.try_cast("timestamp_ntz")
-        )
-    return column.try_cast("timestamp_ntz")
+        stop = f"CAST(raise_error(concat('Timestamp text names a time zone: ', {column})) AS TIMESTAMP_NTZ)"
+        return f"CASE WHEN {column} RLIKE '{ZONED_TEXT}' THEN {stop} ELSE {parsed} END"
+    return parsed
 
 
-def is_finite(column: Column) -> Column:
-    """Neither NaN nor infinite. NaN sorts above +Infinity in Spark, so two bounds suffice."""
-    return (column > F.lit(float("-inf"))) & (column < F.lit(float("inf")))
+def is_finite(column: str) -> str:
+    """Neither NaN nor infinite. NaN sorts above Infinity in Spark, so two bounds suffice."""
+    return f"{column} > double('-Infinity') AND {column} < double('Infinity')"
 
 
-def is_integral(column: Column, dtype: T.DataType) -> Column:
-    return F.lit(True) if isinstance(dtype, INTEGRAL) else column == F.rint(column)
+def is_integral(column: str) -> str:
+    return f"{column} = rint({column})"
 
 
-def in_int32(column: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, INTEGRAL):
-        return (column >= F.lit(INT32_FIRST)) & (column < F.lit(INT32_END))
-    return (column >= F.lit(float(INT32_FIRST))) & (column < F.lit(float(INT32_END)))
+def in_int32(column: str, dtype: T.DataType) -> str:
+    suffix = "L" if isinstance(dtype, INTEGRAL) else "D"
+    return f"{column} >= {INT32_FIRST}{suffix} AND {column} < {INT32_END}{suffix}"
 
 
-def normalize_zero(column: Column) -> Column:
+def normalize_zero(column: str) -> str:
     """Negative zero becomes positive zero; equality does not tell them apart."""
-    return F.when(column == F.lit(0.0), F.lit(0.0)).otherwise(column)
+    return f"CASE WHEN {column} = 0D THEN 0D ELSE {column} END"
 
 
-def in_time_range(column: Column) -> Column:
-    return (column >= F.expr(f"TIMESTAMP_NTZ '{TIME_FIRST}'")) & (column < F.expr(f"TIMESTAMP_NTZ '{TIME_END}'"))
+def in_time_range(column: str) -> str:
+    return f"{column} >= TIMESTAMP_NTZ '{TIME_FIRST}' AND {column} < TIMESTAMP_NTZ '{TIME_END}'"

@@ -2,81 +2,81 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from factprep.contract import FactContract
+from factprep.functions.cleaning import quoted
 
-SECONDS_PER_HOUR = 3600.0
-SCALE = 1e6  # six decimals
-SPLITTER = 134217729.0  # 2^27 + 1
-NO_SIXTH_DECIMAL = 8589934592.0  # 2^33: neighbouring doubles are more than 1e-6 apart from here on
 
-
-def micros_between(start: Column, end: Column) -> Column:
+def micros_between(start: str, end: str) -> str:
     """Whole microseconds between two zone-free timestamps.
 
     Goes through an interval; ``unix_micros`` and ``timestampdiff`` would pass
     through the session time zone and be wrong around clock changes.
     """
-    seconds = (end - start).cast("interval second").cast("decimal(20,6)")
-    return (seconds * F.lit(1000000)).cast("bigint")
+    return f"CAST(CAST(CAST({end} - {start} AS INTERVAL SECOND) AS DECIMAL(20,6)) * 1000000 AS BIGINT)"
 
 
-def duration_seconds(start: Column, end: Column) -> Column:
-    return micros_between(start, end).cast("double") / F.lit(1000000.0)
+def duration_seconds(start: str, end: str) -> str:
+    return f"CAST({micros_between(start, end)} AS DOUBLE) / 1000000D"
 
 
-def start_hour(start: Column) -> Column:
-    return F.hour(start).cast("bigint")
+def start_hour(start: str) -> str:
+    return f"CAST(hour({start}) AS BIGINT)"
 
 
-def with_rounded(df: DataFrame, name: str, value: Column) -> DataFrame:
+def with_rounded(df: DataFrame, name: str, value: str) -> DataFrame:
     """Add ``name`` = ``value`` (not negative) rounded to six decimals as Python's ``round`` does.
 
     Python rounds the exact binary value half-even. The product with 1e6 is
     formed together with its exact rounding error (Dekker's splitting, 1971),
-    which decides every case that looks like a tie. The steps are separate
-    projections so that each is computed once and none is rearranged.
+    which decides every case that looks like a tie. From 2^33 on, neighbouring
+    doubles are more than a millionth apart and the value stays as it is. The
+    steps are separate projections so that each is computed once and none is
+    rearranged.
     """
-    keep = [F.col(c) for c in df.columns if c != name]
-    x, p, h, e, f = (F.col(f"__{c}") for c in "xphef")
-    high = F.lit(SPLITTER) * x
-    above = p - f
-    up = (
-        F.when((above > 0.5) | ((above == 0.5) & (e > 0.0)), F.lit(1.0))
-        .when((above < 0.5) | (e < 0.0), F.lit(0.0))
-        .otherwise(F.pmod(f, F.lit(2.0)))
-    )
+    keep = [quoted(c) for c in df.columns if c != name]
+    split = "134217729D * __x"  # 2^27 + 1
+    up = """
+        CASE WHEN __p - __f > 0.5D OR (__p - __f = 0.5D AND __e > 0D) THEN 1D
+             WHEN __p - __f < 0.5D OR __e < 0D THEN 0D
+             ELSE pmod(__f, 2D) END"""
     return (
-        df.select(*keep, value.alias("__x"))
-        .select(*keep, "__x", (x * F.lit(SCALE)).alias("__p"), (high - (high - x)).alias("__h"))
-        .select(
-            *keep,
-            "__x",
-            "__p",
-            ((h * F.lit(SCALE) - p) + (x - h) * F.lit(SCALE)).alias("__e"),
-            F.when(x < F.lit(NO_SIXTH_DECIMAL), F.floor(p).cast("double")).alias("__f"),
+        df.selectExpr(*keep, f"{value} AS __x")
+        .selectExpr("*", "__x * 1000000D AS __p", f"{split} - ({split} - __x) AS __h")
+        .selectExpr(
+            "*",
+            "(__h * 1000000D - __p) + (__x - __h) * 1000000D AS __e",
+            "CASE WHEN __x < 8589934592D THEN CAST(floor(__p) AS DOUBLE) END AS __f",
         )
-        .select(*keep, F.when(x >= F.lit(NO_SIXTH_DECIMAL), x).otherwise((f + up) / F.lit(SCALE)).alias(name))
+        .selectExpr(*keep, f"CASE WHEN __x >= 8589934592D THEN __x ELSE (__f + {up}) / 1000000D END AS {quoted(name)}")
     )
 
 
 def with_speed(df: DataFrame, distance: str, duration: str, name: str = "speed") -> DataFrame:
     """Distance per hour, rounded to six decimals."""
-    return with_rounded(df, name, F.col(distance) * F.lit(SECONDS_PER_HOUR) / F.col(duration))
+    return with_rounded(df, name, f"{quoted(distance)} * 3600D / {quoted(duration)}")
 
 
 def add_features(df: DataFrame, contract: FactContract) -> DataFrame:
-    """Duration, hour and speed of each row, in contract order."""
-    start, end = F.col(contract.start), F.col(contract.end)
-    timed = df.withColumns(
-        {contract.duration: duration_seconds(start, end), contract.hour: start_hour(start)}
+    """Duration, hour and speed of each row."""
+    start, end = quoted(contract.start), quoted(contract.end)
+    added = (contract.duration, contract.hour)
+    timed = df.selectExpr(
+        *[quoted(c) for c in df.columns if c not in added],
+        f"{duration_seconds(start, end)} AS {quoted(contract.duration)}",
+        f"{start_hour(start)} AS {quoted(contract.hour)}",
     )
     return with_speed(timed, contract.distance, contract.duration, contract.speed)
 
 
 def finalize(df: DataFrame, contract: FactContract, *extra: str) -> DataFrame:
     """Output columns in their fixed order and types, then any ``extra`` ones."""
-    fixed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.output_schema().fields]
-    return df.select(*fixed, *extra)
+    found = {f.name: f.dataType for f in df.schema.fields}
+    fixed = [
+        quoted(f.name)
+        if found[f.name] == f.dataType
+        else f"CAST({quoted(f.name)} AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
+        for f in contract.output_schema().fields
+    ]
+    return df.selectExpr(*fixed, *map(quoted, extra))

@@ -1,19 +1,18 @@
-"""Row keys, bucket numbers and the exact text form of a row."""
+"""Row keys, bucket numbers and the exact text form of a row, as SQL expressions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from factprep.functions.cleaning import quoted
 
 
-def row_key(columns: Sequence[str]) -> Column:
+def row_key(columns: Sequence[str]) -> str:
     """64-bit key of the row; equal rows have equal keys, in every process."""
-    return F.xxhash64(*columns)
+    return f"xxhash64({', '.join(map(quoted, columns))})"
 
 
-def bucket_id(columns: Sequence[str], buckets: int) -> Column:
+def bucket_id(columns: Sequence[str], buckets: int) -> str:
     """Bucket of the row, from ``hash``, which is also how Spark spreads a shuffle.
 
     Rows that were deduplicated on ``columns`` therefore already lie together
@@ -21,14 +20,14 @@ def bucket_id(columns: Sequence[str], buckets: int) -> Column:
     the other, and a bucketed write needs no further shuffle. Results never
     depend on that; only the number of files does.
     """
-    return F.pmod(F.hash(*columns), F.lit(buckets)).cast("int")
+    return f"pmod(hash({', '.join(map(quoted, columns))}), {int(buckets)})"
 
 
-def exact_text(column: Column) -> Column:
+def exact_text(column: str) -> str:
     """Text that is equal only for identical values; tells -0.0 from 0.0."""
-    return column.cast("string")
+    return f"CAST({column} AS STRING)"
 
 
-def canonical_key(columns: Sequence[str]) -> Column:
+def canonical_key(columns: Sequence[str]) -> str:
     """The row as one JSON list of exact texts."""
-    return F.to_json(F.array(*[exact_text(F.col(c)) for c in columns]))
+    return f"to_json(array({', '.join(exact_text(quoted(c)) for c in columns)}))"

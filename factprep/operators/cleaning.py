@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factprep.contract import FactContract
 from factprep.functions import cleaning as C
+from factprep.functions.cleaning import quoted
 from factprep.functions.keys import bucket_id, row_key
 from factprep.operators.quality import check_fact_schema
 
@@ -22,83 +20,75 @@ def project(df: DataFrame, contract: FactContract) -> DataFrame:
 def coerce(df: DataFrame, contract: FactContract) -> DataFrame:
     """Contract columns in a comparable type each; unreadable values become null."""
     check_fact_schema(df.schema, contract)
+    types = {f.name: f.dataType for f in df.schema.fields}
     typed = []
     for name in contract.columns:
-        column, dtype = F.col(name), df.schema[name].dataType
         if name in contract.integers:
-            column = C.coerce_numeric(column, dtype)
+            value = C.coerce_numeric(name, types[name])
         elif name in contract.floats:
-            column = C.coerce_float(column, dtype)
+            value = C.coerce_float(name, types[name])
         else:
-            column = C.coerce_timestamp(column, dtype)
-        typed.append(column.alias(name))
-    return df.select(*typed)
+            value = C.coerce_timestamp(name, types[name])
+        typed.append(f"{value} AS {quoted(name)}")
+    return df.selectExpr(*typed)
 
 
-def rules(typed: DataFrame, contract: FactContract) -> dict[str, list[Column]]:
-    """Predicates a coerced row must satisfy, by rule name."""
-    numbers = [c for c in contract.columns if c not in contract.times]
+def rules(typed: DataFrame, contract: FactContract) -> dict[str, str]:
+    """The predicate a coerced row must satisfy, by rule name."""
     types = {f.name: f.dataType for f in typed.schema.fields}
+    numbers = [quoted(c) for c in contract.columns if c not in contract.times]
+    times = [quoted(c) for c in contract.times]
+    doubles = [quoted(c) for c in contract.columns if types[c].typeName() == "double"]
+    whole = [quoted(c) for c in contract.integers if types[c].typeName() == "double"]
     return {
-        "number_missing": [F.col(c).isNotNull() for c in numbers],
-        "number_not_finite": [
-            C.is_finite(F.col(c)) for c in numbers if not isinstance(types[c], C.INTEGRAL)
-        ],
-        "integer_not_whole": [
-            C.is_integral(F.col(c), types[c]) for c in contract.integers if not isinstance(types[c], C.INTEGRAL)
-        ],
-        "integer_out_of_range": [C.in_int32(F.col(c), types[c]) for c in contract.integers],
-        "time_missing": [F.col(c).isNotNull() for c in contract.times],
-        "time_out_of_range": [C.in_time_range(F.col(c)) for c in contract.times],
-        "distance_not_positive": [F.col(contract.distance) > F.lit(0.0)],
-        "duration_not_positive": [F.col(contract.end) > F.col(contract.start)],
+        "number_missing": " AND ".join(f"{c} IS NOT NULL" for c in numbers),
+        "number_not_finite": " AND ".join(map(C.is_finite, doubles)) or "true",
+        "integer_not_whole": " AND ".join(map(C.is_integral, whole)) or "true",
+        "integer_out_of_range": " AND ".join(C.in_int32(quoted(c), types[c]) for c in contract.integers),
+        "time_missing": " AND ".join(f"{c} IS NOT NULL" for c in times),
+        "time_out_of_range": " AND ".join(map(C.in_time_range, times)),
+        "distance_not_positive": f"{quoted(contract.distance)} > 0D",
+        "duration_not_positive": f"{quoted(contract.end)} > {quoted(contract.start)}",
     }
 
 
-def is_valid(typed: DataFrame, contract: FactContract) -> Column:
-    return reduce(and_, [p for group in rules(typed, contract).values() for p in group])
+def is_valid(typed: DataFrame, contract: FactContract) -> str:
+    return " AND ".join(f"({rule})" for rule in rules(typed, contract).values())
 
 
-def normal_form(contract: FactContract) -> list[Column]:
-    """Stored form of valid rows: whole numbers as bigint, no negative zero."""
-    stored = []
+def normal_form(typed: DataFrame, contract: FactContract) -> dict[str, str]:
+    """Stored form of a valid row's columns: whole numbers as bigint, no negative zero."""
+    types = {f.name: f.dataType.typeName() for f in typed.schema.fields}
+    stored = {}
     for name in contract.columns:
-        column = F.col(name)
-        if name in contract.integers:
-            column = column.try_cast("bigint")
+        column = quoted(name)
+        if name in contract.integers and types[name] == "double":
+            column = f"TRY_CAST({column} AS BIGINT)"
         elif name in contract.floats:
             column = C.normalize_zero(column)
-        stored.append(column.alias(name))
+        stored[name] = column
     return stored
 
 
 def clean(df: DataFrame, contract: FactContract) -> DataFrame:
     """Valid rows of ``df`` in the contract's stored form."""
     typed = coerce(df, contract)
-    return typed.where(is_valid(typed, contract)).select(*normal_form(contract))
+    stored = normal_form(typed, contract)
+    return typed.where(is_valid(typed, contract)).selectExpr(*[f"{v} AS {quoted(n)}" for n, v in stored.items()])
 
 
 def reject_counts(df: DataFrame, contract: FactContract) -> DataFrame:
     """Rows failing each rule (a row may fail several), plus all and rejected rows; one pass."""
     typed = coerce(df, contract)
-    passes = {name: reduce(and_, group) for name, group in rules(typed, contract).items() if group}
-
-    def failing(predicate: Column) -> Column:
-        return F.count_if(~F.coalesce(predicate, F.lit(False)))
-
-    counts = [failing(p).alias(name) for name, p in passes.items()]
-    counts.append(failing(reduce(and_, passes.values())).alias("any_rule"))
-    counts.append(F.count("*").alias("all_rows"))
-    one = typed.agg(*counts)
-    return one.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("rule"), F.col(c).alias("row_count")) for c in one.columns])
-        ).alias("r")
-    ).select("r.rule", "r.row_count")
+    tested = {**rules(typed, contract), "any_rule": is_valid(typed, contract)}
+    # A rule that is null, for lack of a value, fails.
+    counts = [f"struct('{n}' AS rule, count_if(({p}) IS NOT TRUE) AS row_count)" for n, p in tested.items()]
+    counts.append("struct('all_rows' AS rule, count(*) AS row_count)")
+    return typed.agg(F.expr(f"array({', '.join(counts)})").alias("counts")).selectExpr("inline(counts)")
 
 
 def with_staging_columns(cleaned: DataFrame, contract: FactContract, buckets: int) -> DataFrame:
     """Add the row key and the bucket number of the staging layout."""
-    return cleaned.withColumns(
-        {"_key": row_key(contract.columns), "_bucket": bucket_id(contract.columns, buckets)}
+    return cleaned.selectExpr(
+        "*", f"{row_key(contract.columns)} AS _key", f"{bucket_id(contract.columns, buckets)} AS _bucket"
     )

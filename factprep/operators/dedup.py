@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factprep.contract import FactContract
+from factprep.functions.cleaning import quoted
 from factprep.functions.keys import bucket_id
 
 
@@ -29,7 +30,9 @@ def by_bucket(df: DataFrame, contract: FactContract, buckets: int, name: str = "
     columns = list(contract.columns)
     # A grouping shuffles on its columns in the order given, the order bucket_id hashes them in;
     # dropDuplicates chooses an order of its own. The unused count is pruned from the plan.
-    return with_copies(df, contract).select(*columns).withColumn(name, bucket_id(columns, buckets))
+    return with_copies(df, contract).selectExpr(
+        *map(quoted, columns), f"{bucket_id(columns, buckets)} AS {quoted(name)}"
+    )
 
 
 def with_copies(df: DataFrame, contract: FactContract) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factprep.contract import FactContract, Role
+from factprep.functions.cleaning import quoted
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 LITERAL_ROWS = 2_000
@@ -25,10 +26,8 @@ def lookup(fact: DataFrame, dim: DataFrame, role: Role, dim_bytes: int | None =
     estimates and, at run time, measured sizes; a hot key is then split by the
     adaptive skew join.
     """
-    named = dim.select(
-        F.col("location_id").alias(role.key),
-        F.col("borough").alias(role.borough),
-        F.col("zone").alias(role.zone),
+    named = dim.selectExpr(
+        f"location_id AS {quoted(role.key)}", f"borough AS {quoted(role.borough)}", f"zone AS {quoted(role.zone)}"
     )
     if may_broadcast(dim_bytes):
         named = F.broadcast(named)

@@ -2,38 +2,35 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factprep.contract import FactContract
+from factprep.functions.cleaning import is_finite, quoted
 from factprep.functions.features import duration_seconds, start_hour, with_speed
 from factprep.functions.keys import bucket_id, exact_text
 
-INEXACT_KEYS = (T.DoubleType, T.FloatType)
-
-
-def _exact_keys(df: DataFrame, columns: list[str]) -> list[Column]:
-    """Doubles as text, because grouping would merge -0.0 with 0.0."""
-    return [
-        exact_text(F.col(c)).alias(c) if isinstance(df.schema[c].dataType, INEXACT_KEYS) else F.col(c)
-        for c in columns
-    ]
-
-
 def tally(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
     """Each distinct row with its number of copies on either side: ``lhs`` and ``rhs``.
 
-    One aggregation; copies are counted before the shuffle.
+    One aggregation; copies are counted before the shuffle. Doubles are
+    compared as text, because grouping would merge -0.0 with 0.0.
     """
-    sides = (
-        left.select(*_exact_keys(left, columns), F.lit(1).alias("l"), F.lit(0).alias("r"))
-    ).unionByName(right.select(*_exact_keys(right, columns), F.lit(0).alias("l"), F.lit(1).alias("r")))
-    counted = sides.groupBy(*columns).agg(F.sum("l").alias("lhs"), F.sum("r").alias("rhs"))
-    return counted.select(*[F.col(c).cast(left.schema[c].dataType).alias(c) for c in columns], "lhs", "rhs")
+    types = {f.name: f.dataType for f in left.schema.fields}
+    inexact = [c for c in columns if isinstance(types[c], (T.DoubleType, T.FloatType))]
+
+    def side(df: DataFrame, counts: str) -> DataFrame:
+        keys = [f"{exact_text(quoted(c))} AS {quoted(c)}" if c in inexact else quoted(c) for c in columns]
+        return df.selectExpr(*keys, *counts.split(", "))
+
+    both = side(left, "1 AS l, 0 AS r").unionByName(side(right, "0 AS l, 1 AS r"))
+    counted = both.groupBy(*columns).agg(F.sum("l").alias("lhs"), F.sum("r").alias("rhs"))
+    restored = [
+        f"CAST({quoted(c)} AS {types[c].simpleString()}) AS {quoted(c)}" if c in inexact else quoted(c)
+        for c in columns
+    ]
+    return counted.selectExpr(*restored, "lhs", "rhs")
 
 
 def multiset_diff(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
@@ -52,32 +49,21 @@ def audit_rows(df: DataFrame, contract: FactContract, buckets: int | None = None
     Durations, hours, speeds and, with ``buckets``, bucket numbers are computed
     anew and compared with the stored ones.
     """
-    start, end = F.col(contract.start), F.col(contract.end)
-    checked = with_speed(
-        df.withColumns({"__duration": duration_seconds(start, end), "__hour": start_hour(start)}),
-        contract.distance,
-        "__duration",
-        "__speed",
-    )
-    infinite = [
-        F.isnan(c) | (F.abs(F.col(c)) == F.lit(float("inf"))) for c in contract.floats
-    ]
+    start, end = quoted(contract.start), quoted(contract.end)
+    anew = df.selectExpr("*", f"{duration_seconds(start, end)} AS __duration", f"{start_hour(start)} AS __hour")
+    checked = with_speed(anew, contract.distance, "__duration", "__speed")
     broken = {
-        "value_missing": reduce(or_, [F.col(c).isNull() for c in contract.output_columns]),
-        "float_not_finite": reduce(or_, infinite),
-        "not_positive": (F.col("__duration") <= 0) | (F.col(contract.distance) <= 0),
-        "duration_differs": ~F.col(contract.duration).eqNullSafe(F.col("__duration")),
-        "hour_differs": ~F.col(contract.hour).eqNullSafe(F.col("__hour")),
-        "speed_differs": ~F.col(contract.speed).eqNullSafe(F.col("__speed")),
+        "value_missing": " OR ".join(f"{quoted(c)} IS NULL" for c in contract.output_columns),
+        "float_not_finite": " OR ".join(f"NOT ({is_finite(quoted(c))})" for c in contract.floats),
+        "not_positive": f"__duration <= 0D OR {quoted(contract.distance)} <= 0D",
+        "duration_differs": f"NOT ({quoted(contract.duration)} <=> __duration)",
+        "hour_differs": f"NOT ({quoted(contract.hour)} <=> __hour)",
+        "speed_differs": f"NOT ({quoted(contract.speed)} <=> __speed)",
     }
     if buckets is not None:
-        broken["wrong_bucket"] = ~F.col(bucket).eqNullSafe(bucket_id(contract.columns, buckets))
-    one = checked.agg(*[F.count_if(p).alias(rule) for rule, p in broken.items()])
-    return one.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("violations")) for r in broken])
-        ).alias("v")
-    ).select("v.rule", "v.violations")
+        broken["wrong_bucket"] = f"NOT ({quoted(bucket)} <=> {bucket_id(contract.columns, buckets)})"
+    counts = ", ".join(f"struct('{rule}' AS rule, count_if({p}) AS violations)" for rule, p in broken.items())
+    return checked.agg(F.expr(f"array({counts})").alias("counts")).selectExpr("inline(counts)")
 
 
 def check_schema(df: DataFrame, contract: FactContract, *partition_columns: str) -> None:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factprep.contract import TRIPS, FactContract
+from factprep.functions.cleaning import quoted
 from factprep.functions.features import add_features, finalize
 from factprep.operators import buckets as B
 from factprep.operators import cleaning, dedup, enrich, parity, runlog
@@ -181,27 +182,23 @@ def account(raw: DataFrame, dim: DataFrame, contract: FactContract) -> DataFrame
     Rejected rows are reduced to a single all-null group before the shuffle.
     """
     typed = cleaning.coerce(raw, contract)
-    valid = F.coalesce(cleaning.is_valid(typed, contract), F.lit(False))
-    stored = zip(contract.columns, cleaning.normal_form(contract))
-    marked = typed.select(valid.alias("__valid"), *[F.when(valid, c).alias(n) for n, c in stored])
+    stored = cleaning.normal_form(typed, contract)
+    marked = typed.selectExpr(f"({cleaning.is_valid(typed, contract)}) IS TRUE AS __valid", "*").selectExpr(
+        "__valid", *[f"CASE WHEN __valid THEN {v} END AS {quoted(n)}" for n, v in stored.items()]
+    )
     counted = marked.groupBy("__valid", *contract.columns).agg(F.count("*").alias("__copies"))
-    known = F.lit(True)
-    ids = dim.select(F.col("location_id"), F.lit(True).alias("__known"))
     for i, role in enumerate(contract.roles):
-        named = ids.select(F.col("location_id").alias(role.key), F.col("__known").alias(f"__known{i}"))
-        counted = counted.join(named, role.key, "left")
-        known &= F.coalesce(F.col(f"__known{i}"), F.lit(False))
-    one = counted.agg(
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("raw"),
-        F.coalesce(F.sum(F.when(F.col("__valid"), F.col("__copies"))), F.lit(0)).alias("clean"),
-        F.count_if(F.col("__valid")).alias("distinct"),
-        F.count_if(F.col("__valid") & known).alias("output"),
-    )
-    return one.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("stage"), F.col(c).alias("row_count")) for c in one.columns])).alias(
-            "s"
-        )
-    ).select("s.stage", "s.row_count")
+        known = dim.selectExpr(f"location_id AS {quoted(role.key)}", f"true AS __known{i}")
+        counted = counted.join(known, role.key, "left")
+    matched = " AND ".join(f"__known{i} IS TRUE" for i in range(len(contract.roles)))
+    stages = {
+        "raw": "coalesce(sum(__copies), 0)",
+        "clean": "coalesce(sum(__copies) FILTER (WHERE __valid), 0)",
+        "distinct": "count_if(__valid)",
+        "output": f"count_if(__valid AND {matched})",
+    }
+    counts = ", ".join(f"struct('{stage}' AS stage, {n} AS row_count)" for stage, n in stages.items())
+    return counted.agg(F.expr(f"array({counts})").alias("counts")).selectExpr("inline(counts)")
 
 
 def compare(

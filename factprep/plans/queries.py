@@ -27,7 +27,7 @@ from factprep.sources.samples import read_samples
 from factprep.sources.sinks import lies_by_bucket, write_bucketed
 from factprep.streaming.staging import stage_available
 
-BUCKETS = 64
+BUCKETS = 16
 SAMPLED_NODES = ("n0", "n1", "n2")
 
 
@@ -41,7 +41,7 @@ def _finished(spark: SparkSession, root: str) -> DataFrame:
 
 def _timed_hops(spark: SparkSession, root: str) -> DataFrame:
     hops = V.hops(spark, root)
-    return hops.withColumn("duration_seconds", duration_seconds(F.col("start_ts"), F.col("end_ts")))
+    return hops.selectExpr("*", f"{duration_seconds('start_ts', 'end_ts')} AS duration_seconds")
 
 
 # --- cleaning ---------------------------------------------------------------
@@ -64,9 +64,7 @@ def reject_counts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def normalize_zero(spark: SparkSession, root: str) -> DataFrame:
-    totals = V.dirty_shipments(spark, root).select(
-        F.col("total").alias("before"), C.normalize_zero(F.col("total")).alias("after")
-    )
+    totals = V.dirty_shipments(spark, root).selectExpr("total AS before", f"{C.normalize_zero('total')} AS after")
     return totals.agg(
         F.count_if(F.col("before").cast("string") == "-0.0").alias("negative_before"),
         F.count_if(F.col("after").cast("string") == "-0.0").alias("negative_after"),
@@ -170,7 +168,7 @@ def durations(spark: SparkSession, root: str) -> DataFrame:
 
 
 def start_hours(spark: SparkSession, root: str) -> DataFrame:
-    return V.hops(spark, root).select("event_id", start_hour(F.col("start_ts")).alias("start_hour"))
+    return V.hops(spark, root).selectExpr("event_id", f"{start_hour('start_ts')} AS start_hour")
 
 
 def _speeds(spark: SparkSession, root: str, mode: str) -> DataFrame:
@@ -222,7 +220,7 @@ def _measurements(spark: SparkSession, root: str) -> DataFrame:
     """Events as measurements: the hour is the trial, the value the seconds."""
     return V.hops(spark, root).select(
         F.col("to_id").alias("bucket"),
-        start_hour(F.col("start_ts")).alias("trial"),
+        F.expr(start_hour("start_ts")).alias("trial"),
         F.col("distance").cast("decimal(18,2)").alias("baseline_seconds"),
         (F.col("distance") * 2 + F.col("party_size")).cast("decimal(18,2)").alias("udf_seconds"),
     )
@@ -396,7 +394,7 @@ def row_audit_faults(spark: SparkSession, root: str) -> DataFrame:
 
 
 def canonical_rows(spark: SparkSession, root: str) -> DataFrame:
-    return V.hops(spark, root).select("event_id", canonical_key(MOVES.columns).alias("row_text"))
+    return V.hops(spark, root).selectExpr("event_id", f"{canonical_key(MOVES.columns)} AS row_text")
 
 
 # --- run records and resources ----------------------------------------------
@@ -429,30 +427,29 @@ def run_comparable(spark: SparkSession, root: str) -> DataFrame:
 
 def resource_peaks(spark: SparkSession, root: str) -> DataFrame:
     """Events as resource samples of three nodes, an hour as a second; read back from CSV."""
-    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    user = F.col("vendor_id") % 3
-    samples = (
+    since = micros_between("TIMESTAMP_NTZ '1970-01-01 00:00:00'", "start_ts")
+    hourly = (
         V.hops(spark, root)
-        .groupBy(
-            F.col("event_type").alias("run_id"),
-            F.floor(micros_between(epoch, F.col("start_ts")) / F.lit(3600000000)).alias("hour"),
-            user.alias("n"),
+        .selectExpr("event_type AS run_id", f"{since} div 3600000000 AS hour", "vendor_id % 3 AS n", "distance")
+        .groupBy("run_id", "hour", "n")
+        .agg(
+            F.expr("max(floor(distance * 4D))").alias("load"),
+            F.expr("sum(floor(distance * 1000000D))").alias("memory"),
         )
-        .agg(F.max(F.floor(F.col("distance") * 4)).alias("load"), F.sum(F.floor(F.col("distance") * 1000000)).alias("memory"))
     )
     path = scratch_path(spark, "samples")
-    samples.select(
-        F.lit("").alias("utc"),
-        F.col("hour").cast("double").alias("epoch_seconds"),
-        F.lit("factprep").alias("framework"),
+    hourly.selectExpr(
+        "'' AS utc",
+        "CAST(hour AS DOUBLE) AS epoch_seconds",
+        "'factprep' AS framework",
         "run_id",
-        F.concat(F.lit("n"), F.col("n").cast("string")).alias("node"),
-        (F.col("load") / F.lit(4.0)).alias("cpu_percent"),
-        (F.col("n") + 1).alias("cpu_count"),
-        F.col("memory").alias("memory_used_bytes"),
-        F.lit(0).alias("memory_available_bytes"),
-        F.lit(0).alias("memory_total_bytes"),
-        F.lit(0).alias("swap_used_bytes"),
+        "concat('n', n) AS node",
+        "load / 4D AS cpu_percent",
+        "n + 1 AS cpu_count",
+        "memory AS memory_used_bytes",
+        "0 AS memory_available_bytes",
+        "0 AS memory_total_bytes",
+        "0 AS swap_used_bytes",
     ).write.option("header", True).csv(path)
     read = read_samples(spark, path)
     runs = read.groupBy("framework", "run_id").agg(

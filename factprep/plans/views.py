@@ -3,47 +3,56 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-HOP_NAMES = ("vendor_id", "start_ts", "end_ts", "party_size", "distance", "from_id", "to_id", "fare", "total")
+# Types of the columns the views use; naming them spares a job per table that would look them up.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_tax double, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}.parquet")
 
 
 def zones(spark: SparkSession, root: str) -> DataFrame:
     """Nations as zones, regions as boroughs."""
     nation, region = table(spark, root, "nation"), table(spark, root, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").cast("bigint").alias("location_id"),
-        F.col("r_name").alias("borough"),
-        F.col("n_name").alias("zone"),
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS location_id", "r_name AS borough", "n_name AS zone"
     )
 
 
 def shipments(spark: SparkSession, root: str) -> DataFrame:
     """One move per order line: from the customer's nation to the supplier's, from order to shipping date.
 
-    Keeps ``l_orderkey``. Physical types are the tables' own.
+    Keeps ``l_orderkey``. Physical types are the tables' own. Spark broadcasts
+    a table only if it is small; beyond that it shuffles both sides, and splits
+    a hot order, customer or supplier by its adaptive skew join.
     """
     line, orders = table(spark, root, "lineitem"), table(spark, root, "orders")
     customer, supplier = table(spark, root, "customer"), table(spark, root, "supplier")
     return (
-        line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
+        line.join(orders, line.l_orderkey == orders.o_orderkey)
+        .join(customer, orders.o_custkey == customer.c_custkey)
+        .join(supplier, line.l_suppkey == supplier.s_suppkey)
+        .selectExpr(
             "l_orderkey",
-            F.col("l_suppkey").alias("vendor_id"),
-            F.col("o_orderdate").alias("start_ts"),
-            F.col("l_shipdate").alias("end_ts"),
-            F.col("l_linenumber").alias("party_size"),
-            F.col("l_quantity").alias("distance"),
-            F.col("c_nationkey").alias("from_id"),
-            F.col("s_nationkey").alias("to_id"),
-            F.col("l_extendedprice").alias("fare"),
-            (F.col("l_extendedprice") * F.col("l_tax")).alias("total"),
+            "l_suppkey AS vendor_id",
+            "o_orderdate AS start_ts",
+            "l_shipdate AS end_ts",
+            "l_linenumber AS party_size",
+            "l_quantity AS distance",
+            "c_nationkey AS from_id",
+            "s_nationkey AS to_id",
+            "l_extendedprice AS fare",
+            "l_extendedprice * l_tax AS total",
         )
     )
 
@@ -54,27 +63,23 @@ def dirty_shipments(spark: SparkSession, root: str) -> DataFrame:
     Faults depend on the order key. Lines of some orders appear a second time
     with their zero totals positive, so that copies differ in the sign of zero only.
     """
-
-    def every(n: int):
-        return F.col("l_orderkey") % n == 0
-
-    copies = F.when(every(7), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    total = F.when(every(13), F.lit(-0.0)).otherwise(F.col("total"))
-    return shipments(spark, root).select("*", F.explode(copies).alias("copy")).select(
-        F.when(~every(17), F.col("vendor_id").cast("double")).alias("vendor_id"),
-        F.when(~every(19), F.col("start_ts")).alias("start_ts"),
+    faulty = shipments(spark, root).selectExpr(
+        "l_orderkey",
+        "CASE WHEN l_orderkey % 17 <> 0 THEN CAST(vendor_id AS DOUBLE) END AS vendor_id",
+        "CASE WHEN l_orderkey % 19 <> 0 THEN start_ts END AS start_ts",
         "end_ts",
-        (F.col("party_size").cast("double") + F.when(every(23), F.lit(0.5)).otherwise(F.lit(0.0))).alias("party_size"),
-        F.when(every(29), F.lit(float("nan")))
-        .when(every(31), F.lit(float("inf")))
-        .when(every(37), F.lit(0.0))
-        .otherwise(F.col("distance"))
-        .alias("distance"),
-        (F.col("from_id").cast("double") + F.when(every(11), F.lit(100.0)).otherwise(F.lit(0.0))).alias("from_id"),
-        F.col("to_id").cast("double").alias("to_id"),
+        "CAST(party_size AS DOUBLE) + IF(l_orderkey % 23 = 0, 0.5D, 0D) AS party_size",
+        """CASE WHEN l_orderkey % 29 = 0 THEN double('NaN') WHEN l_orderkey % 31 = 0 THEN double('Infinity')
+                WHEN l_orderkey % 37 = 0 THEN 0D ELSE distance END AS distance""",
+        "CAST(from_id AS DOUBLE) + IF(l_orderkey % 11 = 0, 100D, 0D) AS from_id",
+        "CAST(to_id AS DOUBLE) AS to_id",
         "fare",
-        F.when(F.col("copy") & (total == F.lit(0.0)), F.lit(0.0)).otherwise(total).alias("total"),
+        "CASE WHEN l_orderkey % 13 = 0 THEN double('-0.0') ELSE total END AS total",
     )
+    columns = [c for c in faulty.columns if c not in ("l_orderkey", "total")]
+    return faulty.selectExpr(
+        "*", "explode(IF(l_orderkey % 7 = 0, array(false, true), array(false))) AS copy"
+    ).selectExpr(*columns, "IF(copy AND total = 0D, 0D, total) AS total")
 
 
 def hops(spark: SparkSession, root: str) -> DataFrame:
@@ -83,16 +88,16 @@ def hops(spark: SparkSession, root: str) -> DataFrame:
     A row-by-row view: durations, hours and speeds come without any shuffle.
     Some start zones are unknown to the dimension.
     """
-    return table(spark, root, "events").select(
+    return table(spark, root, "events").selectExpr(
         "event_id",
         "event_type",
-        F.col("user_id").alias("vendor_id"),
-        F.col("ts").alias("start_ts"),
-        F.date_add(F.col("ts").cast("date"), 1).cast("timestamp_ntz").alias("end_ts"),
-        (F.col("event_id") % 6 + 1).alias("party_size"),
-        F.col("value").alias("distance"),
-        (F.col("user_id") % 30).alias("from_id"),
-        ((F.col("event_id") * 7) % 25).alias("to_id"),
-        F.col("value").alias("fare"),
-        F.col("value").alias("total"),
+        "user_id AS vendor_id",
+        "ts AS start_ts",
+        "CAST(date_add(CAST(ts AS DATE), 1) AS TIMESTAMP_NTZ) AS end_ts",
+        "event_id % 6 + 1 AS party_size",
+        "value AS distance",
+        "user_id % 30 AS from_id",
+        "(event_id * 7) % 25 AS to_id",
+        "value AS fare",
+        "value AS total",
     )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factprep.contract import FactContract
+from factprep.functions.cleaning import quoted
 from factprep.operators import cleaning
 from factprep.operators.quality import check_fact_schema
 from factprep.sources.inventory import file_inventory
@@ -88,8 +89,8 @@ def read_heterogeneous(
 def as_doubles(df: DataFrame, contract: FactContract) -> DataFrame:
     """Common raw form: numbers as double, times as zone-free timestamp."""
     typed = cleaning.coerce(df, contract)
-    return typed.select(
-        *[F.col(c) if c in contract.times else F.col(c).cast("double").alias(c) for c in contract.columns]
+    return typed.selectExpr(
+        *[c if c in map(quoted, contract.times) else f"CAST({c} AS DOUBLE) AS {c}" for c in map(quoted, contract.columns)]
     )
 
 
