@@ -15,7 +15,8 @@ def read_dimension(spark: SparkSession, path: str, columns: tuple[str, str, str]
     A byte-order mark before the header is ignored. An id that is not a whole
     number becomes null, which the dimension check reports.
     """
-    raw = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    # Doubled quotes and line breaks inside quotes, as CSV writers produce them.
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
     raw = raw.toDF(*[c.lstrip("\ufeff") for c in raw.columns])
     missing = set(columns) - set(raw.columns)
     if missing:
