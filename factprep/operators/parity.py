@@ -51,7 +51,9 @@ def audit_rows(df: DataFrame, contract: FactContract, buckets: int | None = None
     """
     start, end = quoted(contract.start), quoted(contract.end)
     anew = df.selectExpr("*", f"{duration_seconds(start, end)} AS __duration", f"{start_hour(start)} AS __hour")
-    checked = with_speed(anew, contract.distance, "__duration", "__speed")
+    # Without a duration there is no speed, and none can be right.
+    anew = anew.selectExpr("*", "nullif(__duration, 0D) AS __divisor")
+    checked = with_speed(anew, contract.distance, "__divisor", "__speed")
     broken = {
         "value_missing": " OR ".join(f"{quoted(c)} IS NULL" for c in contract.output_columns),
         "float_not_finite": " OR ".join(f"NOT ({is_finite(quoted(c))})" for c in contract.floats),

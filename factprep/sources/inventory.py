@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from urllib.parse import unquote
+from urllib.parse import quote
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -42,11 +42,13 @@ def by_parts(path: str = "path") -> F.Column:
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    for hadoop_name in ("s3a://", "s3n://"):
-        path = path.replace(hadoop_name, "s3://", 1) if path.startswith(hadoop_name) else path
+    """File system and name of a path as Spark lists it, that is, not percent-encoded."""
     if path.startswith("file:"):
-        return pafs.LocalFileSystem(), unquote("/" + path[len("file:") :].lstrip("/"))
-    return pafs.FileSystem.from_uri(path)
+        return pafs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+    for hadoop_name in ("s3a://", "s3n://"):
+        if path.startswith(hadoop_name):
+            path = "s3://" + path[len(hadoop_name) :]
+    return pafs.FileSystem.from_uri(quote(path, safe="/:@"))
 
 
 def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

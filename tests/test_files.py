@@ -1,0 +1,225 @@
+"""Inventories, prefixes, bucketed files and the guards around them."""
+
+from __future__ import annotations
+
+import glob
+import hashlib
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+
+from factprep.contract import MOVES, TRIPS
+from factprep.operators import buckets as B
+from factprep.operators import cleaning, dedup
+from factprep.plans import prepare as P
+from factprep.plans import views as V
+from factprep.sources import inventory
+from factprep.sources.fact import read_bucketed, read_heterogeneous, schema_groups
+from factprep.sources.sinks import exists, guard_paths, lies_by_bucket, overlap, write_bucketed
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def _uncompressed(path):
+    meta = pq.ParquetFile(path).metadata
+    return sum(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups))
+
+
+def test_inventory_reads_footers(spark, trips):
+    (Path(trips.folder) / "_hidden.parquet").write_text("not parquet")
+    (Path(trips.folder) / ".also.parquet").write_text("not parquet")
+    (Path(trips.folder) / "notes.txt").write_text("not parquet")
+    rows = inventory.file_inventory(spark, trips.folder).orderBy("path").collect()
+    assert [Path(r.path).name for r in rows] == ["first.parquet", "second.parquet"]
+    assert [r.row_count for r in rows] == [11, 3]
+    assert [r.bytes for r in rows] == [Path(p).stat().st_size for p in (trips.first, trips.second)]
+    assert [r.uncompressed_bytes for r in rows] == [_uncompressed(p) for p in (trips.first, trips.second)]
+    assert inventory.totals(inventory.file_inventory(spark, trips.folder)).first().row_count == 14
+
+
+def test_single_file_and_odd_names(spark, trips, tmp_path):
+    odd = tmp_path / "with space %41 é"
+    odd.mkdir()
+    (odd / "a b.parquet").write_bytes(Path(trips.second).read_bytes())
+    assert inventory.file_inventory(spark, str(odd)).first().row_count == 3
+    assert inventory.file_inventory(spark, trips.second).first().row_count == 3
+
+
+def test_checksums(spark, trips):
+    rows = inventory.with_checksums(inventory.list_inputs(spark, trips.folder)).collect()
+    assert {r.filename: r.sha256 for r in rows} == {
+        Path(p).name: hashlib.sha256(Path(p).read_bytes()).hexdigest() for p in (trips.first, trips.second)
+    }
+    assert inventory.fingerprint(spark, trips.zones) == hashlib.sha256(Path(trips.zones).read_bytes()).hexdigest()
+
+
+def test_budget_takes_whole_files_in_order(spark, trips):
+    files = inventory.file_inventory(spark, trips.folder)
+    first, both = _uncompressed(trips.first), _uncompressed(trips.first) + _uncompressed(trips.second)
+    names = lambda df: [Path(r.path).name for r in df.orderBy("path").collect()]
+    assert names(inventory.prefix_by_budget(files, first)) == ["first.parquet"]
+    assert names(inventory.prefix_by_budget(files, both - 1)) == ["first.parquet"]
+    assert names(inventory.prefix_by_budget(files, both)) == ["first.parquet", "second.parquet"]
+    assert names(inventory.prefix_by_count(files, 1)) == ["first.parquet"]
+    with pytest.raises(ValueError, match="exceeds the budget"):
+        inventory.prefix_by_budget(files, first - 1)
+    for call in (inventory.prefix_by_budget, inventory.prefix_by_count):
+        with pytest.raises(ValueError, match="positive"):
+            call(files, 0)
+
+
+def test_budget_stops_at_the_first_file_that_does_not_fit(spark):
+    files = spark.createDataFrame([("a", 5), ("b", 9), ("c", 1)], "path string, uncompressed_bytes bigint")
+    kept = inventory.prefix_by_budget(files, 10, order=["path"]).collect()
+    assert [r.path for r in kept] == ["a"]
+
+
+def test_paths_sort_by_parts(spark):
+    files = spark.createDataFrame([("a/b.parquet",), ("a/b/c.parquet",), ("a/b-1.parquet",)], "path string")
+    ordered = [r.path for r in files.orderBy(inventory.by_parts()).collect()]
+    assert ordered == sorted((r.path for r in files.collect()), key=lambda p: p.split("/"))
+
+
+def test_manifest_digest_sees_changes(spark, trips):
+    files = inventory.file_inventory(spark, trips.folder)
+    same = inventory.manifest_digest(files.repartition(3))
+    assert inventory.manifest_digest(files) == same
+    assert inventory.manifest_digest(files.limit(1)) != same
+    assert inventory.manifest_digest(files.selectExpr("* EXCEPT (row_count)", "row_count + 1 AS row_count")) != same
+
+
+def test_missing_columns_name_the_file(spark, trips):
+    pq.write_table(pq.read_table(trips.second).drop_columns(["VendorID"]), f"{trips.folder}/third.parquet")
+    with pytest.raises(ValueError, match="third.parquet lacks columns"):
+        inventory.check_files(inventory.file_inventory(spark, trips.folder), TRIPS)
+
+
+def test_schema_groups_name_folders_once(spark, tmp_path, trips):
+    for month, source in (("m1", trips.first), ("m2", trips.second), ("m3", trips.second)):
+        (tmp_path / "all" / month).mkdir(parents=True)
+        for i in range(2):
+            (tmp_path / "all" / month / f"{i}.parquet").write_bytes(Path(source).read_bytes())
+    (tmp_path / "all" / "m3" / "2.parquet").write_bytes(Path(trips.first).read_bytes())
+    root = str(tmp_path / "all")
+    files = inventory.file_inventory(spark, root)
+    groups = schema_groups(files, TRIPS, root)
+    assert sorted(len(paths) for paths in groups.values()) == [2, 3]  # m1 and one file; m2 and two files
+    assert read_heterogeneous(spark, root, TRIPS).count() == 2 * 11 + 2 * 3 + 2 * 3 + 11
+    part = files.where("path LIKE '%/m1/%'")
+    assert read_heterogeneous(spark, root, TRIPS, files=part, only_files=True).count() == 22
+    assert schema_groups(part, TRIPS, root) == {next(iter(schema_groups(part, TRIPS, root))): [root]}
+
+
+def test_overlap():
+    assert overlap("/a/b", "/a/b/c") and overlap("/a/b/c", "/a/b") and overlap("/a/b/", "file:///a/b")
+    assert not overlap("/a/b", "/a/bc") and not overlap("s3://x/a", "s3://y/a") and not overlap("hdfs://h/a", "/a")
+
+
+def test_guard(spark, trips, tmp_path):
+    fresh, there = str(tmp_path / "fresh"), tmp_path / "there"
+    there.mkdir()
+    guard_paths(spark, [trips.folder, trips.zones], [fresh])
+    assert exists(spark, str(there)) and not exists(spark, fresh)
+    with pytest.raises(FileExistsError):
+        guard_paths(spark, [trips.folder], [fresh, str(there)])
+    with pytest.raises(ValueError, match="overlaps"):
+        guard_paths(spark, [trips.folder], [f"{trips.folder}/out"])
+    with pytest.raises(ValueError, match="separate"):
+        guard_paths(spark, [], [fresh, f"{fresh}/staging"])
+
+
+def test_existing_target_is_not_touched(spark, tmp_path):
+    df = spark.range(5).selectExpr("id", "CAST(id % 2 AS INT) AS bucket")
+    path = str(tmp_path / "out")
+    write_bucketed(df, path)
+    before = sorted(glob.glob(f"{path}/**", recursive=True))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        write_bucketed(df, path)
+    assert sorted(glob.glob(f"{path}/**", recursive=True)) == before
+
+
+def test_empty_result_leaves_a_schema(spark, tmp_path):
+    empty = spark.createDataFrame([], TRIPS.output_schema()).selectExpr("*", "0 AS bucket")
+    write_bucketed(empty, str(tmp_path / "out"))
+    read = read_bucketed(spark, str(tmp_path / "out"), "bucket")
+    assert read.count() == 0 and read.schema == TRIPS.output_schema()
+    inventory.check_layout(inventory.file_inventory(spark, str(tmp_path / "out")))
+
+
+def test_staged_layout(spark, trips, tmp_path):
+    staged = cleaning.with_staging_columns(read_heterogeneous(spark, trips.folder, TRIPS, cleaning.clean), TRIPS, 8)
+    path = str(tmp_path / "staged")
+    write_bucketed(staged, path, "_bucket")
+    back = read_bucketed(spark, path)
+    assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in TRIPS.staging_schema()]
+    assert sorted(back.collect()) == sorted(staged.collect())
+    placed = inventory.bucket_files(inventory.file_inventory(spark, path), "_bucket")
+    assert {r.bucket for r in placed.collect()} == {r._bucket for r in staged.collect()}
+    assert all(name.endswith(".snappy.parquet") for name in glob.glob(f"{path}/*/*.parquet"))
+
+
+@pytest.mark.parametrize("buckets", [4, 8, 16])
+def test_deduplicated_rows_need_no_second_shuffle(spark, tmp_path, buckets):
+    """With adaptive merging off, the shuffle alone must have put each bucket into one task."""
+    cleaned = cleaning.clean(V.dirty_shipments(spark, SMALL), MOVES)
+    assert lies_by_bucket(spark, buckets)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_bucketed(dedup.by_bucket(cleaned, MOVES, buckets), str(tmp_path / "out"), rebalance=False)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(glob.glob(f"{tmp_path}/out/*/*.parquet")) == max(buckets, 8)
+
+
+def test_hot_bucket_is_written_by_several_tasks(spark, tmp_path):
+    """Two thirds of all rows are copies of one row and so share one bucket."""
+    df = spark.range(300000).selectExpr(
+        "IF(id % 3 > 0, 0, id) AS v", "sha2(CAST(IF(id % 3 > 0, 0, id) AS STRING), 512) AS w"
+    ).selectExpr("*", "pmod(hash(v, w), 8) AS bucket")
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        write_bucketed(df.repartition(16), str(tmp_path / "out"))
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    hot = df.where("v = 0").first().bucket
+    assert len(glob.glob(f"{tmp_path}/out/bucket={hot}/*.parquet")) > 1
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 300000
+
+
+def test_bucket_count():
+    assert B.choose_count(0) == 128 == B.choose_count(128 * 262144)
+    assert B.choose_count(128 * 262144 + 1) == 256
+    assert B.choose_count(12_672_737, 512 << 20) == 128
+    assert B.choose_count(10**12, 1 << 40) == 512
+    with pytest.raises(ValueError):
+        B.choose_count(1, 0)
+
+
+def test_oversized_bucket_is_named(spark):
+    df = spark.range(1000).selectExpr("CAST(IF(id < 700, 3, id % 3) AS INT) AS bucket")
+    report = {r.bucket: r for r in B.skew_report(df, limit_bytes=512 * 200).collect()}
+    assert report[3].row_count == 700 and report[3].estimated_bytes == 700 * 512 and report[3].over_limit
+    assert not report[0].over_limit
+    with pytest.raises(ValueError, match="Bucket 3 has 700 rows"):
+        B.require_bounded(df, limit_bytes=512 * 200)
+    B.require_bounded(df, limit_bytes=512 * 700)
+
+
+def test_account_matches_stages(spark):
+    raw, dim = V.dirty_shipments(spark, SMALL), V.zones(spark, SMALL)
+    cleaned = cleaning.clean(raw, MOVES)
+    stages = dict(P.account(raw, dim, MOVES).collect())
+    assert stages == {
+        "raw": raw.count(),
+        "clean": cleaned.count(),
+        "distinct": dedup.exact(cleaned, MOVES).count(),
+        "output": P.transform(raw, dim, MOVES, 8).count(),
+    }
+    assert dict(P.account(raw.where("false"), dim, MOVES).collect()) == dict.fromkeys(stages, 0)
