@@ -328,5 +328,16 @@ SELECT * FROM (
   UNION ALL SELECT 'listed_twice', count(*) FILTER (WHERE n > 1) FROM per_run)
 WHERE row_count > 0""",
     "resource_peaks": PEAKS,
+    "benchmark_table": """
+SELECT event_type AS framework, CAST(user_id AS VARCHAR) AS run_id, count(*) * 512 AS input_bytes,
+       CAST(1 AS BIGINT) AS output_rows, max(value) AS total_seconds, CAST(32 AS INTEGER) AS block_mib,
+       CAST(NULL AS DOUBLE) AS peak_cpu_percent, CAST(NULL AS DOUBLE) AS peak_memory_gib,
+       CAST(0 AS BIGINT) AS resource_samples
+FROM events GROUP BY event_type, user_id""",
+    "benchmark_summary": f"""WITH per_run AS (
+  SELECT event_type AS framework, max(value) AS total_seconds FROM events GROUP BY event_type, user_id)
+SELECT framework, count(*) AS trials, {MIDDLE.format(v='total_seconds')} AS median, min(total_seconds) AS minimum,
+       max(total_seconds) AS maximum
+FROM per_run GROUP BY framework""",
 }
 ORACLES["zone_lookup_map"] = ORACLES["zone_join_both"]

@@ -18,6 +18,7 @@ from factprep.operators import buckets as B
 from factprep.operators import cleaning, dedup, enrich, parity, profile, ranking, resources, runlog
 from factprep.operators.quality import dimension_violations
 from factprep.plans import prepare as P
+from factprep.plans import report
 from factprep.plans import views as V
 from factprep.session import scratch_path
 from factprep.sources import inventory
@@ -458,6 +459,41 @@ def resource_peaks(spark: SparkSession, root: str) -> DataFrame:
     return resources.peaks(read, runs, SAMPLED_NODES)
 
 
+def _event_runs(spark: SparkSession, root: str) -> DataFrame:
+    """Events as complete runs: the type is the framework, the user the run."""
+    per_run = V.hops(spark, root).groupBy("event_type", "vendor_id").agg(
+        F.count("*").alias("n"), F.max("distance").alias("total_seconds")
+    )
+    return per_run.selectExpr(
+        "event_type AS framework",
+        "CAST(vendor_id AS STRING) AS run_id",
+        "'complete' AS status",
+        "true AS benchmark_eligible",
+        f"'{MOVES.name}' AS contract",
+        "n * 512 AS input_bytes",
+        "1L AS output_rows",
+        "total_seconds",
+        "32 AS block_mib",
+    )
+
+
+def benchmark_table(spark: SparkSession, root: str) -> DataFrame:
+    """The written table of trials, read back."""
+    path = scratch_path(spark, "report")
+    report.summarize(spark, _event_runs(spark, root), path, fields=["contract", "output_rows"])
+    schema = "framework string, run_id string, input_bytes bigint, output_rows bigint, total_seconds double, block_mib int"
+    read = spark.read.schema(f"{schema}, peak_cpu_percent double, peak_memory_gib double, resource_samples bigint")
+    return read.option("header", True).csv(f"{path}/benchmark_runs")
+
+
+def benchmark_summary(spark: SparkSession, root: str) -> DataFrame:
+    """The written summary of trials per framework, read back."""
+    path = scratch_path(spark, "report")
+    report.summarize(spark, _event_runs(spark, root), path, fields=["contract", "output_rows"])
+    schema = "framework string, trials bigint, median double, minimum double, maximum double"
+    return spark.read.schema(schema).json(f"{path}/summary")
+
+
 def running_totals(spark: SparkSession, root: str) -> DataFrame:
     """Rows of each customer's orders, and of all customers up to them."""
     files = _order_files(spark, root).select("path", "row_count")
@@ -520,5 +556,7 @@ QUERIES = {
         run_comparable,
         resource_peaks,
         running_totals,
+        benchmark_table,
+        benchmark_summary,
     )
 }
