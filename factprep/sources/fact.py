@@ -24,6 +24,42 @@ def read_fact(spark: SparkSession, paths: str | list[str], contract: FactContrac
     return cleaning.project(df, contract)
 
 
+# Spark types of stored ones, for files whose nanosecond times Spark reads only as plain numbers.
+STORED = {
+    "int8": "tinyint",
+    "int16": "smallint",
+    "int32": "int",
+    "int64": "bigint",
+    "float": "float",
+    "double": "double",
+    "string": "string",
+    "timestamp[ms]": "timestamp_ntz",
+    "timestamp[us]": "timestamp_ntz",
+    "timestamp[ns]": "bigint",
+}
+
+
+def read_nanoseconds(spark: SparkSession, paths: list[str], contract: FactContract, types: list[str]) -> DataFrame:
+    """Files with nanosecond times, which are cut to microseconds.
+
+    ``types`` gives the stored type of each contract column.
+    """
+    unknown = [t for t in types if t not in STORED]
+    if unknown:
+        raise ValueError(f"Cannot read columns of type {unknown} next to nanosecond times.")
+    schema = ", ".join(f"{quoted(c)} {STORED[t]}" for c, t in zip(contract.columns, types))
+    df = spark.read.option("recursiveFileLookup", True).schema(schema).parquet(*paths)
+    columns = []
+    for name, stored in zip(contract.columns, types):
+        column = quoted(name)
+        if stored == "timestamp[ns]":
+            micros = f"({column} - pmod({column}, 1000L)) div 1000"
+            seconds = f"CAST(CAST({micros} AS DECIMAL(18,0)) / 1000000 AS DECIMAL(18,6))"
+            column = f"TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds}) AS {column}"
+        columns.append(column)
+    return df.selectExpr(*columns)
+
+
 def schema_groups(files: DataFrame, contract: FactContract, root: str | None = None) -> dict[str, list[str]]:
     """Paths to read, by physical types of the contract columns.
 
@@ -82,7 +118,14 @@ def read_heterogeneous(
     files = file_inventory(spark, path) if files is None else files
     groups = file_groups(files, contract) if only_files else schema_groups(files, contract, path)
     prepare = prepare or as_doubles
-    parts = [prepare(read_fact(spark, groups[kind], contract), contract) for kind in sorted(groups)]
+    parts = []
+    for kind in sorted(groups):
+        types = json.loads(kind)
+        if "timestamp[ns]" in types:
+            part = read_nanoseconds(spark, groups[kind], contract, types)
+        else:
+            part = read_fact(spark, groups[kind], contract)
+        parts.append(prepare(part, contract))
     return reduce(DataFrame.unionByName, parts)
 
 

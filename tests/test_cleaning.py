@@ -209,3 +209,20 @@ def test_zoned_parquet_file_is_refused(spark, trips):
     pq.write_table(zoned, f"{trips.folder}/third.parquet")
     with pytest.raises(ValueError, match="third.parquet has zoned timestamps"):
         inventory.check_files(inventory.file_inventory(spark, trips.folder), TRIPS)
+
+
+def test_nanosecond_times_are_cut(spark, trips):
+    table = pq.read_table(trips.second)
+    times = [1672531200123456789, -1, -1_000_000_001]
+    for name, values in (("tpep_pickup_datetime", times), ("tpep_dropoff_datetime", [t + 60 * 10**9 for t in times])):
+        table = table.set_column(table.schema.get_field_index(name), name, pa.array(values, pa.timestamp("ns")))
+    pq.write_table(table, f"{trips.folder}/third.parquet")
+    cleaned = read_heterogeneous(spark, trips.folder, TRIPS, cleaning.clean)
+    assert cleaned.count() == 10
+    found = {r.tpep_pickup_datetime for r in cleaned.where("tpep_pickup_datetime < '1971-01-01' OR "
+                                                           "tpep_pickup_datetime = '2023-01-01 00:00:00.123456'").collect()}
+    assert found == {
+        datetime(2023, 1, 1, 0, 0, 0, 123456),
+        datetime(1969, 12, 31, 23, 59, 59, 999999),
+        datetime(1969, 12, 31, 23, 59, 58, 999999),
+    }

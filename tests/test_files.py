@@ -101,6 +101,7 @@ def test_schema_groups_name_folders_once(spark, tmp_path, trips):
         for i in range(2):
             (tmp_path / "all" / month / f"{i}.parquet").write_bytes(Path(source).read_bytes())
     (tmp_path / "all" / "m3" / "2.parquet").write_bytes(Path(trips.first).read_bytes())
+    (tmp_path / "all" / "m1" / "_unfinished.parquet").write_text("not parquet")
     root = str(tmp_path / "all")
     files = inventory.file_inventory(spark, root)
     groups = schema_groups(files, TRIPS, root)
