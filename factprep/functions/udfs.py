@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import math
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +18,9 @@ from pyspark.sql import types as T
 from factprep.contract import FactContract
 from factprep.functions.cleaning import INT32_END, INT32_FIRST, TIME_END, TIME_FIRST
 
+# Executors receive these functions whole and need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def python_speed(distance: float, duration: float) -> float:
     """Reference form of the speed: Python arithmetic and Python rounding."""
@@ -39,40 +45,32 @@ def speed_arrow(distance: str, duration: str) -> Column:
 
 
 def _batch_cleaner(contract: FactContract) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    numbers = set(contract.integers) | set(contract.floats)
-    schema = pa.schema(
-        [
-            (c, pa.int64() if c in contract.integers else pa.float64() if c in numbers else pa.timestamp("us"))
-            for c in contract.columns
-        ]
-    )
-    first, end = (pa.scalar(pd.Timestamp(t).to_pydatetime(), pa.timestamp("us")) for t in (TIME_FIRST, TIME_END))
+    columns, integers, times = contract.columns, contract.integers, contract.times
+    distance, start, end = contract.distance, contract.start, contract.end
+    stored = {c: pa.int64() if c in integers else pa.timestamp("us") if c in times else pa.float64() for c in columns}
+    first, last = (pa.scalar(pd.Timestamp(t).to_pydatetime(), pa.timestamp("us")) for t in (TIME_FIRST, TIME_END))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = {
-                c: batch.column(c).cast(pa.float64() if c in numbers else pa.timestamp("us"), safe=False)
-                for c in contract.columns
+                c: batch.column(c).cast(pa.timestamp("us") if c in times else pa.float64(), safe=False) for c in columns
             }
-            tests = [pc.is_finite(values[c]) for c in numbers]
-            for c in contract.integers:
+            tests = [pc.is_finite(values[c]) for c in columns if c not in times]
+            for c in integers:
                 tests.append(pc.equal(values[c], pc.trunc(values[c])))
                 tests.append(pc.greater_equal(values[c], float(INT32_FIRST)))
                 tests.append(pc.less(values[c], float(INT32_END)))
-            for c in contract.times:
-                tests.append(pc.and_(pc.greater_equal(values[c], first), pc.less(values[c], end)))
-            tests.append(pc.greater(values[contract.distance], 0.0))
-            tests.append(pc.greater(values[contract.end], values[contract.start]))
-            passed = tests[0]
-            for test in tests[1:]:
-                passed = pc.and_(passed, test)
-            kept = pa.table(values).filter(passed, null_selection_behavior="drop")
-            columns = [
+            for c in times:
+                tests.append(pc.and_(pc.greater_equal(values[c], first), pc.less(values[c], last)))
+            tests.append(pc.greater(values[distance], 0.0))
+            tests.append(pc.greater(values[end], values[start]))
+            kept = pa.table(values).filter(functools.reduce(pc.and_, tests), null_selection_behavior="drop")
+            cleaned = {
                 # x + 0.0 turns -0.0 into 0.0
-                (pc.add(kept[c], 0.0) if c in numbers else kept[c]).cast(schema.field(c).type)
-                for c in contract.columns
-            ]
-            yield from pa.table(columns, schema=schema).to_batches()
+                c: kept[c] if c in times else pc.add(kept[c], 0.0).cast(stored[c])
+                for c in columns
+            }
+            yield from pa.table(cleaned).to_batches()
 
     return clean
 

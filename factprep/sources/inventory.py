@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import hashlib
 import json
+import sys
 from collections.abc import Iterator
 from urllib.parse import quote
 
 import pandas as pd
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factprep.contract import FactContract
 from factprep.operators.ranking import running_total
 
+# Executors receive the functions below whole and need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FOOTER = "path string, bytes bigint, uncompressed_bytes bigint, row_count bigint, column_types string"
 CHUNK = 1 << 20
 GIGABYTE = 1_000_000_000
