@@ -78,7 +78,7 @@ class FactContract:
 
 # Column names of the public yellow-cab trip files and of the finished output.
 TRIPS = FactContract(
-    name="taxi-clean-v1",
+    name="trips-v1",
     columns=(
         "VendorID",
         "tpep_pickup_datetime",
