@@ -166,6 +166,16 @@ def check_files(files: DataFrame, contract: FactContract) -> None:
         raise ValueError(f"{row.path} {reason}")
 
 
+def require_output_types(files: DataFrame, contract: FactContract) -> None:
+    """Raise, naming a file, unless every file stores exactly the output columns, in order and type."""
+    stored = {"bigint": "int64", "timestamp_ntz": "timestamp[us]"}
+    types = {f.name: f.dataType.simpleString() for f in contract.output_schema().fields}
+    expected = json.dumps({name: stored.get(dtype, dtype) for name, dtype in types.items()})
+    wrong = files.where(F.col("column_types") != F.lit(expected)).take(1)
+    if wrong:
+        raise ValueError(f"Unexpected output schema in {wrong[0].path}: {wrong[0].column_types}")
+
+
 def bucket_files(files: DataFrame, bucket: str = "bucket") -> DataFrame:
     """Add each file's bucket, from its folder; -1 for a file outside any bucket folder."""
     folder = F.element_at(by_parts(), -2)

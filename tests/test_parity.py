@@ -98,3 +98,13 @@ def test_compare_refuses_other_layouts(spark, output, tmp_path):
     write_bucketed(output, left)
     with pytest.raises(ValueError, match="outside the bucket folders"):
         P.compare(spark, left, flat, buckets=8)
+
+
+def test_compare_refuses_a_file_of_other_types(spark, output, tmp_path):
+    """Spark would widen the integers of one file silently."""
+    left, right = str(tmp_path / "left"), str(tmp_path / "right")
+    write_bucketed(output, left)
+    narrow = output.selectExpr(*[f"CAST({c} AS INT) AS {c}" if c == "pickup_hour" else c for c in output.columns])
+    write_bucketed(narrow, right)
+    with pytest.raises(ValueError, match="Unexpected output schema in .*right"):
+        P.compare(spark, left, right, buckets=8)

@@ -73,6 +73,32 @@ def test_dimension_beyond_the_limit_is_not_forced_into_memory(spark, moves):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hot_zone_is_split_when_the_dimension_is_not_broadcast(spark):
+    """Two fifths of the rows share one start zone."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        fact = spark.range(0, 200000, 1, 16).selectExpr(
+            "id", "IF(id % 5 < 2, 7L, pmod(xxhash64(id), 5000)) AS from_id", "sha2(CAST(id AS STRING), 256) AS rest"
+        )
+        dim = spark.range(4000).selectExpr("id AS location_id", "'b' AS borough", "CAST(id AS STRING) AS zone")
+        joined = enrich.lookup(fact, dim, MOVES.roles[0])
+        counted = joined.selectExpr("count(*)", "sum(id)", "count_if(from_zone <> CAST(from_id AS STRING))").first()
+        known = fact.where("from_id < 4000").selectExpr("count(*)", "sum(id)", "0L").first()
+        assert tuple(counted) == tuple(known)
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_copies_are_combined_before_the_shuffle(spark, moves):
     """Half of the rows are copies of one row; at most one per map task may be sent."""
     cleaned = cleaning.clean(moves, MOVES)
