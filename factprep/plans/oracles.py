@@ -108,7 +108,7 @@ hops AS (
 
 SPEEDS = f"WITH {HOPS}{_speed('hops', 'event_id')} SELECT event_id, speed FROM speeds"
 CHECKSUM_SPEED = f"""WITH {HOPS}{_speed('hops', 'event_id')}
-SELECT sum(CAST(speed AS DECIMAL(28,6))) AS checksum, count(*) AS row_count FROM speeds"""
+SELECT CAST(sum(CAST(speed AS DECIMAL(28,6))) AS DOUBLE) AS checksum, count(*) AS row_count FROM speeds"""
 
 
 def _fails(rule: str, predicate: str) -> str:
@@ -251,7 +251,7 @@ joined AS (
   SELECT h.*, a.borough AS from_borough, a.zone AS from_zone, b.borough AS to_borough, b.zone AS to_zone
   FROM hops h JOIN zones a ON from_id = a.location_id JOIN zones b ON to_id = b.location_id)
 {_speed('joined', 'event_id, ' + OUTPUT)} SELECT event_id, {OUTPUT}, speed FROM speeds""",
-    "checksum_baseline": "SELECT sum(CAST(value AS DECIMAL(28,6))) AS checksum, count(*) AS row_count FROM events",
+    "checksum_baseline": "SELECT CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS checksum, count(*) AS row_count FROM events",
     "checksum_speed": CHECKSUM_SPEED,
     "checksum_scalar_udf": CHECKSUM_SPEED,
     "checksum_arrow_udf": CHECKSUM_SPEED,

@@ -196,20 +196,24 @@ def hop_features(spark: SparkSession, root: str) -> DataFrame:
 # --- profiling --------------------------------------------------------------
 
 
+def _checksum(spark: SparkSession, root: str, mode: str) -> DataFrame:
+    return profile.checksum(_speeds(spark, root, mode)).selectExpr("CAST(checksum AS DOUBLE) AS checksum", "row_count")
+
+
 def checksum_baseline(spark: SparkSession, root: str) -> DataFrame:
-    return profile.checksum(_speeds(spark, root, "identity"))
+    return _checksum(spark, root, "identity")
 
 
 def checksum_speed(spark: SparkSession, root: str) -> DataFrame:
-    return profile.checksum(_speeds(spark, root, "native"))
+    return _checksum(spark, root, "native")
 
 
 def checksum_scalar_udf(spark: SparkSession, root: str) -> DataFrame:
-    return profile.checksum(_speeds(spark, root, "scalar"))
+    return _checksum(spark, root, "scalar")
 
 
 def checksum_arrow_udf(spark: SparkSession, root: str) -> DataFrame:
-    return profile.checksum(_speeds(spark, root, "arrow"))
+    return _checksum(spark, root, "arrow")
 
 
 def first_buckets(spark: SparkSession, root: str) -> DataFrame:
