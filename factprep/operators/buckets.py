@@ -12,6 +12,8 @@ ROW_BYTES = 512
 FEWEST_BUCKETS = 128
 BUCKET_BYTES = 128 * 1024 * 1024
 
+PARTITION_BYTES = 1 << 30
+
 
 def choose_count(rows: int, bucket_bytes: int = BUCKET_BYTES) -> int:
     """Buckets so that each holds about ``bucket_bytes``; a power of two, at least 128.
@@ -25,6 +27,16 @@ def choose_count(rows: int, bucket_bytes: int = BUCKET_BYTES) -> int:
     return 1 << (needed - 1).bit_length()
 
 
+def choose_partitions(input_bytes: int, at_least: int = 1) -> int:
+    """Shuffle partitions so that each takes about one GiB of uncompressed input; a power of two.
+
+    Adaptive execution merges what turns out small. A power of two keeps
+    deduplicated rows aligned with a power of two of buckets.
+    """
+    needed = max(1, at_least, math.ceil(input_bytes / PARTITION_BYTES))
+    return 1 << (needed - 1).bit_length()
+
+
 def repartition_by_bucket(df: DataFrame, bucket: str = "bucket") -> DataFrame:
     """Bring rows of a bucket together for writing.
 

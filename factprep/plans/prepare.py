@@ -18,6 +18,7 @@ from factprep.functions.features import add_features, finalize
 from factprep.operators import buckets as B
 from factprep.operators import cleaning, dedup, enrich, parity, runlog
 from factprep.operators.quality import require_dimension
+from factprep.session import settings
 from factprep.sources import inventory
 from factprep.sources.dimension import read_dimension
 from factprep.sources.fact import read_bucketed, read_heterogeneous
@@ -77,7 +78,8 @@ def prepare(
 
     With ``staging`` the clean rows are written there first, by bucket; a later
     run can take them up with ``reuse_staging`` instead of cleaning again.
-    Without either, everything is one Spark job. ``runs`` names a table that
+    Without either, everything is one Spark job. Shuffle partitions are sized
+    by the input, and never fewer than the session's own. ``runs`` names a table that
     receives a row when the run starts and when it completes or fails.
     """
     if max_files is not None and max_uncompressed_gb is not None:
@@ -107,12 +109,14 @@ def prepare(
     dim_bytes = require_dimension(dim)
     buckets = buckets or min(MOST_BUCKETS, B.choose_count(sizes.row_count, bucket_bytes))
 
+    partitions = B.choose_partitions(sizes.uncompressed_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
     facts = dict(
         contract=contract.name,
         framework=framework,
         run_id=run_id,
         buckets=buckets,
-        shuffle_partitions=int(spark.conf.get("spark.sql.shuffle.partitions")),
+        shuffle_partitions=partitions,
         batch_rows=int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")),
         concurrency=spark.sparkContext.defaultParallelism,
         configuration={
@@ -139,20 +143,21 @@ def prepare(
     began, began_epoch = time.perf_counter(), time.time()
     staging_seconds, cleaned_rows = 0.0, None
     try:
-        if reuse_staging is None:
-            cleaned = read_heterogeneous(spark, source, contract, cleaning.clean, files, chosen)
-            if staging:
-                write_bucketed(cleaning.with_staging_columns(cleaned, contract, buckets), staging, "_bucket")
-                staging_seconds = time.perf_counter() - began
-        if staging or reuse_staging:
-            cleaned = read_bucketed(spark, staging or reuse_staging).select(*contract.columns)
-            # Counted from the footers of what was written, so lost executors cannot distort it.
-            cleaned_rows = cleaned.count()
-        finished = finish(cleaned, dim, contract, buckets, dim_bytes)
-        # A broadcast lookup leaves the rows where the deduplication put them.
-        in_place = enrich.may_broadcast(dim_bytes) and lies_by_bucket(spark, buckets)
-        write_bucketed(finished, output, rebalance=not in_place)
-        output_rows = spark.read.parquet(output).count()
+        with settings(spark, spark__sql__shuffle__partitions=partitions):
+            if reuse_staging is None:
+                cleaned = read_heterogeneous(spark, source, contract, cleaning.clean, files, chosen)
+                if staging:
+                    write_bucketed(cleaning.with_staging_columns(cleaned, contract, buckets), staging, "_bucket")
+                    staging_seconds = time.perf_counter() - began
+            if staging or reuse_staging:
+                cleaned = read_bucketed(spark, staging or reuse_staging).select(*contract.columns)
+                # Counted from the footers of what was written, so lost executors cannot distort it.
+                cleaned_rows = cleaned.count()
+            finished = finish(cleaned, dim, contract, buckets, dim_bytes)
+            # A broadcast lookup leaves the rows where the deduplication put them.
+            in_place = enrich.may_broadcast(dim_bytes) and lies_by_bucket(spark, buckets)
+            write_bucketed(finished, output, rebalance=not in_place)
+            output_rows = spark.read.parquet(output).count()
     except Exception as error:
         if runs:
             runlog.record(spark, runs, status="failed", error=str(error)[:2000], **facts)

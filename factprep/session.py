@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +56,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: object) -> Iterator[None]:
+    """Session settings for the length of a block; double underscores stand for dots."""
+    named = {key.replace("__", "."): str(value) for key, value in values.items()}
+    before = {key: spark.conf.get(key, None) for key in named}
+    for key, value in named.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -14,6 +14,7 @@ from factprep.operators import buckets as B
 from factprep.operators import cleaning, dedup
 from factprep.plans import prepare as P
 from factprep.plans import views as V
+from factprep.session import settings
 from factprep.sources import inventory
 from factprep.sources.fact import read_bucketed, read_heterogeneous, schema_groups
 from factprep.sources.sinks import exists, guard_paths, lies_by_bucket, overlap, write_bucketed
@@ -203,6 +204,21 @@ def test_bucket_count():
         B.choose_count(1, 0)
 
 
+def test_partition_count():
+    assert B.choose_partitions(0) == 1 and B.choose_partitions(0, 200) == 256 and B.choose_partitions(0, 8) == 8
+    assert B.choose_partitions(345_261_338, 8) == 8
+    assert B.choose_partitions(100 * 10**12, 200) == 131072
+
+
+def test_settings_are_put_back(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with pytest.raises(RuntimeError), settings(spark, spark__sql__shuffle__partitions=3, factprep__test=1):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+        raise RuntimeError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("factprep.test", None) is None
+
+
 def test_oversized_bucket_is_named(spark):
     df = spark.range(1000).selectExpr("CAST(IF(id < 700, 3, id % 3) AS INT) AS bucket")
     report = {r.bucket: r for r in B.skew_report(df, limit_bytes=512 * 200).collect()}
