@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factprep.llm import decontaminate, line_dedup, packing, quality, simhash, url_rules
+from factprep.llm import decontaminate, fingerprints, hmm, line_dedup, packing, pii, quality, simhash, toxicity, url_rules
 from factprep.llm.common import labelled, remainder, table
 
 BASE_RULES = [
@@ -27,6 +27,31 @@ PATTERN_RULES = [
 ]
 
 
+def op1_fingerprints(spark: SparkSession, root: str) -> DataFrame:
+    rows = fingerprints.compared_with_edits(table(spark, root, "documents"))
+    done = fingerprints.with_likeness(rows, {"near_edited": ("own", "edited"), "near_next": ("own", "next")})
+    return done.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.fingerprint("own").alias("fingerprint"),
+        fingerprints.fingerprint("edited").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+def op2_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    model = toxicity.fit(labelled(docs, table(spark, root, "labels"), "toxic"))
+    return toxicity.with_scores(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op4_url_rules(spark: SparkSession, root: str) -> DataFrame:
     pages = table(spark, root, "pages").select("page_id", "url")
     return url_rules.judge(pages, BASE_RULES + PATTERN_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -75,11 +100,26 @@ def op5_packing(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    return pii.found(docs, pii.fit(docs)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"
+    )
+
+
+def op8_hmm(spark: SparkSession, root: str) -> DataFrame:
+    return hmm.scored(table(spark, root, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": op1_fingerprints,
+    "op2_toxicity": op2_toxicity,
     "op3_line_dedup": op3_line_dedup,
     "op4_url_rules": op4_url_rules,
     "op5_packing": op5_packing,
+    "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
+    "op8_hmm": op8_hmm,
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
 }
