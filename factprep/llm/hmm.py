@@ -4,7 +4,8 @@ Tokens are whitespace-separated words with A-Z in lower case, then one end token
 Word counts are summed over all training documents. The HEAD most frequent words
 have an emission probability of their own in each state; every other word is
 emitted as one of a few shape classes, times its share of the class, which
-depends on its own exact count. HEAD bounds what is sent to the executors; the
+depends on its own exact count. As many words as the corpus has of a class only
+once are set aside for words of it that the corpus lacks. HEAD bounds what is sent to the executors; the
 rest of the vocabulary, of any size, is only ever joined.
 
 Baum-Welch: each task runs the scaled forward-backward recursion over its
@@ -89,12 +90,13 @@ def word_counts(training: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Head words in order of their symbol, their counts, and the totals of the rest by class."""
+    """Head words in order of their symbol, their counts, the totals of the rest by class, and the words seen once."""
 
     words: list[bytes]
     counts: np.ndarray
     class_tokens: np.ndarray
     class_words: np.ndarray
+    once: np.ndarray
     documents: int
     tokens: int
     types: int
@@ -107,8 +109,12 @@ class Vocabulary:
     def symbols(self) -> int:
         return self.end + 1
 
+    def novel(self) -> np.ndarray:
+        """Expected tokens, by symbol, of words that the training texts lack."""
+        return np.concatenate((np.zeros(len(self.words)), self.once + 0.5, [0]))
+
     def totals(self) -> np.ndarray:
-        return np.concatenate((self.counts, self.class_tokens, [self.documents])).astype(float)
+        return np.concatenate((self.counts, self.class_tokens, [self.documents])) + self.novel()
 
 
 def vocabulary(counts: DataFrame, documents: int, head: int = HEAD) -> Vocabulary:
@@ -117,27 +123,26 @@ def vocabulary(counts: DataFrame, documents: int, head: int = HEAD) -> Vocabular
     known = counts.sparkSession.sparkContext.broadcast(frozenset(words))
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((3, CLASSES + 1), np.int64)
+        sums = np.zeros((4, CLASSES + 1), np.int64)
         sums[0] = np.arange(CLASSES + 1)
         for batch in batches:
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums[1, CLASSES] += n
-                sums[2, CLASSES] += 1
-                if word not in known.value:
-                    c = word_class(word)
-                    sums[1, c] += n
-                    sums[2, c] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(s) for s in sums], names=["class", "n", "words"])
-
-    found = np.zeros((2, CLASSES + 1), np.int64)
-    parts = counts.mapInArrow(classes, "class long, n long, words long")
-    for r in parts.groupBy("class").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect():
-        found[:, r["class"]] = r["n"], r["words"]
+                c = word_class(word)
+                listed = word in known.value
+                sums[1:, CLASSES] += n, 1, 0
+                sums[1:, c] += n * (not listed), not listed, n == 1
+        yield pa.RecordBatch.from_arrays([pa.array(s) for s in sums], names=["class", "n", "words", "once"])
+
+    found = np.zeros((3, CLASSES + 1), np.int64)
+    parts = counts.mapInArrow(classes, "class long, n long, words long, once long")
+    for r in parts.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("n", "words", "once")]).collect():
+        found[:, r["class"]] = r["n"], r["words"], r["once"]
     return Vocabulary(
         words,
         np.asarray(numbers, np.int64),
         found[0, :CLASSES],
         found[1, :CLASSES],
+        found[2, :CLASSES],
         documents,
         int(found[0, CLASSES]) + documents,
         int(found[1, CLASSES]) + (documents > 0),
@@ -155,15 +160,15 @@ class Model:
 
 
 def first_model(words: Vocabulary, states: int = STATES) -> Model:
-    """States that each prefer words of some endings, so that training can tell them apart."""
+    """Lasting states that each slightly prefer words of some endings, so that training can tell them apart."""
     totals = words.totals() + 1e-3
     prefer = np.ones((words.symbols, states))
     for i, word in enumerate(words.words):
-        prefer[i, int.from_bytes(word[-2:], "big") * 2654435761 % 2**32 * states >> 32] = 8
+        prefer[i, int.from_bytes(word[-2:], "big") * 2654435761 % 2**32 * states >> 32] = 3
     for c in range(CLASSES + 1):
-        prefer[len(words.words) + c, c % states] = 2
+        prefer[len(words.words) + c, c % states] = 1.5
     emissions = totals[:, None] * prefer
-    moves = np.ones((states, states)) + np.eye(states)
+    moves = np.ones((states, states)) + 100 * np.eye(states)
     return Model(
         np.full(states, 1 / states), moves / moves.sum(axis=1, keepdims=True), emissions / emissions.sum(axis=0)
     )
@@ -300,7 +305,8 @@ def train(training: DataFrame, words: Vocabulary, states: int = STATES, rounds:
         sums = np.zeros((words.symbols + states + 1, states))
         sums[found["row"].to_numpy()] = np.stack([found[n].to_numpy() for n in names], axis=1)
         starts, moves = sums[0] + TRANSITION_PRIOR, sums[1 : states + 1] + TRANSITION_PRIOR
-        emissions = sums[states + 1 :] + PRIOR * share[:, None]
+        seen = sums[states + 1 :]
+        emissions = seen + words.novel()[:, None] * (seen.sum(axis=0) / seen.sum()) + PRIOR * share[:, None]
         sent.unpersist()
         model = Model(starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), emissions / emissions.sum(axis=0))
     return model
@@ -320,9 +326,9 @@ def score(docs: DataFrame, words: Vocabulary, counts: DataFrame, model: Model) -
     known, sent = spark.sparkContext.broadcast(words.words), spark.sparkContext.broadcast(model)
     head = len(words.words)
     base = np.log10(np.concatenate((words.counts, np.zeros(CLASSES), [words.documents])) + 1.0)
-    # A rest word's share of its class: (count + 1) / (tokens + words + 1); the counts are joined below.
+    # A rest word's share of its class: (count + 1) / (tokens + words + novel words + 1); the counts are joined below.
     shares = np.zeros(words.symbols)
-    shares[head : head + CLASSES] = -np.log10(words.class_tokens + words.class_words + 1.0)
+    shares[head : head + CLASSES] = -np.log10(words.class_tokens + words.class_words + words.once + 1.0)
     known_end, end = words.documents > 0, words.end
     word_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
 

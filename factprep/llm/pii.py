@@ -297,6 +297,16 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def spaced(piece: tuple[str, list[int]], rng: np.random.Generator) -> tuple[str, list[int]]:
+    """A run of digits sometimes written in groups of four; other spans as they are."""
+    text, tags = piece
+    mark = ("", "", " ", "-")[rng.integers(4)]
+    if not mark or not text.isdigit():
+        return piece
+    text = mark.join(text[i : i + 4] for i in range(0, len(text), 4))
+    return text, [tags[0]] + [tags[0] + 1] * (len(text) - 1)
+
+
 def training_rows(labelled: list[tuple[str, str, int, int]]) -> tuple[np.ndarray, np.ndarray]:
     """Symbols and tags of the labelled windows, and of windows in which two spans are put side by side."""
     rng, windows = np.random.default_rng(2), [(t, [int(c) for c in g]) for t, g, _, _ in labelled]
@@ -306,7 +316,7 @@ def training_rows(labelled: list[tuple[str, str, int, int]]) -> tuple[np.ndarray
         text, tags = plain[rng.integers(len(plain))][-int(rng.integers(1, 20)) :], []
         tags = [0] * len(text)
         for i in range(2):
-            piece = pieces[rng.integers(len(pieces))]
+            piece = spaced(pieces[rng.integers(len(pieces))], rng)
             gap = ("", " ", " ", ", ", "\n", "; ")[rng.integers(1, 6)] if i else ""
             text, tags = text + gap + piece[0], tags + [0] * len(gap) + piece[1]
         more = plain[rng.integers(len(plain))][:20]

@@ -189,7 +189,6 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, f
 
 def fit(rows: DataFrame) -> Toxicity:
     """Learn from (text, __label) rows; every count and curve is over all of them."""
-    rows = stored(rows, "labelled")
     lexicon, pooled, share, seen, all0 = log_odds(rows)
     sizes = dict(rows.groupBy("__label").count().collect())
     if len(sizes) < 2:
