@@ -16,6 +16,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WORD = re.compile(r"[^\W_]+")
 LEAST_LONG = -(2**63)
+#: Most labelled documents that a classifier learns from.
+LABELLED = 1 << 18
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -35,17 +37,21 @@ def remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, divisor: int = 5) -> DataFrame:
-    """(text, label) of the documents that may be learned from.
+def labelled(docs: DataFrame, labels: DataFrame, label: str, divisor: int = 5, most: int = LABELLED) -> DataFrame:
+    """(text, __label) of the documents that may be learned from.
 
-    A document labelled more than once counts once, with its largest label.
+    A document labelled more than once counts once, with its largest label. Of more
+    than ``most`` labelled documents, those that come first by hash are taken, so
+    that the labels can be sent to the texts instead of the texts to them.
     """
     known = (
         labels.filter(F.col(label).isin(0, 1) & (remainder("doc_id", divisor) != 0))
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("__label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(most)
     )
-    return docs.select("doc_id", "text").join(known, "doc_id").select("text", "__label")
+    return docs.select("doc_id", "text").join(F.broadcast(stored(known, "labels")), "doc_id").select("text", "__label")
 
 
 def word_tokens(text: str) -> list[str]:
