@@ -86,7 +86,7 @@ def key_sets(windows: np.ndarray, repeats: int, padding: int) -> Iterator[np.nda
         seed = repeat % WALKS
         if seed not in walks:
             walks[seed] = embed(windows, seed, padding).astype(np.uint64)
-        picked = np.random.default_rng([repeat, windows.shape[1], 7]).integers(0, walks[seed].shape[1], SAMPLED)
+        picked = np.random.default_rng([repeat, windows.shape[1], 7]).integers(0, 2 * windows.shape[1], SAMPLED)  # beyond, mostly padding
         key = np.zeros(len(windows), np.uint64)
         for c in picked:
             key = (key ^ walks[seed][:, c]) * np.uint64(0x100000001B3) + np.uint64(0x9E3779B97F4A7C15)
