@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import tempfile
 import time
 
 from factprep.plans.queries import QUERIES
@@ -19,6 +20,7 @@ HEADLINES = [
     "flagship_clean_enrich",
     "clean_contract",
     "clean_in_arrow",
+    "clean_text_fact",
     "reject_counts",
     "exact_dedup",
     "bucket_dedup",
@@ -36,12 +38,18 @@ HEADLINES = [
     "output_roundtrip",
     "prepared_files",
     "heterogeneous_union",
+    "nested_mixed_files",
+    "streamed_two_sources",
     "file_inventory",
     "budget_prefix",
     "multiset_parity",
     "row_audit",
     "run_accounting",
     "run_summary",
+    "output_parity",
+    "duplicate_audit",
+    "running_totals",
+    "benchmark_summary",
     "resource_peaks",
 ]
 
@@ -56,6 +64,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-"),
             "spark.ui.showConsoleProgress": "false",
             "spark.log.level": "ERROR",
         },

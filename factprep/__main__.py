@@ -1,4 +1,4 @@
-"""Command line: prepare, compare, summarize, profile and inventory."""
+"""Command line: prepare, stage, compare, summarize and inventory."""
 
 from __future__ import annotations
 
@@ -34,6 +34,15 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--run-id")
     job.add_argument("--framework", default="factprep")
     job.add_argument("--ineligible", action="store_true", help="a trial, not a benchmark")
+    job.add_argument("--oversized", choices=["record", "raise"], default="record", help="buckets over --max-bucket-mib")
+    job.add_argument("--broadcast-mib", type=int, default=64, help="largest lookup that is broadcast")
+
+    job = jobs.add_parser("stage", help="clean new files into staging, a bounded number at a time")
+    job.add_argument("--input", required=True)
+    job.add_argument("--staging", required=True)
+    job.add_argument("--checkpoint", required=True)
+    job.add_argument("--buckets", type=int, default=128)
+    job.add_argument("--files-per-batch", type=int, default=1000)
 
     job = jobs.add_parser("compare", help="check that two finished datasets are the same")
     job.add_argument("--left", required=True)
@@ -49,15 +58,6 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--worker-nodes", nargs="+", default=[])
     job.add_argument("--output", required=True)
 
-    job = jobs.add_parser("profile", help="time the speed function on a finished dataset")
-    job.add_argument("--runs", required=True)
-    job.add_argument("--run-id", required=True)
-    job.add_argument("--input", required=True)
-    job.add_argument("--output", required=True)
-    job.add_argument("--max-buckets", type=int, default=8)
-    job.add_argument("--repeats", type=int, default=3)
-    job.add_argument("--mode", choices=["native", "scalar", "arrow"], default="scalar")
-
     job = jobs.add_parser("inventory", help="write file names, sizes, rows and checksums as JSON")
     job.add_argument("--input", required=True)
     job.add_argument("--output", required=True)
@@ -65,6 +65,8 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _runs(spark: SparkSession, path: str, ids: list[str]) -> DataFrame:
+    if len(ids) != len(set(ids)):
+        raise ValueError("A run id is listed twice.")
     known = runlog.latest(runlog.read(spark, path))
     chosen = known.where(known.run_id.isin(ids))
     if chosen.select("run_id").distinct().count() != len(set(ids)):
@@ -91,8 +93,20 @@ def main(arguments: list[str] | None = None) -> dict[str, object]:
             run_id=args.run_id,
             framework=args.framework,
             eligible=not args.ineligible,
+            oversized=args.oversized,
+            broadcast_bytes=args.broadcast_mib << 20,
         )
         result = vars(done)
+    elif args.job == "stage":
+        P.stage_stream(
+            spark,
+            args.input,
+            args.staging,
+            args.checkpoint,
+            buckets=args.buckets,
+            files_per_batch=args.files_per_batch,
+        )
+        result = {"staging": args.staging}
     elif args.job == "compare":
         if bool(args.runs) != bool(args.run_ids):
             raise ValueError("Give the run table and the two run ids together.")
@@ -102,15 +116,9 @@ def main(arguments: list[str] | None = None) -> dict[str, object]:
         samples = read_samples(spark, args.resources) if args.resources else None
         report.summarize(spark, _runs(spark, args.runs, args.run_ids), args.output, samples, args.worker_nodes)
         result = {"output": args.output}
-    elif args.job == "profile":
-        run = _runs(spark, args.runs, [args.run_id])
-        medians = report.profile_output(
-            spark, run, args.input, args.output, buckets=args.max_buckets, repeats=args.repeats, mode=args.mode
-        )
-        result = medians.first().asDict()
     else:
         files = inventory.with_checksums(inventory.file_inventory(spark, args.input))
-        files.drop("column_types").write.json(args.output)
+        files.drop("column_types", "column_bytes").write.json(args.output)
         result = inventory.totals(spark.read.json(args.output)).first().asDict()
     print(json.dumps(result))
     return result

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from factprep.contract import FactContract
 from factprep.functions.cleaning import INT32_END, INT32_FIRST, TIME_END, TIME_FIRST
+from factprep.operators.cleaning import coerce
 
 # Executors receive these functions whole and need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -47,27 +48,29 @@ def speed_arrow(distance: str, duration: str) -> Column:
 def _batch_cleaner(contract: FactContract) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     columns, integers, times = contract.columns, contract.integers, contract.times
     distance, start, end = contract.distance, contract.start, contract.end
-    stored = {c: pa.int64() if c in integers else pa.timestamp("us") if c in times else pa.float64() for c in columns}
     first, last = (pa.scalar(pd.Timestamp(t).to_pydatetime(), pa.timestamp("us")) for t in (TIME_FIRST, TIME_END))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = {
-                c: batch.column(c).cast(pa.timestamp("us") if c in times else pa.float64(), safe=False) for c in columns
-            }
-            tests = [pc.is_finite(values[c]) for c in columns if c not in times]
-            for c in integers:
-                tests.append(pc.equal(values[c], pc.trunc(values[c])))
-                tests.append(pc.greater_equal(values[c], float(INT32_FIRST)))
-                tests.append(pc.less(values[c], float(INT32_END)))
-            for c in times:
-                tests.append(pc.and_(pc.greater_equal(values[c], first), pc.less(values[c], last)))
+            values = {c: batch.column(c) for c in columns}
+            tests = []
+            for c in columns:
+                if c in times:
+                    tests += [pc.greater_equal(values[c], first), pc.less(values[c], last)]
+                    continue
+                if pa.types.is_floating(values[c].type):
+                    tests.append(pc.is_finite(values[c]))
+                    if c in integers:
+                        tests.append(pc.equal(values[c], pc.trunc(values[c])))
+                if c in integers:
+                    tests.append(pc.greater_equal(values[c], pa.scalar(INT32_FIRST, values[c].type)))
+                    tests.append(pc.less(values[c], pa.scalar(INT32_END, values[c].type)))
             tests.append(pc.greater(values[distance], 0.0))
             tests.append(pc.greater(values[end], values[start]))
             kept = pa.table(values).filter(functools.reduce(pc.and_, tests), null_selection_behavior="drop")
             cleaned = {
                 # x + 0.0 turns -0.0 into 0.0
-                c: kept[c] if c in times else pc.add(kept[c], 0.0).cast(stored[c])
+                c: kept[c] if c in times else kept[c].cast(pa.int64()) if c in integers else pc.add(kept[c], 0.0)
                 for c in columns
             }
             yield from pa.table(cleaned).to_batches()
@@ -76,5 +79,9 @@ def _batch_cleaner(contract: FactContract) -> Callable[[Iterator[pa.RecordBatch]
 
 
 def clean_in_arrow(df: DataFrame, contract: FactContract) -> DataFrame:
-    """The cleaning contract as one Arrow batch function; numeric and zone-free timestamp input."""
-    return df.select(*contract.columns).mapInArrow(_batch_cleaner(contract), contract.clean_schema())
+    """The cleaning contract with its rules as one Arrow batch function.
+
+    Types are brought in line by the same expressions as for ``clean``: text is read, what
+    cannot be read counts as missing, and a zone stops the job.
+    """
+    return coerce(df, contract).mapInArrow(_batch_cleaner(contract), contract.clean_schema())

@@ -13,6 +13,8 @@ FEWEST_BUCKETS = 128
 BUCKET_BYTES = 128 * 1024 * 1024
 
 PARTITION_BYTES = 1 << 30
+# Shuffle blocks are one for each map task and partition; fewer, larger splits keep them from getting tiny.
+MOST_SPLITS = 1 << 17
 
 
 def choose_count(rows: int, bucket_bytes: int = BUCKET_BYTES) -> int:
@@ -37,6 +39,23 @@ def choose_partitions(input_bytes: int, at_least: int = 1) -> int:
     return 1 << (needed - 1).bit_length()
 
 
+def choose_split(stored_bytes: int, at_least: int) -> int:
+    """Bytes of input that one task reads, so that there are at most ``MOST_SPLITS`` of them."""
+    return max(at_least, math.ceil(stored_bytes / MOST_SPLITS))
+
+
+def estimated_bytes(rows: str) -> Column:
+    return F.col(rows) * F.lit(ROW_BYTES)
+
+
+def over_limit(counted: DataFrame, limit_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """Counted buckets (``bucket``, ``row_count``) with estimated bytes and whether those exceed the limit."""
+    estimate = estimated_bytes("row_count")
+    return counted.select(
+        "bucket", "row_count", estimate.alias("estimated_bytes"), (estimate > F.lit(limit_bytes)).alias("over_limit")
+    )
+
+
 def repartition_by_bucket(df: DataFrame, bucket: str = "bucket") -> DataFrame:
     """Bring rows of a bucket together for writing.
 
@@ -49,22 +68,16 @@ def repartition_by_bucket(df: DataFrame, bucket: str = "bucket") -> DataFrame:
 
 def skew_report(df: DataFrame, bucket: str = "bucket", limit_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Rows, estimated bytes and whether the estimate exceeds the limit, per bucket."""
-    estimate: Column = F.col("row_count") * F.lit(ROW_BYTES)
-    return (
-        df.groupBy(F.col(bucket).alias("bucket"))
-        .agg(F.count("*").alias("row_count"))
-        .select(
-            "bucket",
-            "row_count",
-            estimate.alias("estimated_bytes"),
-            (estimate > F.lit(limit_bytes)).alias("over_limit"),
-        )
-    )
+    return over_limit(df.groupBy(F.col(bucket).alias("bucket")).agg(F.count("*").alias("row_count")), limit_bytes)
 
 
 def require_bounded(df: DataFrame, bucket: str = "bucket", limit_bytes: int = BUCKET_BYTES) -> None:
     """Raise, naming the largest bucket, if any exceeds the limit."""
-    worst = skew_report(df, bucket, limit_bytes).where("over_limit").orderBy(F.desc("row_count"), "bucket").take(1)
+    require_within(skew_report(df, bucket, limit_bytes))
+
+
+def require_within(report: DataFrame) -> None:
+    worst = report.where("over_limit").orderBy(F.desc("row_count"), "bucket").take(1)
     if worst:
         raise ValueError(
             f"Bucket {worst[0].bucket} has {worst[0].row_count} rows, about {worst[0].estimated_bytes} bytes; "

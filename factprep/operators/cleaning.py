@@ -20,6 +20,10 @@ def project(df: DataFrame, contract: FactContract) -> DataFrame:
 def coerce(df: DataFrame, contract: FactContract) -> DataFrame:
     """Contract columns in a comparable type each; unreadable values become null."""
     check_fact_schema(df.schema, contract)
+    return df.selectExpr(*_coerced(df, contract))
+
+
+def _coerced(df: DataFrame, contract: FactContract) -> list[str]:
     types = {f.name: f.dataType for f in df.schema.fields}
     typed = []
     for name in contract.columns:
@@ -30,7 +34,7 @@ def coerce(df: DataFrame, contract: FactContract) -> DataFrame:
         else:
             value = C.coerce_timestamp(name, types[name])
         typed.append(f"{value} AS {quoted(name)}")
-    return df.selectExpr(*typed)
+    return typed
 
 
 def rules(typed: DataFrame, contract: FactContract) -> dict[str, str]:
@@ -78,11 +82,20 @@ def clean(df: DataFrame, contract: FactContract) -> DataFrame:
 
 
 def reject_counts(df: DataFrame, contract: FactContract) -> DataFrame:
-    """Rows failing each rule (a row may fail several), plus all and rejected rows; one pass."""
-    typed = coerce(df, contract)
+    """Rows failing each rule (a row may fail several), plus all and rejected rows; one pass.
+
+    Times given as text that cannot be read count as missing, and also on their own.
+    """
+    types = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    texts = [c for c in contract.times if types.get(c) == "string"]
+    kept = df.selectExpr("*", *[f"{quoted(c)} AS {quoted('__text_' + c)}" for c in texts])
+    check_fact_schema(df.schema, contract)
+    typed = kept.selectExpr(*_coerced(df, contract), *[quoted("__text_" + c) for c in texts])
     tested = {**rules(typed, contract), "any_rule": is_valid(typed, contract)}
     # A rule that is null, for lack of a value, fails.
     counts = [f"struct('{n}' AS rule, count_if(({p}) IS NOT TRUE) AS row_count)" for n, p in tested.items()]
+    lost = " OR ".join(f"(trim({quoted('__text_' + c)}) <> '' AND {quoted(c)} IS NULL)" for c in texts) or "false"
+    counts.append(f"struct('time_unreadable' AS rule, count_if({lost}) AS row_count)")
     counts.append("struct('all_rows' AS rule, count(*) AS row_count)")
     return typed.agg(F.expr(f"array({', '.join(counts)})").alias("counts")).selectExpr("inline(counts)")
 

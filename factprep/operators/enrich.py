@@ -9,45 +9,53 @@ from pyspark.sql import functions as F
 
 from factprep.contract import FactContract, Role
 from factprep.functions.cleaning import quoted
+from factprep.operators.quality import require_dimension
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-LITERAL_ROWS = 2_000
 
 
-def may_broadcast(dim_bytes: int | None) -> bool:
-    return dim_bytes is not None and dim_bytes <= BROADCAST_BYTES
+def may_broadcast(dim_bytes: int | None, limit: int = BROADCAST_BYTES) -> bool:
+    return dim_bytes is not None and dim_bytes <= limit
 
 
-def lookup(fact: DataFrame, dim: DataFrame, role: Role, dim_bytes: int | None = None) -> DataFrame:
+def lookup(
+    fact: DataFrame, dim: DataFrame, role: Role, dim_bytes: int | None = None, limit: int = BROADCAST_BYTES
+) -> DataFrame:
     """Inner join that adds borough and zone for one role; rows without a match go.
 
     The dimension is broadcast by hint when its measured size ``dim_bytes`` is
-    within ``BROADCAST_BYTES``. Otherwise Spark chooses from its own size
+    within ``limit``. Otherwise Spark chooses from its own size
     estimates and, at run time, measured sizes; a hot key is then split by the
     adaptive skew join.
     """
     named = dim.selectExpr(
         f"location_id AS {quoted(role.key)}", f"borough AS {quoted(role.borough)}", f"zone AS {quoted(role.zone)}"
     )
-    if may_broadcast(dim_bytes):
+    if may_broadcast(dim_bytes, limit):
         named = F.broadcast(named)
     return fact.join(named, role.key, "inner")
 
 
-def lookup_all(fact: DataFrame, dim: DataFrame, contract: FactContract, dim_bytes: int | None = None) -> DataFrame:
+def lookup_all(
+    fact: DataFrame,
+    dim: DataFrame,
+    contract: FactContract,
+    dim_bytes: int | None = None,
+    limit: int = BROADCAST_BYTES,
+) -> DataFrame:
     for role in contract.roles:
-        fact = lookup(fact, dim, role, dim_bytes)
+        fact = lookup(fact, dim, role, dim_bytes, limit)
     return fact
 
 
 def lookup_map(fact: DataFrame, dim: DataFrame, contract: FactContract) -> DataFrame:
-    """The same result for a tiny dimension through literal maps, without a join.
+    """The same result through literal maps, without a join.
 
-    Dimensions above ``LITERAL_ROWS`` take the join.
+    For dimensions of a few thousand rows, as the whole of it becomes part of the
+    plan; the caller chooses. Raises if the dimension breaks a rule.
     """
-    rows = dim.select("location_id", "borough", "zone").limit(LITERAL_ROWS + 1).collect()
-    if not rows or len(rows) > LITERAL_ROWS:
-        return lookup_all(fact, dim, contract)
+    require_dimension(dim)
+    rows = dim.select("location_id", "borough", "zone").collect()
     place = F.create_map(
         *chain.from_iterable(
             (F.lit(i).cast("bigint"), F.struct(F.lit(b).alias("borough"), F.lit(z).alias("zone"))) for i, b, z in rows

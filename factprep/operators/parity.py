@@ -14,20 +14,26 @@ from factprep.functions.keys import bucket_id, exact_text
 def tally(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
     """Each distinct row with its number of copies on either side: ``lhs`` and ``rhs``.
 
-    One aggregation; copies are counted before the shuffle. Doubles are
-    compared as text, because grouping would merge -0.0 with 0.0.
+    One aggregation; copies are counted before the shuffle. Grouping merges -0.0
+    with 0.0, so every double comes with a flag for a negative zero.
     """
     types = {f.name: f.dataType for f in left.schema.fields}
     inexact = [c for c in columns if isinstance(types[c], (T.DoubleType, T.FloatType))]
+    flags = {c: quoted(f"__negative_{c}") for c in inexact}
 
     def side(df: DataFrame, counts: str) -> DataFrame:
-        keys = [f"{exact_text(quoted(c))} AS {quoted(c)}" if c in inexact else quoted(c) for c in columns]
-        return df.selectExpr(*keys, *counts.split(", "))
+        negative = [
+            f"CASE WHEN {quoted(c)} = 0 THEN {exact_text(quoted(c))} = '-0.0' ELSE false END AS {f}"
+            for c, f in flags.items()
+        ]
+        return df.selectExpr(*map(quoted, columns), *negative, *counts.split(", "))
 
     both = side(left, "1 AS l, 0 AS r").unionByName(side(right, "0 AS l, 1 AS r"))
-    counted = both.groupBy(*columns).agg(F.sum("l").alias("lhs"), F.sum("r").alias("rhs"))
+    counted = both.groupBy(*columns, *flags.values()).agg(F.sum("l").alias("lhs"), F.sum("r").alias("rhs"))
     restored = [
-        f"CAST({quoted(c)} AS {types[c].simpleString()}) AS {quoted(c)}" if c in inexact else quoted(c)
+        f"IF({flags[c]}, CAST('-0.0' AS {types[c].simpleString()}), {quoted(c)}) AS {quoted(c)}"
+        if c in inexact
+        else quoted(c)
         for c in columns
     ]
     return counted.selectExpr(*restored, "lhs", "rhs")

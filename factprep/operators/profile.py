@@ -1,22 +1,13 @@
-"""Native and Python forms of the speed, compared by a checksum and by time."""
+"""Native and Python forms of the speed, compared by a checksum, and totals of measured seconds."""
 
 from __future__ import annotations
 
-import time
-
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factprep.functions.features import with_speed
 from factprep.functions.udfs import speed_arrow, speed_scalar
 
-MEASUREMENT = (
-    "bucket int, trial int, baseline_seconds double, baseline_checksum decimal(38,6), "
-    "udf_seconds double, udf_checksum decimal(38,6)"
-)
-
-
 def speed(df: DataFrame, distance: str, duration: str, mode: str, name: str = "speed") -> DataFrame:
     """Add the speed in one of four forms.
 
@@ -49,34 +40,6 @@ def first_buckets(df: DataFrame, count: int, bucket: str = "bucket") -> DataFram
     return df.join(chosen, bucket, "left_semi")
 
 
-def measure(df: DataFrame, distance: str, duration: str, count: int, trials: int, mode: str = "scalar",
-            bucket: str = "bucket") -> DataFrame:
-    """Time the identity baseline and one speed form over the first ``count`` buckets.
-
-    Each bucket is held by the executors meanwhile; a warm-up comes first and
-    the two forms take turns in going first. The sum consumes every value.
-    """
-    spark = df.sparkSession
-    chosen = bucket_counts(df, bucket).orderBy(bucket).limit(count).collect()
-    measured = []
-    for row in chosen:
-        held = df.where(F.col(bucket) == row[0]).select(distance, duration).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            held.count()
-            for trial in range(trials + 1):
-                order = ["identity", mode] if trial % 2 == 0 else [mode, "identity"]
-                seconds, sums = {}, {}
-                for form in order:
-                    began = time.perf_counter()
-                    sums[form] = checksum(speed(held, distance, duration, form)).first().checksum
-                    seconds[form] = time.perf_counter() - began
-                if trial:
-                    measured.append((row[0], trial, seconds["identity"], sums["identity"], seconds[mode], sums[mode]))
-        finally:
-            held.unpersist()
-    return spark.createDataFrame(measured, MEASUREMENT)
-
-
 def trial_totals(measured: DataFrame) -> DataFrame:
     """Seconds per trial over all buckets."""
     return measured.groupBy("trial").agg(

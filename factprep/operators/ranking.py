@@ -2,27 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factprep.session import ensure_checkpoint_dir
+#: Rows of one range, and sampled rows that place each bound. Ranges steer the work only, never the result.
+RANGE_ROWS = 100_000
+MOST_RANGES = 1024
+SAMPLED = 20
+
+
+def _range_of(df: DataFrame, order: list[str]) -> Column:
+    """Number of the range that a row falls into, from bounds that a bounded sample sets."""
+    ranges = min(MOST_RANGES, -(-df.count() // RANGE_ROWS))
+    if ranges <= 1:
+        return F.lit(0)
+    keys = df.select(*order).distinct().orderBy(F.xxhash64(*order), *order).limit(ranges * SAMPLED)
+    taken = sorted(tuple(r) for r in keys.collect())
+    bounds = [taken[i * len(taken) // ranges] for i in range(1, ranges)]
+    row = F.struct(*order)
+    types = [df.schema[c].dataType for c in order]
+    literal = F.array(*[F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(b, types, order)]) for b in bounds])
+    return F.size(F.filter(literal, lambda bound: bound <= row))
 
 
 def running_total(df: DataFrame, order: list[str], value: str, name: str = "running") -> DataFrame:
     """Add the running sum of ``value`` in ``order``, over the whole table.
 
-    ``order`` must be unique per row. The table is range-partitioned and
-    checkpointed, which fixes each row's partition; totals per partition give
-    every partition its starting value, and the sum inside runs in parallel.
+    ``order`` must be unique per row and free of nulls. Rows are shuffled once, by
+    range; totals per range, which need no shuffle of rows, give every range its
+    starting value, and the sum inside runs in parallel. ``df`` is read three times: for
+    the bounds, the totals and the rows.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()).checkpoint()
-    )
+    ranged = df.withColumn("__part", _range_of(df, order))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    # At most one row per partition, so this window and the broadcast are bounded.
+    # At most one row per range, so this window and the broadcast are bounded.
     starts = (
         ranged.groupBy("__part")
         .agg(F.sum(value).alias("__sum"))

@@ -13,9 +13,11 @@ from factprep.operators.ranking import spread
 # ``configuration`` holds further settings as JSON text.
 RUN = (
     "contract string, framework string, run_id string, status string, error string, "
-    "buckets int, batch_rows int, shuffle_partitions int, concurrency int, block_mib int, configuration string, "
+    "buckets int, batch_rows int, shuffle_partitions int, concurrency int, executors int, block_mib int, "
+    "bucket_bytes bigint, broadcast_bytes bigint, output string, configuration string, timing_boundary string, "
     "input_files bigint, input_bytes bigint, input_uncompressed_bytes bigint, raw_rows bigint, "
-    "manifest_digest string, lookup_sha256 string, cleaned_rows bigint, output_rows bigint, "
+    "manifest_digest string, lookup_sha256 string, cleaned_rows bigint, output_rows bigint, staged_files bigint, "
+    "largest_bucket_rows bigint, buckets_over_limit bigint, "
     "staging_seconds double, total_seconds double, timed_start_epoch double, timed_end_epoch double, "
     "started_utc string, finished_utc string, recorded_utc string, benchmark_eligible boolean, versions string, "
     "cluster string"
@@ -53,6 +55,17 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN).json(path)
 
 
+def manifest_path(path: str) -> str:
+    """Where the input files of the runs recorded at ``path`` are listed, a folder for each run."""
+    return path.rstrip("/") + "-manifests"
+
+
+def record_manifest(files: DataFrame, path: str, run_id: str) -> None:
+    """List a run's input files with their sizes and rows."""
+    listed = files.select("path", "bytes", "uncompressed_bytes", "row_count", F.lit(run_id).alias("run_id"))
+    listed.write.mode("append").partitionBy("run_id").parquet(manifest_path(path))
+
+
 def latest(runs: DataFrame) -> DataFrame:
     """The newest row of each run."""
     columns = [c for c in runs.columns if c not in ("framework", "run_id")]

@@ -26,13 +26,14 @@ DIRTY = (
 faulty AS (
   SELECT k,
          CASE WHEN k % 17 <> 0 THEN CAST(vendor_id AS DOUBLE) END AS vendor_id,
-         CASE WHEN k % 19 <> 0 THEN start_ts END AS start_ts,
-         end_ts,
+         CASE WHEN k % 43 = 0 THEN TIMESTAMP '1677-12-31 23:59:59' WHEN k % 19 <> 0 THEN start_ts END AS start_ts,
+         CASE WHEN k % 47 = 0 THEN TIMESTAMP '2262-01-01 00:00:00' ELSE end_ts END AS end_ts,
          CAST(party_size AS DOUBLE) + CASE WHEN k % 23 = 0 THEN CAST(0.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS party_size,
          CASE WHEN k % 29 = 0 THEN CAST('NaN' AS DOUBLE) WHEN k % 31 = 0 THEN CAST('Infinity' AS DOUBLE)
               WHEN k % 37 = 0 THEN CAST(0 AS DOUBLE) ELSE distance END AS distance,
          CAST(from_id AS DOUBLE) + CASE WHEN k % 11 = 0 THEN CAST(100 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS from_id,
-         CAST(to_id AS DOUBLE) AS to_id,
+         CAST(to_id AS DOUBLE) + CASE WHEN k % 41 = 0 THEN CAST(4294967296 AS DOUBLE)
+              WHEN k % 53 = 0 THEN CAST(-4294967296 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS to_id,
          fare,
          CASE WHEN k % 13 = 0 THEN CAST('-0.0' AS DOUBLE) ELSE total END AS total
   FROM ship),
@@ -111,8 +112,8 @@ CHECKSUM_SPEED = f"""WITH {HOPS}{_speed('hops', 'event_id')}
 SELECT CAST(sum(CAST(speed AS DECIMAL(28,6))) AS DOUBLE) AS checksum, count(*) AS row_count FROM speeds"""
 
 
-def _fails(rule: str, predicate: str) -> str:
-    return f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE NOT coalesce({predicate}, false)) AS row_count FROM dirty"
+def _fails(rule: str, predicate: str, source: str) -> str:
+    return f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE NOT coalesce({predicate}, false)) AS row_count FROM {source}"
 
 
 def _each(template: str, names: list[str]) -> str:
@@ -122,25 +123,41 @@ def _each(template: str, names: list[str]) -> str:
 INTEGERS = ["vendor_id", "party_size", "from_id", "to_id"]
 NUMBERS = [*INTEGERS, "distance", "fare", "total"]
 TIMES = ["start_ts", "end_ts"]
-REJECTS = "WITH " + DIRTY + "\n" + "\nUNION ALL ".join(
-    [
-        _fails("number_missing", _each("{c} IS NOT NULL", NUMBERS)),
-        _fails("number_not_finite", _each("isfinite({c})", NUMBERS)),
-        _fails("integer_not_whole", _each("{c} = trunc({c})", INTEGERS)),
-        _fails("integer_out_of_range", _each("{c} >= -2147483648 AND {c} < 2147483648", INTEGERS)),
-        _fails("time_missing", _each("{c} IS NOT NULL", TIMES)),
+# What the texts of the text form come to when read.
+TEXT = (
+    DIRTY
+    + """,
+texts AS (
+  SELECT CASE WHEN party_size <> 2 THEN vendor_id END AS vendor_id,
+         CASE WHEN party_size <> 3 THEN start_ts END AS start_ts, end_ts, party_size,
+         CASE WHEN party_size <> 4 THEN distance END AS distance,
+         CASE WHEN party_size <> 5 THEN from_id END AS from_id, to_id, fare, total
+  FROM dirty)"""
+)
+
+
+def _rejects(tables: str, source: str, unreadable: str) -> str:
+    parts = [
+        _fails("number_missing", _each("{c} IS NOT NULL", NUMBERS), source),
+        _fails("number_not_finite", _each("isfinite({c})", NUMBERS), source),
+        _fails("integer_not_whole", _each("{c} = trunc({c})", INTEGERS), source),
+        _fails("integer_out_of_range", _each("{c} >= -2147483648 AND {c} < 2147483648", INTEGERS), source),
+        _fails("time_missing", _each("{c} IS NOT NULL", TIMES), source),
         _fails(
-            "time_out_of_range", _each("{c} >= TIMESTAMP '1678-01-01' AND {c} < TIMESTAMP '2262-01-01'", TIMES)
+            "time_out_of_range", _each("{c} >= TIMESTAMP '1678-01-01' AND {c} < TIMESTAMP '2262-01-01'", TIMES), source
         ),
-        _fails("distance_not_positive", "distance > 0"),
-        _fails("duration_not_positive", "end_ts > start_ts"),
-        _fails("any_rule", VALID),
-        "SELECT 'all_rows', count(*) FROM dirty",
+        _fails("distance_not_positive", "distance > 0", source),
+        _fails("duration_not_positive", "end_ts > start_ts", source),
+        _fails("any_rule", VALID, source),
+        f"SELECT 'time_unreadable', count(*) FILTER (WHERE {unreadable}) FROM dirty",
+        f"SELECT 'all_rows', count(*) FROM {source}",
     ]
-)
+    return f"WITH {tables}\n" + "\nUNION ALL ".join(parts)
+
 
 DISTINCT = f"WITH {DIRTY_CLEAN} SELECT DISTINCT {COLUMNS} FROM clean"
 CLEAN = f"WITH {DIRTY_CLEAN} SELECT {COLUMNS} FROM clean"
+TEXT_CLEAN = f"WITH {TEXT}{_clean('clean', 'texts')} SELECT {COLUMNS} FROM clean"
 SPLIT = f"""WITH {DIRTY_CLEAN}
 SELECT count(*) AS row_groups, CAST(0 AS BIGINT) AS split_groups FROM (SELECT DISTINCT {COLUMNS} FROM clean)"""
 
@@ -203,7 +220,10 @@ ORACLES = {
     "flagship_clean_enrich": FLAGSHIP,
     "clean_contract": CLEAN,
     "clean_in_arrow": CLEAN,
-    "reject_counts": REJECTS,
+    "clean_text_fact": TEXT_CLEAN,
+    "clean_text_fact_in_arrow": TEXT_CLEAN,
+    "text_reject_counts": _rejects(TEXT, "texts", "party_size = 3"),
+    "reject_counts": _rejects(DIRTY, "dirty", "false"),
     "normalize_zero": f"""WITH {DIRTY}
 SELECT count(*) FILTER (WHERE CAST(total AS VARCHAR) = '-0.0') AS negative_before,
        count(*) FILTER (WHERE CAST(total + CAST(0 AS DOUBLE) AS VARCHAR) = '-0.0') AS negative_after,
@@ -219,6 +239,11 @@ lines AS (SELECT greatest(128, ceil(count(*) * 512 / CAST(134217728 AS DOUBLE)))
 SELECT (SELECT CAST(power(2, ceil(log2(needed))) AS BIGINT) FROM lines) AS bucket_count, count(*) AS row_count,
        count(*) * 512 AS estimated_bytes, CAST(0 AS BIGINT) AS out_of_range
 FROM clean""",
+    "bucket_limit": f"""WITH {DIRTY},
+counted AS (SELECT to_id AS bucket, count(*) AS row_count FROM dirty GROUP BY to_id)
+SELECT *, row_count * 512 AS estimated_bytes,
+       row_count > (SELECT sum(row_count) // count(*) FROM counted) AS over_limit
+FROM counted""",
     "zone_join_start": f"""WITH {HOPS},{ZONES}
 SELECT event_id, from_id, borough AS from_borough, zone AS from_zone
 FROM hops JOIN zones ON from_id = location_id""",
@@ -265,10 +290,16 @@ SELECT {MIDDLE.format(v='baseline_seconds')} AS median_baseline_seconds,
 FROM totals""",
     "staged_roundtrip": CLEAN,
     "streamed_staging": CLEAN,
+    "streamed_two_sources": f"""WITH {DIRTY_CLEAN}{_clean('faultless', 'ship')}
+SELECT {COLUMNS} FROM clean UNION ALL SELECT {COLUMNS} FROM faultless""",
     "output_roundtrip": FLAGSHIP,
     "bucket_layout": f"""WITH {JOINED}
 SELECT CAST(count(*) AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS stray_files FROM joined""",
     "heterogeneous_union": f"WITH {SHIP}{_clean('clean', 'ship')} SELECT {COLUMNS} FROM clean",
+    "nested_mixed_files": """WITH copies AS (
+  SELECT l_linenumber FROM lineitem UNION ALL SELECT l_linenumber FROM lineitem WHERE l_linenumber = 1)
+SELECT CAST(l_linenumber AS DOUBLE) AS party_size, count(*) AS row_count FROM copies GROUP BY l_linenumber
+UNION ALL SELECT CAST(-1 AS DOUBLE), count(*) FROM copies""",
     "prepared_files": FLAGSHIP,
     "file_inventory": " UNION ALL ".join(
         f"SELECT '{t}.parquet' AS filename, count(*) AS row_count FROM {t}" for t in TABLES
@@ -276,6 +307,9 @@ SELECT CAST(count(*) AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS stray_files F
     "inventory_totals": "SELECT count(*) AS files, CAST(sum(n) AS BIGINT) AS row_count FROM ("
     + " UNION ALL ".join(f"SELECT count(*) AS n FROM {t}" for t in TABLES)
     + ")",
+    "file_checksums": """SELECT c_nationkey AS nation, CAST(sum(strlen(c_name) + 1) AS BIGINT) AS bytes,
+       sha256(string_agg(c_name, chr(10) ORDER BY c_custkey) || chr(10)) AS sha256
+FROM customer GROUP BY c_nationkey""",
     "budget_prefix": f"""WITH {ORDER_FILES}
 SELECT path, uncompressed_bytes, cumulative FROM summed WHERE cumulative <= all_bytes // 2""",
     "count_prefix": f"WITH {ORDER_FILES} SELECT path, row_count FROM files ORDER BY path LIMIT 100",
@@ -303,6 +337,7 @@ FROM joined""",
             _violations("duration_differs", "party_size = 3"),
             _violations("hour_differs", "party_size = 2"),
             _violations("speed_differs", "party_size = 6"),
+            _violations("wrong_bucket", "party_size = 1"),
         ]
     ),
     "canonical_rows": f"""WITH {HOPS}

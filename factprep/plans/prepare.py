@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import pyspark
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from factprep.contract import TRIPS, FactContract
@@ -18,14 +18,14 @@ from factprep.functions.features import add_features, finalize
 from factprep.operators import buckets as B
 from factprep.operators import cleaning, dedup, enrich, parity, runlog
 from factprep.operators.quality import require_dimension
-from factprep.session import settings
+from factprep.session import literal_path, qualified, settings
 from factprep.sources import inventory
 from factprep.sources.dimension import read_dimension
 from factprep.sources.fact import read_bucketed, read_heterogeneous
 from factprep.sources.sinks import exists, guard_paths, lies_by_bucket, write_bucketed
+from factprep.streaming.staging import stage_available
 
-# Spark spills, so beyond this many buckets more folders would only cost file operations.
-MOST_BUCKETS = 1 << 16
+TIMING = "from the first read of the input to the row count of the written output, staging included"
 
 
 @dataclass(frozen=True)
@@ -41,11 +41,16 @@ class Finished:
 
 
 def finish(
-    cleaned: DataFrame, dim: DataFrame, contract: FactContract, buckets: int, dim_bytes: int | None = None
+    cleaned: DataFrame,
+    dim: DataFrame,
+    contract: FactContract,
+    buckets: int,
+    dim_bytes: int | None = None,
+    broadcast_bytes: int = enrich.BROADCAST_BYTES,
 ) -> DataFrame:
     """Clean rows to output rows: distinct, enriched, with features and bucket number."""
     distinct = dedup.by_bucket(cleaned, contract, buckets)
-    enriched = enrich.lookup_all(distinct, dim, contract, dim_bytes)
+    enriched = enrich.lookup_all(distinct, dim, contract, dim_bytes, broadcast_bytes)
     return finalize(add_features(enriched, contract), contract, "bucket")
 
 
@@ -56,6 +61,66 @@ def transform(
     return finish(cleaning.clean(raw, contract), dim, contract, buckets, dim_bytes)
 
 
+def session_facts(spark: SparkSession) -> dict[str, object]:
+    """Settings of the session that a run's speed depends on."""
+    return {
+        "batch_rows": int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")),
+        "concurrency": spark.sparkContext.defaultParallelism,
+        # The driver is listed among the executors; a local master has no other.
+        "executors": max(1, len(spark.sparkContext._jsc.sc().statusTracker().getExecutorInfos()) - 1),
+        "block_mib": _split_bytes(spark) >> 20,
+    }
+
+
+def _split_bytes(spark: SparkSession) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+
+
+def _staged_about(staging: str) -> str:
+    """Where the contract and input of staged rows are noted, out of sight of readers of the folder."""
+    return f"{staging.rstrip('/')}/_about"
+
+
+def note_staging(spark: SparkSession, staging: str, contract: FactContract, manifest_digest: str) -> None:
+    row = spark.createDataFrame([(contract.name, manifest_digest)], "contract string, manifest_digest string")
+    row.coalesce(1).write.mode("overwrite").json(_staged_about(staging))
+
+
+def require_staging(spark: SparkSession, staging: str, contract: FactContract, manifest_digest: str) -> None:
+    """Raise unless the staged rows are those of this contract and input."""
+    if not exists(spark, _staged_about(staging)):
+        raise ValueError(f"Nothing says which input the rows staged at {staging} are of.")
+    about = spark.read.schema("contract string, manifest_digest string").json(literal_path(_staged_about(staging))).first()
+    if (about.contract, about.manifest_digest) != (contract.name, manifest_digest):
+        raise ValueError(f"The rows staged at {staging} are of another input or contract.")
+
+
+def stage_stream(
+    spark: SparkSession,
+    source: str,
+    staging: str,
+    checkpoint: str,
+    *,
+    contract: FactContract = TRIPS,
+    buckets: int = B.FEWEST_BUCKETS,
+    files_per_batch: int = 1000,
+) -> None:
+    """Stage new files a bounded number at a time; ``prepare`` takes the rows up with ``reuse_staging``."""
+    files = inventory.file_inventory(spark, source).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        inventory.check_files(files, contract)
+        first = files.orderBy("path").first()
+        if first is None:
+            raise ValueError(f"No Parquet inputs in {source}")
+        schema = spark.read.parquet(literal_path(first.path)).select(*contract.columns).schema
+        stage_available(spark, source, schema, staging, checkpoint, contract, buckets, files_per_batch)
+        note_staging(spark, staging, contract, inventory.manifest_digest(files))
+    finally:
+        files.unpersist()
+
+
 def prepare(
     spark: SparkSession,
     source: str,
@@ -73,6 +138,8 @@ def prepare(
     run_id: str | None = None,
     framework: str = "factprep",
     eligible: bool = True,
+    oversized: str = "record",
+    broadcast_bytes: int = enrich.BROADCAST_BYTES,
 ) -> Finished:
     """Clean, deduplicate, enrich and write a fact dataset.
 
@@ -80,7 +147,10 @@ def prepare(
     run can take them up with ``reuse_staging`` instead of cleaning again.
     Without either, everything is one Spark job. Shuffle partitions are sized
     by the input, and never fewer than the session's own. ``runs`` names a table that
-    receives a row when the run starts and when it completes or fails.
+    receives a row when the run starts and when it completes or fails; the
+    input files are listed beside it. ``bucket_bytes`` sets the number of buckets and is
+    checked against the rows that each got: ``oversized`` says whether one beyond it is only
+    recorded or raises, before anything but staging is written.
     """
     if max_files is not None and max_uncompressed_gb is not None:
         raise ValueError("Choose a number of files or a byte budget, not both.")
@@ -88,8 +158,10 @@ def prepare(
         raise ValueError("buckets must not be negative.")
     if staging and reuse_staging:
         raise ValueError("Choose new staging or staging to reuse, not both.")
+    if oversized not in ("record", "raise"):
+        raise ValueError("oversized must be record or raise.")
     run_id = run_id or uuid.uuid4().hex
-    guard_paths(spark, [source, zones], [p for p in (output, staging) if p])
+    guard_paths(spark, [p for p in (source, zones, reuse_staging, runs) if p], [p for p in (output, staging) if p])
     if reuse_staging and not exists(spark, reuse_staging):
         raise FileNotFoundError(f"No staged rows at {reuse_staging}")
 
@@ -107,9 +179,14 @@ def prepare(
         raise ValueError(f"No Parquet inputs in {source}")
     dim = read_dimension(spark, zones)
     dim_bytes = require_dimension(dim)
-    buckets = buckets or min(MOST_BUCKETS, B.choose_count(sizes.row_count, bucket_bytes))
+    buckets = buckets or B.choose_count(sizes.row_count, bucket_bytes)
+    digest = inventory.manifest_digest(files)
+    if reuse_staging:
+        require_staging(spark, reuse_staging, contract, digest)
 
-    partitions = B.choose_partitions(sizes.uncompressed_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    read_bytes = inventory.projected_bytes(files, contract.columns)
+    partitions = B.choose_partitions(read_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    split = B.choose_split(sizes.bytes, _split_bytes(spark))
 
     facts = dict(
         contract=contract.name,
@@ -117,12 +194,16 @@ def prepare(
         run_id=run_id,
         buckets=buckets,
         shuffle_partitions=partitions,
-        batch_rows=int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")),
-        concurrency=spark.sparkContext.defaultParallelism,
+        bucket_bytes=bucket_bytes,
+        broadcast_bytes=broadcast_bytes,
+        output=qualified(spark, output),
+        timing_boundary=TIMING,
+        **session_facts(spark) | {"block_mib": split >> 20},
         configuration={
             "source": source,
             "zones": zones,
             "output": output,
+            "oversized": oversized,
             "staging": staging or reuse_staging,
             "max_files": max_files,
             "max_uncompressed_gb": max_uncompressed_gb,
@@ -131,7 +212,7 @@ def prepare(
         input_bytes=sizes.bytes,
         input_uncompressed_bytes=sizes.uncompressed_bytes,
         raw_rows=sizes.row_count,
-        manifest_digest=inventory.manifest_digest(files),
+        manifest_digest=digest,
         lookup_sha256=inventory.fingerprint(spark, zones),
         benchmark_eligible=eligible and reuse_staging is None,
         started_utc=runlog.utc_now(),
@@ -140,27 +221,36 @@ def prepare(
     )
     if runs:
         runlog.record(spark, runs, status="running", **facts)
+        runlog.record_manifest(files, runs, run_id)
     began, began_epoch = time.perf_counter(), time.time()
-    staging_seconds, cleaned_rows = 0.0, None
+    staging_seconds, cleaned_rows, staged_files = 0.0, None, None
     try:
-        with settings(spark, spark__sql__shuffle__partitions=partitions):
+        with settings(spark, spark__sql__shuffle__partitions=partitions, spark__sql__files__maxPartitionBytes=split):
             if reuse_staging is None:
                 cleaned = read_heterogeneous(spark, source, contract, cleaning.clean, files, chosen)
                 if staging:
                     write_bucketed(cleaning.with_staging_columns(cleaned, contract, buckets), staging, "_bucket")
+                    note_staging(spark, staging, contract, digest)
                     staging_seconds = time.perf_counter() - began
+            # Rows and buckets come from the footers of what was written, so lost executors cannot distort them.
             if staging or reuse_staging:
                 cleaned = read_bucketed(spark, staging or reuse_staging).select(*contract.columns)
-                # Counted from the footers of what was written, so lost executors cannot distort it.
-                cleaned_rows = cleaned.count()
-            finished = finish(cleaned, dim, contract, buckets, dim_bytes)
+                staged = bucket_report(spark, staging or reuse_staging, "_bucket", bucket_bytes)
+                cleaned_rows, staged_files = staged.row_count, staged.files
+                skew = staged
+                _check_buckets(staged, oversized)
+            finished = finish(cleaned, dim, contract, buckets, dim_bytes, broadcast_bytes)
             # A broadcast lookup leaves the rows where the deduplication put them.
-            in_place = enrich.may_broadcast(dim_bytes) and lies_by_bucket(spark, buckets)
+            in_place = enrich.may_broadcast(dim_bytes, broadcast_bytes) and lies_by_bucket(spark, buckets)
             write_bucketed(finished, output, rebalance=not in_place)
-            output_rows = spark.read.parquet(output).count()
+            written = bucket_report(spark, output, "bucket", bucket_bytes)
+            output_rows = written.row_count
+            if not (staging or reuse_staging):
+                skew = written
+                _check_buckets(written, oversized)
     except Exception as error:
         if runs:
-            runlog.record(spark, runs, status="failed", error=str(error)[:2000], **facts)
+            runlog.record(spark, runs, status="failed", error=str(error), **facts)
         raise
     finally:
         files.unpersist()
@@ -171,6 +261,9 @@ def prepare(
             status="complete",
             cleaned_rows=cleaned_rows,
             output_rows=output_rows,
+            staged_files=staged_files,
+            largest_bucket_rows=skew.largest,
+            buckets_over_limit=skew.over_limit,
             staging_seconds=staging_seconds,
             total_seconds=time.perf_counter() - began,
             timed_start_epoch=began_epoch,
@@ -181,6 +274,26 @@ def prepare(
     return Finished(run_id, output, buckets, sizes.row_count, cleaned_rows, output_rows)
 
 
+def bucket_report(spark: SparkSession, path: str, bucket: str, limit_bytes: int) -> Row:
+    """Files, rows, rows of the largest bucket and buckets over the limit, from the footers of a bucketed dataset."""
+    placed = inventory.bucket_files(inventory.file_inventory(spark, path), bucket)
+    counted = placed.groupBy("bucket").agg(F.count("*").alias("files"), F.sum("row_count").alias("row_count"))
+    total = lambda e: F.coalesce(e, F.lit(0))
+    return counted.agg(
+        total(F.sum("files")).alias("files"),
+        total(F.sum("row_count")).alias("row_count"),
+        total(F.max("row_count")).alias("largest"),
+        F.count_if(B.estimated_bytes("row_count") > limit_bytes).alias("over_limit"),
+    ).first()
+
+
+def _check_buckets(report: Row, oversized: str) -> None:
+    if report.over_limit and oversized == "raise":
+        raise ValueError(
+            f"{report.over_limit} buckets are over the limit; the largest has {report.largest} rows. Use more buckets."
+        )
+
+
 def account(raw: DataFrame, dim: DataFrame, contract: FactContract) -> DataFrame:
     """Rows at each stage, ``stage`` and ``row_count``, from one pass and one shuffle.
 
@@ -217,26 +330,42 @@ def compare(
 ) -> dict[str, object]:
     """Raise on the first reason why two outputs are not the same; otherwise report their size.
 
-    ``runs`` holds the two run records; with them, inputs, settings and
-    recorded row counts must agree too, and give the bucket count.
+    ``runs`` holds the run records of the two outputs. With them inputs, settings and
+    recorded row counts must agree too; each side's bucket count is the one
+    recorded for that very path. Without them ``buckets`` is needed.
     """
-    recorded: set[int] | None = None
+    paths, recorded = {path: qualified(spark, path) for path in (left, right)}, {}
+    if len(set(paths.values())) < 2:
+        raise ValueError("Compare two outputs, not one with itself.")
     if runs is not None:
         runlog.require_comparable(
             runs, ["contract", "manifest_digest", "lookup_sha256", "buckets"], eligible=False
         )
-        rows = runs.select("buckets", "output_rows").collect()
-        buckets, recorded = rows[0].buckets, {r.output_rows for r in rows}
+        rows = runs.where(F.col("output").isin(*paths.values())).select("output", "buckets", "output_rows").collect()
+        recorded = {r.output: r for r in rows}
+        lacking = sorted(set(paths.values()) - set(recorded))
+        if lacking or len(rows) != 2 or runs.count() != 2:
+            raise ValueError(f"The records are not those of the two outputs; none fits {lacking}.")
+        found_buckets = rows[0].buckets
+        if buckets not in (None, found_buckets):
+            raise ValueError(f"The outputs were recorded with {found_buckets} buckets, not {buckets}.")
+        buckets = found_buckets
+    if buckets is None:
+        raise ValueError("Give the run records or the number of buckets.")
     sides = []
     for path in (left, right):
-        files = inventory.file_inventory(spark, path)
-        inventory.check_layout(files)
-        inventory.require_output_types(files, contract)
+        files = inventory.file_inventory(spark, path).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            inventory.check_layout(files)
+            inventory.require_output_types(files, contract)
+        finally:
+            files.unpersist()
         df = read_bucketed(spark, path, "bucket")
         parity.check_schema(df, contract, "bucket")
         parity.require_clean_audit(df, contract, buckets if "bucket" in df.columns else None)
         sides.append(df)
     found = parity.require_parity(*sides, contract)
-    if recorded is not None and recorded != {found["left_rows"]}:
-        raise ValueError("Outputs no longer have the recorded number of rows.")
+    for row in recorded.values():
+        if row.output_rows != found["left_rows"]:
+            raise ValueError("Outputs no longer have the recorded number of rows.")
     return {"exact_match": True, "bucket_count": buckets, **found}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from factprep.contract import MOVES
 from factprep.functions import cleaning as C
 from factprep.functions.features import add_features, duration_seconds, finalize, micros_between, start_hour
-from factprep.functions.keys import canonical_key
+from factprep.functions.keys import bucket_id, canonical_key
 from factprep.functions.udfs import clean_in_arrow as arrow_cleaner
 from factprep.operators import buckets as B
 from factprep.operators import cleaning, dedup, enrich, parity, profile, ranking, resources, runlog
@@ -20,7 +20,7 @@ from factprep.operators.quality import dimension_violations
 from factprep.plans import prepare as P
 from factprep.plans import report
 from factprep.plans import views as V
-from factprep.session import scratch_path
+from factprep.session import scratch_path, settings
 from factprep.sources import inventory
 from factprep.sources.dimension import read_dimension
 from factprep.sources.fact import read_bucketed, read_heterogeneous
@@ -60,6 +60,18 @@ def clean_in_arrow(spark: SparkSession, root: str) -> DataFrame:
     return arrow_cleaner(V.dirty_shipments(spark, root), MOVES)
 
 
+def clean_text_fact(spark: SparkSession, root: str) -> DataFrame:
+    return cleaning.clean(V.text_shipments(spark, root), MOVES)
+
+
+def clean_text_fact_in_arrow(spark: SparkSession, root: str) -> DataFrame:
+    return arrow_cleaner(V.text_shipments(spark, root), MOVES)
+
+
+def text_reject_counts(spark: SparkSession, root: str) -> DataFrame:
+    return cleaning.reject_counts(V.text_shipments(spark, root), MOVES)
+
+
 def reject_counts(spark: SparkSession, root: str) -> DataFrame:
     return cleaning.reject_counts(V.dirty_shipments(spark, root), MOVES)
 
@@ -110,6 +122,13 @@ def bucket_skew(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def bucket_limit(spark: SparkSession, root: str) -> DataFrame:
+    """End zones as buckets, against a limit of the average number of rows."""
+    moves = V.dirty_shipments(spark, root).select(F.col("to_id").alias("zone"))
+    mean = moves.agg(F.floor(F.count("*") / F.countDistinct("zone"))).first()[0]
+    return B.skew_report(moves, "zone", mean * B.ROW_BYTES)
+
+
 # --- lookups ----------------------------------------------------------------
 
 
@@ -263,6 +282,18 @@ def streamed_staging(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(staging).select(*MOVES.columns)
 
 
+def streamed_two_sources(spark: SparkSession, root: str) -> DataFrame:
+    """Faulty and faultless shipments, staged into one folder by two streams."""
+    staging = scratch_path(spark, "streamed")
+    for name, raw in (("dirty", V.dirty_shipments(spark, root)), ("faultless", V.shipments(spark, root))):
+        source = scratch_path(spark, name)
+        raw.select(*MOVES.columns).write.parquet(source)
+        stage_available(
+            spark, source, raw.select(*MOVES.columns).schema, staging, scratch_path(spark, "progress"), MOVES, BUCKETS
+        )
+    return spark.read.parquet(staging).select(*MOVES.columns)
+
+
 def output_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "output")
     write_bucketed(_finished(spark, root), path, rebalance=not lies_by_bucket(spark, BUCKETS))
@@ -294,13 +325,35 @@ def heterogeneous_union(spark: SparkSession, root: str) -> DataFrame:
     return read_heterogeneous(spark, path, MOVES, cleaning.clean)
 
 
+def nested_mixed_files(spark: SparkSession, root: str) -> DataFrame:
+    """Rows read from a folder of mixed files, below it one named like a file, and a stray text file.
+
+    Counted before deduplication, next to the rows that the inventory lists.
+    """
+    path = scratch_path(spark, "nested")
+    moves = V.shipments(spark, root).select(*MOVES.columns).persist()
+    for folder, dtype, part in (
+        (path, "int", F.col("party_size") <= 2),
+        (path, "double", F.col("party_size").between(3, 4)),
+        (f"{path}/deeper.parquet", "bigint", F.col("party_size") > 4),
+        (f"{path}/a[b]*", "bigint", F.col("party_size") == 1),
+    ):
+        typed = [F.col(c).cast(dtype).alias(c) if c in MOVES.integers else F.col(c) for c in MOVES.columns]
+        moves.where(part).select(*typed).write.mode("append").parquet(folder)
+    V.table(spark, root, "nation").select("n_name").write.mode("append").text(path)
+    moves.unpersist()
+    read = read_heterogeneous(spark, path, MOVES).groupBy("party_size").agg(F.count("*").alias("row_count"))
+    listed = inventory.totals(inventory.file_inventory(spark, path)).select(
+        F.lit(-1.0).alias("party_size"), "row_count"
+    )
+    return read.unionByName(listed)
+
+
 def prepared_files(spark: SparkSession, root: str) -> DataFrame:
     """The whole job from raw files and a CSV dimension to finished files, with staging."""
     base = scratch_path(spark, "job")
     V.dirty_shipments(spark, root).write.parquet(f"{base}/raw")
-    V.zones(spark, root).toDF("LocationID", "Borough", "Zone").coalesce(1).write.option("header", True).csv(
-        f"{base}/zones"
-    )
+    V.zones(spark, root).toDF("LocationID", "Borough", "Zone").write.option("header", True).csv(f"{base}/zones")
     done = P.prepare(
         spark,
         f"{base}/raw",
@@ -329,6 +382,18 @@ def input_manifest(spark: SparkSession, root: str) -> DataFrame:
     return files.select("filename", "bytes", "row_count", "sha256")
 
 
+def file_checksums(spark: SparkSession, root: str) -> DataFrame:
+    """One text file for each nation, with the names of its customers, one on a line."""
+    path = scratch_path(spark, "names")
+    names = V.table(spark, root, "customer").select("c_nationkey", "c_custkey", "c_name")
+    names.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").drop("c_custkey").write.partitionBy(
+        "c_nationkey"
+    ).text(path)
+    files = inventory.with_checksums(inventory.list_inputs(spark, path, "*.txt"))
+    nation = F.regexp_extract("path", r"c_nationkey=(\d+)/", 1).cast("int")
+    return files.select(nation.alias("nation"), "bytes", "sha256")
+
+
 def _order_files(spark: SparkSession, root: str) -> DataFrame:
     """Each customer's orders as one file of an inventory."""
     per_customer = V.table(spark, root, "orders").groupBy("o_custkey").agg(F.count("*").alias("row_count"))
@@ -396,7 +461,9 @@ def row_audit_faults(spark: SparkSession, root: str) -> DataFrame:
             "speed": F.when(size == 6, F.col("speed") + 1).otherwise(F.col("speed")),
         }
     )
-    return parity.audit_rows(tampered, MOVES)
+    own = F.expr(bucket_id(MOVES.columns, BUCKETS))
+    moved = tampered.withColumn("bucket", F.when(size == 1, (own + 1) % BUCKETS).otherwise(own))
+    return parity.audit_rows(moved, MOVES, BUCKETS)
 
 
 def canonical_rows(spark: SparkSession, root: str) -> DataFrame:
@@ -469,6 +536,8 @@ def _event_runs(spark: SparkSession, root: str) -> DataFrame:
     per_run = V.hops(spark, root).groupBy("event_type", "vendor_id").agg(
         F.count("*").alias("n"), F.max("distance").alias("total_seconds")
     )
+    with settings(spark, spark__sql__files__maxPartitionBytes="32m"):
+        facts = P.session_facts(spark)
     return per_run.selectExpr(
         "event_type AS framework",
         "CAST(vendor_id AS STRING) AS run_id",
@@ -478,7 +547,7 @@ def _event_runs(spark: SparkSession, root: str) -> DataFrame:
         "n * 512 AS input_bytes",
         "1L AS output_rows",
         "total_seconds",
-        "32 AS block_mib",
+        f"{facts['block_mib']} AS block_mib",
     )
 
 
@@ -511,6 +580,9 @@ QUERIES = {
         flagship_clean_enrich,
         clean_contract,
         clean_in_arrow,
+        clean_text_fact,
+        clean_text_fact_in_arrow,
+        text_reject_counts,
         reject_counts,
         normalize_zero,
         exact_dedup,
@@ -519,6 +591,7 @@ QUERIES = {
         bucket_colocation,
         key_colocation,
         bucket_skew,
+        bucket_limit,
         zone_join_start,
         zone_join_end,
         zone_join_both,
@@ -541,13 +614,16 @@ QUERIES = {
         profile_summary,
         staged_roundtrip,
         streamed_staging,
+        streamed_two_sources,
         output_roundtrip,
         bucket_layout,
         heterogeneous_union,
+        nested_mixed_files,
         prepared_files,
         file_inventory,
         inventory_totals,
         input_manifest,
+        file_checksums,
         budget_prefix,
         count_prefix,
         multiset_parity,

@@ -1,4 +1,4 @@
-"""Reports over recorded runs: a table of trials, a summary, and a profile of the speed function."""
+"""Reports over recorded runs: a table of trials and a summary."""
 
 from __future__ import annotations
 
@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factprep.contract import TRIPS, FactContract
-from factprep.operators import profile, resources, runlog
-from factprep.sources.fact import read_bucketed
+from factprep.operators import resources, runlog
 from factprep.sources.sinks import guard_paths
 
 TRIAL = ["framework", "run_id", "input_bytes", "output_rows", "total_seconds", "block_mib"]
@@ -43,29 +41,3 @@ def summarize(
     runlog.require_comparable(runs, fields)
     trials(runs, samples, nodes).write.option("header", True).csv(f"{output}/benchmark_runs")
     runlog.summarize(runs).write.json(f"{output}/summary")
-
-
-def profile_output(
-    spark: SparkSession,
-    run: DataFrame,
-    path: str,
-    output: str,
-    contract: FactContract = TRIPS,
-    buckets: int = 8,
-    repeats: int = 3,
-    mode: str = "scalar",
-) -> DataFrame:
-    """Time a speed form over the first non-empty buckets of a finished dataset.
-
-    ``run`` is its record, which must be complete and have rows. Writes the
-    single ``measurements`` and the ``trials`` as JSON and returns the medians.
-    """
-    if min(buckets, repeats) <= 0:
-        raise ValueError("buckets and repeats must be positive.")
-    guard_paths(spark, [path], [output])
-    runlog.require_profileable(run)
-    df = read_bucketed(spark, path, "bucket").select(contract.distance, contract.duration, "bucket")
-    measured = profile.measure(df, contract.distance, contract.duration, buckets, repeats, mode)
-    measured.write.json(f"{output}/measurements")
-    profile.trial_totals(measured).withColumn("mode", F.lit(mode)).write.json(f"{output}/trials")
-    return profile.summary(measured)

@@ -66,13 +66,15 @@ def dirty_shipments(spark: SparkSession, root: str) -> DataFrame:
     faulty = shipments(spark, root).selectExpr(
         "l_orderkey",
         "CASE WHEN l_orderkey % 17 <> 0 THEN CAST(vendor_id AS DOUBLE) END AS vendor_id",
-        "CASE WHEN l_orderkey % 19 <> 0 THEN start_ts END AS start_ts",
-        "end_ts",
+        """CASE WHEN l_orderkey % 43 = 0 THEN TIMESTAMP_NTZ '1677-12-31 23:59:59' WHEN l_orderkey % 19 <> 0 THEN start_ts
+                END AS start_ts""",
+        "CASE WHEN l_orderkey % 47 = 0 THEN TIMESTAMP_NTZ '2262-01-01 00:00:00' ELSE end_ts END AS end_ts",
         "CAST(party_size AS DOUBLE) + IF(l_orderkey % 23 = 0, 0.5D, 0D) AS party_size",
         """CASE WHEN l_orderkey % 29 = 0 THEN double('NaN') WHEN l_orderkey % 31 = 0 THEN double('Infinity')
                 WHEN l_orderkey % 37 = 0 THEN 0D ELSE distance END AS distance""",
         "CAST(from_id AS DOUBLE) + IF(l_orderkey % 11 = 0, 100D, 0D) AS from_id",
-        "CAST(to_id AS DOUBLE) AS to_id",
+        """CAST(to_id AS DOUBLE) + CASE WHEN l_orderkey % 41 = 0 THEN 4294967296D WHEN l_orderkey % 53 = 0 THEN -4294967296D
+                ELSE 0D END AS to_id""",
         "fare",
         "CASE WHEN l_orderkey % 13 = 0 THEN double('-0.0') ELSE total END AS total",
     )
@@ -82,6 +84,26 @@ def dirty_shipments(spark: SparkSession, root: str) -> DataFrame:
     ).selectExpr(*columns, "IF(copy AND total = 0D, 0D, total) AS total")
 
 
+def text_shipments(spark: SparkSession, root: str) -> DataFrame:
+    """The faulty shipments with every column as text; some of it cannot be read.
+
+    A vendor of some orders gets letters, a number becomes a word or is left blank, and a time is
+    spelled in words.
+    """
+    rows = dirty_shipments(spark, root)
+    return rows.selectExpr(
+        "concat(CAST(vendor_id AS STRING), IF(party_size = 2, 'x', '')) AS vendor_id",
+        "IF(party_size = 3, 'early', CAST(start_ts AS STRING)) AS start_ts",
+        "CAST(end_ts AS STRING) AS end_ts",
+        "CAST(party_size AS STRING) AS party_size",
+        "IF(party_size = 4, 'far', CAST(distance AS STRING)) AS distance",
+        "IF(party_size = 5, '', CAST(from_id AS STRING)) AS from_id",
+        "concat(' ', CAST(to_id AS STRING), ' ') AS to_id",
+        "CAST(fare AS STRING) AS fare",
+        "CAST(total AS STRING) AS total",
+    )
+
+
 def hops(spark: SparkSession, root: str) -> DataFrame:
     """One move per event, from its microsecond to the end of its day; keeps ``event_id`` and ``event_type``.
 

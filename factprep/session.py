@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
 # Spark's own adaptive execution sizes, coalesces and splits shuffle partitions;
@@ -31,31 +32,43 @@ def build_session(app: str = "factprep", master: str | None = None, **extra: str
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, from ``spark.checkpoint.dir``.
-
-    A temporary folder stands in only when the whole application runs on one
-    machine (a local master) and names none.
-    """
+    """Folder every executor can reach, from ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not named:
         raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
-    current = context.getCheckpointDir()
-    if current:
-        return current.rsplit("/", 1)[0]
-    return tempfile.mkdtemp(prefix="factprep-")
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that does not exist yet."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that does not exist yet.
+
+    Scratch files lie in one folder for each application, which goes when the
+    application ends.
+    """
+    folder = f"{shared_root(spark)}/factprep-{spark.sparkContext.applicationId}"
+    files, path = hadoop_path(spark, folder)
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def hadoop_path(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """The Hadoop file system of a path, and the path in full: with scheme and host, without ``..``."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    whole = files.makeQualified(found)
+    return files, spark._jvm.org.apache.hadoop.fs.Path(whole.toUri().normalize())
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path in full, as Spark lists it."""
+    return hadoop_path(spark, path)[1].toString()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
+def literal_path(path: str) -> str:
+    """A path for Spark's readers that stands for itself, whatever marks its names hold."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 @contextmanager

@@ -7,19 +7,25 @@ from collections import defaultdict
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from factprep.contract import FactContract
 from factprep.functions.cleaning import quoted
 from factprep.operators import cleaning
 from factprep.operators.quality import check_fact_schema
-from factprep.sources.inventory import file_inventory
+from factprep.session import literal_path, qualified
+from factprep.sources.inventory import file_inventory, list_inputs
+
+
+def _files(spark: SparkSession) -> DataFrameReader:
+    """A reader that takes the files that the inventory lists, and no others."""
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
 
 
 def read_fact(spark: SparkSession, paths: str | list[str], contract: FactContract) -> DataFrame:
     """Contract columns of files that share their physical types."""
-    df = spark.read.option("recursiveFileLookup", True).parquet(*([paths] if isinstance(paths, str) else paths))
+    df = _files(spark).parquet(*map(literal_path, [paths] if isinstance(paths, str) else paths))
     check_fact_schema(df.schema, contract)
     return cleaning.project(df, contract)
 
@@ -48,7 +54,7 @@ def read_nanoseconds(spark: SparkSession, paths: list[str], contract: FactContra
     if unknown:
         raise ValueError(f"Cannot read columns of type {unknown} next to nanosecond times.")
     schema = ", ".join(f"{quoted(c)} {STORED[t]}" for c, t in zip(contract.columns, types))
-    df = spark.read.option("recursiveFileLookup", True).schema(schema).parquet(*paths)
+    df = _files(spark).schema(schema).parquet(*map(literal_path, paths))
     columns = []
     for name, stored in zip(contract.columns, types):
         column = quoted(name)
@@ -60,38 +66,50 @@ def read_nanoseconds(spark: SparkSession, paths: list[str], contract: FactContra
     return df.selectExpr(*columns)
 
 
-def schema_groups(files: DataFrame, contract: FactContract, root: str | None = None) -> dict[str, list[str]]:
+def schema_groups(
+    files: DataFrame, contract: FactContract, root: str, listed: DataFrame | None = None
+) -> dict[str, list[str]]:
     """Paths to read, by physical types of the contract columns.
 
-    A folder whose files agree is named once, as a glob; only the files of
-    mixed folders are listed singly. With one kind of file overall, ``root``
-    itself is the only path.
+    ``files`` is the inventory of ``root`` or, if ``listed`` names all files
+    there, a part of it. A folder is named whole where every file at or below it is
+    wanted and has the same types; other files are named singly. Either way exactly the wanted
+    files are read. Only paths and kinds reach the driver; a folder that mixes types
+    in one place costs a path for each of its files.
     """
+    top = qualified(files.sparkSession, root).rstrip("/")
     types = F.from_json("column_types", "map<string,string>")
     kind = F.to_json(F.array(*[F.coalesce(F.element_at(F.col("t"), c), F.lit("")) for c in contract.columns]))
-    kinds = files.withColumn("t", types).select(
-        "path", kind.alias("kind"), F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("folder")
+    kinds = files.withColumn("t", types).select("path", kind.alias("kind"))
+    if listed is not None:
+        # A file that is not wanted has a kind of its own, so no folder above it is alike.
+        kinds = listed.select("path").join(kinds, "path", "left")
+    below = F.split(F.substr("path", F.lit(len(top) + 2)), "/")
+    depth = F.size(below) - 1
+    parents = F.when(F.col("path") == top, F.array().cast("array<string>")).otherwise(
+        F.transform(F.sequence(F.lit(0), depth), lambda n: F.concat_ws("/", F.lit(top), F.slice(below, F.lit(1), n)))
+    )
+    placed = kinds.select("path", "kind", F.explode_outer(parents).alias("folder"))
+    unlike = F.coalesce("kind", F.lit(""))
+    alike = (
+        placed.groupBy("folder")
+        .agg(F.min(unlike).alias("lo"), F.max(unlike).alias("hi"))
+        .where("folder IS NOT NULL AND lo = hi AND lo <> ''")
+        .select("folder", F.lit(True).alias("alike"))
+    )
+    chosen = (
+        placed.where("kind IS NOT NULL")
+        .join(alike, "folder", "left")
+        .groupBy("path", "kind")
+        .agg(F.min(F.when(F.col("alike"), F.struct(F.length("folder"), "folder"))).alias("whole"))
+        .select("kind", F.coalesce("whole.folder", "path").alias("path"))
+        .distinct()
     )
-    folders = kinds.groupBy("folder").agg(F.min("kind").alias("lo"), F.max("kind").alias("hi"))
-    overall = folders.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
-    if overall.lo is None:
-        raise ValueError("No Parquet inputs.")
-    if root is not None and overall.lo == overall.hi:
-        return {overall.lo: [root]}
-    alike = folders.where("lo = hi").select("lo", F.concat("folder", F.lit("/*.parquet")))
-    mixed = kinds.join(folders.where("lo <> hi").select("folder"), "folder", "left_semi").select("kind", "path")
     groups: dict[str, list[str]] = defaultdict(list)
-    for found, path in alike.union(mixed).collect():
+    for found, path in chosen.collect():
         groups[found].append(path)
-    return dict(groups)
-
-
-def file_groups(files: DataFrame, contract: FactContract) -> dict[str, list[str]]:
-    """The same for part of a folder: every file is named."""
-    groups: dict[str, list[str]] = defaultdict(list)
-    for row in files.select("path", "column_types").collect():
-        types = json.loads(row.column_types)
-        groups[json.dumps([types.get(c, "") for c in contract.columns])].append(row.path)
+    if not groups:
+        raise ValueError("No Parquet inputs.")
     return dict(groups)
 
 
@@ -116,7 +134,7 @@ def read_heterogeneous(
     part is read.
     """
     files = file_inventory(spark, path) if files is None else files
-    groups = file_groups(files, contract) if only_files else schema_groups(files, contract, path)
+    groups = schema_groups(files, contract, path, list_inputs(spark, path) if only_files else None)
     prepare = prepare or as_doubles
     parts = []
     for kind in sorted(groups):

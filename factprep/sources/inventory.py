@@ -5,7 +5,8 @@ from __future__ import annotations
 import hashlib
 import json
 import sys
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from urllib.parse import quote
 
 import pandas as pd
@@ -17,16 +18,19 @@ from pyspark.sql import functions as F
 
 from factprep.contract import FactContract
 from factprep.operators.ranking import running_total
+from factprep.session import literal_path
 
 # Executors receive the functions below whole and need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-FOOTER = "path string, bytes bigint, uncompressed_bytes bigint, row_count bigint, column_types string"
+FOOTER = (
+    "path string, bytes bigint, uncompressed_bytes bigint, row_count bigint, column_types string, column_bytes string"
+)
 CHUNK = 1 << 20
 GIGABYTE = 1_000_000_000
 
 
-def list_inputs(spark: SparkSession, path: str) -> DataFrame:
+def list_inputs(spark: SparkSession, path: str, names: str = "*.parquet") -> DataFrame:
     """``path`` and ``bytes`` of the Parquet files at or below ``path``.
 
     Spark leaves out names that start with a dot or an underscore. Contents
@@ -35,8 +39,8 @@ def list_inputs(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
+        .option("pathGlobFilter", names)
+        .load(literal_path(path))
         .select("path", F.col("length").alias("bytes"))
     )
 
@@ -66,12 +70,16 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 meta, schema = file.metadata, file.schema_arrow
                 raw = sum(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups))
                 types = json.dumps({f.name: str(f.type) for f in schema})
-                rows.append((path, size, raw, meta.num_rows, types))
-        yield pd.DataFrame(rows, columns=["path", "bytes", "uncompressed_bytes", "row_count", "column_types"])
+                sizes = Counter()
+                for group in map(meta.row_group, range(meta.num_row_groups)):
+                    for column in map(group.column, range(group.num_columns)):
+                        sizes[column.path_in_schema.split(".")[0]] += column.total_uncompressed_size
+                rows.append((path, size, raw, meta.num_rows, types, json.dumps(sizes)))
+        yield pd.DataFrame(rows, columns=[c.split()[0] for c in FOOTER.split(", ")])
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: path, bytes, uncompressed bytes of its row groups, rows and column types."""
+    """One row per file: path, bytes, uncompressed bytes of its row groups, rows, column types and column bytes."""
     return list_inputs(spark, path).mapInPandas(_read_footers, FOOTER)
 
 
@@ -95,11 +103,26 @@ def with_checksums(files: DataFrame) -> DataFrame:
 
 
 def fingerprint(spark: SparkSession, path: str) -> str:
-    """SHA-256 of one small file, such as the dimension."""
-    found = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("sha256")).take(2)
-    if len(found) != 1:
-        raise ValueError(f"Expected one file at {path}")
-    return found[0].sha256
+    """SHA-256 of the one file at ``path``; of several, of their names and checksums.
+
+    Contents are hashed in small pieces, by a task for each group of files.
+    """
+    files = with_checksums(list_inputs(spark, path, "*")).select("filename", "sha256")
+    listed = files.agg(F.count("*").alias("n"), F.first("sha256").alias("only")).first()
+    if not listed.n:
+        raise ValueError(f"No file at {path}")
+    if listed.n == 1:
+        return listed.only
+    # One line per file, sorted: a dimension has few.
+    lines = F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", "filename", "sha256"))), "\n")
+    return files.agg(F.sha2(lines, 256).alias("sha256")).first().sha256
+
+
+def projected_bytes(files: DataFrame, columns: Sequence[str]) -> int:
+    """Uncompressed bytes of some columns over all files."""
+    sizes = F.from_json("column_bytes", "map<string,bigint>")
+    read = sum((F.coalesce(F.element_at(F.col("s"), c), F.lit(0)) for c in columns), F.lit(0))
+    return files.withColumn("s", sizes).agg(F.sum(read)).first()[0] or 0
 
 
 def totals(files: DataFrame) -> DataFrame:

@@ -2,48 +2,33 @@
 
 from __future__ import annotations
 
-from urllib.parse import urlsplit
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from factprep.operators.buckets import repartition_by_bucket
+from factprep.session import hadoop_path, qualified
 from factprep.sources.inventory import list_inputs
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on whatever file system Spark uses."""
-    try:
-        # Only lists; recursion keeps Spark from reading folder names as partitions.
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
-def _place(path: str) -> tuple[str, str, list[str]]:
-    parts = urlsplit(path)
-    scheme = "" if parts.scheme == "file" else parts.scheme
-    return scheme, parts.netloc, [p for p in parts.path.split("/") if p and p != "."]
+    files, place = hadoop_path(spark, path)
+    return files.exists(place)
 
 
-def overlap(one: str, other: str) -> bool:
-    """Whether two paths are the same or one lies inside the other."""
-    (scheme, host, parts), (scheme2, host2, parts2) = _place(one), _place(other)
-    shorter = min(len(parts), len(parts2))
-    return (scheme, host) == (scheme2, host2) and parts[:shorter] == parts2[:shorter]
+def overlap(spark: SparkSession, one: str, other: str) -> bool:
+    """Whether two paths are the same or one lies inside the other, as Hadoop resolves them."""
+    one, other = (qualified(spark, path).rstrip("/") + "/" for path in (one, other))
+    return one.startswith(other) or other.startswith(one)
 
 
 def guard_paths(spark: SparkSession, inputs: list[str], targets: list[str]) -> None:
     """Raise before anything is written if a target exists or overlaps an input or another target."""
     for i, target in enumerate(targets):
         for source in inputs:
-            if overlap(target, source):
+            if overlap(spark, target, source):
                 raise ValueError(f"{target} overlaps the input {source}.")
         for other in targets[i + 1 :]:
-            if overlap(target, other):
+            if overlap(spark, target, other):
                 raise ValueError(f"{target} and {other} must be separate folders.")
     for target in targets:
         if exists(spark, target):

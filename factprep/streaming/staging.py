@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from factprep.contract import FactContract
 from factprep.operators import cleaning
 from factprep.operators.buckets import repartition_by_bucket
+from factprep.session import literal_path
 
 BATCH = "_batch"
 
@@ -26,22 +27,27 @@ def stage_available(
 
     The checkpoint remembers which files are done, so an interrupted run goes
     on where it stopped and a later one picks up new files. Each batch replaces
-    its own folder, so repeating one cannot duplicate rows. Equal rows of
+    its own folder, named by the checkpoint's stream id and its number, so repeating
+    one cannot duplicate rows, and streams of several sources may share a staging
+    folder. Equal rows of
     different batches remain; deduplication happens when the staged rows are
     finished. ``schema`` holds the physical types, which all files must share.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         staged = cleaning.with_staging_columns(cleaning.clean(batch, contract), contract, buckets)
+        # Spark writes the id before the first batch, and it stays with the checkpoint.
+        stream = spark.read.schema("id string").json(f"{literal_path(checkpoint)}/metadata").first().id
         repartition_by_bucket(staged, "_bucket").write.mode("overwrite").option("compression", "snappy").partitionBy(
             "_bucket"
-        ).parquet(f"{staging}/{BATCH}={number}")
+        ).parquet(f"{staging}/{BATCH}={stream}-{number}")
 
     raw = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", True)
-        .parquet(source)
+        .option("pathGlobFilter", "*.parquet")
+        .parquet(literal_path(source))
     )
     query = (
         raw.writeStream.foreachBatch(write)

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import math
 from datetime import datetime, timedelta
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
-from trips import PLAIN
+from trips import ZONES, trip
 
 from factprep.contract import MOVES, TRIPS
 from factprep.functions.udfs import clean_in_arrow
@@ -16,6 +17,7 @@ from factprep.plans import prepare as P
 from factprep.sources.dimension import read_dimension
 from factprep.sources.fact import read_fact, read_heterogeneous
 
+PLAIN = trip(0)
 RAW = (
     "VendorID string, tpep_pickup_datetime string, tpep_dropoff_datetime string, passenger_count string, "
     "trip_distance string, PULocationID double, DOLocationID int, fare_amount decimal(9,2), total_amount float"
@@ -28,13 +30,13 @@ def _cleaned(spark, trips):
 
 
 def test_fixture_counts(spark, trips):
-    assert read_heterogeneous(spark, trips.folder, TRIPS).count() == 14
+    assert read_heterogeneous(spark, trips.folder, TRIPS).count() == trips.raw
     cleaned = _cleaned(spark, trips)
     assert cleaned.schema == TRIPS.clean_schema()
-    assert cleaned.count() == 7
-    assert cleaned.where("CAST(fare_amount AS STRING) = '0.0'").count() == 2
-    assert dedup.exact(cleaned, TRIPS).count() == 4
-    assert dedup.by_bucket(cleaned, TRIPS, 8).count() == 4
+    assert cleaned.count() == trips.clean
+    assert cleaned.where(f"CAST({TRIPS.floats[-1]} AS STRING) = '0.0'").count() == 2
+    assert dedup.exact(cleaned, TRIPS).count() == trips.distinct
+    assert dedup.by_bucket(cleaned, TRIPS, 8).count() == trips.distinct
 
 
 def test_reading_order_of_union_and_clean_does_not_matter(spark, trips):
@@ -47,29 +49,49 @@ def test_output_rows(spark, trips):
     dim = read_dimension(spark, trips.zones)
     output = P.finish(_cleaned(spark, trips), dim, TRIPS, 8, require_dimension(dim)).drop("bucket")
     assert output.schema == TRIPS.output_schema()
-    rows = {r.trip_distance: r for r in output.where("fare_amount > 0").collect()}
-    assert output.count() == 3
-    assert rows[3.0].duration_seconds == 600.0 and rows[3.0].average_speed_mph == 18.0
-    assert rows[1.0].duration_seconds == 2.000001 and rows[1.0].average_speed_mph == 1799.9991
-    assert rows[1.0].pickup_hour == 1
-    assert (rows[3.0].pickup_borough, rows[3.0].dropoff_zone) == ("Queens", "Zone B")
+    rows = {r.trip_distance: r for r in output.collect()}
+    assert len(rows) == trips.output
+    for number in (0, 1, 2, 5):
+        row = trip(number)
+        found = rows[row["trip_distance"]]
+        seconds = (row[TRIPS.end] - row[TRIPS.start]).total_seconds()
+        assert found.duration_seconds == seconds
+        assert found.average_speed_mph == round(row["trip_distance"] * 3600.0 / seconds, 6)
+        assert found.pickup_hour == row[TRIPS.start].hour
+        places = [ZONES[row[role.key]] for role in TRIPS.roles]
+        assert (found.pickup_borough, found.pickup_zone, found.dropoff_borough, found.dropoff_zone) == sum(places, ())
 
 
 def test_reject_counts(spark, trips):
-    counts = dict(cleaning.reject_counts(read_heterogeneous(spark, trips.folder, TRIPS), TRIPS).collect())
-    assert counts == {
-        "number_missing": 1,
-        "number_not_finite": 3,  # a missing number, NaN, infinity
-        "integer_not_whole": 2,
-        "integer_out_of_range": 1,
-        "time_missing": 1,
-        "time_out_of_range": 1,
-        # Spark orders NaN above every number, so only zero fails here
-        "distance_not_positive": 1,
-        "duration_not_positive": 2,
-        "any_rule": 7,
-        "all_rows": 14,
+    """Against the rules in plain Python; a missing value breaks every rule that looks at it, NaN exceeds all numbers."""
+    number = lambda r, c: -math.inf if r[c] is None else math.inf if math.isnan(r[c]) else r[c]
+    numbers = TRIPS.integers + TRIPS.floats
+    first, end = datetime(1678, 1, 1), datetime(2262, 1, 1)
+    fails = {
+        "number_missing": lambda r: any(r[c] is None for c in numbers),
+        "number_not_finite": lambda r: any(math.isinf(number(r, c)) for c in numbers),
+        "integer_not_whole": lambda r: any(r[c] is None or r[c] != int(r[c]) for c in TRIPS.integers),
+        "integer_out_of_range": lambda r: any(not -(2**31) <= number(r, c) < 2**31 for c in TRIPS.integers),
+        "time_missing": lambda r: any(r[c] is None for c in TRIPS.times),
+        "time_out_of_range": lambda r: any(r[c] is None or not first <= r[c] < end for c in TRIPS.times),
+        "distance_not_positive": lambda r: number(r, TRIPS.distance) <= 0,
+        "duration_not_positive": lambda r: None in (r[TRIPS.start], r[TRIPS.end]) or r[TRIPS.end] <= r[TRIPS.start],
     }
+    rows = trips.first_rows + trips.second_rows
+    expected = {rule: sum(map(test, rows)) for rule, test in fails.items()}
+    expected["any_rule"] = sum(any(test(r) for test in fails.values()) for r in rows)
+    expected |= {"time_unreadable": 0, "all_rows": len(rows)}
+    counts = dict(cleaning.reject_counts(read_heterogeneous(spark, trips.folder, TRIPS), TRIPS).collect())
+    assert counts == expected
+    assert expected["any_rule"] == trips.raw - trips.clean
+    assert expected["integer_out_of_range"] > expected["number_missing"] - len(TRIPS.floats)
+    assert expected["time_out_of_range"] > expected["time_missing"]
+
+
+def test_unreadable_time_texts_are_counted(spark):
+    rows = [("2", t, "2031-05-18", "1", "3", 1.0, 2, None, 12.0) for t in ("2031-05-17", "soon", " ", None, "17.5.2031")]
+    counts = dict(cleaning.reject_counts(spark.createDataFrame(rows, RAW), TRIPS).collect())
+    assert (counts["time_unreadable"], counts["time_missing"]) == (2, 4)
 
 
 @pytest.mark.parametrize(
@@ -157,7 +179,7 @@ def test_empty_input_keeps_the_schema(spark, trips):
 def test_equal_rows_share_key_and_bucket(spark, trips):
     staged = cleaning.with_staging_columns(_cleaned(spark, trips), TRIPS, 8)
     seen = staged.groupBy(*TRIPS.columns).agg({"_key": "min", "_bucket": "min"}).count()
-    assert staged.select(*TRIPS.columns, "_key", "_bucket").distinct().count() == seen == 4
+    assert staged.select(*TRIPS.columns, "_key", "_bucket").distinct().count() == seen == trips.distinct
     assert staged.where("_bucket NOT BETWEEN 0 AND 7").count() == 0
 
 
@@ -187,17 +209,35 @@ def test_map_lookup_equals_join(spark, trips):
     joined = enrich.lookup_all(cleaned, dim, TRIPS)
     mapped = enrich.lookup_map(cleaned, dim, TRIPS).select(*joined.columns)
     assert sorted(joined.collect()) == sorted(mapped.collect())
-    assert enrich.unmatched(cleaned, dim, TRIPS.roles[0]).collect() == [(999, 1)]
+    assert enrich.unmatched(cleaned, dim, TRIPS.roles[0]).collect() == [(77, 1)]
 
 
-def test_large_dimension_takes_the_join(spark, trips, monkeypatch):
+def test_lookup_of_any_size_is_checked_first(spark, trips):
     dim = read_dimension(spark, trips.zones)
     cleaned = _cleaned(spark, trips)
     expected = sorted(enrich.lookup_all(cleaned, dim, TRIPS).collect())
-    monkeypatch.setattr(enrich, "LITERAL_ROWS", 1)
-    found = enrich.lookup_map(cleaned, dim, TRIPS)
-    assert sorted(found.collect()) == expected
+    more = spark.range(1000, 4000).selectExpr("id AS location_id", "'b' AS borough", "'z' AS zone")
+    found = enrich.lookup_map(cleaned, dim.unionByName(more), TRIPS)
+    assert sorted(found.select(*enrich.lookup_all(cleaned, dim, TRIPS).columns).collect()) == expected
+    with pytest.raises(ValueError, match="id_repeated"):
+        enrich.lookup_map(cleaned, dim.unionByName(dim), TRIPS)
     assert not enrich.may_broadcast(enrich.BROADCAST_BYTES + 1) and not enrich.may_broadcast(None)
+    assert enrich.may_broadcast(10, 10) and not enrich.may_broadcast(11, 10)
+
+
+def test_zoned_times_stop_the_arrow_form_too(spark):
+    row = tuple(PLAIN.values())
+    types = {c: "timestamp" if c in TRIPS.times else "double" if c in TRIPS.floats else "bigint" for c in TRIPS.columns}
+    zoned = spark.createDataFrame([row], ", ".join(f"{c} {t}" for c, t in types.items()))
+    with pytest.raises(ValueError, match="Zoned"):
+        clean_in_arrow(zoned, TRIPS)
+    texts = spark.createDataFrame([row], ", ".join(f"{c} {t.replace('timestamp', 'timestamp_ntz')}" for c, t in types.items()))
+    texts = texts.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in TRIPS.columns])
+    bad = texts.selectExpr("* EXCEPT (VendorID)", "'two' AS VendorID").select(*TRIPS.columns)
+    assert clean_in_arrow(texts.union(bad), TRIPS).collect() == cleaning.clean(texts, TRIPS).collect() != []
+    stop = texts.selectExpr("* EXCEPT (tpep_pickup_datetime)", "concat(tpep_pickup_datetime, 'Z') AS tpep_pickup_datetime")
+    with pytest.raises(PySparkException, match="time zone"):
+        clean_in_arrow(stop, TRIPS).collect()
 
 
 def test_zoned_parquet_file_is_refused(spark, trips):
@@ -213,12 +253,12 @@ def test_zoned_parquet_file_is_refused(spark, trips):
 
 def test_nanosecond_times_are_cut(spark, trips):
     table = pq.read_table(trips.second)
-    times = [1672531200123456789, -1, -1_000_000_001]
+    times = [1672531200123456789, -1, -1_000_000_001, 10**18]
     for name, values in (("tpep_pickup_datetime", times), ("tpep_dropoff_datetime", [t + 60 * 10**9 for t in times])):
         table = table.set_column(table.schema.get_field_index(name), name, pa.array(values, pa.timestamp("ns")))
     pq.write_table(table, f"{trips.folder}/third.parquet")
     cleaned = read_heterogeneous(spark, trips.folder, TRIPS, cleaning.clean)
-    assert cleaned.count() == 10
+    assert cleaned.count() == trips.clean + 4
     found = {r.tpep_pickup_datetime for r in cleaned.where("tpep_pickup_datetime < '1971-01-01' OR "
                                                            "tpep_pickup_datetime = '2023-01-01 00:00:00.123456'").collect()}
     assert found == {

@@ -13,11 +13,11 @@ def test_jobs(spark, trips, tmp_path, capsys):
             ["prepare", "--input", trips.folder, "--lookup", trips.zones, "--output", f"{tmp_path}/{run_id}"]
             + ["--buckets", "4", "--runs", runs, "--run-id", run_id, *extra]
         )
-        assert done["output_rows"] == 3
+        assert done["output_rows"] == trips.output
     sides = ["compare", "--left", f"{tmp_path}/a", "--right", f"{tmp_path}/b"]
     assert cli.main([*sides, "--runs", runs, "--run-ids", "a", "b"])["exact_match"]
     with pytest.raises(ValueError, match="recorded"):
-        cli.main([*sides, "--runs", runs, "--run-ids", "a", "c"])
+        cli.main([*sides, "--runs", runs, "--run-ids", "a", "unknown"])
 
     samples = tmp_path / "samples.csv"
     spans = runlog.latest(runlog.read(spark, runs)).collect()
@@ -33,11 +33,20 @@ def test_jobs(spark, trips, tmp_path, capsys):
     assert {(r.run_id, r.peak_cpu_percent, r.peak_memory_gib) for r in table} == {("a", "25.0", "2.0"), ("b", "25.0", "2.0")}
     assert spark.read.json(f"{tmp_path}/report/summary").first().trials == 2
 
-    medians = cli.main(
-        ["profile", "--runs", runs, "--run-id", "a", "--input", f"{tmp_path}/a", "--output", f"{tmp_path}/profile"]
-        + ["--max-buckets", "2", "--repeats", "1"]
-    )
-    assert medians["trials"] == 1
+    with pytest.raises(ValueError, match="twice"):
+        cli.main([*sides, "--runs", runs, "--run-ids", "a", "a"])
+    for run_id, extra in (("c", ["--oversized", "raise"]), ("d", ["--reuse-staging", f"{tmp_path}/streamed"])):
+        cli.main(
+            ["stage", "--input", trips.second, "--staging", f"{tmp_path}/streamed", "--checkpoint", f"{tmp_path}/progress"]
+            + ["--buckets", "4"]
+        )
+        done = cli.main(
+            ["prepare", "--input", trips.second, "--lookup", trips.zones, "--output", f"{tmp_path}/{run_id}"]
+            + ["--buckets", "4", "--runs", runs, "--run-id", run_id, *extra]
+        )
+        assert done["output_rows"] == 4
+    sides = ["compare", "--left", f"{tmp_path}/c", "--right", f"{tmp_path}/d"]
+    assert cli.main([*sides, "--runs", runs, "--run-ids", "c", "d"])["bucket_count"] == 4
     totals = cli.main(["inventory", "--input", trips.folder, "--output", f"{tmp_path}/inventory"])
-    assert (totals["files"], totals["row_count"]) == (2, 14)
+    assert (totals["files"], totals["row_count"]) == (2, trips.raw)
     assert json.loads(capsys.readouterr().out.splitlines()[-1]) == totals

@@ -33,18 +33,71 @@ def test_inventory_reads_footers(spark, trips):
     (Path(trips.folder) / "notes.txt").write_text("not parquet")
     rows = inventory.file_inventory(spark, trips.folder).orderBy("path").collect()
     assert [Path(r.path).name for r in rows] == ["first.parquet", "second.parquet"]
-    assert [r.row_count for r in rows] == [11, 3]
+    assert [r.row_count for r in rows] == [len(trips.first_rows), len(trips.second_rows)]
     assert [r.bytes for r in rows] == [Path(p).stat().st_size for p in (trips.first, trips.second)]
     assert [r.uncompressed_bytes for r in rows] == [_uncompressed(p) for p in (trips.first, trips.second)]
-    assert inventory.totals(inventory.file_inventory(spark, trips.folder)).first().row_count == 14
+    assert inventory.totals(inventory.file_inventory(spark, trips.folder)).first().row_count == trips.raw
 
 
 def test_single_file_and_odd_names(spark, trips, tmp_path):
     odd = tmp_path / "with space %41 é"
     odd.mkdir()
     (odd / "a b.parquet").write_bytes(Path(trips.second).read_bytes())
-    assert inventory.file_inventory(spark, str(odd)).first().row_count == 3
-    assert inventory.file_inventory(spark, trips.second).first().row_count == 3
+    assert inventory.file_inventory(spark, str(odd)).first().row_count == 4
+    assert inventory.file_inventory(spark, trips.second).first().row_count == 4
+
+
+def test_marks_in_names_stand_for_themselves(spark, trips, tmp_path):
+    for name in ("br[1]", "a*b", "q?", "{x,y}"):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "[0].parquet").write_bytes(Path(trips.second).read_bytes())
+        (folder / "z.parquet").write_bytes(Path(trips.first).read_bytes())
+        assert inventory.file_inventory(spark, str(folder)).count() == 2
+        assert read_heterogeneous(spark, str(folder), TRIPS).count() == trips.raw
+    assert read_heterogeneous(spark, str(tmp_path / "q?" / "[0].parquet"), TRIPS).count() == 4
+
+
+def test_what_is_read_is_what_is_listed(spark, trips, tmp_path):
+    """A folder named like a file, stray files, and one kind or several: the rows read are those listed."""
+    nest = tmp_path / "nest"
+    (nest / "b.parquet").mkdir(parents=True)
+    (nest / "a.parquet").write_bytes(Path(trips.second).read_bytes())
+    (nest / "b.parquet" / "part-0.parquet").write_bytes(Path(trips.second).read_bytes())
+    (nest / "notes.txt").write_text("not parquet")
+
+    def both():
+        files = inventory.file_inventory(spark, str(nest))
+        return inventory.totals(files).first().row_count, read_heterogeneous(spark, str(nest), TRIPS).count()
+
+    assert both() == (8, 8)
+    (nest / "b.parquet" / "part-1.parquet").write_bytes(Path(trips.first).read_bytes())
+    assert both() == (8 + len(trips.first_rows),) * 2
+    files = inventory.file_inventory(spark, str(nest))
+    groups = schema_groups(files, TRIPS, f"{nest}/../nest/")
+    assert sorted(Path(p).name for paths in groups.values() for p in paths) == ["a.parquet", "part-0.parquet", "part-1.parquet"]
+
+
+def test_fingerprint_of_several_files(spark, tmp_path):
+    for name, text in (("a.csv", "one"), ("b.csv", "two")):
+        (tmp_path / "dim").mkdir(exist_ok=True)
+        (tmp_path / "dim" / name).write_text(text)
+    lines = [f"{n} {hashlib.sha256(t.encode()).hexdigest()}" for n, t in (("a.csv", "one"), ("b.csv", "two"))]
+    expected = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    assert inventory.fingerprint(spark, str(tmp_path / "dim")) == expected
+    (tmp_path / "none").mkdir()
+    with pytest.raises(ValueError, match="No file"):
+        inventory.fingerprint(spark, str(tmp_path / "none"))
+
+
+def test_projected_bytes_leave_other_columns_out(spark, tmp_path):
+    import pyarrow as pa
+
+    pq.write_table(pa.table({"a": list(range(1000)), "b": ["x" * 50 + str(i) for i in range(1000)]}), tmp_path / "f.parquet")
+    files = inventory.file_inventory(spark, str(tmp_path))
+    one, both = (inventory.projected_bytes(files, c) for c in (["a"], ["a", "b"]))
+    assert 0 < one < both / 3 and both == files.first().uncompressed_bytes
+    assert inventory.projected_bytes(files.where("false"), ["a"]) == 0
 
 
 def test_checksums(spark, trips):
@@ -107,15 +160,22 @@ def test_schema_groups_name_folders_once(spark, tmp_path, trips):
     files = inventory.file_inventory(spark, root)
     groups = schema_groups(files, TRIPS, root)
     assert sorted(len(paths) for paths in groups.values()) == [2, 3]  # m1 and one file; m2 and two files
-    assert read_heterogeneous(spark, root, TRIPS).count() == 2 * 11 + 2 * 3 + 2 * 3 + 11
+    first, second = len(trips.first_rows), len(trips.second_rows)
+    assert read_heterogeneous(spark, root, TRIPS).count() == 3 * first + 4 * second
     part = files.where("path LIKE '%/m1/%'")
-    assert read_heterogeneous(spark, root, TRIPS, files=part, only_files=True).count() == 22
-    assert schema_groups(part, TRIPS, root) == {next(iter(schema_groups(part, TRIPS, root))): [root]}
+    assert read_heterogeneous(spark, root, TRIPS, files=part, only_files=True).count() == 2 * first
+    named = schema_groups(part, TRIPS, root, inventory.list_inputs(spark, root))
+    assert [p for paths in named.values() for p in paths] == [f"file:{root}/m1"]
+    one = files.where("path LIKE '%/m1/0%'")
+    named = schema_groups(one, TRIPS, root, inventory.list_inputs(spark, root))
+    assert [p for paths in named.values() for p in paths] == [f"file:{root}/m1/0.parquet"]
 
 
-def test_overlap():
-    assert overlap("/a/b", "/a/b/c") and overlap("/a/b/c", "/a/b") and overlap("/a/b/", "file:///a/b")
-    assert not overlap("/a/b", "/a/bc") and not overlap("s3://x/a", "s3://y/a") and not overlap("hdfs://h/a", "/a")
+def test_overlap(spark):
+    for one, other in (("/a/b", "/a/b/c"), ("/a/b/c", "/a/b"), ("/a/b/", "file:///a/b"), ("/a/x/../b", "/a/b/./c")):
+        assert overlap(spark, one, other)
+    assert overlap(spark, "here", f"{Path.cwd()}/here/below")
+    assert not overlap(spark, "/a/b", "/a/bc") and not overlap(spark, "/a/b/../c", "/a/b")
 
 
 def test_guard(spark, trips, tmp_path):
@@ -200,6 +260,7 @@ def test_bucket_count():
     assert B.choose_count(128 * 262144 + 1) == 256
     assert B.choose_count(12_672_737, 512 << 20) == 128
     assert B.choose_count(10**12, 1 << 40) == 512
+    assert B.choose_count(10**12) == 1 << 22  # as many as asked for
     with pytest.raises(ValueError):
         B.choose_count(1, 0)
 
@@ -208,6 +269,8 @@ def test_partition_count():
     assert B.choose_partitions(0) == 1 and B.choose_partitions(0, 200) == 256 and B.choose_partitions(0, 8) == 8
     assert B.choose_partitions(345_261_338, 8) == 8
     assert B.choose_partitions(100 * 10**12, 200) == 131072
+    assert B.choose_split(10**9, 128 << 20) == 128 << 20
+    assert 100 * 10**12 / B.choose_split(100 * 10**12, 128 << 20) <= B.MOST_SPLITS
 
 
 def test_settings_are_put_back(spark):

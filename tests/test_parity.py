@@ -21,20 +21,20 @@ def output(spark, trips):
 
 
 def test_equal_sides(output):
-    assert parity.require_parity(output, output, TRIPS) == {"left_rows": 3, "right_rows": 3}
+    assert parity.require_parity(output, output, TRIPS) == {"left_rows": 4, "right_rows": 4}
     assert parity.multiset_diff(output, output, TRIPS.output_columns).count() == 0
 
 
 def test_missing_row(output):
-    less = output.where("trip_distance <> 1.0")
+    less = output.where("trip_distance <> 3.5")
     with pytest.raises(ValueError, match=r"mismatch: counts=\(1, 0\)"):
         parity.require_parity(output, less, TRIPS)
     found = parity.multiset_diff(output, less, TRIPS.output_columns).collect()
-    assert [(r.trip_distance, r.lhs, r.rhs) for r in found] == [(1.0, 1, 0)]
+    assert [(r.trip_distance, r.lhs, r.rhs) for r in found] == [(3.5, 1, 0)]
 
 
 def test_equal_duplicates_still_fail(output):
-    doubled = output.unionByName(output.where("trip_distance = 1.0"))
+    doubled = output.unionByName(output.where("trip_distance = 3.5"))
     with pytest.raises(ValueError, match=r"duplicate: counts=\(2, 2\)"):
         parity.require_parity(doubled, doubled, TRIPS)
     assert parity.multiset_diff(doubled, doubled, TRIPS.output_columns).count() == 0
@@ -67,8 +67,8 @@ def test_audit(output):
     for rule, df in broken.items():
         # A fare takes part in the bucket, a drop-off in the duration, and so on.
         counts = dict(parity.audit_rows(df, TRIPS, 8).collect())
-        assert counts[rule] == 3, rule
-    with pytest.raises(ValueError, match="hour_differs=3"):
+        assert counts[rule] == 4, rule
+    with pytest.raises(ValueError, match="hour_differs=4"):
         parity.require_clean_audit(broken["hour_differs"], TRIPS, 8)
 
 
@@ -83,13 +83,21 @@ def test_compare_files(spark, output, tmp_path):
     left, right, less = (str(tmp_path / n) for n in ("left", "right", "less"))
     write_bucketed(output, left)
     write_bucketed(output.coalesce(1), right, rebalance=False)
-    write_bucketed(output.where("trip_distance <> 1.0"), less)
+    write_bucketed(output.where("trip_distance <> 3.5"), less)
     found = P.compare(spark, left, right, buckets=8)
-    assert found == {"exact_match": True, "bucket_count": 8, "left_rows": 3, "right_rows": 3}
+    assert found == {"exact_match": True, "bucket_count": 8, "left_rows": 4, "right_rows": 4}
     with pytest.raises(ValueError, match="mismatch"):
         P.compare(spark, left, less, buckets=8)
     with pytest.raises(ValueError, match="wrong_bucket"):
         P.compare(spark, left, right, buckets=16)
+    moved = str(tmp_path / "moved")
+    write_bucketed(output.selectExpr("* EXCEPT (bucket)", "(bucket + 1) % 8 AS bucket"), moved)
+    with pytest.raises(ValueError, match="wrong_bucket"):
+        P.compare(spark, left, moved, buckets=8)
+    with pytest.raises(ValueError, match="number of buckets"):
+        P.compare(spark, left, moved)
+    with pytest.raises(ValueError, match="with itself"):
+        P.compare(spark, left, f"{tmp_path}/less/../left", buckets=8)
 
 
 def test_compare_refuses_other_layouts(spark, output, tmp_path):
