@@ -1,6 +1,8 @@
 """Quality classifier: a regularised quadratic discriminant over document statistics.
 
-Each document becomes a short vector of transformed statistics. Class means and
+Each document becomes a short vector of transformed statistics. Shares of a few words
+say little, so a text of n words has its statistics drawn towards the training
+mean, by n / (n + RELIABLE). Class means and
 covariances come from sums that Spark aggregates, so training reads every
 labelled row and the driver sees two small matrices. Each class covariance is
 shrunk towards the pooled one and then towards its own diagonal; the score is
@@ -25,12 +27,16 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factprep.llm.common import stored
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STATISTICS = (
     "words", "word_bytes", "word_spread", "upper", "digits", "symbols", "bars", "shouts", "stops",
     "distinct_words", "line_words", "repeated_lines", "packed",
 )
+#: Words at which a text's own statistics count as much as the mean.
+RELIABLE = 20
 UPPER = bytes(range(65, 91))
 DIGITS = b"0123456789"
 SYMBOLS = b"#$%&*@^~<>=+/\\_{}[]`"
@@ -73,6 +79,7 @@ class Discriminant:
     """Per class (0, 1): log prior, mean and inverse Cholesky factor with its log-determinant."""
 
     prior: tuple[float, float]
+    mean: np.ndarray | None = None
     means: np.ndarray | None = None
     whitening: np.ndarray | None = None
     halves: np.ndarray | None = None
@@ -80,6 +87,8 @@ class Discriminant:
     def score(self, rows: np.ndarray) -> np.ndarray:
         if self.means is None:
             return np.full(len(rows), self.prior[1])
+        words = np.expm1(rows[:, :1])
+        rows = self.mean + words / (words + RELIABLE) * (rows - self.mean)
         odds = np.zeros(len(rows))
         for c, sign in ((0, -1), (1, 1)):
             z = (rows - self.means[c]) @ self.whitening[c].T
@@ -88,10 +97,18 @@ class Discriminant:
 
 
 def fit(rows: DataFrame, *, towards_pooled: float = 0.1, towards_diagonal: float = 0.05) -> Discriminant:
-    """Learn from (text, __label) rows; two passes of sums, all on Spark."""
+    """Learn from (text, __label) rows: sums over their statistics, all on Spark."""
     p = len(STATISTICS)
-    x = rows.select("__label", F.pandas_udf(_statistics, "array<double>")(F.col("text").cast("binary")).alias("x"))
-    at = [F.col("x")[i] for i in range(p)]
+    x = stored(
+        rows.select("__label", F.pandas_udf(_statistics, "array<double>")(F.col("text").cast("binary")).alias("x")),
+        "statistics",
+    )
+    mean = np.array(x.agg(*[F.avg(F.col("x")[i]) for i in range(p)]).first(), float)
+    weight = F.expm1(F.col("x")[0]) / (F.expm1(F.col("x")[0]) + RELIABLE)
+    # Without rows there is no mean, and nothing to draw towards it.
+    drawn = [(m + F.col("weight") * (F.col("x")[i] - m)).alias(f"x{i}") for i, m in enumerate(np.nan_to_num(mean).tolist())]
+    x = x.withColumn("weight", weight).select("__label", *drawn)
+    at = [F.col(f"x{i}") for i in range(p)]
     sums = [F.sum(a).alias(f"s{i}") for i, a in enumerate(at)]
     products = [F.sum(at[i] * at[j]).alias(f"p{i}_{j}") for i in range(p) for j in range(i, p)]
     found = {r["__label"]: r for r in x.groupBy("__label").agg(F.count("*").alias("n"), *sums, *products).collect()}
@@ -114,7 +131,7 @@ def fit(rows: DataFrame, *, towards_pooled: float = 0.1, towards_diagonal: float
         factor = np.linalg.cholesky(own)
         whitening[c] = np.linalg.inv(factor)
         halves[c] = np.log(np.diag(factor)).sum()
-    return Discriminant(tuple(counts / total), means, whitening, halves)
+    return Discriminant(tuple(counts / total), mean, means, whitening, halves)
 
 
 def with_scores(docs: DataFrame, model: Discriminant, text: str = "text", score: str = "score") -> DataFrame:
