@@ -125,12 +125,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    # Every run of lines of at least 50 words that is as short as its first or last line allows,
+    # compared line by line with all earlier ones.
+    "op3_line_dedup": r"""
+        WITH texts AS (
+          SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents
+        ), lines AS (
+          SELECT doc_id, unnest(range(1, len(ls) + 1)) AS pos, unnest(ls) AS line FROM texts
+        ), summed AS (
+          SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM (
+            SELECT *, greatest(1, len(regexp_extract_all(line, '[^ \t\r\x0b\x0c]+'))) AS w FROM lines)
+        ), runs AS (
+          SELECT a.doc_id, a.pos AS first, min(b.pos) AS last FROM summed a JOIN summed b
+            ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.upto - a.upto + a.w >= 50 GROUP BY a.doc_id, a.pos
+          UNION
+          SELECT b.doc_id, max(a.pos), b.pos FROM summed a JOIN summed b
+            ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.upto - a.upto + a.w >= 50 GROUP BY b.doc_id, b.pos
+        ), ranked AS (
+          SELECT r.*, row_number() OVER (PARTITION BY ls[first:last] ORDER BY r.doc_id, first) AS copy
+          FROM runs r JOIN texts USING (doc_id)
+        ), gone AS (
+          SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS pos FROM ranked WHERE copy > 1
+        ), islands AS (
+          SELECT doc_id, min(pos) - 1 AS first, max(pos) - 1 AS last, count(*) AS n FROM (
+            SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM gone)
+          GROUP BY doc_id, island
+        ), listed AS (
+          SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_deleted, string_agg(first || '-' || last, ',' ORDER BY first) AS runs
+          FROM islands GROUP BY doc_id
+        ), kept AS (
+          SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text
+          FROM lines ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, coalesce(n_deleted, 0) AS n_deleted,
+               coalesce(runs, '') AS deleted_lines, sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM texts LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
     "op4_url_rules": r"""
         WITH parts AS (
-          SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS at FROM pages
+          SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS mark FROM pages
         ), rest AS (
-          SELECT page_id, url, CASE WHEN at > 0 THEN substr(url, at + 3) ELSE '' END AS rest,
-                 CASE WHEN at > 0 THEN substr(url, 1, at + 2) ELSE '' END AS scheme FROM parts
+          SELECT page_id, url, CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS rest,
+                 CASE WHEN mark > 0 THEN substr(url, 1, mark + 2) ELSE '' END AS scheme FROM parts
         ), cut AS (
           SELECT page_id, scheme, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM rest
         ), named AS (
