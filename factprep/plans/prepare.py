@@ -174,18 +174,18 @@ def prepare(
     # Several small aggregates follow; each footer is read once.
     files = files.persist(StorageLevel.MEMORY_AND_DISK)
     inventory.check_files(files, contract)
-    sizes = inventory.totals(files).first()
+    sizes = inventory.summary(files, contract.columns)
     if not sizes.files:
         raise ValueError(f"No Parquet inputs in {source}")
-    dim = read_dimension(spark, zones)
+    # Checked, measured and looked up in every role; parsed once.
+    dim = read_dimension(spark, zones).persist(StorageLevel.MEMORY_AND_DISK)
     dim_bytes = require_dimension(dim)
     buckets = buckets or B.choose_count(sizes.row_count, bucket_bytes)
-    digest = inventory.manifest_digest(files)
+    digest = sizes.digest
     if reuse_staging:
         require_staging(spark, reuse_staging, contract, digest)
 
-    read_bytes = inventory.projected_bytes(files, contract.columns)
-    partitions = B.choose_partitions(read_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = B.choose_partitions(sizes.projected_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
     split = B.choose_split(sizes.bytes, _split_bytes(spark))
 
     facts = dict(
@@ -254,6 +254,7 @@ def prepare(
         raise
     finally:
         files.unpersist()
+        dim.unpersist()
     if runs:
         runlog.record(
             spark,

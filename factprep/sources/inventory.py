@@ -13,7 +13,7 @@ import pandas as pd
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from factprep.contract import FactContract
@@ -118,29 +118,44 @@ def fingerprint(spark: SparkSession, path: str) -> str:
     return files.agg(F.sha2(lines, 256).alias("sha256")).first().sha256
 
 
-def projected_bytes(files: DataFrame, columns: Sequence[str]) -> int:
-    """Uncompressed bytes of some columns over all files."""
-    sizes = F.from_json("column_bytes", "map<string,bigint>")
-    read = sum((F.coalesce(F.element_at(F.col("s"), c), F.lit(0)) for c in columns), F.lit(0))
-    return files.withColumn("s", sizes).agg(F.sum(read)).first()[0] or 0
-
-
-def totals(files: DataFrame) -> DataFrame:
-    return files.agg(
+def _totals() -> list[Column]:
+    return [
         F.count("*").alias("files"),
         F.sum("bytes").alias("bytes"),
         F.sum("uncompressed_bytes").alias("uncompressed_bytes"),
         F.sum("row_count").alias("row_count"),
-    )
+    ]
+
+
+def totals(files: DataFrame) -> DataFrame:
+    return files.agg(*_totals())
+
+
+def _projected(columns: Sequence[str]) -> Column:
+    sizes = F.from_json("column_bytes", "map<string,bigint>")
+    read = sum((F.coalesce(F.element_at(sizes, c), F.lit(0)) for c in columns), F.lit(0))
+    return F.coalesce(F.sum(read), F.lit(0)).alias("projected_bytes")
+
+
+def projected_bytes(files: DataFrame, columns: Sequence[str]) -> int:
+    """Uncompressed bytes of some columns over all files."""
+    return files.agg(_projected(columns)).first()[0]
+
+
+def _digest() -> Column:
+    key = F.xxhash64("path", "bytes", "uncompressed_bytes", "row_count")
+    parts = [F.count("*"), F.sum("bytes"), F.sum("row_count"), F.bit_xor(key), F.sum(key.cast("decimal(38,0)"))]
+    return F.concat_ws("-", *[F.coalesce(p.cast("string"), F.lit("None")) for p in parts]).alias("digest")
 
 
 def manifest_digest(files: DataFrame) -> str:
     """One text that differs when the set of files, their sizes or rows differ."""
-    key = F.xxhash64("path", "bytes", "uncompressed_bytes", "row_count")
-    row = files.agg(
-        F.count("*"), F.sum("bytes"), F.sum("row_count"), F.bit_xor(key), F.sum(key.cast("decimal(38,0)"))
-    ).first()
-    return "-".join(str(v) for v in row)
+    return files.agg(_digest()).first()[0]
+
+
+def summary(files: DataFrame, columns: Sequence[str]) -> Row:
+    """Totals, bytes of some columns and digest of the files, in one pass."""
+    return files.agg(*_totals(), _projected(columns), _digest()).first()
 
 
 def prefix_by_count(files: DataFrame, count: int, order: list[str] | None = None) -> DataFrame:
