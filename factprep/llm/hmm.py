@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import sys
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,7 +42,9 @@ HEAD = 1 << 18
 STATES = 8
 ROUNDS = 3
 #: Tokens whose recursion runs side by side, words counted before a task passes them on.
-BATCH, COUNTED = 2_000_000, 400_000
+BATCH, COUNTED = 1_500_000, 400_000
+#: Texts whose symbols are passed on at a time.
+ENCODED_ROWS = 500
 #: Most tasks of a training round, as each returns counts for up to HEAD words.
 TASKS = 4096
 #: Pseudo-counts of the word distribution in every state, and of each transition.
@@ -175,60 +178,63 @@ def first_model(words: Vocabulary, states: int = STATES) -> Model:
 
 
 class Packed:
-    """Symbol sequences laid out by time: all first symbols, then all second ones; longest sequence first."""
+    """Sequences laid out by time: all first symbols, then all second ones; longest sequence first."""
 
-    def __init__(self, sequences: list[np.ndarray]):
-        lengths = np.array([len(s) for s in sequences])
+    def __init__(self, values: np.ndarray, lengths: np.ndarray):
+        begin = np.cumsum(lengths) - lengths
         self.order = np.argsort(-lengths, kind="stable")
-        lengths = lengths[self.order]
-        steps = int(lengths[0])
+        lengths, begin = lengths[self.order], begin[self.order]
         # Sequences still running at each time.
-        self.active = len(lengths) - np.searchsorted(lengths[::-1], np.arange(1, steps + 1), side="left")
-        self.offsets = np.concatenate(([0], np.cumsum(self.active)))
-        begin = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        time = np.arange(int(lengths.sum())) - np.repeat(begin, lengths)
-        row = np.repeat(np.arange(len(lengths)), lengths)
+        self.active = len(lengths) - np.searchsorted(lengths[::-1], np.arange(1, int(lengths[0]) + 1), side="left")
+        self.offsets = np.cumsum(self.active) - self.active
+        first = np.cumsum(lengths) - lengths
+        time = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
         self.symbols = np.empty(len(time), np.int64)
-        self.symbols[self.offsets[time] + row] = np.concatenate([sequences[i] for i in self.order])
+        self.symbols[self.offsets[time] + np.repeat(np.arange(len(lengths)), lengths)] = values[
+            np.repeat(begin, lengths) + time
+        ]
 
 
-def forward(packed: Packed, model: Model, kind: type = np.float64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Emissions, scaled forward probabilities and scales of every token."""
-    emitted = model.emissions.astype(kind)[packed.symbols]
-    moves, alpha = model.moves.astype(kind), np.empty_like(emitted)
-    scales = np.empty(len(emitted), kind)
+def forward(packed: Packed, model: Model, emitted: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Scales of every token, and on request the scaled forward probabilities."""
+    moves = model.moves.astype(emitted.dtype)
+    alpha, scales = np.empty_like(emitted) if keep else None, np.empty(len(emitted), emitted.dtype)
     offsets, active = packed.offsets.tolist(), packed.active.tolist()
-    now = model.start.astype(kind) * emitted[: active[0]]
+    now = model.start.astype(emitted.dtype) * emitted[: active[0]]
     for t, n in enumerate(active):
         o = offsets[t]
         if t:
-            now = (now[:n] @ moves) * emitted[o : o + n]
+            now = now[:n] @ moves
+            now *= emitted[o : o + n]
         scale = now.sum(axis=1)
         now /= scale[:, None]
-        alpha[o : o + n] = now
         scales[o : o + n] = scale
-    return emitted, alpha, scales
+        if keep:
+            alpha[o : o + n] = now
+    return scales, alpha
 
 
-def log_likelihoods(sequences: list[np.ndarray], model: Model) -> np.ndarray:
-    """log10 probability of each sequence of symbols."""
-    packed = Packed(sequences)
-    _, _, scales = forward(packed, model)
-    logs, out = np.log10(scales), np.zeros(len(sequences))
-    for t, n in enumerate(packed.active.tolist()):
-        o = int(packed.offsets[t])
+def log_likelihoods(values: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:
+    """log10 probability of each of the sequences that lie one after the other in ``values``."""
+    packed = Packed(values, lengths)
+    scales, _ = forward(packed, model, model.emissions[packed.symbols], False)
+    logs, out = np.log10(scales), np.zeros(len(lengths))
+    for o, n in zip(packed.offsets.tolist(), packed.active.tolist(), strict=True):
         out[:n] += logs[o : o + n]
     back = np.empty_like(out)
     back[packed.order] = out
     return back
 
 
-def expected_counts(sequences: list[np.ndarray], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def expected_counts(
+    values: np.ndarray, lengths: np.ndarray, model: Model
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected starts, moves and emissions (symbol, state) of the sequences."""
     kind = np.float32
-    packed = Packed(sequences)
-    emitted, alpha, scales = forward(packed, model, kind)
-    states, moves = len(model.start), model.moves.astype(kind)
+    packed = Packed(values, lengths)
+    emitted = model.emissions.astype(kind)[packed.symbols]
+    scales, alpha = forward(packed, model, emitted, True)
+    states, back = len(model.start), model.moves.astype(kind).T
     offsets, active = packed.offsets.tolist(), packed.active.tolist()
     seen = np.zeros((states, states))
     emitted /= scales[:, None]
@@ -240,67 +246,111 @@ def expected_counts(sequences: list[np.ndarray], model: Model) -> tuple[np.ndarr
             p = offsets[t + 1]
             inner = emitted[p : p + later] * beta[:later]
             seen += alpha[o : o + later].T @ inner
-            beta[:later] = inner @ moves.T
-        beta[later:n] = 1
+            beta[:later] = inner @ back
         alpha[o : o + n] *= beta[:n]
         later = n
     symbols = model.emissions.shape[0]
-    counts = np.stack([np.bincount(packed.symbols, alpha[:, k], symbols) for k in range(states)], axis=1)
+    counts = np.stack([np.bincount(packed.symbols, a, symbols) for a in np.ascontiguousarray(alpha.T)], axis=1)
     return alpha[: active[0]].sum(axis=0, dtype=float), seen * model.moves, counts
 
 
-def encode(text: bytes | None, numbers: dict[bytes, int], classes: int) -> np.ndarray:
-    """Symbols of a whole text, its end included."""
-    words = tokens(text)
-    get = numbers.get
-    found = [get(w, -1) for w in words]
-    found.append(classes + CLASSES)
-    symbols = np.array(found, np.int64)
-    for i in np.flatnonzero(symbols < 0).tolist():
-        symbols[i] = classes + word_class(words[i])
-    return symbols
+def encode(words: list[bytes], numbers: dict[bytes, int]) -> tuple[list[int], list[int]]:
+    """Symbols of a whole text, its end included, and the places of its rest words."""
+    get, head = numbers.get, len(numbers)
+    symbols = [get(w, -1) for w in words]
+    symbols.append(head + CLASSES)
+    rest = [i for i, s in enumerate(symbols) if s < 0]
+    for i in rest:
+        symbols[i] = head + word_class(words[i])
+    return symbols, rest
+
+
+ENCODED = (
+    "doc_id long, held_out boolean, t1 long, t2 long, symbols array<int>, rest array<struct<word: binary, n: long>>"
+)
+
+
+def encode_texts(docs: DataFrame, words: Vocabulary) -> DataFrame:
+    """Every text as symbols, with its rest words and how often it has them."""
+    known = docs.sparkSession.sparkContext.broadcast(words.words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = {w: i for i, w in enumerate(known.value)}
+        for batch in batches:
+            texts = batch.column("text")
+            for at in range(0, len(batch), ENCODED_ROWS):
+                symbols, ends, spelled, times, rest_ends = array("i"), [0], [], [], [0]
+                for text in texts.slice(at, ENCODED_ROWS).to_pylist():
+                    own = tokens(text)
+                    found, rest = encode(own, numbers)
+                    symbols.extend(found)
+                    ends.append(len(symbols))
+                    if rest:
+                        counted = Counter([own[i] for i in rest])
+                        spelled.extend(counted.keys())
+                        times.extend(counted.values())
+                    rest_ends.append(len(spelled))
+                rest_words = pa.StructArray.from_arrays(
+                    [pa.array(spelled, pa.binary()), pa.array(times, pa.int64())], names=["word", "n"]
+                )
+                part = batch.slice(at, ENCODED_ROWS)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(c) for c in ("doc_id", "held_out", "t1", "t2")),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(symbols, np.int32))),
+                        pa.ListArray.from_arrays(pa.array(rest_ends, pa.int32()), rest_words),
+                    ],
+                    names=["doc_id", "held_out", "t1", "t2", "symbols", "rest"],
+                )
+
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        held_out().alias("held_out"),
+        F.xxhash64(text).alias("t1"),
+        F.xxhash64(F.lit(1), text).alias("t2"),
+        F.col("text").cast("binary").alias("text"),
+    )
+    return keyed.mapInArrow(run, ENCODED)
+
+
+def sequences(column: pa.ListArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, past the last, values, lengths) of the column's lists, about BATCH values at a time."""
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + BATCH, side="right")) - 1)
+        to = min(to, len(column))
+        yield at, to, values[ends[at] : ends[to]], np.diff(ends[at : to + 1])
+        at = to
 
 
-def train(training: DataFrame, words: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch over all training texts, one pass for each round."""
-    spark = training.sparkSession
-    known = spark.sparkContext.broadcast(words.words)
-    model, head, totals = first_model(words, states), len(words.words), words.totals()
+def train(encoded: DataFrame, words: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> Model:
+    """Baum-Welch over the symbols of all training texts, one pass for each round."""
+    spark = encoded.sparkSession
+    model, totals = first_model(words, states), words.totals()
     if not words.documents:
         return model
     share = (totals + 1e-3) / (totals + 1e-3).sum()
-    texts = training.select(F.col("text").cast("binary")).coalesce(TASKS)
+    texts = encoded.select("symbols").coalesce(TASKS)
     names = [f"s{k}" for k in range(states)]
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast(model)
 
         def expect(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            numbers, now = {w: i for i, w in enumerate(known.value)}, sent.value
+            now = sent.value
             sums = np.zeros((now.emissions.shape[0] + states + 1, states))
-            waiting: list[np.ndarray] = []
-
-            def add() -> None:
-                if waiting:
-                    starts, moves, counts = expected_counts(waiting, now)
+            for batch in batches:
+                for _, _, values, lengths in sequences(batch.column(0)):
+                    starts, moves, counts = expected_counts(values, lengths, now)
                     sums[0] += starts
                     sums[1 : states + 1] += moves
                     sums[states + 1 :] += counts
-                    waiting.clear()
-
-            size = 0
-            for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    waiting.append(encode(text, numbers, head))
-                    size += len(waiting[-1])
-                    if size > BATCH:
-                        add()
-                        size = 0
-            add()
             rows = np.flatnonzero(sums.any(axis=1))
-            arrays = [pa.array(rows), *(pa.array(sums[rows, k]) for k in range(states))]
+            arrays = [pa.array(rows), *(pa.array(sums[rows, k], pa.float32()) for k in range(states))]
             yield pa.RecordBatch.from_arrays(arrays, names=["row", *names])
 
-        parts = texts.mapInArrow(expect, "row long, " + ", ".join(f"{n} double" for n in names))
+        parts = texts.mapInArrow(expect, "row long, " + ", ".join(f"{n} float" for n in names))
         found = parts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
         sums = np.zeros((words.symbols + states + 1, states))
         sums[found["row"].to_numpy()] = np.stack([found[n].to_numpy() for n in names], axis=1)
@@ -314,69 +364,43 @@ def train(training: DataFrame, words: Vocabulary, states: int = STATES, rounds:
 
 # --- scores -----------------------------------------------------------------
 
-SCORED = (
-    "doc_id long, held_out boolean, t1 long, t2 long, n_tokens long, head_known long, head_base double, "
-    "head_score double, rest array<struct<word: binary, n: long>>"
-)
+SCORED = "doc_id long, held_out boolean, t1 long, t2 long, n_tokens long, head_known long, head_base double, head_score double"
 
 
-def score(docs: DataFrame, words: Vocabulary, counts: DataFrame, model: Model) -> DataFrame:
+def score(encoded: DataFrame, words: Vocabulary, counts: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row."""
-    spark = docs.sparkSession
-    known, sent = spark.sparkContext.broadcast(words.words), spark.sparkContext.broadcast(model)
+    sent = encoded.sparkSession.sparkContext.broadcast(model)
     head = len(words.words)
     base = np.log10(np.concatenate((words.counts, np.zeros(CLASSES), [words.documents])) + 1.0)
     # A rest word's share of its class: (count + 1) / (tokens + words + novel words + 1); the counts are joined below.
     shares = np.zeros(words.symbols)
     shares[head : head + CLASSES] = -np.log10(words.class_tokens + words.class_words + words.once + 1.0)
-    known_end, end = words.documents > 0, words.end
-    word_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+    listed = np.ones(words.symbols, np.int64)
+    listed[head : head + CLASSES] = 0
+    listed[words.end] = words.documents > 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, now = {w: i for i, w in enumerate(known.value)}, sent.value
+        now = sent.value
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            encoded = [encode(t, numbers, head) for t in texts]
-            scores = np.zeros(len(texts))
-            at = 0
-            while at < len(texts):
-                size, to = 0, at
-                while to < len(texts) and (to == at or size + len(encoded[to]) <= BATCH // 2):
-                    size += len(encoded[to])
-                    to += 1
-                scores[at:to] = log_likelihoods(encoded[at:to], now)
-                at = to
-            rest, heads, bases = [], [], []
-            for i, symbols in enumerate(encoded):
-                unlisted = np.flatnonzero((symbols >= head) & (symbols < end)).tolist()
-                own = tokens(texts[i]) if unlisted else ()
-                rest.append([{"word": w, "n": n} for w, n in Counter(own[j] for j in unlisted).items()])
-                heads.append(len(symbols) - len(unlisted) - (not known_end))
-                bases.append(float(base[symbols].sum()))
-                scores[i] += shares[symbols].sum()
-            lengths = [len(s) for s in encoded]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in ("doc_id", "held_out", "t1", "t2")),
-                    *(pa.array(x, pa.int64()) for x in (lengths, heads)),
-                    *(pa.array(x, pa.float64()) for x in (bases, scores)),
-                    pa.array(rest, word_type),
-                ],
-                names=[c.split()[0] for c in ("doc_id held_out t1 t2 n_tokens head_known head_base head_score rest").split()],
-            )
-
-    keyed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        held_out().alias("held_out"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("t1"),
-        F.xxhash64(F.lit(1), F.coalesce("text", F.lit(""))).alias("t2"),
-        F.col("text").cast("binary").alias("text"),
-    )
-    rows = stored(keyed.mapInArrow(run, SCORED), "scored")
+            for at, to, values, lengths in sequences(batch.column("symbols")):
+                begin = np.cumsum(lengths) - lengths
+                results = [
+                    pa.array(lengths, pa.int64()),
+                    pa.array(np.add.reduceat(listed[values], begin)),
+                    pa.array(np.add.reduceat(base[values], begin)),
+                    pa.array(log_likelihoods(values, lengths, now) + np.add.reduceat(shares[values], begin)),
+                ]
+                part = batch.slice(at, to - at)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in ("doc_id", "held_out", "t1", "t2")), *results],
+                    names=[c.split()[0] for c in SCORED.split(", ")],
+                )
+
+    rows = encoded.select("doc_id", "held_out", "t1", "t2", "symbols").mapInArrow(run, SCORED)
     # Rest words of equal texts are looked up for each and weighed by their number.
-    copies = rows.groupBy("t1", "t2").agg(F.count("*").alias("copies"))
-    looked = (
-        rows.select("t1", "t2", F.inline("rest"))
+    copies = encoded.groupBy("t1", "t2").agg(F.count("*").alias("copies"))
+    looked = stored(
+        encoded.select("t1", "t2", F.inline("rest"))
         .withColumnRenamed("n", "times")
         .join(counts, "word", "left")
         .groupBy("t1", "t2")
@@ -385,11 +409,12 @@ def score(docs: DataFrame, words: Vocabulary, counts: DataFrame, model: Model) -
             F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rest_known"),
         )
         .join(copies, ["t1", "t2"])
-        .select("t1", "t2", (F.col("rest_log") / F.col("copies")).alias("rest_log"), F.expr("rest_known div copies AS rest_known"))
+        .select("t1", "t2", (F.col("rest_log") / F.col("copies")).alias("rest_log"), F.expr("rest_known div copies AS rest_known")),
+        "rest",
     )
     unit = math.log10(words.tokens + words.types + 1)
     more = F.coalesce("rest_log", F.lit(0.0))
-    return rows.drop("rest").join(looked, ["t1", "t2"], "left").select(
+    return rows.join(looked, ["t1", "t2"], "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
@@ -409,4 +434,5 @@ def scored(docs: DataFrame, head: int = HEAD, states: int = STATES, rounds: int
     training = docs.filter(~held_out())
     counts = stored(word_counts(training), "words")
     words = vocabulary(counts, training.count(), head)
-    return score(docs, words, counts, train(training, words, states, rounds))
+    encoded = stored(encode_texts(docs, words), "encoded")
+    return score(encoded, words, counts, train(encoded.filter("NOT held_out"), words, states, rounds))

@@ -32,7 +32,7 @@ SEQUENCES = [np.array(s) for s in ([0], [1, 2, 3], [4, 4, 0, 1, 2], [3, 1], [2,
 @pytest.mark.parametrize("seed", range(3))
 def test_likelihood_and_counts_are_sums_over_all_paths(seed):
     model = tiny(seed)
-    assert np.allclose(hmm.log_likelihoods(SEQUENCES, model), [math.log10(sum(p for p, _ in paths(s, model))) for s in SEQUENCES])
+    assert np.allclose(hmm.log_likelihoods(*flat(SEQUENCES), model), [math.log10(sum(p for p, _ in paths(s, model))) for s in SEQUENCES])
     starts, moves, emissions = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))
     for s in SEQUENCES:
         total = sum(p for p, _ in paths(s, model))
@@ -42,10 +42,14 @@ def test_likelihood_and_counts_are_sums_over_all_paths(seed):
                 emissions[s[t], k] += p / total
                 if t:
                     moves[states[t - 1], k] += p / total
-    for found, expected in zip(hmm.expected_counts(SEQUENCES, model), (starts, moves, emissions), strict=True):
+    for found, expected in zip(hmm.expected_counts(*flat(SEQUENCES), model), (starts, moves, emissions), strict=True):
         assert np.allclose(found, expected, atol=1e-4)
 
 
+def flat(sequences):
+    return np.concatenate(sequences), np.array([len(s) for s in sequences])
+
+
 def corpus(count=120):
     rng = random.Random(9)
     texts = [" ".join(w if rng.random() < 0.9 else f"R{rng.randint(0, 10**6)}." for w in prose(rng, rng.randint(0, 60))) for _ in range(count)]
@@ -72,14 +76,15 @@ def test_scores_are_those_of_the_model(spark):
     training = docs.filter(~hmm.held_out())
     counts = hmm.word_counts(training).cache()
     words = hmm.vocabulary(counts, training.count(), 50)
-    model = hmm.train(training, words, 3, 2)
+    encoded = hmm.encode_texts(docs, words).cache()
+    model = hmm.train(encoded.filter("NOT held_out"), words, 3, 2)
     every = {bytes(r.word): r.n for r in counts.collect()}
     numbers = {w: i for i, w in enumerate(words.words)}
     rest = [w for w in every if w not in numbers]
-    for r in hmm.score(docs, words, counts, model).collect():
+    for r in hmm.score(encoded, words, counts, model).collect():
         text = corpus()[r.doc_id]
         tokens = hmm.tokens(None if text is None else text.encode())
-        expected = hmm.log_likelihoods([hmm.encode(b" ".join(tokens), numbers, 50)], model)[0]
+        expected = hmm.log_likelihoods(*flat([np.array(hmm.encode(tokens, numbers)[0])]), model)[0]
         for w in tokens:
             if w not in numbers:
                 same = [x for x in rest if hmm.word_class(x) == hmm.word_class(w)]
@@ -95,8 +100,9 @@ def test_training_raises_the_likelihood(spark, monkeypatch):
     counts = hmm.word_counts(docs)
     words = hmm.vocabulary(counts, docs.count(), 10_000)
     numbers = {w: i for i, w in enumerate(words.words)}
-    sequences = [hmm.encode((t or "").encode(), numbers, len(words.words)) for t in corpus(60)]
-    likely = [hmm.log_likelihoods(sequences, hmm.train(docs, words, 4, n)).sum() for n in (1, 2, 4)]
+    sequences = [np.array(hmm.encode(hmm.tokens((t or "").encode()), numbers)[0]) for t in corpus(60)]
+    encoded = hmm.encode_texts(docs, words).cache()
+    likely = [hmm.log_likelihoods(*flat(sequences), hmm.train(encoded, words, 4, n)).sum() for n in (1, 2, 4)]
     assert likely[0] < likely[1] < likely[2]
 
 
