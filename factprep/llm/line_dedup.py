@@ -171,11 +171,13 @@ def copied_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     )
     keyed = stored(keyed, "runs")
     place = F.struct(*KEY, "start")
-    first = (
+    # Stored, as only a join of two shuffles is split where one key has many rows.
+    first = stored(
         keyed.groupBy("size", "a", "b")
         .agg(F.min(place).alias("first"), F.count("*").alias("n"))
         .filter("n > 1")
-        .drop("n")
+        .drop("n"),
+        "intervals",
     )
     return keyed.join(first, ["size", "a", "b"]).filter(place > F.col("first")).select(*KEY, "start", "size")
 
@@ -209,10 +211,11 @@ def _delete(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
 
 def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with their kept ``text``, ``deleted`` (maximal runs of deleted lines) and ``lines`` (before)."""
-    runs = (
+    runs = stored(
         copied_runs(docs, doc_id, text, min_words)
         .groupBy(*KEY)
-        .agg(F.collect_set(F.struct("start", "size")).alias("__runs"))
+        .agg(F.collect_set(F.struct("start", "size")).alias("__runs")),
+        "copies",
     )
     joined = _keyed(docs, doc_id, text).join(runs, KEY, "left")
     return (

@@ -266,7 +266,11 @@ def link_edges(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     block = int(min(MOST_BLOCK, max(LEAST_BLOCK, 2 * expected / parts)))
     sizes = filed.groupBy("bucket").agg(F.count("*").alias("n"))
-    large = sizes.filter(F.col("n") > block).select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    # Stored, as only a join of two shuffles is split where one key has many rows.
+    large = stored(
+        sizes.filter(F.col("n") > block).select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks")),
+        "large",
+    )
     placed = filed.join(large, "bucket", "left")
     own = F.pmod(F.xxhash64("print", F.lit("block")), F.col("blocks")).cast("int")
     # A row of a large bucket goes to every pair of blocks that holds its own.
@@ -296,14 +300,15 @@ def components(edges: DataFrame) -> DataFrame:
     known = size(now)
     while known[0]:
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("low"))
-        large = (
+        low = stored(both.groupBy("u").agg(F.min("v").alias("low")), "lowest")
+        large = stored(
             both.join(low, "u")
             .filter("v > u")
             .select(F.col("v").alias("u"), F.least("u", "low").alias("v"))
-            .distinct()
+            .distinct(),
+            "links",
         )
-        low = large.groupBy("u").agg(F.min("v").alias("low"))
+        low = stored(large.groupBy("u").agg(F.min("v").alias("low")), "lowest")
         small = large.join(low, "u")
         now = stored(
             small.select("u", F.col("low").alias("v"))

@@ -101,6 +101,8 @@ def token_counts(pages: DataFrame, url: str, tokens: Iterable[str]) -> dict[str,
     spark = pages.sparkSession
     named = spark.createDataFrame([(t,) for t in wanted], "token string")
     held = pages.select(F.explode(F.array_distinct(F.split(F.lower(F.col(url)), "[^a-z0-9]+"))).alias("token"))
+    # The rules' tokens come from the driver; a list beyond a block of rules is left to Spark's own choice.
+    named = F.broadcast(named) if len(wanted) <= BLOCK else named
     return {r.token: r.n for r in held.join(named, "token").groupBy("token").agg(F.count("*").alias("n")).collect()}
 
 
