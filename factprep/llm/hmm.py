@@ -26,7 +26,7 @@ import sys
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -335,10 +335,10 @@ def train(encoded: DataFrame, words: Vocabulary, states: int = STATES, rounds: i
     texts = encoded.select("symbols").coalesce(TASKS)
     names = [f"s{k}" for k in range(states)]
     for _ in range(rounds):
-        sent = spark.sparkContext.broadcast(model)
+        sent = spark.sparkContext.broadcast(astuple(model))
 
         def expect(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            now = sent.value
+            now = Model(*sent.value)
             sums = np.zeros((now.emissions.shape[0] + states + 1, states))
             for batch in batches:
                 for _, _, values, lengths in sequences(batch.column(0)):
@@ -369,7 +369,7 @@ SCORED = "doc_id long, held_out boolean, t1 long, t2 long, n_tokens long, head_k
 
 def score(encoded: DataFrame, words: Vocabulary, counts: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row."""
-    sent = encoded.sparkSession.sparkContext.broadcast(model)
+    sent = encoded.sparkSession.sparkContext.broadcast(astuple(model))
     head = len(words.words)
     base = np.log10(np.concatenate((words.counts, np.zeros(CLASSES), [words.documents])) + 1.0)
     # A rest word's share of its class: (count + 1) / (tokens + words + novel words + 1); the counts are joined below.
@@ -380,7 +380,7 @@ def score(encoded: DataFrame, words: Vocabulary, counts: DataFrame, model: Model
     listed[words.end] = words.documents > 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = sent.value
+        now = Model(*sent.value)
         for batch in batches:
             for at, to, values, lengths in sequences(batch.column("symbols")):
                 begin = np.cumsum(lengths) - lengths
