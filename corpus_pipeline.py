@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factprep.llm import decontaminate, line_dedup, packing, quality, simhash
-from factprep.llm.common import labelled, table
+from factprep.llm.common import bounded_batches, labelled, table
 from factprep.session import scratch_path
 
 
@@ -24,6 +24,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_copied_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of later copies; those of which nothing is left go."""
+    bounded_batches(spark)
     done = line_dedup.without_copies(docs)
     left = done.filter((F.size("deleted") == 0) | (F.length("text") > 0))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
@@ -31,6 +32,7 @@ def without_copied_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate group."""
+    bounded_batches(spark)
     return simhash.first_of_each(docs)
 
 
@@ -41,6 +43,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, packed into sequences."""
+    bounded_batches(spark)
     return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 

@@ -16,11 +16,18 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WORD = re.compile(r"[^\W_]+")
 LEAST_LONG = -(2**63)
+BATCH_BYTES = 4 << 20
 #: Most labelled documents that a classifier learns from.
 LABELLED = 1 << 18
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts travel to Python in batches of at most BATCH_BYTES, or one text, whatever their length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 

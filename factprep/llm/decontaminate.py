@@ -48,8 +48,8 @@ RECALL = 0.95
 #: Coordinates sampled for one key, random walks that the repetitions share, and most repetitions.
 SAMPLED, WALKS, MOST_REPEATS = 3, 8, 128
 BLOCK_WORDS = 60_000
-#: Windows embedded at a time.
-WINDOWS = 16_384
+#: Windows embedded at a time, and texts searched together at least.
+WINDOWS, ROWS = 16_384, 8192
 MATCHES = "array<struct<item: int, start: int, words: int, distance: int>>"
 
 
@@ -262,10 +262,26 @@ def search(texts: Iterable[str | None], block: Block) -> list[list[tuple[int, in
 
 
 def _searcher(block: Block):
+    names = ("item", "start", "words", "distance")
+
     @F.pandas_udf(MATCHES)
-    def matches(texts: pd.Series) -> pd.Series:
-        names = ("item", "start", "words", "distance")
-        return pd.Series([[dict(zip(names, m, strict=True)) for m in found] for found in search(texts, block)], dtype=object)
+    def matches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        # Several batches are searched together; of their texts only the word numbers are held.
+        while True:
+            rows = 0
+
+            def some() -> Iterator[str | None]:
+                nonlocal rows
+                for batch in batches:
+                    rows += len(batch)
+                    yield from batch
+                    if rows >= ROWS:
+                        break
+
+            found = search(some(), block)
+            if not rows:
+                return
+            yield pd.Series([[dict(zip(names, m, strict=True)) for m in ms] for ms in found], dtype=object)
 
     return matches
 
