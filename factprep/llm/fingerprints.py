@@ -248,34 +248,34 @@ def compared_with_edits(docs: DataFrame) -> DataFrame:
     """Each document with an edited text, whose last half is replaced by the start of the next document.
 
     Returns doc_id, n_chars, edited_sha256, and digest arrays own, edited and next.
-    Of rows that share an id, the least text is the next document of others.
+    Of rows that share an id, the least text is the next document of others. An id of -2^63 counts as null.
+
+    Texts are shuffled once, by id; what a document lends to the one before it, no more than that
+    one takes, is shuffled to that one's id.
     """
     rows = docs.select(
-        "doc_id",
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_LONG)).alias("__id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    ids = stored(next_ids(rows.select("__id")), "next")
-    heads = rows.select(F.col("__id").alias("__next"), F.col("text").alias("__text"))
-    several = ids.filter("__rows > 1").select(F.col("__id").alias("__next"))
-    if not several.isEmpty():
-        least = heads.join(several, "__next", "left_semi").groupBy("__next").agg(F.min("__text").alias("__text"))
-        heads = heads.join(several, "__next", "left_anti").unionAll(least)
-    # How much of a document the ones before it take; the rest of its text stays behind.
-    needed = (
-        rows.select("__id", F.floor(F.length("text") / 2).alias("__half"))
-        .join(ids.select("__id", "__next"), "__id")
-        .groupBy("__next")
-        .agg(F.max("__half").alias("__most"))
-    )
-    heads = heads.join(needed, "__next").select(
-        "__next", F.expr("substring(__text, 1, int(__most))").alias("__head"), digests(F.col("__text")).alias("next")
+    halves = rows.groupBy("__id").agg(F.max(F.floor(F.length("text") / 2)).alias("__most"))
+    ids = stored(next_ids(rows.select("__id")).join(halves, "__id"), "next")
+    lent = ids.select(F.col("__next").alias("__id"), F.col("__id").alias("__to"), "__most")
+    placed = rows.join(ids.select("__id", "__rows").join(lent, "__id"), "__id")
+    # Both sides read the same shuffle of the texts.
+    given = placed.select("__to", "__most", "__rows", "__id", "text")
+    if not ids.filter("__rows > 1").isEmpty():
+        several = given.filter("__rows > 1").groupBy("__to", "__most", "__rows", "__id").agg(F.min("text").alias("text"))
+        given = given.filter("__rows = 1").unionAll(several)
+    heads = given.select(
+        F.col("__to").alias("__id"),
+        F.expr("substring(text, 1, int(__most))").alias("__head"),
+        digests(F.col("text")).alias("next"),
     )
-    paired = rows.join(ids.select("__id", "__next"), "__id").join(heads, "__next")
     half = F.expr("CAST(floor(length(text) / 2) AS int)")
     edited = F.expr("concat(substring(text, 1, length(text) - __half), substring(__head, 1, __half))")
+    paired = placed.select("__id", "text").join(heads, "__id")
     return paired.withColumn("__half", half).withColumn("__edited", edited).select(
-        "doc_id",
+        F.expr(f"nullif(__id, {LEAST_LONG + 1}L - 1L)").alias("doc_id"),
         F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("__edited").cast("binary"), 256).alias("edited_sha256"),
         digests(F.col("text")).alias("own"),
