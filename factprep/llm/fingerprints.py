@@ -195,21 +195,24 @@ def with_likeness(rows: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFra
                     F.col(left).alias("left_digests"), F.col(right).alias("right_digests"),
                 )
             )
-            more = more.select(
-                F.col("left").alias("__left"), F.col("right").alias("__right"), F.col("l").alias("__l"), F.col("r").alias("__r")
-            )
-            # Rows that need no retry get a key that no retry has, and spread.
-            open_ = F.col(f"__{name}").isNull()
+            more = stored(
+                more.select(
+                    F.col("left").alias("__left"), F.col("right").alias("__right"), F.lit(True).alias("__open"),
+                    F.col("l").alias("__l"), F.col("r").alias("__r"),
+                ),
+                "retried",
+            )
+            # Rows that need no retry are not open, match nothing and spread by their own digests.
             rows = (
-                rows.withColumns({"__left": F.when(open_, keys["__left"]), "__right": F.when(open_, keys["__right"])})
-                .join(more, ["__left", "__right"], "left")
+                rows.withColumns({**keys, "__open": F.col(f"__{name}").isNull()})
+                .join(more, ["__left", "__right", "__open"], "left")
                 .withColumns(
                     {
                         f"__{name}_l": F.coalesce(F.col("__l"), F.col(f"__{name}.l")),
                         f"__{name}_r": F.coalesce(F.col("__r"), F.col(f"__{name}.r")),
                     }
                 )
-                .drop("__left", "__right", "__l", "__r")
+                .drop("__left", "__right", "__open", "__l", "__r")
             )
         rows = rows.withColumn(name, likeness(left, right, f"__{name}_l", f"__{name}_r")).drop(
             f"__{name}", f"__{name}_l", f"__{name}_r"
