@@ -217,7 +217,8 @@ def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .agg(F.collect_set(F.struct("start", "size")).alias("__runs")),
         "copies",
     )
-    joined = _keyed(docs, doc_id, text).join(runs, KEY, "left")
+    # Merged at any size: rows that repeat one document many times are then split over tasks.
+    joined = _keyed(docs, doc_id, text).join(runs.hint("merge"), KEY, "left")
     return (
         joined.withColumn("__kept", F.pandas_udf(_delete, DELETED)(F.col(text), F.col("__runs")))
         .withColumns({text: F.col("__kept.text"), "deleted": F.col("__kept.deleted"), "lines": F.col("__kept.lines")})
