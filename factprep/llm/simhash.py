@@ -323,6 +323,14 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def with_roots(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Distinct ``print`` values and what is known of each, with their component's ``root``, which is never null."""
+    roots = components(link_edges(distinct.select("print"), distance))
+    return distinct.join(roots, F.col("print") == F.col("node"), "left").select(
+        *distinct.columns, F.coalesce("root", "print").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE
 ) -> DataFrame:
@@ -333,10 +341,7 @@ def near_duplicates(
         "fingerprints",
     )
     distinct = stored(prints.groupBy("print").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(link_edges(distinct.select("print"), distance))
-    member = distinct.join(roots, F.col("print") == F.col("node"), "left").select(
-        "print", "first", F.coalesce("root", "print").alias("root")
-    )
+    member = with_roots(distinct, distance)
     named = member.groupBy("root").agg(F.min("first").alias("component_id"))
     place = member.join(named, "root").select("print", "component_id")
     return prints.join(place, "print").select(
@@ -347,22 +352,37 @@ def near_duplicates(
 def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest id.
 
-    A group without any id keeps one of its documents, as does an id that several
-    rows of the group share.
+    Groups are told apart by their root, not by their name, as groups without an id
+    have none and groups that share an id may share a name. A group without any id
+    keeps one of its documents. Of rows of a group that share the smallest id, the
+    one with the least fingerprint and text digest stays, whichever if they agree.
     """
-    found = near_duplicates(docs, doc_id, text)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__keep"), F.col("fingerprint").alias("__print")
+    digest = F.sha2(F.col(text).cast("binary"), 256)
+    own = with_fingerprints(docs, text, "__own").withColumn("__digest", digest)
+    prints = stored(own.select(F.col(doc_id).alias("doc_id"), F.col("__own").alias("print"), F.col("__digest").alias("digest")), "fingerprints")
+    # Equal rows are counted first, so that rows of one fingerprint are spread by id and text.
+    alike = prints.groupBy("print", "doc_id", "digest").agg(F.count("*").alias("rows"))
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "print", "digest", "rows")
+    distinct = stored(alike.groupBy("print").agg(F.min(first).alias("first")), "distinct")
+    chosen = with_roots(distinct).groupBy("root").agg(F.min("first").alias("first"))
+    keep = stored(
+        chosen.select(
+            F.col("first.doc_id").alias("__keep"),
+            F.col("first.print").alias("__print"),
+            F.col("first.digest").alias("__text"),
+            F.col("first.rows").alias("__rows"),
+        ),
+        "kept",
     )
-    keep = stored(keep.groupBy("__keep").agg(F.min("__print").alias("__print"), F.count("*").alias("__rows")), "kept")
-    own = with_fingerprints(docs, text, "__own")
-    kept = (
-        own.join(keep, own[doc_id].eqNullSafe(keep["__keep"]))
-        .filter(F.lower(F.lpad(F.hex("__own"), 16, "0")) == F.col("__print"))
-        .drop("__own", "__print", "__keep")
+    same = (
+        own[doc_id].eqNullSafe(keep["__keep"])
+        & (own["__own"] == keep["__print"])
+        & own["__digest"].eqNullSafe(keep["__text"])
     )
-    single = kept.filter("__rows = 1").drop("__rows")
+    kept = own.join(keep, same).drop("__own", "__digest", "__keep", "__text")
+    single = kept.filter("__rows = 1").drop("__print", "__rows")
     if keep.agg(F.max("__rows")).first()[0] in (None, 1):
         return single
-    several = kept.filter("__rows > 1").drop("__rows").dropDuplicates([doc_id])
+    # A fingerprint is in one group only, so it tells groups apart.
+    several = kept.filter("__rows > 1").dropDuplicates(["__print"]).drop("__print", "__rows")
     return single.unionAll(several)

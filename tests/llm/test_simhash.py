@@ -138,3 +138,16 @@ def test_one_document_of_each_group_stays(spark):
     docs = documents(spark, texts)
     expected = {c for _, _, c in slow_components([(i, slow_fingerprint(t)) for i, t in enumerate(texts)])}
     assert {r.doc_id for r in simhash.first_of_each(docs).collect()} == expected
+
+
+def test_groups_without_ids_and_groups_that_share_an_id_all_stay(spark):
+    texts = ["one sort of text", "quite another thing here", "one sort of text", "a third kind altogether", "fourth and last of them all"]
+    docs = documents(spark, [*texts, texts[4], texts[4]], ids=[None, None, None, 7, 7, 8, 7])
+    found = sorted(((r.doc_id, r.text) for r in simhash.first_of_each(docs).collect()), key=str)
+    assert found == sorted([(None, texts[0]), (None, texts[1]), (7, texts[3]), (7, texts[4])], key=str)
+
+
+def test_texts_of_one_id_and_fingerprint_stay_once(spark):
+    docs = documents(spark, ["Some words of a text", "some  words of a text", "SOME words of a text"], ids=[5, 5, None])
+    found = simhash.first_of_each(docs).collect()
+    assert len(found) == 1 and found[0].doc_id == 5
