@@ -14,8 +14,11 @@ The search, over whole texts and without a shuffle:
 2. The CGK random walk embeds window and items of that size, turning a small edit
    distance into a small Hamming distance; samples of the embedding's
    coordinates are the LSH keys. The number of repetitions is set so that items
-   edited at the limit meet themselves with the target recall, measured on the
-   items. Copies without edits in the window always meet.
+   edited at the limit meet themselves with the target recall. It is measured on
+   the items, put into other words and found through their shared runs, for each
+   kind of edit as a whole text, at its start, at its end and within; the worst of
+   these counts. Copies
+   without edits in the window always meet.
 3. Items that meet a window are verified by exact edit distance, against every
    run of the window widened by the allowed edits.
 
@@ -50,6 +53,9 @@ SAMPLED, WALKS, MOST_REPEATS = 3, 8, 128
 BLOCK_WORDS = 60_000
 #: Windows embedded at a time, and texts searched together at least.
 WINDOWS, ROWS = 16_384, 8192
+#: Edited items of a kind and place whose recall is measured, and words of their windows embedded at a time.
+TRIALS, CELLS = 128, 1 << 21
+KINDS, PLACES = ("swap", "delete", "insert", "mixed"), ("whole", "start", "end", "within")
 MATCHES = "array<struct<item: int, start: int, words: int, distance: int>>"
 
 
@@ -61,18 +67,23 @@ def shared_run(words: int, edits: int) -> int:
     return -(-(words - edits) // (edits + 1))
 
 
-def embed(windows: np.ndarray, seed: int, padding: int) -> np.ndarray:
-    """CGK walk over rows of word numbers: three steps for each word, all rows by the same coin flips."""
+def embed(windows: np.ndarray, seed: int, padding: int, kept: np.ndarray | None = None) -> np.ndarray:
+    """CGK walk over rows of word numbers: three steps for each word, all rows by the same coin flips.
+
+    With ``kept``, sorted, only these steps are returned.
+    """
     n, size = windows.shape
     steps = 3 * size
     # Multiply-shift: a coin for each step and word.
     odd = np.random.default_rng([seed, size]).integers(1, 2**63, steps, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     padded = np.concatenate([windows, np.full((n, 1), padding, windows.dtype)], axis=1)
     at, rows = np.zeros(n, np.int64), np.arange(n)
-    out = np.empty((n, steps), windows.dtype)
-    for step in range(steps):
+    places = {int(step): i for i, step in enumerate(range(steps) if kept is None else kept)}
+    out = np.empty((n, len(places)), windows.dtype)
+    for step in range(max(places, default=-1) + 1):
         word = padded[rows, at]
-        out[:, step] = word
+        if step in places:
+            out[:, places[step]] = word
         mixed = (word.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         coin = ((mixed ^ (mixed >> np.uint64(29))) * odd[step]) >> np.uint64(63)
         at = np.minimum(at + coin.astype(np.int64), size)
@@ -81,15 +92,19 @@ def embed(windows: np.ndarray, seed: int, padding: int) -> np.ndarray:
 
 def key_sets(windows: np.ndarray, repeats: int, padding: int) -> Iterator[np.ndarray]:
     """For each repetition one LSH key for each row: coordinates sampled from one of the walks."""
-    walks: dict[int, np.ndarray] = {}
+    size = windows.shape[1]
+    # Beyond twice the size there is mostly padding.
+    picked = [np.random.default_rng([r, size, 7]).integers(0, 2 * size, SAMPLED) for r in range(repeats)]
+    walks: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for repeat in range(repeats):
         seed = repeat % WALKS
         if seed not in walks:
-            walks[seed] = embed(windows, seed, padding).astype(np.uint64)
-        picked = np.random.default_rng([repeat, windows.shape[1], 7]).integers(0, 2 * windows.shape[1], SAMPLED)  # beyond, mostly padding
+            kept = np.unique(np.concatenate(picked[seed::WALKS]))
+            walks[seed] = kept, embed(windows, seed, padding, kept).astype(np.uint64)
+        kept, walk = walks[seed]
         key = np.zeros(len(windows), np.uint64)
-        for c in picked:
-            key = (key ^ walks[seed][:, c]) * np.uint64(0x100000001B3) + np.uint64(0x9E3779B97F4A7C15)
+        for c in np.searchsorted(kept, picked[repeat]):
+            key = (key ^ walk[:, c]) * np.uint64(0x100000001B3) + np.uint64(0x9E3779B97F4A7C15)
         yield key
 
 
@@ -133,45 +148,81 @@ class Block:
         return len(self.vocabulary) + 1
 
 
-def repeats_needed(items: np.ndarray, edits: int, padding: int, recall: float) -> int:
-    """Repetitions with which rows edited at the limit meet themselves with the target recall."""
-    if not edits:
-        return 1
-    rng, size = np.random.default_rng(11), items.shape[1]
-    rows = np.repeat(items, -(-256 // len(items)), axis=0)[:4096]
-    edited = []
-    for row in rows.tolist():
+def edited_item(item: np.ndarray, edits: int, kind: str, rng: np.random.Generator) -> list[int]:
+    """The item after so many edits of a kind; words that come in are unknown."""
+    words = item.tolist()
+    if kind == "swap":
+        for at in rng.choice(len(words), edits, replace=False).tolist():
+            words[at] = 0
+    elif kind == "delete":
+        for at in sorted(rng.choice(len(words), edits, replace=False).tolist(), reverse=True):
+            del words[at]
+    else:
         for _ in range(edits):
-            kind, at = int(rng.integers(0, 3)), int(rng.integers(0, max(1, len(row))))
-            if kind == 0 and row:
-                row[at] = 0
-            elif kind == 1 and row:
-                del row[at]
+            way, at = 2 if kind == "insert" else int(rng.integers(0, 3)), int(rng.integers(0, max(1, len(words))))
+            if way == 0 and words:
+                words[at] = 0
+            elif way == 1 and words:
+                del words[at]
             else:
-                row.insert(at, 0)
-        edited.append((row + [0] * size)[:size])
-    met = np.zeros(len(rows), bool)
-    pairs = zip(
-        key_sets(rows, MOST_REPEATS, padding), key_sets(np.array(edited, np.int64), MOST_REPEATS, padding), strict=True
-    )
-    for repeat, (own, other) in enumerate(pairs, 1):
-        met |= own == other
-        if met.mean() >= recall:
-            return repeat
-    return MOST_REPEATS
+                words.insert(at, 0)
+    return words
+
+
+def met_first(
+    items: np.ndarray, edits: int, block: Block, kinds: tuple[str, ...] = KINDS, places: tuple[str, ...] = PLACES
+) -> np.ndarray:
+    """The repetition, from 1, that first meets each edited item: a row for each kind of edit and place in a text.
+
+    Edited items stand in texts of unknown words and words of the items; their
+    windows are those of their shared runs. MOST_REPEATS + 1 stands for never.
+    """
+    size, rng = items.shape[1], np.random.default_rng(11)
+    places_of = [(k, p) for k in kinds for p in places]
+    whose = np.tile(rng.permutation(np.resize(np.arange(len(items)), TRIALS)), len(places_of))
+    first = np.full(len(whose), MOST_REPEATS + 1)
+    other = lambda: np.where(rng.random(size) < 0.5, 0, rng.choice(items.ravel(), size)).tolist()
+    own = list(key_sets(items, MOST_REPEATS, block.padding))
+    most, waiting, trials = max(1, CELLS // size), [], []
+
+    def meet() -> None:
+        if not waiting:
+            return
+        of = np.array(trials)
+        for repeat, keys in enumerate(key_sets(np.array(waiting, np.int64), MOST_REPEATS, block.padding), 1):
+            hit = of[keys == own[repeat - 1][whose[of]]]
+            first[hit] = np.minimum(first[hit], repeat)
+        waiting.clear()
+        trials.clear()
+
+    for trial, number in enumerate(whose.tolist()):
+        kind, place = places_of[trial // TRIALS]
+        before, after = (other() if place in beside else [] for beside in (("end", "within"), ("start", "within")))
+        text = before + edited_item(items[number], edits, kind, rng) + after
+        for start, words in windows_of(np.array(text, np.int64), block):
+            if words == size:
+                waiting.append((text[start : start + size] + [block.padding] * size)[:size])
+                trials.append(trial)
+        if len(waiting) >= most:
+            meet()
+    meet()
+    return first.reshape(len(places_of), TRIALS)
+
+
+def repeats_needed(items: np.ndarray, edits: int, block: Block, recall: float) -> int:
+    """Repetitions with which items edited at the limit are met with the target recall, whatever the kind and place."""
+    if not edits:
+        return 1
+    first = np.sort(met_first(items, edits, block), axis=1)
+    return min(MOST_REPEATS, int(first[:, math.ceil(recall * TRIALS) - 1].max()))
 
 
-def build_block(texts: list[str | None], similarity: float = SIMILARITY, recall: float = RECALL) -> Block:
-    split = [word_tokens(t or "") for t in texts]
-    vocabulary = {w: i for i, w in enumerate(sorted({w for ws in split for w in ws}), 1)}
-    items = [np.array([vocabulary[w] for w in ws], np.int64) for ws in split]
-    sizes: dict[int, list[int]] = defaultdict(list)
+def shared_runs(items: list[np.ndarray], base: int, similarity: float) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The runs of a Block."""
     grams: dict[int, dict[int, set[tuple[int, int]]]] = defaultdict(lambda: defaultdict(set))
-    base = len(vocabulary) + 2
-    for number, item in enumerate(items):
+    for item in items:
         if not len(item):
             continue
-        sizes[len(item)].append(number)
         run = shared_run(len(item), edits_allowed(len(item), similarity))
         run = min(run, 4)  # four numbers fit a code; shorter runs only admit more windows
         for at in range(len(item) - run + 1):
@@ -185,10 +236,24 @@ def build_block(texts: list[str | None], similarity: float = SIMILARITY, recall:
         lists = [sorted(found[int(c)]) for c in codes]
         offsets = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
         runs[run] = (codes, offsets, np.array([x for xs in lists for x in xs], np.int64))
+    return runs
+
+
+def build_block(texts: list[str | None], similarity: float = SIMILARITY, recall: float = RECALL) -> Block:
+    split = [word_tokens(t or "") for t in texts]
+    vocabulary = {w: i for i, w in enumerate(sorted({w for ws in split for w in ws}), 1)}
+    items = [np.array([vocabulary[w] for w in ws], np.int64) for ws in split]
+    sizes: dict[int, list[int]] = defaultdict(list)
+    base = len(vocabulary) + 2
+    for number, item in enumerate(items):
+        if len(item):
+            sizes[len(item)].append(number)
+    runs = shared_runs(items, base, similarity)
     tables: dict[int, list[dict[int, list[int]]]] = {}
     for size, numbers in sizes.items():
         rows = np.array([items[n] for n in numbers])
-        repeats = repeats_needed(rows, edits_allowed(size, similarity), base - 1, recall)
+        alone = Block(vocabulary, [], similarity, shared_runs(list(rows), base, similarity), {}, {})
+        repeats = repeats_needed(rows, edits_allowed(size, similarity), alone, recall)
         tables[size] = []
         for own in key_sets(rows, repeats, base - 1):
             filed: dict[int, list[int]] = defaultdict(list)
@@ -199,7 +264,12 @@ def build_block(texts: list[str | None], similarity: float = SIMILARITY, recall:
 
 
 def windows_of(ids: np.ndarray, block: Block) -> set[tuple[int, int]]:
-    """(start, size) of the windows that share a long enough run with some item."""
+    """(start, size) of the windows that share a long enough run with some item.
+
+    A passage that lost words may end its text before its window does: such a window
+    is shorter than its size. Left out are only windows with fewer words before or
+    after the run than an item that lost the allowed words has.
+    """
     base, found = np.uint64(len(block.vocabulary) + 2), set()
     for run, (codes, offsets, places) in block.runs.items():
         n = len(ids) - run + 1
@@ -218,7 +288,9 @@ def windows_of(ids: np.ndarray, block: Block) -> set[tuple[int, int]]:
         hit = codes[slot] == code
         for p, s in zip(at[hit].tolist(), slot[hit].tolist(), strict=True):
             for shift, size in places[offsets[s] : offsets[s + 1]].tolist():
-                found.add((max(0, min(p - shift, len(ids) - size)), size))
+                lost = edits_allowed(size, block.similarity)
+                if p >= shift - lost and len(ids) - p >= size - shift - lost:
+                    found.add((max(0, p - shift), size))
     return found
 
 

@@ -128,3 +128,26 @@ def test_planted_items_of_the_tables(spark):
     expected = {(r.doc_id, i) for r in docs.collect() for i, t in items.items() if t in r.text}
     found = {(r.doc_id, r.item_id) for r in decontaminate.contaminations(docs, benchmark).collect()}
     assert expected and expected <= found
+
+
+def limit_edits(rng, words, kind):
+    """The words after the allowed number of edits of a kind, each elsewhere."""
+    words, edits = list(words), decontaminate.edits_allowed(len(words), 0.8)
+    for at in sorted(rng.sample(range(len(words)), edits), reverse=True):
+        words[at : at + 1] = {"swap": ["e"], "delete": [], "insert": ["e", words[at]]}[kind]
+    return words
+
+
+@pytest.mark.parametrize("size", [15, 30, 59])
+def test_recall_holds_for_each_kind_of_edit_within_texts_and_at_their_end(size):
+    rng = random.Random(size)
+    items = [[f"w{rng.randrange(3000)}" for _ in range(size)] for _ in range(150)]
+    block = decontaminate.build_block([" ".join(i) for i in items])
+    for kind in ("swap", "delete", "insert"):
+        for place in ("within", "end"):
+            texts = []
+            for item in items:
+                before, after = ([f"w{rng.randrange(3000)}" for _ in range(40)] for _ in range(2))
+                texts.append(" ".join(before + limit_edits(rng, item, kind) + (after if place == "within" else [])))
+            met = sum(n in {m[0] for m in rows} for n, rows in enumerate(decontaminate.search(texts, block)))
+            assert met >= 0.92 * len(items), (kind, place)
