@@ -17,8 +17,10 @@ The search, over whole texts and without a shuffle:
    edited at the limit meet themselves with the target recall. It is measured on
    the items, put into other words and found through their shared runs, for each
    kind of edit as a whole text, at its start, at its end and within; the worst of
-   these counts. Copies
-   without edits in the window always meet.
+   these counts. Where MOST_REPEATS repetitions miss the target, keys sample fewer
+   coordinates; where single coordinates miss it too, every window of that size is
+   verified with every item of that size. Copies without edits in the window always
+   meet.
 3. Items that meet a window are verified by exact edit distance, against every
    run of the window widened by the allowed edits.
 
@@ -48,7 +50,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SIMILARITY = 0.8
 RECALL = 0.95
-#: Coordinates sampled for one key, random walks that the repetitions share, and most repetitions.
+#: Most coordinates sampled for one key, random walks that the repetitions share, and most repetitions.
 SAMPLED, WALKS, MOST_REPEATS = 3, 8, 128
 BLOCK_WORDS = 60_000
 #: Windows embedded at a time, and texts searched together at least.
@@ -90,11 +92,11 @@ def embed(windows: np.ndarray, seed: int, padding: int, kept: np.ndarray | None
     return out
 
 
-def key_sets(windows: np.ndarray, repeats: int, padding: int) -> Iterator[np.ndarray]:
+def key_sets(windows: np.ndarray, repeats: int, padding: int, sampled: int = SAMPLED) -> Iterator[np.ndarray]:
     """For each repetition one LSH key for each row: coordinates sampled from one of the walks."""
     size = windows.shape[1]
     # Beyond twice the size there is mostly padding.
-    picked = [np.random.default_rng([r, size, 7]).integers(0, 2 * size, SAMPLED) for r in range(repeats)]
+    picked = [np.random.default_rng([r, size, 7]).integers(0, 2 * size, sampled) for r in range(repeats)]
     walks: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for repeat in range(repeats):
         seed = repeat % WALKS
@@ -140,6 +142,8 @@ class Block:
     runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
     #: size -> item numbers
     sizes: dict[int, list[int]]
+    #: size -> coordinates sampled for one key; 0 if every window is verified
+    sampled: dict[int, int]
     #: size -> for each repetition, key -> item numbers
     tables: dict[int, list[dict[int, list[int]]]]
 
@@ -170,7 +174,12 @@ def edited_item(item: np.ndarray, edits: int, kind: str, rng: np.random.Generato
 
 
 def met_first(
-    items: np.ndarray, edits: int, block: Block, kinds: tuple[str, ...] = KINDS, places: tuple[str, ...] = PLACES
+    items: np.ndarray,
+    edits: int,
+    block: Block,
+    sampled: int = SAMPLED,
+    kinds: tuple[str, ...] = KINDS,
+    places: tuple[str, ...] = PLACES,
 ) -> np.ndarray:
     """The repetition, from 1, that first meets each edited item: a row for each kind of edit and place in a text.
 
@@ -182,14 +191,15 @@ def met_first(
     whose = np.tile(rng.permutation(np.resize(np.arange(len(items)), TRIALS)), len(places_of))
     first = np.full(len(whose), MOST_REPEATS + 1)
     other = lambda: np.where(rng.random(size) < 0.5, 0, rng.choice(items.ravel(), size)).tolist()
-    own = list(key_sets(items, MOST_REPEATS, block.padding))
+    own = list(key_sets(items, MOST_REPEATS, block.padding, sampled))
     most, waiting, trials = max(1, CELLS // size), [], []
 
     def meet() -> None:
         if not waiting:
             return
         of = np.array(trials)
-        for repeat, keys in enumerate(key_sets(np.array(waiting, np.int64), MOST_REPEATS, block.padding), 1):
+        keys_of = key_sets(np.array(waiting, np.int64), MOST_REPEATS, block.padding, sampled)
+        for repeat, keys in enumerate(keys_of, 1):
             hit = of[keys == own[repeat - 1][whose[of]]]
             first[hit] = np.minimum(first[hit], repeat)
         waiting.clear()
@@ -209,12 +219,23 @@ def met_first(
     return first.reshape(len(places_of), TRIALS)
 
 
-def repeats_needed(items: np.ndarray, edits: int, block: Block, recall: float) -> int:
-    """Repetitions with which items edited at the limit are met with the target recall, whatever the kind and place."""
+def repeats_needed(items: np.ndarray, edits: int, block: Block, recall: float) -> tuple[int, int]:
+    """Coordinates for one key, and repetitions with which items edited at the limit are met with the target recall.
+
+    The target holds whatever the kind and place of the edits. (0, 0) if no number of coordinates reaches it.
+    """
     if not edits:
-        return 1
-    first = np.sort(met_first(items, edits, block), axis=1)
-    return min(MOST_REPEATS, int(first[:, math.ceil(recall * TRIALS) - 1].max()))
+        return SAMPLED, 1
+    for sampled in range(SAMPLED, 0, -1):
+        repeats = 0
+        for place in PLACES:  # those with few windows first, as they tell soonest that the target is missed
+            first = np.sort(met_first(items, edits, block, sampled, KINDS, (place,)), axis=1)
+            repeats = max(repeats, int(first[:, math.ceil(recall * TRIALS) - 1].max()))
+            if repeats > MOST_REPEATS:
+                break
+        else:
+            return sampled, repeats
+    return 0, 0
 
 
 def shared_runs(items: list[np.ndarray], base: int, similarity: float) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -249,18 +270,19 @@ def build_block(texts: list[str | None], similarity: float = SIMILARITY, recall:
         if len(item):
             sizes[len(item)].append(number)
     runs = shared_runs(items, base, similarity)
+    coordinates: dict[int, int] = {}
     tables: dict[int, list[dict[int, list[int]]]] = {}
     for size, numbers in sizes.items():
         rows = np.array([items[n] for n in numbers])
-        alone = Block(vocabulary, [], similarity, shared_runs(list(rows), base, similarity), {}, {})
-        repeats = repeats_needed(rows, edits_allowed(size, similarity), alone, recall)
+        alone = Block(vocabulary, [], similarity, shared_runs(list(rows), base, similarity), {}, {}, {})
+        coordinates[size], repeats = repeats_needed(rows, edits_allowed(size, similarity), alone, recall)
         tables[size] = []
-        for own in key_sets(rows, repeats, base - 1):
+        for own in key_sets(rows, repeats, base - 1, coordinates[size]):
             filed: dict[int, list[int]] = defaultdict(list)
             for number, key in zip(numbers, own.tolist(), strict=True):
                 filed[key].append(number)
             tables[size].append(dict(filed))
-    return Block(vocabulary, items, similarity, runs, dict(sizes), tables)
+    return Block(vocabulary, items, similarity, runs, dict(sizes), coordinates, tables)
 
 
 def windows_of(ids: np.ndarray, block: Block) -> set[tuple[int, int]]:
@@ -307,13 +329,19 @@ def search(texts: Iterable[str | None], block: Block) -> list[list[tuple[int, in
             by_size[size].append((d, start))
     met: dict[tuple[int, int], set[int]] = defaultdict(set)
     for size, places in by_size.items():
+        if not block.sampled[size]:
+            for d, start in places:
+                for number in block.sizes[size]:
+                    met[d, number].add(start)
+            continue
         for at in range(0, len(places), WINDOWS):
             some = places[at : at + WINDOWS]
             rows = np.full((len(some), size), block.padding, np.int64)
             for i, (d, start) in enumerate(some):
                 window = documents[d][start : start + size]
                 rows[i, : len(window)] = window
-            for own, filed in zip(key_sets(rows, len(block.tables[size]), block.padding), block.tables[size], strict=True):
+            keys_of = key_sets(rows, len(block.tables[size]), block.padding, block.sampled[size])
+            for own, filed in zip(keys_of, block.tables[size], strict=True):
                 known = np.fromiter(filed, np.uint64, len(filed))
                 for i in np.flatnonzero(np.isin(own, known)).tolist():
                     for number in filed[int(own[i])]:
@@ -322,9 +350,14 @@ def search(texts: Iterable[str | None], block: Block) -> list[list[tuple[int, in
     for (d, number), starts in sorted(met.items()):
         item, ids = block.items[number], documents[d]
         allowed = edits_allowed(len(item), block.similarity)
-        best = None
+        best, ranges = None, []
         for start in sorted(starts):
             low, high = max(0, start - allowed), min(len(ids), start + len(item) + allowed)
+            if ranges and low <= ranges[-1][1]:  # windows of one passage are verified at once
+                ranges[-1][1] = high
+            else:
+                ranges.append([low, high])
+        for low, high in ranges:
             distance, first, end = best_run(item, ids[low:high])
             if distance <= allowed and (best is None or distance < best[3]):
                 best = (number, low + first, end - first, distance)

@@ -151,3 +151,24 @@ def test_recall_holds_for_each_kind_of_edit_within_texts_and_at_their_end(size):
                 texts.append(" ".join(before + limit_edits(rng, item, kind) + (after if place == "within" else [])))
             met = sum(n in {m[0] for m in rows} for n, rows in enumerate(decontaminate.search(texts, block)))
             assert met >= 0.92 * len(items), (kind, place)
+
+
+def test_long_items_are_met_as_well():
+    rng, size = random.Random(5), 300
+    items = [[f"w{rng.randrange(3000)}" for _ in range(size)] for _ in range(25)]
+    block = decontaminate.build_block([" ".join(i) for i in items])
+    assert block.sampled[size] < decontaminate.SAMPLED
+    texts = [" ".join(limit_edits(rng, item, rng.choice(["swap", "delete", "insert"]))) for item in items]
+    found = decontaminate.search(texts, block)
+    assert sum(n in {m[0] for m in rows} for n, rows in enumerate(found)) >= 0.92 * len(items)
+
+
+def test_where_no_keys_reach_the_target_every_window_is_verified(monkeypatch):
+    monkeypatch.setattr(decontaminate, "MOST_REPEATS", 1)
+    items, texts = planted(7, 60)
+    items, texts = [i for i in items if len(i) > 20][:4], [" ".join(t) for t in texts]
+    block = decontaminate.build_block([" ".join(i) for i in items])
+    assert set(block.sampled.values()) == {0}
+    found = {(d, m[0]) for d, rows in enumerate(decontaminate.search(texts, block)) for m in rows}
+    near = lambda item, t: slow_distance(item, t.split()) <= decontaminate.edits_allowed(len(item), 0.8)
+    assert found == {(d, n) for d, t in enumerate(texts) for n, item in enumerate(items) if near(item, t)}
