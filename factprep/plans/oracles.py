@@ -223,6 +223,14 @@ ORACLES = {
     "clean_text_fact": TEXT_CLEAN,
     "clean_text_fact_in_arrow": TEXT_CLEAN,
     "text_reject_counts": _rejects(TEXT, "texts", "party_size = 3"),
+    "clean_spelled_times": f"""WITH {HOPS},
+readable AS (SELECT * FROM hops WHERE event_id % 7 <> 6){_clean('clean', 'readable')}
+SELECT {COLUMNS} FROM clean""",
+    "time_spellings": f"""WITH {HOPS}
+SELECT 'start_ts' AS column, CASE event_id % 7 WHEN 0 THEN 'iso' WHEN 1 THEN 'month/day/year' WHEN 2 THEN 'year/month/day'
+         WHEN 3 THEN 'day month year' WHEN 4 THEN 'month day, year' WHEN 5 THEN 'compact' ELSE 'other' END AS spelling,
+       count(*) AS row_count, count(*) FILTER (WHERE event_id % 7 = 6) AS unread
+FROM hops GROUP BY ALL""",
     "reject_counts": _rejects(DIRTY, "dirty", "false"),
     "normalize_zero": f"""WITH {DIRTY}
 SELECT count(*) FILTER (WHERE CAST(total AS VARCHAR) = '-0.0') AS negative_before,

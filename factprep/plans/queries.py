@@ -72,6 +72,14 @@ def text_reject_counts(spark: SparkSession, root: str) -> DataFrame:
     return cleaning.reject_counts(V.text_shipments(spark, root), MOVES)
 
 
+def clean_spelled_times(spark: SparkSession, root: str) -> DataFrame:
+    return cleaning.clean(V.spelled_hops(spark, root), MOVES)
+
+
+def time_spellings(spark: SparkSession, root: str) -> DataFrame:
+    return cleaning.time_spellings(V.spelled_hops(spark, root), MOVES)
+
+
 def reject_counts(spark: SparkSession, root: str) -> DataFrame:
     return cleaning.reject_counts(V.dirty_shipments(spark, root), MOVES)
 
@@ -583,6 +591,8 @@ QUERIES = {
         clean_text_fact,
         clean_text_fact_in_arrow,
         text_reject_counts,
+        clean_spelled_times,
+        time_spellings,
         reject_counts,
         normalize_zero,
         exact_dedup,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from factprep.contract import MOVES
+
 # Types of the columns the views use; naming them spares a job per table that would look them up.
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -123,3 +125,29 @@ def hops(spark: SparkSession, root: str) -> DataFrame:
         "value AS fare",
         "value AS total",
     )
+
+
+def spelled_hops(spark: SparkSession, root: str) -> DataFrame:
+    """The hops with their start as text, spelled in six ways by event; every seventh cannot be read."""
+    months = ", ".join(f"'{m}'" for m in "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split())
+    parts = hops(spark, root).selectExpr("*", "CAST(start_ts AS STRING) AS iso").selectExpr(
+        "*",
+        "left(iso, 4) AS y",
+        "substr(iso, 6, 2) AS m",
+        "substr(iso, 9, 2) AS d",
+        "substr(iso, 12) AS clock",
+        f"element_at(array({months}), CAST(substr(iso, 6, 2) AS INT)) AS name",
+        "concat((hour(start_ts) + 11) % 12 + 1, substr(iso, 14), IF(hour(start_ts) < 12, ' AM', ' pm')) AS half",
+    )
+    spelled = """
+        CASE event_id % 7
+        WHEN 0 THEN iso
+        WHEN 1 THEN concat(m, '/', d, '/', y, ' ', half)
+        WHEN 2 THEN concat(y, '/', m, '/', d, ' ', clock)
+        WHEN 3 THEN concat(d, '-', name, '-', y, ' ', clock)
+        WHEN 4 THEN concat(name, ' ', d, ', ', y, ' ', half)
+        WHEN 5 THEN concat(y, m, d, ' ', clock)
+        ELSE concat('soon after ', clock) END AS start_ts"""
+    return parts.selectExpr("event_id", spelled, *[c for c in MOVES.columns if c != "start_ts"]).select(
+        "event_id", *MOVES.columns
+    )

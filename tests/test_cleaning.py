@@ -10,6 +10,7 @@ from pyspark.errors import PySparkException
 from trips import ZONES, trip
 
 from factprep.contract import MOVES, TRIPS
+from factprep.functions import cleaning as C
 from factprep.functions.udfs import clean_in_arrow
 from factprep.operators import cleaning, dedup, enrich
 from factprep.operators.quality import require_dimension
@@ -266,3 +267,41 @@ def test_nanosecond_times_are_cut(spark, trips):
         datetime(1969, 12, 31, 23, 59, 59, 999999),
         datetime(1969, 12, 31, 23, 59, 58, 999999),
     }
+
+
+def test_spellings_of_times(spark):
+    """Each spelling beside ISO, with clocks of 12 and 24 hours; dates and hours that do not exist are null."""
+    expected = {
+        "2024-01-15 10:30:00.5": datetime(2024, 1, 15, 10, 30, 0, 500000),
+        " 2024-01-15 ": datetime(2024, 1, 15),
+        "01/15/2024 10:30:00 AM": datetime(2024, 1, 15, 10, 30),
+        "1/5/2024 12:05 am": datetime(2024, 1, 5, 0, 5),
+        "1/5/2024 12:05:01.25 PM": datetime(2024, 1, 5, 12, 5, 1, 250000),
+        "2024/01/15 10:30": datetime(2024, 1, 15, 10, 30),
+        "2024.1.15": datetime(2024, 1, 15),
+        "15-Jan-2024 23:59:59.123456": datetime(2024, 1, 15, 23, 59, 59, 123456),
+        "15 January 2024": datetime(2024, 1, 15),
+        "Jan 15, 2024 1:02 pm": datetime(2024, 1, 15, 13, 2),
+        "September 5 2024": datetime(2024, 9, 5),
+        "20240115": datetime(2024, 1, 15),
+        "20240115T103001": datetime(2024, 1, 15, 10, 30, 1),
+        "20240115103001": datetime(2024, 1, 15, 10, 30, 1),
+        "20240115 10:30": datetime(2024, 1, 15, 10, 30),
+        **dict.fromkeys(["13/13/2024", "15 Foo 2024", "2024-13-01", "01/15/2024 13:00 PM", "01/15/2024 0:30 AM"]),
+        **dict.fromkeys(["01/15/2024 10:61", "20241301", "10:30", "202401151030", "x", "", None]),
+    }
+    rows = spark.createDataFrame([(t,) for t in expected], "t string")
+    read = rows.selectExpr("t", f"{C.coerce_timestamp('t', rows.schema['t'].dataType)} AS value").collect()
+    assert {r.t: r.value for r in read} == expected
+
+
+def test_rejected_spellings_are_reported(spark):
+    texts = ["2023-01-01", "1/2/2023", "13/13/2023", "soon", " ", None, "soon"]
+    rows = [("2", t, "2023-01-01", "1", "3", 1.0, 2, None, 12.0) for t in texts]
+    told = cleaning.time_spellings(spark.createDataFrame(rows, RAW), TRIPS).where(f"column = '{TRIPS.start}'")
+    assert sorted((r.spelling, r.row_count, r.unread) for r in told.collect()) == [
+        ("iso", 1, 0), ("month/day/year", 2, 1), ("other", 2, 2)
+    ]
+    # Columns that are no text have no spelling.
+    typed = spark.createDataFrame([], TRIPS.clean_schema())
+    assert cleaning.time_spellings(typed, TRIPS).collect() == []

@@ -11,6 +11,7 @@ from factprep.operators import cleaning, dedup, enrich, parity, profile
 from factprep.plans import prepare as P
 from factprep.plans import queries as Q
 from factprep.plans import views as V
+from factprep.session import settings
 from factprep.sources.fact import read_fact
 
 SMALL = "/root/testdata/sf0.001"
@@ -111,6 +112,25 @@ def test_copies_are_combined_before_the_shuffle(spark, moves):
         assert sorted(found.select(*MOVES.columns).collect()) == sorted(cleaned.distinct().collect())
 
 
+@pytest.mark.parametrize("name", ["clean_contract", "clean_text_fact", "clean_spelled_times", "flagship_clean_enrich"])
+def test_generated_methods_are_small_enough_to_be_compiled(spark, name):
+    """The JVM interprets methods beyond 8,000 bytes."""
+    with settings(spark, spark__sql__adaptive__enabled=False, spark__sql__codegen__hugeMethodLimit=65535):
+        execution = Q.QUERIES[name](spark, SMALL)._jdf.queryExecution()
+        code = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(execution, "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000, sizes
+
+
+def test_computed_columns_are_computed_once(spark):
+    rows = spark.range(9).selectExpr("id * 3 AS vendor_id", "id AS party_size")
+    assert cleaning.stored_columns(rows) == {"party_size"}
+    assert cleaning.stored_columns(rows.selectExpr("party_size AS p").where("p > 1")) == {"p"}
+    once = cleaning.computed_once(rows).where("vendor_id > 3 AND vendor_id < 20").select("vendor_id")
+    assert plan(once).count("* 3") == 1
+    assert [r[0] for r in once.collect()] == [6, 9, 12, 15, 18]
+
+
 def test_native_speed_stays_in_generated_code(spark):
     hops = V.hops(spark, SMALL)
     native = plan(Q.speed_native(spark, SMALL))
