@@ -126,9 +126,16 @@ def test_odd_and_empty_tables(spark):
     assert order(map(tuple, simhash.near_duplicates(odd).collect())) == order(slow_components(rows))
     kept = simhash.first_of_each(odd)
     assert kept.columns == odd.columns
-    component = {(d, p): c for d, p, c in slow_components(rows)}
-    # One row of each group: those of a repeated id that carry the least fingerprint.
-    assert kept.count() == len(set(component.values()))
+    # One row of each group, whether or not another group has the same name or none.
+    values = sorted({p for _, p in rows})
+    groups = {v: {v} for v in values}
+    for i, a in enumerate(values):
+        for b in values[:i]:
+            if (a ^ b).bit_count() <= 4 and groups[a] is not groups[b]:
+                groups[a] |= groups[b]
+                for member in groups[a]:
+                    groups[member] = groups[a]
+    assert kept.count() == len({id(g) for g in groups.values()})
     assert simhash.near_duplicates(empty_documents(spark)).collect() == []
     assert simhash.first_of_each(empty_documents(spark)).collect() == []
 
