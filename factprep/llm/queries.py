@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factprep.llm import decontaminate, fingerprints, hmm, line_dedup, packing, pii, quality, simhash, toxicity, url_rules
+from factprep.llm import (
+    decontaminate,
+    fingerprints,
+    hmm,
+    lexical,
+    line_dedup,
+    packing,
+    pii,
+    quality,
+    secrets,
+    simhash,
+    toxicity,
+    url_rules,
+    whitening,
+)
 from factprep.llm.common import labelled, remainder, table
 
 BASE_RULES = [
@@ -111,6 +125,48 @@ def op8_hmm(spark: SparkSession, root: str) -> DataFrame:
     return hmm.scored(table(spark, root, "documents").select("doc_id", "text"))
 
 
+def op11_secrets(spark: SparkSession, root: str) -> DataFrame:
+    return secrets.summary(table(spark, root, "documents").select("doc_id", "text"))
+
+
+def op12_lexical(spark: SparkSession, root: str) -> DataFrame:
+    return lexical.ranked(table(spark, root, "documents").select("doc_id", "text"), table(spark, root, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, root: str) -> DataFrame:
+    return whitening.whitened(table(spark, root, "embeddings").select("vec_id", "embedding"))
+
+
+def _secrets_sql() -> str:
+    """Every rule on every text; the pieces between matches and the matches place each match."""
+
+    def matches(number: int, rule: secrets.Rule) -> str:
+        pattern = rule.pattern.replace("'", "''")
+        return f"""
+          SELECT row, '{rule.kind}' AS kind, {number} AS rule, unnest(range(1, len(m) + 1)) AS i, m, g, s FROM (
+            SELECT row, regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {rule.group}) AS g,
+                   string_split_regex(t, '{pattern}') AS s FROM texts) WHERE length(g[i]) >= {rule.least}"""
+
+    every = " UNION ALL ".join(matches(n, r) for n, r in enumerate(secrets.BASE_RULES + secrets.MORE_RULES))
+    base = ", ".join(f"'{r.kind}'" for r in secrets.BASE_RULES)
+    counts = ", ".join(
+        f"CAST(count(*) FILTER (WHERE kind = '{r.kind}') AS BIGINT) AS n_{r.kind}" for r in secrets.BASE_RULES
+    )
+    whole = "kind || ':' || begins || ':' || ends, ',' ORDER BY begins, rule"
+    return f"""
+        WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS row FROM documents),
+        found AS ({every}),
+        placed AS (
+          SELECT row, kind, rule, begins, begins + length(m[i]) AS ends FROM (
+            SELECT *, list_sum(list_transform(s[1:i], lambda x: length(x)))
+                    + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS begins FROM found))
+        SELECT any_value(doc_id) AS doc_id, {counts},
+               sha256(coalesce(string_agg({whole}) FILTER (WHERE kind IN ({base})), '')) AS base_sha256,
+               coalesce(string_agg({whole}), '') AS spans
+        FROM texts LEFT JOIN placed USING (row) GROUP BY row
+    """
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_toxicity": op2_toxicity,
@@ -122,6 +178,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hmm": op8_hmm,
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
+    "op11_secrets": op11_secrets,
+    "op12_lexical": op12_lexical,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
@@ -189,4 +248,34 @@ ORACLES: dict[str, str] = {
                THEN 'block' ELSE 'allow' END AS verdict
         FROM ruled
     """,
+    "op11_secrets": _secrets_sql(),
+    # Every term of every document, joined with every item's terms.
+    "op12_lexical": r"""
+        WITH words AS (
+          SELECT doc_id, row, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+          FROM (SELECT doc_id, text, row_number() OVER () AS row FROM documents)
+        ), counted AS (
+          SELECT row, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM words GROUP BY row, term
+        ), sizes AS (
+          SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM counted GROUP BY row
+        ), whole AS (
+          SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes
+        ), asked AS (
+          SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+          FROM benchmark
+        ), weighed AS (
+          SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+          FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), whole
+        ), scored AS (
+          SELECT item_id, row, any_value(doc_id) AS doc_id,
+                 CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT) AS score
+          FROM asked JOIN counted USING (term) JOIN weighed USING (term) JOIN sizes USING (row), whole
+          GROUP BY item_id, row
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+          SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+        WHERE rank <= 10
+    """,
 }
