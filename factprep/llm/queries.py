@@ -143,9 +143,10 @@ def _secrets_sql() -> str:
     def matches(number: int, rule: secrets.Rule) -> str:
         pattern = rule.pattern.replace("'", "''")
         return f"""
-          SELECT row, '{rule.kind}' AS kind, {number} AS rule, unnest(range(1, len(m) + 1)) AS i, m, g, s FROM (
+          SELECT row, '{rule.kind}' AS kind, {number} AS rule, i, m, g, s FROM (
             SELECT row, regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {rule.group}) AS g,
-                   string_split_regex(t, '{pattern}') AS s FROM texts) WHERE length(g[i]) >= {rule.least}"""
+                   string_split_regex(t, '{pattern}') AS s FROM texts) hits, unnest(range(1, len(m) + 1)) AS u(i)
+          WHERE length(g[i]) >= {rule.least}"""
 
     every = " UNION ALL ".join(matches(n, r) for n, r in enumerate(secrets.BASE_RULES + secrets.MORE_RULES))
     base = ", ".join(f"'{r.kind}'" for r in secrets.BASE_RULES)
