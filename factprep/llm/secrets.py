@@ -19,7 +19,7 @@ from __future__ import annotations
 import re
 import re._constants as K
 import re._parser as regex_parser
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -152,9 +152,12 @@ def _walk(nodes: Iterable) -> tuple[set[str] | None, Query]:
                 for _ in range(least):
                     known(strings)
             else:
+                # At least so many copies stand side by side, after what came before them.
+                if least and strings is not None:
+                    for _ in range(min(least, 4)):
+                        known(strings)
                 unknown()
-                if least:
-                    query = _both(query, inner if strings is None else _both(inner, _spelled(strings)))
+                query = _both(query, inner) if least else query
         elif kind in (K.AT, K.ASSERT, K.ASSERT_NOT):
             pass
         else:
@@ -215,24 +218,32 @@ def candidates(index: DataFrame, queries: dict[str, Query]) -> DataFrame:
     return met.where("held = needed").groupBy("key").agg(F.collect_set("kind").alias("kinds"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("long"), lambda n, v: n + v)
+
+
 def running(lengths: Column) -> Column:
     """Sums of the elements before each element, in pieces so that long arrays take linear time."""
 
-    def total(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0).cast("long"), lambda n, v: n + v)
+    def pieces(values: Column) -> Column:
+        last = F.greatest(F.lit(0), F.floor((F.size(values) - 1) / PIECE).cast("int"))
+        return F.transform(F.sequence(F.lit(0), last), lambda p: F.slice(values, p * PIECE + 1, F.lit(PIECE)))
 
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(lengths) - 1) / PIECE).cast("int"))),
-        lambda p: F.slice(lengths, p * PIECE + 1, F.lit(PIECE)),
-    )
-    sums = F.transform(pieces, lambda piece: F.struct(piece.alias("piece"), total(piece).alias("sum")))
-    placed = F.transform(
-        sums,
-        lambda s, i: F.transform(
-            s["piece"],
-            lambda _, j: total(F.slice(F.transform(sums, lambda x: x["sum"]), F.lit(1), i))
-            + total(F.slice(s["piece"], F.lit(1), j)),
-        ),
+    def within(piece: Column, before: Column) -> Column:
+        return F.transform(piece, lambda _, j: before + _total(F.slice(piece, F.lit(1), j)))
+
+    def across(parts: Column, sums: Column) -> Column:
+        return F.transform(
+            parts, lambda piece, i: _let(_total(F.slice(sums, F.lit(1), i)), lambda before: within(piece, before))
+        )
+
+    placed = _let(
+        lengths, lambda v: _let(pieces(v), lambda parts: _let(F.transform(parts, _total), lambda sums: across(parts, sums)))
     )
     return F.flatten(placed)
 
@@ -243,24 +254,28 @@ def matches(text: Column, rule: Rule) -> Column:
     The text between matches and the matches themselves, in turn, make up the text; their lengths place them.
     """
     pattern = F.lit(rule.pattern)
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    between = F.split(text, rule.pattern, -1)
-    lengths = F.transform(found, lambda m, i: F.length(F.get(between, i)) + F.length(m))
-    measured = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else found
-    places = F.transform(
-        F.arrays_zip(
-            running(lengths).alias("before"),
-            F.transform(found, lambda m, i: F.length(F.get(between, i))).alias("gap"),
-            F.transform(found, lambda m: F.length(m)).alias("size"),
-            F.transform(measured, lambda m: F.length(m)).alias("measured"),
-        ),
-        lambda z: F.struct(
-            (z["before"] + z["gap"]).alias("start"),
-            (z["before"] + z["gap"] + z["size"]).alias("end"),
-            z["measured"].alias("measured"),
-        ),
-    )
-    return F.filter(places, lambda p: p["measured"] >= rule.least)
+    size = lambda s: F.length(s)
+    matched = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), size)
+    measured = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), size)
+    between = F.transform(F.split(text, rule.pattern, -1), size)
+
+    def places(found: Column) -> Column:
+        gap = lambda i: F.get(found["between"], i)
+        lengths = F.transform(found["matched"], lambda m, i: gap(i) + m)
+        return _let(
+            running(lengths),
+            lambda before: F.transform(
+                found["matched"],
+                lambda m, i: F.struct(
+                    (F.get(before, i) + gap(i)).alias("start"),
+                    (F.get(before, i) + gap(i) + m).alias("end"),
+                    F.get(found["measured"], i).alias("measured"),
+                ),
+            ),
+        )
+
+    found = F.struct(matched.alias("matched"), measured.alias("measured"), between.alias("between"))
+    return F.filter(_let(found, places), lambda p: p["measured"] >= rule.least)
 
 
 def find_secrets(docs: DataFrame, rules: Sequence[Rule], text: str = "text", name: str = "secrets") -> DataFrame:

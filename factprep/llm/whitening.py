@@ -22,12 +22,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
 from pyspark.mllib.util import MLUtils
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factprep.llm.common import stored
@@ -131,10 +132,9 @@ def components(covariance: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarra
     return values[kept], vectors[:, kept]
 
 
-def projected(matrix: BlockMatrix, by: np.ndarray) -> BlockMatrix:
+def projected(spark: SparkSession, matrix: BlockMatrix, by: np.ndarray) -> BlockMatrix:
     """The matrix times a local one, sent as a block."""
-    spark_context = matrix.blocks.context
-    block = spark_context.parallelize([((0, 0), DenseMatrix(*by.shape, by.ravel(order="F")))], 1)
+    block = spark.sparkContext.parallelize([((0, 0), DenseMatrix(*by.shape, by.ravel(order="F")))], 1)
     return matrix.multiply(BlockMatrix(block, *by.shape))
 
 
@@ -162,14 +162,18 @@ def whitened(rows: DataFrame, most: int = 8, vec_id: str = "vec_id", vector: str
     sums = sums_of(table)
     if sums is None:
         return spark.createDataFrame([], schema)
-    matrix = block_matrix(table, sums.means, sums.n)
+    # Blocks are read by three multiplications; what memory does not hold lies on the executors' disks.
+    matrix = block_matrix(table, sums.means, sums.n).persist(StorageLevel.MEMORY_AND_DISK)
     covariance = scatter(matrix) / sums.n
     values, vectors = components(covariance, most)
     if not len(values):
+        matrix._java_matrix_wrapper._java_model.blocks().unpersist(False)
         return spark.createDataFrame([], schema)
-    done = stored(rows_of(projected(matrix, vectors / np.sqrt(values))), "whitened")
-    again = block_matrix(done.withColumnRenamed("vector", "x"), [0.0] * len(values), sums.n)
-    error = float(np.abs(scatter(again) / sums.n - np.eye(len(values))).max())
+    white = projected(spark, matrix, vectors / np.sqrt(values)).persist(StorageLevel.MEMORY_AND_DISK)
+    error = float(np.abs(scatter(white) / sums.n - np.eye(len(values))).max())
+    done = stored(rows_of(white), "whitened")
+    for held in (white, matrix):
+        held._java_matrix_wrapper._java_model.blocks().unpersist(False)
     shares = F.array(*[F.lit(float(v)) for v in values / np.trace(covariance)])
     exact = F.array(*[F.lit(s).cast("long") for s in sums.sums])
     gaps = F.zip_with("x", exact, lambda x, s: (x * F.lit(sums.n) - s))
