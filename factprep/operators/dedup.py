@@ -35,6 +35,15 @@ def by_bucket(df: DataFrame, contract: FactContract, buckets: int, name: str = "
     )
 
 
+def in_place(staged: DataFrame, contract: FactContract, buckets: int, name: str = "bucket") -> DataFrame:
+    """Distinct rows of hash buckets, each bucket by the task that reads it, with no shuffle.
+
+    ``staged`` comes from ``read_hash_buckets``. A bucket is read by one task, so this is for
+    buckets of bounded size; ``by_bucket`` takes any rows and shares a hot row's copies out over all tasks.
+    """
+    return by_bucket(staged.select(*contract.columns), contract, buckets, name)
+
+
 def with_copies(df: DataFrame, contract: FactContract) -> DataFrame:
     """Each distinct row once with the number of its copies."""
     return df.groupBy(*contract.columns).agg(F.count("*").alias("copies"))

@@ -12,6 +12,8 @@ from factprep.functions.cleaning import quoted
 from factprep.operators.quality import require_dimension
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Largest dimension that becomes part of a plan.
+MAP_BYTES = 1024 * 1024
 
 
 def may_broadcast(dim_bytes: int | None, limit: int = BROADCAST_BYTES) -> bool:
@@ -48,13 +50,15 @@ def lookup_all(
     return fact
 
 
-def lookup_map(fact: DataFrame, dim: DataFrame, contract: FactContract) -> DataFrame:
+def lookup_map(fact: DataFrame, dim: DataFrame, contract: FactContract, limit: int = MAP_BYTES) -> DataFrame:
     """The same result through literal maps, without a join.
 
     For dimensions of a few thousand rows, as the whole of it becomes part of the
-    plan; the caller chooses. Raises if the dimension breaks a rule.
+    plan; the caller chooses. Raises if the dimension breaks a rule or is measured beyond ``limit`` bytes.
     """
-    require_dimension(dim)
+    size = require_dimension(dim)
+    if size > limit:
+        raise ValueError(f"The dimension has {size} bytes, too many for a map in the plan; join it.")
     rows = dim.select("location_id", "borough", "zone").collect()
     place = F.create_map(
         *chain.from_iterable(

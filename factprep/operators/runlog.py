@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factprep.operators.ranking import spread
+from factprep.session import literal_path
 
 # ``configuration`` holds further settings as JSON text.
 RUN = (
@@ -52,7 +53,7 @@ def record(spark: SparkSession, path: str, **values: object) -> DataFrame:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN).json(path)
+    return spark.read.schema(RUN).json(literal_path(path))
 
 
 def manifest_path(path: str) -> str:

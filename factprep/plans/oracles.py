@@ -298,11 +298,16 @@ SELECT {MIDDLE.format(v='baseline_seconds')} AS median_baseline_seconds,
 FROM totals""",
     "staged_roundtrip": CLEAN,
     "streamed_staging": CLEAN,
+    "bucketed_dedup_in_place": DISTINCT,
+    "guarded_output": f"""WITH {JOINED}
+SELECT 'refused' AS run, false AS appears, CAST(0 AS BIGINT) AS output_rows
+UNION ALL SELECT 'kept', true, count(*) FROM joined""",
     "streamed_two_sources": f"""WITH {DIRTY_CLEAN}{_clean('faultless', 'ship')}
 SELECT {COLUMNS} FROM clean UNION ALL SELECT {COLUMNS} FROM faultless""",
     "output_roundtrip": FLAGSHIP,
     "bucket_layout": f"""WITH {JOINED}
 SELECT CAST(count(*) AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS stray_files FROM joined""",
+    "streamed_mixed_types": f"WITH {SHIP}{_clean('clean', 'ship')} SELECT {COLUMNS} FROM clean",
     "heterogeneous_union": f"WITH {SHIP}{_clean('clean', 'ship')} SELECT {COLUMNS} FROM clean",
     "nested_mixed_files": """WITH copies AS (
   SELECT l_linenumber FROM lineitem UNION ALL SELECT l_linenumber FROM lineitem WHERE l_linenumber = 1)
@@ -324,6 +329,18 @@ SELECT path, uncompressed_bytes, cumulative FROM summed WHERE cumulative <= all_
     "running_totals": f"WITH {ORDER_FILES} SELECT path, row_count, running FROM summed",
     "multiset_parity": f"{SIDES} SELECT * FROM counted WHERE lhs <> rhs",
     "duplicate_audit": f"{SIDES} SELECT * FROM counted WHERE lhs > 1 OR rhs > 1",
+    "bucket_parity": f"""WITH {DIRTY_CLEAN},
+lefts AS (SELECT *, to_id % 16 AS bucket FROM clean),
+rights AS (
+  SELECT * REPLACE (CASE WHEN bucket = 3 AND party_size = 2 THEN fare + 1 WHEN bucket = 5 AND fare > 0 THEN CAST('-0.0' AS DOUBLE)
+                    ELSE fare END AS fare)
+  FROM lefts WHERE NOT (bucket = 7 AND party_size = 1)),
+texts AS (
+  SELECT bucket, CAST(row({COLUMNS}) AS VARCHAR) AS line, 1 AS l, 0 AS r FROM lefts
+  UNION ALL SELECT bucket, CAST(row({COLUMNS}) AS VARCHAR), 0, 1 FROM rights),
+tallied AS (SELECT bucket, line, sum(l) AS l, sum(r) AS r FROM texts GROUP BY bucket, line)
+SELECT bucket, CAST(sum(l) AS BIGINT) AS left_rows, CAST(sum(r) AS BIGINT) AS right_rows, bool_and(l = r) AS equal
+FROM tallied GROUP BY bucket""",
     "output_parity": f"""WITH {JOINED}
 SELECT count(*) AS left_rows, count(*) AS right_rows, CAST(0 AS BIGINT) AS mismatches, CAST(0 AS BIGINT) AS repeated
 FROM joined""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import platform
+import re
 import time
 import uuid
 from dataclasses import dataclass
@@ -22,7 +23,7 @@ from factprep.session import literal_path, qualified, settings
 from factprep.sources import inventory
 from factprep.sources.dimension import read_dimension
 from factprep.sources.fact import read_bucketed, read_heterogeneous
-from factprep.sources.sinks import exists, guard_paths, lies_by_bucket, write_bucketed
+from factprep.sources.sinks import committed, exists, guard_paths, lies_by_bucket, write_bucketed
 from factprep.streaming.staging import stage_available
 
 TIMING = "from the first read of the input to the row count of the written output, staging included"
@@ -111,11 +112,9 @@ def stage_stream(
     files = inventory.file_inventory(spark, source).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         inventory.check_files(files, contract)
-        first = files.orderBy("path").first()
-        if first is None:
+        if not files.take(1):
             raise ValueError(f"No Parquet inputs in {source}")
-        schema = spark.read.parquet(literal_path(first.path)).select(*contract.columns).schema
-        stage_available(spark, source, schema, staging, checkpoint, contract, buckets, files_per_batch)
+        stage_available(spark, source, staging, checkpoint, contract, buckets, files_per_batch)
         note_staging(spark, staging, contract, inventory.manifest_digest(files))
     finally:
         files.unpersist()
@@ -150,7 +149,8 @@ def prepare(
     receives a row when the run starts and when it completes or fails; the
     input files are listed beside it. ``bucket_bytes`` sets the number of buckets and is
     checked against the rows that each got: ``oversized`` says whether one beyond it is only
-    recorded or raises, before anything but staging is written.
+    recorded or raises, and then no output appears. Staging and output appear whole or not
+    at all, see ``committed``.
     """
     if max_files is not None and max_uncompressed_gb is not None:
         raise ValueError("Choose a number of files or a byte budget, not both.")
@@ -161,6 +161,8 @@ def prepare(
     if oversized not in ("record", "raise"):
         raise ValueError("oversized must be record or raise.")
     run_id = run_id or uuid.uuid4().hex
+    if not re.fullmatch("[A-Za-z0-9_-]+", run_id):
+        raise ValueError("A run id may hold letters, digits, underscores and hyphens only.")
     guard_paths(spark, [p for p in (source, zones, reuse_staging, runs) if p], [p for p in (output, staging) if p])
     if reuse_staging and not exists(spark, reuse_staging):
         raise FileNotFoundError(f"No staged rows at {reuse_staging}")
@@ -229,8 +231,9 @@ def prepare(
             if reuse_staging is None:
                 cleaned = read_heterogeneous(spark, source, contract, cleaning.clean, files, chosen)
                 if staging:
-                    write_bucketed(cleaning.with_staging_columns(cleaned, contract, buckets), staging, "_bucket")
-                    note_staging(spark, staging, contract, digest)
+                    with committed(spark, staging) as place:
+                        write_bucketed(cleaning.with_staging_columns(cleaned, contract, buckets), place, "_bucket")
+                        note_staging(spark, place, contract, digest)
                     staging_seconds = time.perf_counter() - began
             # Rows and buckets come from the footers of what was written, so lost executors cannot distort them.
             if staging or reuse_staging:
@@ -242,12 +245,13 @@ def prepare(
             finished = finish(cleaned, dim, contract, buckets, dim_bytes, broadcast_bytes)
             # A broadcast lookup leaves the rows where the deduplication put them.
             in_place = enrich.may_broadcast(dim_bytes, broadcast_bytes) and lies_by_bucket(spark, buckets)
-            write_bucketed(finished, output, rebalance=not in_place)
-            written = bucket_report(spark, output, "bucket", bucket_bytes)
+            with committed(spark, output) as place:
+                write_bucketed(finished, place, rebalance=not in_place)
+                written = bucket_report(spark, place, "bucket", bucket_bytes)
+                if not (staging or reuse_staging):
+                    skew = written
+                    _check_buckets(written, oversized)
             output_rows = written.row_count
-            if not (staging or reuse_staging):
-                skew = written
-                _check_buckets(written, oversized)
     except Exception as error:
         if runs:
             runlog.record(spark, runs, status="failed", error=str(error), **facts)
@@ -365,7 +369,8 @@ def compare(
         parity.check_schema(df, contract, "bucket")
         parity.require_clean_audit(df, contract, buckets if "bucket" in df.columns else None)
         sides.append(df)
-    found = parity.require_parity(*sides, contract)
+    laid_out = all("bucket" in side.columns for side in sides)
+    found = (parity.require_parity_by_bucket if laid_out else parity.require_parity)(*sides, contract)
     for row in recorded.values():
         if row.output_rows != found["left_rows"]:
             raise ValueError("Outputs no longer have the recorded number of rows.")

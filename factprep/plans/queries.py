@@ -23,9 +23,9 @@ from factprep.plans import views as V
 from factprep.session import scratch_path, settings
 from factprep.sources import inventory
 from factprep.sources.dimension import read_dimension
-from factprep.sources.fact import read_bucketed, read_heterogeneous
+from factprep.sources.fact import read_bucketed, read_hash_buckets, read_heterogeneous
 from factprep.sources.samples import read_samples
-from factprep.sources.sinks import lies_by_bucket, write_bucketed
+from factprep.sources.sinks import exists, lies_by_bucket, write_bucketed, write_hash_buckets
 from factprep.streaming.staging import stage_available
 
 BUCKETS = 16
@@ -279,14 +279,36 @@ def staged_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     return read_bucketed(spark, path).select(*MOVES.columns)
 
 
+def bucketed_dedup_in_place(spark: SparkSession, root: str) -> DataFrame:
+    """Clean rows staged by hash bucket, then deduplicated where they lie."""
+    path = scratch_path(spark, "hashed")
+    write_hash_buckets(_cleaned(spark, root), path, list(MOVES.columns), BUCKETS)
+    staged = read_hash_buckets(spark, path, MOVES.clean_schema(), MOVES.columns, BUCKETS)
+    return dedup.in_place(staged, MOVES, BUCKETS).drop("bucket")
+
+
+def guarded_output(spark: SparkSession, root: str) -> DataFrame:
+    """The whole job with a limit that its buckets break, then with one that they keep; what appears of each."""
+    base = scratch_path(spark, "guarded")
+    V.dirty_shipments(spark, root).write.parquet(f"{base}/raw")
+    V.zones(spark, root).toDF("LocationID", "Borough", "Zone").write.option("header", True).csv(f"{base}/zones")
+    seen = []
+    for name, limit in (("refused", 1), ("kept", B.BUCKET_BYTES)):
+        job = dict(contract=MOVES, buckets=BUCKETS, bucket_bytes=limit, oversized="raise", run_id=name)
+        try:
+            rows = P.prepare(spark, f"{base}/raw", f"{base}/zones", f"{base}/{name}", **job).output_rows
+        except ValueError:
+            rows = 0
+        seen.append((name, exists(spark, f"{base}/{name}"), rows))
+    return spark.createDataFrame(seen, "run string, appears boolean, output_rows bigint")
+
+
 def streamed_staging(spark: SparkSession, root: str) -> DataFrame:
     """Raw files, staged one file at a time by a stream that stops when all are done."""
     source, staging = scratch_path(spark, "raw"), scratch_path(spark, "streamed")
     raw = V.dirty_shipments(spark, root)
     raw.write.parquet(source)
-    stage_available(
-        spark, source, raw.schema, staging, scratch_path(spark, "progress"), MOVES, BUCKETS, files_per_batch=2
-    )
+    stage_available(spark, source, staging, scratch_path(spark, "progress"), MOVES, BUCKETS, files_per_batch=2)
     return spark.read.parquet(staging).select(*MOVES.columns)
 
 
@@ -296,9 +318,23 @@ def streamed_two_sources(spark: SparkSession, root: str) -> DataFrame:
     for name, raw in (("dirty", V.dirty_shipments(spark, root)), ("faultless", V.shipments(spark, root))):
         source = scratch_path(spark, name)
         raw.select(*MOVES.columns).write.parquet(source)
-        stage_available(
-            spark, source, raw.select(*MOVES.columns).schema, staging, scratch_path(spark, "progress"), MOVES, BUCKETS
-        )
+        stage_available(spark, source, staging, scratch_path(spark, "progress"), MOVES, BUCKETS)
+    return spark.read.parquet(staging).select(*MOVES.columns)
+
+
+def streamed_mixed_types(spark: SparkSession, root: str) -> DataFrame:
+    """Shipments in files of three physical types in one folder, staged two files at a time."""
+    source, staging = scratch_path(spark, "mixed"), scratch_path(spark, "streamed")
+    moves = V.shipments(spark, root).select(*MOVES.columns).persist()
+    for dtype, part in (
+        ("int", F.col("party_size") <= 2),
+        ("double", F.col("party_size").between(3, 4)),
+        ("string", F.col("party_size") > 4),
+    ):
+        typed = [F.col(c).cast(dtype).alias(c) if c in MOVES.integers else F.col(c) for c in MOVES.columns]
+        moves.where(part).select(*typed).coalesce(2).write.mode("append").parquet(source)
+    moves.unpersist()
+    stage_available(spark, source, staging, scratch_path(spark, "progress"), MOVES, BUCKETS, files_per_batch=2)
     return spark.read.parquet(staging).select(*MOVES.columns)
 
 
@@ -436,6 +472,14 @@ def duplicate_audit(spark: SparkSession, root: str) -> DataFrame:
     return parity.duplicates(_cleaned(spark, root), right, list(MOVES.columns))
 
 
+def bucket_parity(spark: SparkSession, root: str) -> DataFrame:
+    """Clean rows against the same with some changed, by sixteenths of the end zones."""
+    left = _cleaned(spark, root).selectExpr("*", "to_id % 16 AS bucket")
+    changed = "IF(to_id % 16 = 3 AND party_size = 2, fare + 1, IF(to_id % 16 = 5 AND fare > 0, -0.0D, fare))"
+    right = left.withColumns({"fare": F.expr(changed)}).where("NOT (to_id % 16 = 7 AND party_size = 1)")
+    return parity.bucket_parity(left, right, list(MOVES.columns))
+
+
 def output_parity(spark: SparkSession, root: str) -> DataFrame:
     """The finished rows after staging and without it, as written files."""
     direct, staged, staging = (scratch_path(spark, n) for n in ("direct", "after-staging", "staging"))
@@ -625,6 +669,9 @@ QUERIES = {
         staged_roundtrip,
         streamed_staging,
         streamed_two_sources,
+        streamed_mixed_types,
+        bucketed_dedup_in_place,
+        guarded_output,
         output_roundtrip,
         bucket_layout,
         heterogeneous_union,
@@ -638,6 +685,7 @@ QUERIES = {
         count_prefix,
         multiset_parity,
         duplicate_audit,
+        bucket_parity,
         output_parity,
         row_audit,
         row_audit_faults,

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factprep.session import literal_path
+
 # Header of the zone lookup.
 ZONE_COLUMNS = ("LocationID", "Borough", "Zone")
 
@@ -16,7 +18,7 @@ def read_dimension(spark: SparkSession, path: str, columns: tuple[str, str, str]
     number becomes null, which the dimension check reports.
     """
     # Doubled quotes and line breaks inside quotes, as CSV writers produce them.
-    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(literal_path(path))
     raw = raw.toDF(*[c.lstrip("\ufeff") for c in raw.columns])
     missing = set(columns) - set(raw.columns)
     if missing:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from factprep.contract import FactContract
 from factprep.functions.cleaning import quoted
@@ -66,6 +68,12 @@ def read_nanoseconds(spark: SparkSession, paths: list[str], contract: FactContra
     return df.selectExpr(*columns)
 
 
+def file_kind(contract: FactContract) -> Column:
+    """The stored types of an inventoried file's contract columns, as a JSON list."""
+    types = F.from_json("column_types", "map<string,string>")
+    return F.to_json(F.array(*[F.coalesce(F.element_at(types, c), F.lit("")) for c in contract.columns])).alias("kind")
+
+
 def schema_groups(
     files: DataFrame, contract: FactContract, root: str, listed: DataFrame | None = None
 ) -> dict[str, list[str]]:
@@ -78,9 +86,7 @@ def schema_groups(
     in one place costs a path for each of its files.
     """
     top = qualified(files.sparkSession, root).rstrip("/")
-    types = F.from_json("column_types", "map<string,string>")
-    kind = F.to_json(F.array(*[F.coalesce(F.element_at(F.col("t"), c), F.lit("")) for c in contract.columns]))
-    kinds = files.withColumn("t", types).select("path", kind.alias("kind"))
+    kinds = files.select("path", file_kind(contract))
     if listed is not None:
         # A file that is not wanted has a kind of its own, so no folder above it is alike.
         kinds = listed.select("path").join(kinds, "path", "left")
@@ -135,7 +141,29 @@ def read_heterogeneous(
     """
     files = file_inventory(spark, path) if files is None else files
     groups = schema_groups(files, contract, path, list_inputs(spark, path) if only_files else None)
-    prepare = prepare or as_doubles
+    return read_groups(spark, groups, contract, prepare or as_doubles)
+
+
+def read_files(
+    spark: SparkSession,
+    files: DataFrame,
+    contract: FactContract,
+    prepare: Callable[[DataFrame, FactContract], DataFrame] | None = None,
+) -> DataFrame:
+    """One table from a bounded number of inventoried files, each read by its own path and types."""
+    groups: dict[str, list[str]] = defaultdict(list)
+    for kind, path in files.select(file_kind(contract), "path").collect():
+        groups[kind].append(path)
+    return read_groups(spark, groups, contract, prepare or as_doubles)
+
+
+def read_groups(
+    spark: SparkSession,
+    groups: dict[str, list[str]],
+    contract: FactContract,
+    prepare: Callable[[DataFrame, FactContract], DataFrame],
+) -> DataFrame:
+    """Each group of like files brought to common types by ``prepare``, united by name."""
     parts = []
     for kind in sorted(groups):
         types = json.loads(kind)
@@ -155,7 +183,27 @@ def as_doubles(df: DataFrame, contract: FactContract) -> DataFrame:
     )
 
 
+def read_hash_buckets(
+    spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str], buckets: int
+) -> DataFrame:
+    """Files of ``write_hash_buckets``, of which Spark knows that rows equal in ``columns`` lie together.
+
+    Grouping or joining on ``columns`` then needs no shuffle. ``schema``, ``columns`` and ``buckets`` must be
+    those they were written with.
+    """
+    table = f"factprep_{uuid.uuid4().hex}"
+    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    keys = ", ".join(map(quoted, columns))
+    place = literal_path(qualified(spark, path)).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet CLUSTERED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{place}'")
+    try:
+        # The plan keeps what it needs of the table.
+        return spark.table(table).select("*")
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
 def read_bucketed(spark: SparkSession, path: str, bucket: str = "_bucket") -> DataFrame:
     """A bucketed dataset; the bucket number comes from the folder names."""
-    df = spark.read.parquet(path)
+    df = spark.read.parquet(literal_path(path))
     return df.withColumn(bucket, F.col(bucket).cast("int")) if bucket in df.columns else df

@@ -80,7 +80,12 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: path, bytes, uncompressed bytes of its row groups, rows, column types and column bytes."""
-    return list_inputs(spark, path).mapInPandas(_read_footers, FOOTER)
+    return with_footers(list_inputs(spark, path))
+
+
+def with_footers(listed: DataFrame) -> DataFrame:
+    """The inventory of listed files (``path``, ``bytes``)."""
+    return listed.mapInPandas(_read_footers, FOOTER)
 
 
 def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -221,6 +226,12 @@ def bucket_files(files: DataFrame, bucket: str = "bucket") -> DataFrame:
     return files.withColumn("bucket", F.when(number == "", F.lit(-1)).otherwise(number.try_cast("int")))
 
 
+def hash_bucket_files(files: DataFrame) -> DataFrame:
+    """Add each file's hash bucket, from its name; -1 for a file that names none."""
+    number = F.regexp_extract(F.element_at(by_parts(), -1), r"_([0-9]+)(?:[.].*)?$", 1)
+    return files.withColumn("bucket", F.when(number == "", F.lit(-1)).otherwise(number.try_cast("int")))
+
+
 def check_layout(files: DataFrame, bucket: str = "bucket") -> None:
     """Raise if a dataset has no file, or a file with rows outside the bucket folders."""
     placed = bucket_files(files, bucket)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from factprep.session import literal_path
+
 # Layout of a resource sample file.
 SAMPLE = (
     "utc string, epoch_seconds double, framework string, run_id string, node string, cpu_percent double, "
@@ -13,4 +15,5 @@ SAMPLE = (
 
 
 def read_samples(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return spark.read.schema(SAMPLE).option("header", True).csv(paths)
+    named = [literal_path(path) for path in ([paths] if isinstance(paths, str) else paths)]
+    return spark.read.schema(SAMPLE).option("header", True).csv(named)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from factprep.operators.buckets import repartition_by_bucket
@@ -35,6 +39,29 @@ def guard_paths(spark: SparkSession, inputs: list[str], targets: list[str]) -> N
             raise FileExistsError(f"{target} already exists; choose another path.")
 
 
+@contextmanager
+def committed(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder to write to that becomes ``path`` only when the block ends without an error.
+
+    Until then it lies beside it under a name that starts with an underscore, which Spark's readers
+    leave out; an error deletes it. A run that is killed leaves it behind, and nothing at ``path``. The last
+    step is a rename, so a file system that renames folders at once shows either all of the dataset or none.
+    """
+    files, target = hadoop_path(spark, path)
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}-{uuid.uuid4().hex}")
+    files.mkdirs(target.getParent())
+    try:
+        yield hidden.toString()
+        # A rename onto a folder would move into it.
+        if files.exists(target):
+            raise FileExistsError(f"{path} was written by someone else meanwhile.")
+        if not files.rename(hidden, target):
+            raise OSError(f"{hidden.toString()} could not be renamed to {path}.")
+    except BaseException:
+        files.delete(hidden, True)
+        raise
+
+
 def write_bucketed(df: DataFrame, path: str, bucket: str = "bucket", rebalance: bool = True) -> None:
     """Write Snappy Parquet under ``bucket=N`` folders; the target must not exist.
 
@@ -50,6 +77,20 @@ def write_bucketed(df: DataFrame, path: str, bucket: str = "bucket", rebalance:
         empty.coalesce(1).write.mode("append").option("compression", "snappy").parquet(path)
 
 
+def write_hash_buckets(df: DataFrame, path: str, columns: list[str], buckets: int) -> None:
+    """Write Snappy Parquet files that each hold rows of one hash bucket of ``columns``; the target must not exist.
+
+    The bucket is Spark's own for bucketed tables, the same number as ``bucket_id`` gives, and stands in the
+    files' names. Rows are shuffled once. ``read_hash_buckets`` reads them so that Spark knows how they lie.
+    """
+    spark, table = df.sparkSession, f"factprep_{uuid.uuid4().hex}"
+    laid_out = df.repartition(buckets, *columns)
+    writer = laid_out.write.format("parquet").option("compression", "snappy").option("path", path)
+    writer.bucketBy(buckets, columns).mode("errorifexists").saveAsTable(table)
+    # The files stay; only the session's name for them goes.
+    spark.sql(f"DROP TABLE {table}")
+
+
 def lies_by_bucket(spark: SparkSession, buckets: int) -> bool:
     """Whether rows just deduplicated by ``dedup.by_bucket`` can be written without a shuffle.
 

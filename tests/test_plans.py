@@ -7,12 +7,15 @@ import re
 import pytest
 
 from factprep.contract import MOVES, TRIPS
+from factprep.functions.keys import bucket_id
 from factprep.operators import cleaning, dedup, enrich, parity, profile
 from factprep.plans import prepare as P
 from factprep.plans import queries as Q
 from factprep.plans import views as V
 from factprep.session import settings
-from factprep.sources.fact import read_fact
+from factprep.sources import inventory
+from factprep.sources.fact import read_fact, read_hash_buckets
+from factprep.sources.sinks import write_hash_buckets
 
 SMALL = "/root/testdata/sf0.001"
 ZONES = "location_id bigint, borough string, zone string"
@@ -158,3 +161,51 @@ def test_contract_columns_must_be_classed_once():
 
     with pytest.raises(ValueError):
         replace(TRIPS, floats=("trip_distance",))
+
+
+def test_staged_hash_buckets_are_deduplicated_without_a_shuffle(spark, moves, tmp_path):
+    cleaned = cleaning.clean(moves, MOVES)
+    copies = cleaned.unionByName(cleaned).unionByName(cleaned.limit(1))
+    path = str(tmp_path / "it's [hashed]")
+    write_hash_buckets(copies, path, list(MOVES.columns), 8)
+    staged = read_hash_buckets(spark, path, MOVES.clean_schema(), MOVES.columns, 8)
+    assert staged.count() == copies.count()
+    found = dedup.in_place(staged, MOVES, 8)
+    assert "Exchange" not in plan(found)
+    assert sorted(found.drop("bucket").collect()) == sorted(cleaned.distinct().collect())
+    # The number in a file's name is the bucket that the rows' own hash gives.
+    files = inventory.hash_bucket_files(inventory.file_inventory(spark, path))
+    assert dict(files.groupBy("bucket").sum("row_count").collect()) == dict(
+        staged.selectExpr(f"{bucket_id(MOVES.columns, 8)} AS bucket").groupBy("bucket").count().collect()
+    )
+    assert spark.catalog.listTables() == []
+
+
+def test_equal_outputs_compare_without_a_shuffle_of_rows(spark, moves):
+    cleaned = cleaning.clean(moves, MOVES).selectExpr("*", "to_id % 4 AS bucket")
+    text = plan(parity.bucket_parity(cleaned, cleaned, list(MOVES.columns)))
+    for exchanged in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text):
+        assert re.fullmatch(r"(coalesce\()?bucket#\d+L?.*", exchanged), exchanged
+
+
+def test_parity_by_bucket_finds_small_changes(spark):
+    schema = "a bigint, x double, t string, bucket int"
+    rows = [(i, float(i % 5), None if i % 3 else "t", i % 4) for i in range(40)] + [(0, 0.0, "t", 0)]
+    columns = ["a", "x", "t"]
+
+    def unequal(changed):
+        pair = (spark.createDataFrame(r, schema).repartition(3) for r in (rows, changed))
+        return [r.bucket for r in parity.bucket_parity(*pair, columns).orderBy("bucket").collect() if not r.equal]
+
+    assert unequal(rows[::-1]) == []
+    assert unequal([*rows[:-1], (0, -0.0, "t", 0)]) == [0]
+    # A copy more of one row and one fewer of another, at the same number of rows.
+    assert unequal([*rows[:4], rows[4], rows[4], *rows[6:8], rows[5], *rows[9:]]) == [0]
+    # A null that moves to another column, and a bucket that one side lacks.
+    assert unequal([(None, 1.0, "1", 1) if r == rows[1] else r for r in rows]) == [1]
+    assert unequal([r for r in rows if r[3] != 2]) == [2]
+
+
+def test_repeated_rows_are_found_by_hash(spark):
+    rows = spark.createDataFrame([(1, 0.0), (1, -0.0), (2, None), (2, None), (3, 1.0)], "a int, x double")
+    assert [(r.a, r.x, r.lhs) for r in parity.repeated_rows(rows, ["a", "x"]).collect()] == [(2, None, 2)]

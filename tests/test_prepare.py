@@ -9,8 +9,10 @@ import pytest
 from factprep.contract import TRIPS
 from factprep.operators import runlog
 from factprep.plans import prepare as P
+from factprep.session import literal_path
 from factprep.sources import inventory
 from factprep.sources.fact import read_bucketed
+from factprep.sources.sinks import committed, exists
 from factprep.streaming.staging import stage_available
 
 
@@ -179,10 +181,9 @@ def test_failed_run_is_recorded(spark, trips, tmp_path, monkeypatch):
 def test_stream_resumes_and_never_repeats(spark, trips, tmp_path):
     source, staging, progress = tmp_path / "source", str(tmp_path / "staging"), str(tmp_path / "progress")
     source.mkdir()
-    first = spark.read.parquet(trips.second)
 
     def stage():
-        stage_available(spark, str(source), first.schema, staging, progress, TRIPS, 8, files_per_batch=1)
+        stage_available(spark, str(source), staging, progress, TRIPS, 8, files_per_batch=1)
         return spark.read.parquet(staging).count()
 
     for name in ("a", "b", "c"):
@@ -196,10 +197,72 @@ def test_stream_resumes_and_never_repeats(spark, trips, tmp_path):
 
 
 def test_streams_of_several_sources_share_staging(spark, trips, tmp_path):
-    staging, schema = str(tmp_path / "staging"), spark.read.parquet(trips.second).schema
+    staging = str(tmp_path / "staging")
     for name in ("one", "two"):
         (tmp_path / name).mkdir()
         (tmp_path / name / "a.parquet").write_bytes(open(trips.second, "rb").read())
         (tmp_path / name / "notes.txt").write_text("not parquet")
-        stage_available(spark, str(tmp_path / name), schema, staging, f"{tmp_path}/progress-{name}", TRIPS, 8)
+        stage_available(spark, str(tmp_path / name), staging, f"{tmp_path}/progress-{name}", TRIPS, 8)
     assert spark.read.parquet(staging).count() == 8
+
+
+def test_stream_takes_files_by_their_own_types(spark, trips, tmp_path):
+    """The two files differ in types; a third lacks a column and stops the stream before its batch."""
+    source, staging, progress = tmp_path / "source", str(tmp_path / "staging"), str(tmp_path / "progress")
+    (source / "deeper").mkdir(parents=True)
+    (source / "a.parquet").write_bytes(open(trips.first, "rb").read())
+    (source / "deeper" / "b[1].parquet").write_bytes(open(trips.second, "rb").read())
+    P.stage_stream(spark, str(source), staging, progress, buckets=4)
+    read = read_bucketed(spark, staging)
+    assert read.select(*TRIPS.columns).schema == TRIPS.clean_schema()
+    assert read.count() == trips.clean
+    done = P.prepare(spark, str(source), trips.zones, f"{tmp_path}/out", buckets=4, reuse_staging=staging)
+    assert done.output_rows == trips.output
+    spark.range(3).write.parquet(str(source / "c"))
+    with pytest.raises(Exception, match="lacks columns"):
+        stage_available(spark, str(source), staging, progress, TRIPS, 4)
+    assert read_bucketed(spark, staging).count() == trips.clean
+
+
+def test_refused_output_leaves_nothing(spark, trips, tmp_path):
+    """Without staging the guard counts what was written, before it appears."""
+    base = tmp_path / "base"
+    sizes = dict(buckets=1, bucket_bytes=1536, oversized="raise")
+    with pytest.raises(ValueError, match="over the limit"):
+        P.prepare(spark, trips.folder, trips.zones, f"{base}/out", **sizes)
+    assert list(base.iterdir()) == []
+    assert P.prepare(spark, trips.folder, trips.zones, f"{base}/out", buckets=1).output_rows == trips.output
+    assert [p.name for p in base.iterdir()] == ["out"]
+
+
+def test_only_finished_folders_appear(spark, tmp_path):
+    target = str(tmp_path / "deep" / "out[1]")
+    with pytest.raises(KeyboardInterrupt):
+        with committed(spark, target) as place:
+            spark.range(5).write.parquet(place)
+            # What a killed run leaves behind is neither an output nor part of a reading of the folder above.
+            assert not exists(spark, target)
+            assert inventory.list_inputs(spark, str(tmp_path / "deep")).count() == 0
+            raise KeyboardInterrupt
+    assert list((tmp_path / "deep").iterdir()) == []
+    with committed(spark, target) as place:
+        spark.range(5).write.parquet(place)
+    assert spark.read.parquet(literal_path(target)).count() == 5
+    with pytest.raises(FileExistsError):
+        with committed(spark, target) as place:
+            spark.range(6).write.parquet(place)
+    assert spark.read.parquet(literal_path(target)).count() == 5
+    assert [p.name for p in (tmp_path / "deep").iterdir()] == ["out[1]"]
+
+
+def test_folders_with_brackets_are_read_back(spark, trips, tmp_path):
+    out, staging, runs = (f"{tmp_path}/{n}[1]*" for n in ("out", "staging", "runs"))
+    P.prepare(spark, trips.folder, trips.zones, out, staging=staging, buckets=4, runs=runs, run_id="a")
+    again = P.prepare(spark, trips.folder, trips.zones, f"{tmp_path}/b", reuse_staging=staging, buckets=4)
+    assert P.compare(spark, out, again.output, buckets=4)["left_rows"] == trips.output
+    assert runlog.latest(runlog.read(spark, runs)).first().status == "complete"
+
+
+def test_run_ids_are_names(spark, trips, tmp_path):
+    with pytest.raises(ValueError, match="run id"):
+        P.prepare(spark, trips.folder, trips.zones, f"{tmp_path}/out", run_id="../a")
