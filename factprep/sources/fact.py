@@ -194,7 +194,7 @@ def read_hash_buckets(
     table = f"factprep_{uuid.uuid4().hex}"
     fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     keys = ", ".join(map(quoted, columns))
-    place = literal_path(qualified(spark, path)).replace("\\", "\\\\").replace("'", "\\'")
+    place = qualified(spark, path).replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet CLUSTERED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{place}'")
     try:
         # The plan keeps what it needs of the table.

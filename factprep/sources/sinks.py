@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 from factprep.operators.buckets import repartition_by_bucket
-from factprep.session import hadoop_path, qualified
+from factprep.session import hadoop_path, literal_path, qualified
 from factprep.sources.inventory import list_inputs
 
 
@@ -82,7 +82,10 @@ def write_hash_buckets(df: DataFrame, path: str, columns: list[str], buckets: in
 
     The bucket is Spark's own for bucketed tables, the same number as ``bucket_id`` gives, and stands in the
     files' names. Rows are shuffled once. ``read_hash_buckets`` reads them so that Spark knows how they lie.
+    Spark takes a table's place for a pattern, so the path must hold no marks of one.
     """
+    if literal_path(path) != path:
+        raise ValueError(f"Bucketed files cannot lie at a path with brackets or stars: {path}")
     spark, table = df.sparkSession, f"factprep_{uuid.uuid4().hex}"
     laid_out = df.repartition(buckets, *columns)
     writer = laid_out.write.format("parquet").option("compression", "snappy").option("path", path)

@@ -166,7 +166,9 @@ def test_contract_columns_must_be_classed_once():
 def test_staged_hash_buckets_are_deduplicated_without_a_shuffle(spark, moves, tmp_path):
     cleaned = cleaning.clean(moves, MOVES)
     copies = cleaned.unionByName(cleaned).unionByName(cleaned.limit(1))
-    path = str(tmp_path / "it's [hashed]")
+    path = str(tmp_path / "it's hashed")
+    with pytest.raises(ValueError, match="brackets"):
+        write_hash_buckets(copies, f"{path}[1]", list(MOVES.columns), 8)
     write_hash_buckets(copies, path, list(MOVES.columns), 8)
     staged = read_hash_buckets(spark, path, MOVES.clean_schema(), MOVES.columns, 8)
     assert staged.count() == copies.count()
