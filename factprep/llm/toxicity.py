@@ -40,11 +40,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PRIOR, FLAT = 500.0, 0.5
 Z_LEAST = 3.0
-#: Most tokens of the lexicon, by standard errors.
-LEXICON = 1 << 16
 DRIFT = 0.25
 COUNTED = 300_000
-BIN, MOST_BINS = 0.25, 4096
+BIN = 0.25
 #: Quantile of non-toxic texts' best segments at which the extreme-value law is fitted.
 TAIL = 0.95
 
@@ -138,8 +136,8 @@ def log_odds(rows: DataFrame) -> tuple[dict[str, float], float, float, dict[str,
         counts.withColumn("odds", odds(F.col("n1"), all1) - odds(F.col("n0"), all0))
         .withColumn("z", F.col("odds") / F.sqrt(1 / (F.col("n1") + prior) + 1 / (F.col("n0") + prior)))
         .filter((F.col("z") >= Z_LEAST) & (F.col("odds") > 0))
+        # No more tokens than the bounded sample of labelled texts holds.
         .orderBy(F.desc("z"), "token")
-        .limit(LEXICON)
         .collect()
     )
     rest0 = all0 - sum(r.n0 for r in weighed)
@@ -168,7 +166,7 @@ def _binned(rows: DataFrame, value: Callable[[str | None], float]) -> list[tuple
     def values(texts: pd.Series) -> pd.Series:
         return pd.Series([value(t) for t in texts], dtype="float64")
 
-    binned = F.least(F.floor(values(F.col("text")) / BIN), F.lit(MOST_BINS)).cast("int").alias("bin")
+    binned = F.floor(values(F.col("text")) / BIN).alias("bin")
     return [(r["__label"], r["bin"], r["n"]) for r in rows.groupBy("__label", binned).agg(F.count("*").alias("n")).collect()]
 
 
