@@ -182,6 +182,10 @@ def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[far], nodes[root[far]]
 
 
+#: Pairs of one bucket that are compared at a time.
+SLICE = 1 << 22
+
+
 def _compare(distance: int):
     edge = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
@@ -192,14 +196,16 @@ def _compare(distance: int):
         sizes = np.diff(np.append(starts, len(group)))
         for s, n in zip(starts[sizes > 64].tolist(), sizes[sizes > 64].tolist(), strict=True):
             all_of, first = prints[s : s + n], prints[s : s + n][filed[s : s + n]]
-            found = ([], [])
-            for i in range(0, len(first), 256):
-                a, b = np.nonzero(np.bitwise_count(first[i : i + 256, None] ^ all_of[None, :]) <= distance)
-                x, y = first[i : i + 256][a], all_of[b]
-                found[0].append(x[x != y])
-                found[1].append(y[x != y])
-            if sum(map(len, found[0])):
-                x, y = forest(np.concatenate(found[0]), np.concatenate(found[1]))
+            # A running forest: no more edges than rows are ever held beside a slice's pairs.
+            x = y = np.zeros(0, np.uint64)
+            step = max(1, SLICE // n)
+            for i in range(0, len(first), step):
+                a, b = np.nonzero(np.bitwise_count(first[i : i + step, None] ^ all_of[None, :]) <= distance)
+                u, v = first[i : i + step][a], all_of[b]
+                u, v = u[u != v], v[u != v]
+                if len(u):
+                    x, y = forest(np.concatenate((x, u)), np.concatenate((y, v)))
+            if len(x):
                 us.append(x)
                 vs.append(y)
         small = np.repeat(sizes <= 64, sizes)

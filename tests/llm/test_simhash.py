@@ -158,3 +158,27 @@ def test_texts_of_one_id_and_fingerprint_stay_once(spark):
     docs = documents(spark, ["Some words of a text", "some  words of a text", "SOME words of a text"], ids=[5, 5, None])
     found = simhash.first_of_each(docs).collect()
     assert len(found) == 1 and found[0].doc_id == 5
+
+
+def test_large_groups_are_linked_within_bounded_memory(spark, monkeypatch):
+    """Thousands of unlike fingerprints in one bucket, nearly all linked: pairs are folded, not gathered."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    prints = sorted({sum(1 << b for b in rng.sample(range(64), rng.randint(0, 2))) for _ in range(40_000)})
+    assert len(prints) > 1500
+    monkeypatch.setattr(simhash, "SLICE", 1 << 16)
+    signed = [p - 2**64 if p >= 2**63 else p for p in prints]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(signed, pa.int64()), pa.array([0] * len(signed), pa.int64()), pa.array([5] * len(signed), pa.int64())],
+        names=["print", "flip", "g"],
+    )
+    tracemalloc.start()
+    edges = pa.Table.from_batches(simhash._compare(4)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Fingerprints of at most two bits differ in at most four: one component, told by a tree.
+    assert len(edges) == len(prints) - 1 and len(set(edges["v"].to_pylist())) == 1
+    assert peak < 40e6, peak
