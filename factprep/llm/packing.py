@@ -112,6 +112,12 @@ def byte_ranks(tokenizer: str) -> dict[bytes, int]:
     return {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items() if all(c in byte_of for c in t)}
 
 
+def added_tokens(tokenizer: str) -> list[str]:
+    """Texts that the tokenizer file adds to its vocabulary as whole tokens."""
+    with open(tokenizer, encoding="utf-8") as file:
+        return [t["content"] for t in json.load(file)["added_tokens"]]
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit numbers.
 
@@ -129,6 +135,8 @@ class Encoder:
         self.file, self.tokenizer = tokenizer, None
         encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_ranks(tokenizer), special_tokens={})
         self.merge = encoding.encode_ordinary
+        # Such marks in a text are tokens of their own, which only the tokenizer tells.
+        self.marks = added_tokens(tokenizer)
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -137,7 +145,6 @@ class Encoder:
             from tokenizers import Tokenizer
 
             self.tokenizer = Tokenizer.from_file(self.file)
-            self.tokenizer.encode_special_tokens = True
         return pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def word(self, text: str) -> bytes:
@@ -149,6 +156,8 @@ class Encoder:
         return ids
 
     def __call__(self, text: str) -> bytes:
+        if any(mark in text for mark in self.marks):
+            return self.whole(text)
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:

@@ -14,7 +14,6 @@ PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.P
 
 def plain_tokenizer():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return tokenizer
 
 
