@@ -41,7 +41,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factprep.llm.common import word_tokens
@@ -55,6 +55,8 @@ SAMPLED, WALKS, MOST_REPEATS = 3, 8, 128
 BLOCK_WORDS = 60_000
 #: Windows embedded at a time, and texts searched together at least.
 WINDOWS, ROWS = 16_384, 8192
+#: Characters of the texts that are searched together, or one batch.
+CHARACTERS = 1 << 24
 #: Edited items of a kind and place whose recall is measured, and words of their windows embedded at a time.
 TRIALS, CELLS = 128, 1 << 21
 KINDS, PLACES = ("swap", "delete", "insert", "mixed"), ("whole", "start", "end", "within")
@@ -238,6 +240,11 @@ def repeats_needed(items: np.ndarray, edits: int, block: Block, recall: float) -
     return 0, 0
 
 
+def run_limit(base: int) -> int:
+    """Numbers below ``base`` that fit a code of 64 bits, four at most; shorter runs only admit more windows."""
+    return max(n for n in range(1, 5) if n == 1 or base**n <= 2**64)
+
+
 def shared_runs(items: list[np.ndarray], base: int, similarity: float) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """The runs of a Block."""
     grams: dict[int, dict[int, set[tuple[int, int]]]] = defaultdict(lambda: defaultdict(set))
@@ -245,7 +252,7 @@ def shared_runs(items: list[np.ndarray], base: int, similarity: float) -> dict[i
         if not len(item):
             continue
         run = shared_run(len(item), edits_allowed(len(item), similarity))
-        run = min(run, 4)  # four numbers fit a code; shorter runs only admit more windows
+        run = min(run, run_limit(base))
         for at in range(len(item) - run + 1):
             code = 0
             for word in item[at : at + run].tolist():
@@ -260,6 +267,31 @@ def shared_runs(items: list[np.ndarray], base: int, similarity: float) -> dict[i
     return runs
 
 
+def measured(
+    items: list[np.ndarray], sizes: dict[int, list[int]], vocabulary: dict[str, int], similarity: float, recall: float
+) -> dict[int, tuple[int, int]]:
+    """``repeats_needed`` of every item size of a block, each measured by a task of its own."""
+    base = len(vocabulary) + 2
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for size in batch["size"].tolist():
+                rows = np.array([items[n] for n in sizes[size]])
+                alone = Block(vocabulary, [], similarity, shared_runs(list(rows), base, similarity), {}, {}, {})
+                found.append((size, *repeats_needed(rows, edits_allowed(size, similarity), alone, recall)))
+            yield pd.DataFrame(found, columns=["size", "sampled", "repeats"])
+
+    if not sizes:
+        return {}
+    spark = SparkSession.active()
+    # Large sizes take longest and are dealt out first.
+    asked = spark.sparkContext.parallelize([(s,) for s in sorted(sizes, reverse=True)], len(sizes))
+    frame = spark.createDataFrame(asked, "size int")
+    rows = frame.mapInPandas(measure, "size int, sampled int, repeats int").collect()
+    return {r["size"]: (r["sampled"], r["repeats"]) for r in rows}
+
+
 def build_block(texts: list[str | None], similarity: float = SIMILARITY, recall: float = RECALL) -> Block:
     split = [word_tokens(t or "") for t in texts]
     vocabulary = {w: i for i, w in enumerate(sorted({w for ws in split for w in ws}), 1)}
@@ -272,10 +304,10 @@ def build_block(texts: list[str | None], similarity: float = SIMILARITY, recall:
     runs = shared_runs(items, base, similarity)
     coordinates: dict[int, int] = {}
     tables: dict[int, list[dict[int, list[int]]]] = {}
+    needed = measured(items, dict(sizes), vocabulary, similarity, recall)
     for size, numbers in sizes.items():
         rows = np.array([items[n] for n in numbers])
-        alone = Block(vocabulary, [], similarity, shared_runs(list(rows), base, similarity), {}, {}, {})
-        coordinates[size], repeats = repeats_needed(rows, edits_allowed(size, similarity), alone, recall)
+        coordinates[size], repeats = needed[size]
         tables[size] = []
         for own in key_sets(rows, repeats, base - 1, coordinates[size]):
             filed: dict[int, list[int]] = defaultdict(list)
@@ -373,14 +405,15 @@ def _searcher(block: Block):
     def matches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         # Several batches are searched together; of their texts only the word numbers are held.
         while True:
-            rows = 0
+            rows = characters = 0
 
             def some() -> Iterator[str | None]:
-                nonlocal rows
+                nonlocal rows, characters
                 for batch in batches:
                     rows += len(batch)
+                    characters += int(batch.str.len().sum())
                     yield from batch
-                    if rows >= ROWS:
+                    if rows >= ROWS or characters >= CHARACTERS:
                         break
 
             found = search(some(), block)

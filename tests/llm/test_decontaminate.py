@@ -172,3 +172,16 @@ def test_where_no_keys_reach_the_target_every_window_is_verified(monkeypatch):
     found = {(d, m[0]) for d, rows in enumerate(decontaminate.search(texts, block)) for m in rows}
     near = lambda item, t: slow_distance(item, t.split()) <= decontaminate.edits_allowed(len(item), 0.8)
     assert found == {(d, n) for d, t in enumerate(texts) for n, item in enumerate(items) if near(item, t)}
+
+
+def test_items_of_many_words():
+    """Codes of runs fit 64 bits whatever the vocabulary, and only admit more windows."""
+    for base in (3, 65_536, 65_537, 70_003, 2**21 + 1, 2**22, 2**33):
+        run = decontaminate.run_limit(base)
+        assert base**run <= 2**64 or run == 1
+    item = np.arange(1, 70_001)
+    runs = decontaminate.shared_runs([item, item[:30]], 70_002, 0.8)
+    vocabulary = {str(i): i for i in range(1, 70_001)}
+    block = decontaminate.Block(vocabulary, [], 0.8, runs, {}, {}, {})
+    text = np.concatenate([np.zeros(50, np.int64), item[:30], np.zeros(9, np.int64)])
+    assert (50, 30) in decontaminate.windows_of(text, block)
