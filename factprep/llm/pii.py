@@ -57,6 +57,8 @@ OTHERS = " \n.,@-+()%_:;/!?*#&$=|'\""
 PAD, DIGIT, UPPER_CASE, LOWER_CASE, OTHER, FIRST = 0, 1, 2, 3, 4, 5
 SYMBOLS = FIRST + len(OTHERS)
 CHUNK = 2048
+#: Characters, padding included, that are decoded side by side, or one stretch.
+CELLS = 1 << 20
 Span = tuple[int, int, int]  # kind, start, end
 
 
@@ -240,8 +242,11 @@ def viterbi(stretches: list[np.ndarray], w: dict[str, np.ndarray]) -> list[np.nd
     """Best label sequence of each stretch of scores (time, tag); all of them side by side."""
     order = sorted(range(len(stretches)), key=lambda i: -len(stretches[i]))
     out: list[np.ndarray] = [np.zeros(0, int)] * len(stretches)
-    for at in range(0, len(order), CHUNK):
-        some = order[at : at + CHUNK]
+    at = 0
+    while at < len(order):
+        # The longest comes first and sets the width of all that are padded to it.
+        some = order[at : at + max(1, min(CHUNK, CELLS // max(1, len(stretches[order[at]]))))]
+        at += len(some)
         lengths = np.array([len(stretches[i]) for i in some])
         padded = np.zeros((int(lengths[0]), len(some), TAGS), np.float32)
         for j, i in enumerate(some):

@@ -119,3 +119,18 @@ def test_fit_and_odd_and_empty_tables(spark):
     trained = pii.fit(documents(spark, [f"text {i} {MAIL} and {PHONE} too" for i in range(20)]), sample=10)
     assert trained.weights is not None
     assert pii.found(empty_documents(spark), trained).collect() == []
+
+
+def test_long_stretches_are_decoded_alone():
+    """Memory goes by the characters there are, not by the longest stretch times their number."""
+    import tracemalloc
+
+    rng, w = np.random.default_rng(1), pii.first_weights()
+    stretches = [rng.normal(size=(n, pii.TAGS)).astype(np.float32) for n in [150_000, *[40] * 1500]]
+    tracemalloc.start()
+    paths = pii.viterbi(stretches, w)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6, peak
+    for i in (0, 1, 700, 1500):
+        assert (paths[i] == pii.viterbi([stretches[i]], w)[0]).all()
