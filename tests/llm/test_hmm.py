@@ -121,3 +121,12 @@ def test_odd_and_empty_tables(spark):
     held = documents(spark, ["a b", "c"], ids=[i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2][:2])
     alone = hmm.scored(held, states=2, rounds=1).orderBy("doc_id").collect()
     assert [(r.n_known, r.train_tokens, r.base_score) for r in alone] == [(0, 0, 0.0)] * 2
+
+
+@pytest.mark.parametrize("most", [1, 7, 40, 333, 334, 2000])
+def test_most_frequent_words_are_cut_by_histograms(spark, most):
+    rng = random.Random(3)
+    counts = [(f"w{i}".encode(), int(rng.paretovariate(0.7))) for i in range(1000)]
+    found = hmm.most_frequent(spark.createDataFrame(counts, "word binary, n long"), most).collect()
+    assert len({bytes(r.word) for r in found}) == len(found) == min(most, 1000)
+    assert sorted((r.n for r in found), reverse=True) == sorted((n for _, n in counts), reverse=True)[:most]
