@@ -223,28 +223,29 @@ def with_likeness(rows: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFra
 # --- the next document ------------------------------------------------------
 
 
+#: Ids of a range in which neighbours are found.
+RANGE_ROWS = 1 << 20
+
+
 def next_ids(docs: DataFrame) -> DataFrame:
     """(__id, __next, __rows) of every distinct id: the next one in descending order; after the last, the first.
 
-    Neighbours are found in ranges of 256 ids, between ranges in groups of 256 of them,
-    and between those groups in one window over a row for each 65,536 ids. A null id is last.
+    Spark cuts the ids into ranges of like numbers of ids, whatever their values. Neighbours are found inside the
+    ranges, and between them in one window over a row for each range. A null id is last.
     """
-    ids = docs.groupBy("__id").agg(F.count("*").alias("__rows")).withColumn("__range", F.shiftright("__id", 8))
-    inner = ids.withColumn("__next", F.lead("__id").over(Window.partitionBy("__range").orderBy(F.desc("__id"))))
-    ranges = (
-        ids.groupBy("__range")
+    ids = stored(docs.groupBy("__id").agg(F.count("*").alias("__rows")), "ids")
+    ranges = max(int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-ids.count() // RANGE_ROWS))
+    # Stored, so that a range is the same however often its task runs.
+    ranged = stored(ids.repartitionByRange(ranges, "__id").withColumn("__range", F.spark_partition_id()), "ranges")
+    inner = ranged.withColumn("__next", F.lead("__id").over(Window.partitionBy("__range").orderBy(F.desc("__id"))))
+    order = Window.orderBy(F.desc("__top"))
+    after = (
+        ranged.groupBy("__range")
         .agg(F.max("__id").alias("__top"))
-        .withColumn("__group", F.shiftright("__range", 8))
-        .withColumn("__after", F.lead("__top").over(Window.partitionBy("__group").orderBy(F.desc("__range"))))
-    )
-    order = Window.orderBy(F.desc("__group"))
-    groups = (
-        ranges.groupBy("__group")
-        .agg(F.max("__top").alias("__group_top"))
-        .withColumn("__group_after", F.coalesce(F.lead("__group_top").over(order), F.first("__group_top").over(order)))
+        .withColumn("__after", F.coalesce(F.lead("__top").over(order), F.first("__top").over(order)))
     )
-    joined = ranges.join(groups, "__group").select("__range", F.coalesce("__after", "__group_after").alias("__after"))
-    return inner.join(joined, "__range").select("__id", F.coalesce("__next", "__after").alias("__next"), "__rows")
+    joined = inner.join(after.select("__range", "__after"), "__range")
+    return joined.select("__id", F.coalesce("__next", "__after").alias("__next"), "__rows")
 
 
 def compared_with_edits(docs: DataFrame) -> DataFrame:

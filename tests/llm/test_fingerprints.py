@@ -100,3 +100,11 @@ def test_odd_and_empty_tables(spark):
     assert fingerprints.compared_with_edits(empty_documents(spark)).collect() == []
     alone = fingerprints.with_likeness(fingerprints.compared_with_edits(documents(spark, ["one\ntwo"])), PAIRS).first()
     assert alone.near_next == 1.0
+
+
+def test_neighbours_of_sparse_ids(spark):
+    rng = random.Random(9)
+    ids = sorted({rng.getrandbits(64) - 2**63 for _ in range(500)}, reverse=True)
+    frame = spark.createDataFrame([(i,) for i in ids * 2], "__id long")
+    found = {r["__id"]: (r["__next"], r["__rows"]) for r in fingerprints.next_ids(frame).collect()}
+    assert found == {i: (n, 2) for i, n in zip(ids, [*ids[1:], ids[0]], strict=True)}
