@@ -209,8 +209,18 @@ def _delete(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["text", "deleted", "lines"])
 
 
-def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents with their kept ``text``, ``deleted`` (maximal runs of deleted lines) and ``lines`` (before)."""
+def without_copies(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    min_words: int = MIN_WORDS,
+    deleted: str = "deleted",
+    lines: str = "lines",
+) -> DataFrame:
+    """The documents with their kept ``text``, ``deleted`` (maximal runs of deleted lines) and ``lines`` (before).
+
+    The last two go by the given names and replace columns of the same names.
+    """
     runs = stored(
         copied_runs(docs, doc_id, text, min_words)
         .groupBy(*KEY)
@@ -221,6 +231,6 @@ def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     joined = _keyed(docs, doc_id, text).join(runs.hint("merge"), KEY, "left")
     return (
         joined.withColumn("__kept", F.pandas_udf(_delete, DELETED)(F.col(text), F.col("__runs")))
-        .withColumns({text: F.col("__kept.text"), "deleted": F.col("__kept.deleted"), "lines": F.col("__kept.lines")})
+        .withColumns({text: F.col("__kept.text"), deleted: F.col("__kept.deleted"), lines: F.col("__kept.lines")})
         .drop(*KEY, "__runs", "__kept")
     )
