@@ -25,8 +25,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def without_copied_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of later copies; those of which nothing is left go."""
     bounded_batches(spark)
-    done = line_dedup.without_copies(docs)
-    left = done.filter((F.size("deleted") == 0) | (F.length("text") > 0))
+    done = line_dedup.without_copies(docs, deleted="__deleted", lines="__lines")
+    left = done.filter((F.size("__deleted") == 0) | (F.length("text") > 0))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
