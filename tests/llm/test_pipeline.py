@@ -107,3 +107,14 @@ def test_near_copies_and_passages_go(spark):
     kept = texts_of(STAGES["SimHash near-dedup"](spark, left, ROOT))
     assert {i: kept[i] for i in range(6)} == dict(enumerate(clean))
     assert 6 not in kept and 7 not in kept and kept[9] == "own"
+
+
+def test_columns_of_the_same_names_stay(spark):
+    """A document's own columns pass through line dedup, whatever that calls its results."""
+    from pyspark.sql import functions as F
+
+    run = "\n".join(" ".join(f"p{i}x{j}" for j in range(30)) for i in range(3))
+    docs = documents(spark, [run, "own\n" + run]).withColumn("lines", F.lit(7)).withColumn("deleted", F.array(F.lit("mine")))
+    left = STAGES["line dedup"](spark, docs, ROOT)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r.text, r.lines, r.deleted) for r in left.collect()) == [(0, run, 7, ["mine"]), (1, "own", 7, ["mine"])]

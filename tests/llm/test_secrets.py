@@ -3,7 +3,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from corpus import empty_documents, odd_documents
+from llm.corpus import empty_documents, odd_documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
