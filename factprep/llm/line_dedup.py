@@ -2,7 +2,9 @@
 
 Every run of consecutive lines that weighs at least ``min_words`` (a line weighs
 its words, at least 1) and occurs earlier, in order of (document id, text digest,
-line), is a copy; its lines are deleted. All maximal repeated runs are found:
+line), is a copy; its lines are deleted, but for those that its first occurrence
+holds itself: where a run overlaps its own copy, the first stays whole. All
+maximal repeated runs are found:
 
 * Level 0 ranks the lines, level k the prefixes of 2^k lines of each suffix, by
   ordering the pairs of level k - 1 ranks of a suffix and of the one 2^(k-1)
@@ -16,7 +18,8 @@ line), is a copy; its lines are deleted. All maximal repeated runs are found:
   a line whose own shortest run passes the end of the maximal run weighs, with
   all that follows, less than the limit, so the shortest run that ends with the
   maximal run holds it. Hence levels up to log2(min_words) suffice for runs of
-  any length.
+  any length. That holds for the lines past an overlapping first occurrence, too: the
+  last line of a copied shortest run is always past the first one's end.
 
 Lines split at \\n. Null texts stay null, empty texts stay empty. Rows that repeat
 both id and text are one document and keep the same lines. A null id sorts
@@ -35,7 +38,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factprep.llm.common import LEAST_LONG, stored
@@ -141,7 +144,7 @@ def suffix_levels(lines: DataFrame, levels: int) -> list[DataFrame]:
 
 
 def copied_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(KEY, start, size) of shortest runs that have an earlier copy; together they cover all later copies."""
+    """(KEY, start, size) of shortest runs that have an earlier copy, past their first; together they cover all later copies."""
     if min_words < 1:
         raise ValueError("A run weighs at least one word.")
     cut = (
@@ -179,7 +182,14 @@ def copied_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
         .drop("n"),
         "intervals",
     )
-    return keyed.join(first, ["size", "a", "b"]).filter(place > F.col("first")).select(*KEY, "start", "size")
+    same = reduce(Column.__and__, [F.col(k) == F.col(f"first.{k}") for k in KEY])
+    past = F.when(same, F.greatest("start", F.col("first.start") + F.col("size"))).otherwise(F.col("start"))
+    end = F.col("start") + F.col("size")
+    return (
+        keyed.join(first, ["size", "a", "b"])
+        .filter(place > F.col("first"))
+        .select(*KEY, past.alias("start"), (end - past).alias("size"))
+    )
 
 
 DELETED = "text string, deleted array<struct<start: int, size: int>>, lines int"

@@ -186,7 +186,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     # Every run of lines of at least 50 words that is as short as its first or last line allows,
-    # compared line by line with all earlier ones.
+    # compared line by line with all earlier ones; a copy that overlaps its first one goes from that one's end.
     "op3_line_dedup": r"""
         WITH texts AS (
           SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents
@@ -202,10 +202,13 @@ ORACLES: dict[str, str] = {
           SELECT b.doc_id, max(a.pos), b.pos FROM summed a JOIN summed b
             ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.upto - a.upto + a.w >= 50 GROUP BY b.doc_id, b.pos
         ), ranked AS (
-          SELECT r.*, row_number() OVER (PARTITION BY ls[first:last] ORDER BY r.doc_id, first) AS copy
+          SELECT r.*, row_number() OVER same AS copy,
+                 CASE WHEN first_value(r.doc_id) OVER same = r.doc_id
+                      THEN greatest(first, first_value(first) OVER same + last - first + 1) ELSE first END AS past
           FROM runs r JOIN texts USING (doc_id)
+          WINDOW same AS (PARTITION BY ls[first:last] ORDER BY r.doc_id, first)
         ), gone AS (
-          SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS pos FROM ranked WHERE copy > 1
+          SELECT DISTINCT doc_id, unnest(range(past, last + 1)) AS pos FROM ranked WHERE copy > 1
         ), islands AS (
           SELECT doc_id, min(pos) - 1 AS first, max(pos) - 1 AS last, count(*) AS n FROM (
             SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM gone)

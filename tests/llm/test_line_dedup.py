@@ -7,20 +7,18 @@ from factprep.llm import line_dedup
 
 
 def slow_deleted(texts, least):
-    """Lines inside a run of enough words that occurs earlier, found by comparing all suffixes."""
+    """Lines inside a run of enough words that occurs earlier, past that run's first place; all runs are compared."""
     docs = [t.split("\n") for t in texts]
-    weight = lambda lines: sum(max(1, len(x.split())) for x in lines)
-    places = [(d, i) for d, lines in enumerate(docs) for i in range(len(lines))]
-    deleted = set()
-    for k, (d, i) in enumerate(places):
-        longest = 0
-        for e, j in places[:k]:
-            n = 0
-            while i + n < len(docs[d]) and j + n < len(docs[e]) and docs[d][i + n] == docs[e][j + n]:
-                n += 1
-            longest = max(longest, n)
-        if weight(docs[d][i : i + longest]) >= least:
-            deleted |= {(d, i + n) for n in range(longest)}
+    first, deleted = {}, set()
+    for d, lines in enumerate(docs):
+        for i in range(len(lines)):
+            for j in range(i + 1, len(lines) + 1):
+                if sum(max(1, len(x.split())) for x in lines[i:j]) < least:
+                    continue
+                e, at = first.setdefault(tuple(lines[i:j]), (d, i))
+                if (e, at) != (d, i):
+                    past = max(i, at + j - i) if e == d else i
+                    deleted |= {(d, n) for n in range(past, j)}
     return deleted
 
 
@@ -52,6 +50,18 @@ def test_deletes_what_comparing_all_suffixes_deletes(spark, seed, least):
         assert r.lines == len(lines)
 
 
+@pytest.mark.parametrize("period", [1, 2, 3, 7])
+def test_the_first_of_overlapping_copies_stays_whole(spark, period):
+    texts = ["\n".join(["start", *(f"line{i % period}" for i in range(60)), "end"]), "\n".join(["line0"] * 9)]
+    rows = line_dedup.without_copies(documents(spark, texts), min_words=20).orderBy("doc_id").collect()
+    expected = slow_deleted(texts, 20)
+    for r in rows:
+        own = {x.start + n for x in r.deleted for n in range(x.size)}
+        assert own == {i for d, i in expected if d == r.doc_id}
+    # The first 20 lines of the run stay; each later line ends a copy of a run that began a period earlier.
+    assert [(x.start, x.size) for x in rows[0].deleted] == [(21, 40)]
+
+
 def test_ranks_follow_the_order_of_suffixes(spark):
     lines = [(0, 0, 0, i, h, 0) for i, h in enumerate([3, 1, 2, 3, 1, 2, 3, 1, 5, 5])]
     frame = spark.createDataFrame(lines, "__doc long, __t1 long, __t2 long, pos int, h1 long, h2 long")
