@@ -3,17 +3,20 @@
 The patterns find e-mail addresses, IP addresses, payment cards and phone numbers,
 left to right without overlaps, and drop what fails their checks. Where two of them
 touch ("+1 (200) 555-0100 4111111111111111") a pattern runs across both and loses
-them. The network, trained in numpy from the patterns' spans, labels every
-character from its surroundings and parts them: its spans are added if they pass
-their kind's pattern and check, and overlap no span of the patterns.
+them; and they know one spelling of each kind. The network, trained in numpy from the
+patterns' spans, labels every character from its surroundings. Its spans are added
+if they overlap no span of the patterns, cut no word or number, pass their kind's
+check in any spelling (``likely``), and the best labelling beats the one without
+them by MARGIN in log probability. Spans that pass the pattern need no margin.
 
-Every kind needs a digit or "@", so the network reads the characters near any of
-those, in overlapping windows of WINDOW characters; all others are outside any span.
-The windows' label scores are averaged, weighed towards their middles, and one
-Viterbi pass over each stretch reconciles them.
+Every kind needs a digit, "@" or a bracketed "at", so the network reads the characters
+near any of those, in overlapping windows of WINDOW characters; all others are outside
+any span. The windows' label scores are averaged, weighed towards their middles, and
+one Viterbi pass over each stretch reconciles them.
 
 Training takes a bounded sample: the SAMPLE windows around spans that come first by
-hash, and as many in which two spans are put side by side. Without spans nothing
+hash; as many in which two spans are put side by side, in spellings that the
+patterns do not know or between numbers that are no personal data. Without spans nothing
 is added. Null texts count as empty and, like empty ones, have no spans. Repeated rows
 have equal spans; other columns pass through, those named like the results are
 replaced.
@@ -44,16 +47,22 @@ PATTERNS = {
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 KINDS = list(PATTERNS)
-TRIGGER = re.compile(r"[0-9@]")
+AT, DOT = r"(?:@|[\x20]*[(\[{][\x20]*(?:at|AT)[\x20]*[)\]}][\x20]*)", r"(?:\.|[\x20]*[(\[{][\x20]*(?:dot|DOT|\.)[\x20]*[)\]}][\x20]*)"
+TRIGGER = re.compile(r"[0-9@]|[(\[{][\x20]*(?:at|AT)[\x20]*[)\]}]")
+MAIL = re.compile(rf"[A-Za-z0-9._%+-]+{AT}[A-Za-z0-9-]+(?:{DOT}[A-Za-z0-9-]+)+")
+#: Characters between the digits of numbers in any spelling.
+BETWEEN = set(" .,-/()[]{}+_:")
 
 WINDOW, STRIDE, REACH = 64, 32, 32
 SAMPLE = 2000
 EMBEDDED, HIDDEN = 10, 20
-STEPS, ROWS, RATE = 260, 64, 0.02
+STEPS, ROWS, RATE = 400, 64, 0.02
+#: Log probability by which a labelling with a span in another spelling must beat the one without it.
+MARGIN = 6.0
 #: Outside; then beginning and inside of each kind.
 TAGS = 1 + 2 * len(KINDS)
 #: Digits and letters are one symbol each; other printable ASCII characters stand for themselves.
-OTHERS = " \n.,@-+()%_:;/!?*#&$=|'\""
+OTHERS = " \n.,@-+()%_:;/!?*#&$=|'\"[]{}"
 PAD, DIGIT, UPPER_CASE, LOWER_CASE, OTHER, FIRST = 0, 1, 2, 3, 4, 5
 SYMBOLS = FIRST + len(OTHERS)
 CHUNK = 2048
@@ -79,6 +88,23 @@ def passes(kind: str, text: str) -> bool:
     return kind != "phone" or 9 <= len(digits) <= 15
 
 
+def likely(kind: str, text: str) -> bool:
+    """Whether a text passes its kind's check in any spelling."""
+    if kind == "email":
+        return MAIL.fullmatch(text) is not None
+    if not all("0" <= c <= "9" or c in BETWEEN for c in text):
+        return False
+    parts = re.findall("[0-9]+", text)
+    return passes(kind, ".".join(parts)) and (kind != "ip" or len(parts) == 4) and (kind != "phone" or len(parts) > 1)
+
+
+def cuts(text: str, start: int, end: int) -> bool:
+    """Whether a span starts or ends inside a word or number."""
+    return text[start : start + 1].isalnum() and text[max(0, start - 1) : start].isalnum() or (
+        text[end - 1 : end].isalnum() and text[end : end + 1].isalnum()
+    )
+
+
 def pattern_spans(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
     """Spans of the patterns in a whole text, and the matches of at least nine digits that fail."""
     spans, failed = [], []
@@ -312,6 +338,44 @@ def spaced(piece: tuple[str, list[int]], rng: np.random.Generator) -> tuple[str,
     return text, [tags[0]] + [tags[0] + 1] * (len(text) - 1)
 
 
+def respelled(text: str, tags: list[int], rng: np.random.Generator) -> tuple[str, list[int]]:
+    """A span in a spelling that its pattern does not know."""
+    kind, parts = KINDS[(tags[0] - 1) // 2], re.findall("[0-9]+", text)
+    form = int(rng.integers(4))
+    if kind == "email":
+        left, right = ("()", "[]", "{}")[rng.integers(3)]
+        left, right = (left, right) if form % 2 else (" " + left, right + " ")
+        at, dot = ("at", "dot") if rng.random() < 0.7 else ("AT", "DOT")
+        name, host = text.split("@")
+        text = name + left + at + right + (host if form < 2 else host.replace(".", left + dot + right))
+    elif kind == "ip":
+        text = ("[.]", " . ", "(.)", " [.] ")[form].join(parts)
+    elif kind == "card":
+        digits = "".join(parts)
+        text = (".", "  ", "/", " - ")[form].join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    else:
+        if len(parts) == 1:
+            parts = [parts[0][:-7], parts[0][-7:-4], parts[0][-4:]]
+        text = (text[1:], "00 " + " ".join(parts), "-".join(parts), ".".join(parts))[form]
+    return text, [tags[0]] + [tags[0] + 1] * (len(text) - 1)
+
+
+def decoy(rng: np.random.Generator) -> tuple[str, list[int]]:
+    """A number that is no personal data: a date, time, amount, version, code or plain digits."""
+    few = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    text = (
+        lambda: f"20{few(2)}-0{1 + rng.integers(9)}-{10 + rng.integers(20)}",
+        lambda: f"{10 + rng.integers(20)}.0{1 + rng.integers(9)}.20{few(2)} {10 + rng.integers(13)}:{10 + rng.integers(49)}",
+        lambda: f"{1 + rng.integers(99)},{few(3)},{few(3)}.{few(2)}",
+        lambda: ".".join(few(1 + rng.integers(2)) for _ in range(2 + rng.integers(2))),
+        lambda: f"{few(3)}-{few(1)}-{few(2)}-{few(6)}-{few(1)}",
+        lambda: few(1 + rng.integers(14)),
+        lambda: " ".join(few(1 + rng.integers(5)) for _ in range(3)),
+        lambda: f"{few(3)} (at) {few(2)}",
+    )[rng.integers(8)]()
+    return text, [0] * len(text)
+
+
 def training_rows(labelled: list[tuple[str, str, int, int]]) -> tuple[np.ndarray, np.ndarray]:
     """Symbols and tags of the labelled windows, and of windows in which two spans are put side by side."""
     rng, windows = np.random.default_rng(2), [(t, [int(c) for c in g]) for t, g, _, _ in labelled]
@@ -321,8 +385,10 @@ def training_rows(labelled: list[tuple[str, str, int, int]]) -> tuple[np.ndarray
         text, tags = plain[rng.integers(len(plain))][-int(rng.integers(1, 20)) :], []
         tags = [0] * len(text)
         for i in range(2):
-            piece = spaced(pieces[rng.integers(len(pieces))], rng)
-            gap = ("", " ", " ", ", ", "\n", "; ")[rng.integers(1, 6)] if i else ""
+            piece = pieces[rng.integers(len(pieces))]
+            drawn = rng.random()
+            piece = decoy(rng) if drawn < 0.3 else respelled(*piece, rng) if drawn < 0.65 else spaced(piece, rng)
+            gap = (" ", " ", ", ", "\n", "; ", " and ")[rng.integers(6)] if i else ""
             text, tags = text + gap + piece[0], tags + [0] * len(gap) + piece[1]
         more = plain[rng.integers(len(plain))][:20]
         text, tags = text + " " + more, tags + [0] * (1 + len(more))
@@ -376,17 +442,38 @@ class Recogniser:
                 if len(rows) >= CHUNK:
                     flush()
         flush()
-        paths = viterbi([s / np.maximum(t, 1e-6) for s, t in zip(scores, sums, strict=True)], self.weights)
-        for (i, start, _), path in zip(stretches, paths, strict=True):
+        scores = [s / np.maximum(t, 1e-6) for s, t in zip(scores, sums, strict=True)]
+        paths = viterbi(scores, self.weights)
+        for (i, start, _), path, score in zip(stretches, paths, scores, strict=True):
             for kind, a, b in spans_of(path):
                 span = (kind, start + a, start + b)
                 text, name = texts[i][span[1] : span[2]], KINDS[kind]
-                free = all(span[1] >= e or span[2] <= s for _, s, e in base[i])
-                if free and PATTERNS[name].fullmatch(text) and passes(name, text):
+                if any(span[1] < e and span[2] > s for _, s, e in base[i]):
+                    continue
+                known = PATTERNS[name].fullmatch(text) and passes(name, text)
+                if known or (
+                    likely(name, text)
+                    and not cuts(texts[i], span[1], span[2])
+                    and margin(score, path, a, b, self.weights) >= MARGIN
+                ):
                     out[i].append(span)
         return out
 
 
+def margin(scores: np.ndarray, path: np.ndarray, start: int, end: int, w: dict[str, np.ndarray]) -> float:
+    """Log probability of a path over the same path with the labels from start to end outside."""
+
+    def total(tags: np.ndarray) -> float:
+        first, last = max(0, start - 1), min(len(path), end + 1)
+        part = tags[first:last]
+        entry = float(w["start"][part[0]]) if first == 0 else 0.0
+        return entry + float(scores[np.arange(first, last), part].sum()) + float(w["moves"][part[:-1], part[1:]].sum())
+
+    without = path.copy()
+    without[start:end] = 0
+    return total(path) - total(without)
+
+
 def spans_of(path: np.ndarray) -> list[Span]:
     """(kind, start, end) of the runs of labels."""
     out: list[Span] = []
