@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from llm.corpus import documents, empty_documents, odd_documents
@@ -9,11 +10,16 @@ from factprep.llm import line_dedup
 def slow_deleted(texts, least):
     """Lines inside a run of enough words that occurs earlier, past that run's first place; all runs are compared."""
     docs = [t.split("\n") for t in texts]
+    often = Counter(x for lines in docs for x in lines)
     first, deleted = {}, set()
     for d, lines in enumerate(docs):
         for i in range(len(lines)):
+            weight = 0
             for j in range(i + 1, len(lines) + 1):
-                if sum(max(1, len(x.split())) for x in lines[i:j]) < least:
+                if often[lines[j - 1]] == 1:
+                    break  # no longer run occurs again
+                weight += max(1, len(lines[j - 1].split()))
+                if weight < least:
                     continue
                 e, at = first.setdefault(tuple(lines[i:j]), (d, i))
                 if (e, at) != (d, i):
