@@ -117,7 +117,7 @@ def main(arguments: list[str] | None = None) -> dict[str, object]:
         report.summarize(spark, _runs(spark, args.runs, args.run_ids), args.output, samples, args.worker_nodes)
         result = {"output": args.output}
     else:
-        files = inventory.with_checksums(inventory.file_inventory(spark, args.input))
+        files = inventory.with_checksums(inventory.file_inventory(spark, args.input), args.input)
         files.drop("column_types", "column_bytes").write.json(args.output)
         result = inventory.totals(spark.read.json(args.output)).first().asDict()
     print(json.dumps(result))

@@ -317,6 +317,9 @@ UNION ALL SELECT CAST(-1 AS DOUBLE), count(*) FROM copies""",
     "file_inventory": " UNION ALL ".join(
         f"SELECT '{t}.parquet' AS filename, count(*) AS row_count FROM {t}" for t in TABLES
     ),
+    "mounted_inventory": " UNION ALL ".join(
+        f"SELECT '{t}.parquet' AS filename, count(*) AS row_count, TRUE AS same FROM {t}" for t in TABLES
+    ),
     "inventory_totals": "SELECT count(*) AS files, CAST(sum(n) AS BIGINT) AS row_count FROM ("
     + " UNION ALL ".join(f"SELECT count(*) AS n FROM {t}" for t in TABLES)
     + ")",

@@ -6,6 +6,8 @@ Queries that need files write them under the session's shared scratch folder.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from factprep.operators.quality import dimension_violations
 from factprep.plans import prepare as P
 from factprep.plans import report
 from factprep.plans import views as V
-from factprep.session import scratch_path, settings
+from factprep.session import qualified, scratch_path, settings
 from factprep.sources import inventory
 from factprep.sources.dimension import read_dimension
 from factprep.sources.fact import read_bucketed, read_hash_buckets, read_heterogeneous
@@ -417,6 +419,18 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def mounted_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """The tables by a mount that Hadoop alone knows: rows from footers, and whether contents hash as they do in place."""
+    place = qualified(spark, root)
+    mount = f"factprep{zlib.crc32(place.encode())}"
+    spark.conf.set(f"fs.viewfs.mounttable.{mount}.link./tables", place)
+    source = f"viewfs://{mount}/tables"
+    mounted = inventory.with_checksums(inventory.file_inventory(spark, source), source)
+    direct = inventory.with_checksums(inventory.list_inputs(spark, root), root)
+    same = mounted.sha256 == direct.sha256
+    return mounted.join(direct, "filename").select("filename", mounted.row_count, same.alias("same"))
+
+
 def inventory_totals(spark: SparkSession, root: str) -> DataFrame:
     return inventory.totals(inventory.file_inventory(spark, root)).select("files", "row_count")
 
@@ -678,6 +692,7 @@ QUERIES = {
         nested_mixed_files,
         prepared_files,
         file_inventory,
+        mounted_inventory,
         inventory_totals,
         input_manifest,
         file_checksums,

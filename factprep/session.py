@@ -68,6 +68,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return hadoop_path(spark, path)[1].toString()
 
 
+def hadoop_settings(spark: SparkSession, pattern: str) -> dict[str, str]:
+    """The session's Hadoop settings whose names match a regular expression."""
+    return dict(spark._jsparkSession.sessionState().newHadoopConf().getValByRegex(pattern))
+
+
 def literal_path(path: str) -> str:
     """A path for Spark's readers that stands for itself, whatever marks its names hold."""
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)

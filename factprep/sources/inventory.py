@@ -10,6 +10,7 @@ from collections.abc import Iterator, Sequence
 from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark import cloudpickle
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from factprep.contract import FactContract
 from factprep.operators.ranking import running_total
-from factprep.session import literal_path
+from factprep.session import hadoop_settings, literal_path, qualified
 
 # Executors receive the functions below whole and need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -27,84 +28,196 @@ FOOTER = (
     "path string, bytes bigint, uncompressed_bytes bigint, row_count bigint, column_types string, column_bytes string"
 )
 CHUNK = 1 << 20
+# Tasks open files of these schemes by themselves, and read only the parts they need.
+OPENED = ("file", "s3", "s3a", "s3n", "gs", "gcs", "hdfs", "abfs", "abfss")
+S3 = ("s3", "s3a", "s3n")
+# What a session may say of how S3 is reached, for all buckets or for one.
+S3_SETTINGS = (
+    "access.key",
+    "secret.key",
+    "session.token",
+    "endpoint",
+    "endpoint.region",
+    "path.style.access",
+    "connection.ssl.enabled",
+    "aws.credentials.provider",
+)
 GIGABYTE = 1_000_000_000
 
 
-def list_inputs(spark: SparkSession, path: str, names: str = "*.parquet") -> DataFrame:
-    """``path`` and ``bytes`` of the Parquet files at or below ``path``.
-
-    Spark leaves out names that start with a dot or an underscore. Contents
-    are not read.
-    """
+def _found(spark: SparkSession, path: str, names: str = "*.parquet") -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", names)
         .load(literal_path(path))
-        .select("path", F.col("length").alias("bytes"))
     )
 
 
+def list_inputs(spark: SparkSession, path: str, names: str = "*.parquet") -> DataFrame:
+    """``path`` and ``bytes`` of the Parquet files at or below ``path``.
+
+    Spark leaves out names that start with a dot or an underscore, and files without a byte.
+    Contents are not read.
+    """
+    return _found(spark, path, names).select("path", F.col("length").alias("bytes"))
+
+
 def by_parts(path: str = "path") -> F.Column:
     """Sort key of a path: its parts, one by one."""
     return F.split(F.col(path), "/")
 
 
-def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    """File system and name of a path as Spark lists it, that is, not percent-encoded."""
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
-    for hadoop_name in ("s3a://", "s3n://"):
-        if path.startswith(hadoop_name):
-            path = "s3://" + path[len(hadoop_name) :]
-    return pafs.FileSystem.from_uri(quote(path, safe="/:@"))
-
-
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for path, size in zip(batch["path"], batch["bytes"]):
-            fs, name = _open(path)
-            with fs.open_input_file(name) as stream:
-                file = pq.ParquetFile(stream)
-                meta, schema = file.metadata, file.schema_arrow
-                raw = sum(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups))
-                types = json.dumps({f.name: str(f.type) for f in schema})
-                sizes = Counter()
-                for group in map(meta.row_group, range(meta.num_row_groups)):
-                    for column in map(group.column, range(group.num_columns)):
-                        sizes[column.path_in_schema.split(".")[0]] += column.total_uncompressed_size
-                rows.append((path, size, raw, meta.num_rows, types, json.dumps(sizes)))
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in FOOTER.split(", ")])
+def opened_by_tasks(spark: SparkSession, path: str) -> bool:
+    """Whether tasks can open the files at ``path`` themselves, without Spark's reader."""
+    return qualified(spark, path).split(":", 1)[0] in OPENED
+
+
+def s3_settings(spark: SparkSession) -> dict[str, str]:
+    """What the session's ``fs.s3a.*`` settings say of credentials and end points; not what a keystore holds."""
+    names = "|".join(name.replace(".", "[.]") for name in S3_SETTINGS)
+    return hadoop_settings(spark, rf"^fs[.]s3a[.](bucket[.].+[.])?({names})$")
+
+
+def s3_arguments(found: dict[str, str], bucket: str) -> dict[str, object]:
+    """Arguments of Arrow's S3 file system for a bucket; its own settings come before those for all."""
+
+    def setting(name: str) -> str:
+        return found.get(f"fs.s3a.bucket.{bucket}.{name}") or found.get(f"fs.s3a.{name}") or ""
+
+    known: dict[str, object] = {}
+    if setting("access.key") and setting("secret.key"):
+        known.update(access_key=setting("access.key"), secret_key=setting("secret.key"))
+        if setting("session.token"):
+            known["session_token"] = setting("session.token")
+    elif "Anonymous" in setting("aws.credentials.provider"):
+        known["anonymous"] = True
+    if setting("endpoint.region"):
+        known["region"] = setting("endpoint.region")
+    scheme, _, endpoint = setting("endpoint").rpartition("://")
+    if endpoint and endpoint != "s3.amazonaws.com":
+        plain = scheme == "http" or (not scheme and setting("connection.ssl.enabled").lower() == "false")
+        known.update(
+            endpoint_override=endpoint,
+            scheme="http" if plain else "https",
+            force_virtual_addressing=setting("path.style.access").lower() != "true",
+        )
+    return known
+
+
+def _opener(found: dict[str, str]):
+    """A function from a path, as Spark lists it (not percent-encoded), to its file system and name."""
+    buckets: dict[str, pafs.FileSystem] = {}
+
+    def opened(path: str) -> tuple[pafs.FileSystem, str]:
+        if path.startswith("file:"):
+            return pafs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+        scheme, _, name = path.partition("://")
+        if scheme not in S3:
+            return pafs.FileSystem.from_uri(quote(path, safe="/:@"))
+        bucket = name.split("/", 1)[0]
+        if bucket not in buckets:
+            known = s3_arguments(found, bucket)
+            if not known.keys() & {"region", "endpoint_override"}:
+                known["region"] = pafs.resolve_s3_region(bucket)
+            buckets[bucket] = pafs.S3FileSystem(**known)
+        return buckets[bucket], name
+
+    return opened
+
+
+def _footer(file: pq.ParquetFile) -> tuple[int, int, str, str]:
+    meta = file.metadata
+    raw = sum(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups))
+    types = json.dumps({f.name: str(f.type) for f in file.schema_arrow})
+    sizes = Counter()
+    for group in map(meta.row_group, range(meta.num_row_groups)):
+        for column in map(group.column, range(group.num_columns)):
+            sizes[column.path_in_schema.split(".")[0]] += column.total_uncompressed_size
+    return raw, meta.num_rows, types, json.dumps(sizes)
+
+
+def _footer_reader(found: dict[str, str]):
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        opened = _opener(found)
+        for batch in batches:
+            rows = []
+            for file in batch.itertuples(index=False):
+                if "tail" in batch.columns:
+                    # As much of a file as its footer needs: the mark it begins with, and its end.
+                    stream = pa.BufferReader(b"PAR1" + file.tail)
+                else:
+                    fs, name = opened(file.path)
+                    stream = fs.open_input_file(name)
+                with stream:
+                    rows.append((file.path, file.bytes, *_footer(pq.ParquetFile(stream))))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in FOOTER.split(", ")])
+
+    return read
+
+
+def _tail() -> Column:
+    """The end of a Parquet file from its footer on; the footer's length stands before the last four bytes."""
+    digits = F.hex(F.substring("content", -8, 4))
+    swapped = F.concat(*[F.substring(digits, at, 2) for at in (7, 5, 3, 1)])
+    size = F.conv(swapped, 16, 10).cast("bigint") + 8
+    size = F.least(size, F.length("content")).cast("int")
+    return F.substr("content", -size, size)
+
+
+def footer_listing(spark: SparkSession, found: DataFrame, source: str) -> DataFrame:
+    """What ``with_footers`` needs of files that Spark's reader of whole files found at ``source``.
+
+    Files that tasks can open are only named. Where Hadoop alone knows the file system,
+    Spark reads each file, which must be below 2 GiB, and hands on its end.
+    """
+    listed = ["path", F.col("length").alias("bytes")]
+    return found.select(*listed) if opened_by_tasks(spark, source) else found.select(*listed, _tail().alias("tail"))
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: path, bytes, uncompressed bytes of its row groups, rows, column types and column bytes."""
-    return with_footers(list_inputs(spark, path))
+    return with_footers(footer_listing(spark, _found(spark, path), path))
 
 
 def with_footers(listed: DataFrame) -> DataFrame:
-    """The inventory of listed files (``path``, ``bytes``)."""
-    return listed.mapInPandas(_read_footers, FOOTER)
+    """The inventory of listed files (``path``, ``bytes`` and, if Spark has read it, the ``tail``).
+
+    Tasks reach S3 with the session's own settings.
+    """
+    return listed.mapInPandas(_footer_reader(s3_settings(listed.sparkSession)), FOOTER)
+
 
+def _file_hasher(found: dict[str, str]):
+    def hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        opened = _opener(found)
+        for batch in batches:
+            digests = []
+            for path in batch["path"]:
+                digest = hashlib.sha256()
+                fs, name = opened(path)
+                with fs.open_input_stream(name) as stream:
+                    while chunk := stream.read(CHUNK):
+                        digest.update(chunk)
+                digests.append(digest.hexdigest())
+            yield batch.assign(sha256=digests)
 
-def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        digests = []
-        for path in batch["path"]:
-            digest = hashlib.sha256()
-            fs, name = _open(path)
-            with fs.open_input_stream(name) as stream:
-                while chunk := stream.read(CHUNK):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield batch.assign(sha256=digests)
+    return hash_files
 
 
-def with_checksums(files: DataFrame) -> DataFrame:
-    """Add the file name and the SHA-256 of each file; content is hashed in small pieces."""
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields), "sha256 string"])
-    return files.mapInPandas(_hash_files, schema).withColumn("filename", F.element_at(by_parts(), -1))
+def with_checksums(files: DataFrame, source: str | None = None) -> DataFrame:
+    """Add the file name and the SHA-256 of each file; content is hashed in small pieces.
+
+    ``source``, where the files were listed, is needed if Hadoop alone knows its file system. Spark then
+    reads each file whole, which must be below 2 GiB.
+    """
+    spark = files.sparkSession
+    if source is None or opened_by_tasks(spark, source):
+        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields), "sha256 string"])
+        hashed = files.mapInPandas(_file_hasher(s3_settings(spark)), schema)
+    else:
+        hashed = files.join(_found(spark, source, "*").select("path", F.sha2("content", 256).alias("sha256")), "path")
+    return hashed.withColumn("filename", F.element_at(by_parts(), -1))
 
 
 def fingerprint(spark: SparkSession, path: str) -> str:
@@ -112,7 +225,7 @@ def fingerprint(spark: SparkSession, path: str) -> str:
 
     Contents are hashed in small pieces, by a task for each group of files.
     """
-    files = with_checksums(list_inputs(spark, path, "*")).select("filename", "sha256")
+    files = with_checksums(list_inputs(spark, path, "*"), path).select("filename", "sha256")
     listed = files.agg(F.count("*").alias("n"), F.first("sha256").alias("only")).first()
     if not listed.n:
         raise ValueError(f"No file at {path}")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from factprep.contract import FactContract
 from factprep.operators import cleaning
@@ -28,7 +27,7 @@ def stage_available(
 ) -> None:
     """Clean every file not staged yet, ``files_per_batch`` at a time, and stop.
 
-    The stream is one of file listings, whose contents it does not read. Each batch
+    The stream is one of file listings, whose contents it does not read (but see ``footer_listing``). Each batch
     reads the footers of its files and cleans them by their own physical types, so files may
     differ as they do for ``read_heterogeneous``; a file that lacks a column or holds zoned times stops
     the stream before its batch is written.
@@ -44,7 +43,7 @@ def stage_available(
 
     def write(batch: DataFrame, number: int) -> None:
         # At most files_per_batch rows; the footers are read once.
-        files = inventory.with_footers(batch.select("path", F.col("length").alias("bytes")))
+        files = inventory.with_footers(batch)
         files = files.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             inventory.check_files(files, contract)
@@ -67,7 +66,7 @@ def stage_available(
         .load(literal_path(source))
     )
     query = (
-        listing.select("path", "length")
+        inventory.footer_listing(spark, listing, source)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

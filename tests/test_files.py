@@ -8,6 +8,7 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import PySparkException
 
 from factprep.contract import MOVES, TRIPS
 from factprep.operators import buckets as B
@@ -90,6 +91,70 @@ def test_fingerprint_of_several_files(spark, tmp_path):
         inventory.fingerprint(spark, str(tmp_path / "none"))
 
 
+def test_a_file_system_that_only_hadoop_knows(spark, trips, tmp_path):
+    """A mount table: footers, checksums, readers and streams need nothing but the session's settings."""
+    key = "fs.viewfs.mounttable.tests.link./trips"
+    with settings(spark, **{key: f"file://{trips.folder}"}):
+        source = "viewfs://tests/trips"
+        assert not inventory.opened_by_tasks(spark, source) and inventory.opened_by_tasks(spark, trips.folder)
+        sort = lambda df: [r[1:] for r in sorted(df.collect(), key=lambda r: Path(r.path).name)]
+        mounted = inventory.file_inventory(spark, source)
+        assert all(r.path.startswith(source) for r in mounted.collect())
+        assert sort(mounted) == sort(inventory.file_inventory(spark, trips.folder))
+        hashed = inventory.with_checksums(inventory.list_inputs(spark, source), source)
+        assert sort(hashed) == sort(inventory.with_checksums(inventory.list_inputs(spark, trips.folder)))
+        single = f"{source}/{Path(trips.first).name}"
+        assert inventory.fingerprint(spark, single) == inventory.fingerprint(spark, trips.first)
+        assert read_heterogeneous(spark, source, TRIPS).count() == trips.raw
+        staged = {}
+        for name, place in (("mounted", source), ("direct", trips.folder)):
+            P.stage_stream(spark, place, str(tmp_path / name), str(tmp_path / f"{name}-state"), buckets=4, files_per_batch=1)
+            staged[name] = read_bucketed(spark, str(tmp_path / name)).drop("_batch")
+        both = [sorted(map(str, df.collect())) for df in staged.values()]
+        assert both[0] == both[1] and both[0]
+        with pytest.raises(ValueError, match="No file"):
+            (Path(trips.folder) / "none").mkdir()
+            inventory.fingerprint(spark, f"{source}/none")
+
+
+def test_a_broken_file_behind_a_mount_is_an_error(spark, tmp_path):
+    with settings(spark, **{"fs.viewfs.mounttable.broken.link./in": f"file://{tmp_path}"}):
+        (tmp_path / "f.parquet").write_bytes(b"")
+        assert inventory.file_inventory(spark, "viewfs://broken/in").count() == 0
+        for content in (b"PAR1", b"x" * 100, b"PAR1" + b"\xff" * 20 + b"PAR1"):
+            (tmp_path / "f.parquet").write_bytes(content)
+            with pytest.raises(PySparkException):
+                inventory.file_inventory(spark, "viewfs://broken/in").collect()
+
+
+def test_settings_for_s3_come_from_the_session(spark):
+    given = {
+        "fs.s3a.access.key": "one",
+        "fs.s3a.secret.key": "two",
+        "fs.s3a.endpoint": "http://store:9000",
+        "fs.s3a.path.style.access": "true",
+        "fs.s3a.bucket.own.dots.access.key": "three",
+        "fs.s3a.bucket.own.dots.endpoint.region": "eu-west-1",
+    }
+    with settings(spark, **given):
+        found = inventory.s3_settings(spark)
+    assert given.items() <= found.items() and not [k for k in found if "connection.maximum" in k]
+    shared = {
+        "secret_key": "two",
+        "endpoint_override": "store:9000",
+        "scheme": "http",
+        "force_virtual_addressing": False,
+    }
+    assert inventory.s3_arguments(found, "other") == {"access_key": "one"} | shared
+    own = {"access_key": "three", "region": "eu-west-1"} | shared
+    assert inventory.s3_arguments(found, "own.dots") == own
+    open_to_all = {"fs.s3a.aws.credentials.provider": "org.apache.hadoop.fs.s3a.AnonymousAWSCredentialsProvider"}
+    assert inventory.s3_arguments(open_to_all, "b") == {"anonymous": True}
+    assert inventory.s3_arguments({}, "b") == {}
+    fs, name = inventory._opener(found)("s3a://own.dots/a folder/f.parquet")
+    assert (fs.type_name, name, fs.region) == ("s3", "own.dots/a folder/f.parquet", "eu-west-1")
+
+
 def test_projected_bytes_leave_other_columns_out(spark, tmp_path):
     import pyarrow as pa
 

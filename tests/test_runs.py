@@ -8,6 +8,7 @@ from itertools import accumulate
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from factprep.operators import ranking, resources, runlog
 from factprep.sources.samples import SAMPLE, read_samples
@@ -23,6 +24,35 @@ def test_running_total(spark):
     assert found == dict(zip((r[1] for r in ordered), accumulate(r[2] for r in ordered)))
 
 
+def test_ranges_cut_again_stay_near_their_size(spark, monkeypatch):
+    """More ranges than bounds fit in a plan: exact totals still, ranges in order, none many times too large."""
+    monkeypatch.setattr(ranking, "RANGE_ROWS", 40)
+    monkeypatch.setattr(ranking, "MOST_RANGES", 8)
+    monkeypatch.setattr(ranking, "SAMPLED", 4)
+    rng = random.Random(11)
+    # Half of all keys lie in a hundredth of the space.
+    keys = rng.sample(range(10**8), 5000) + rng.sample(range(10**8, 10**8 + 10**6), 5000)
+    rows = [(f"k{k // 10**6:04}", k, rng.randrange(-50, 100)) for k in keys]
+    df = spark.createDataFrame(rows, "a string, b bigint, n bigint").repartition(5)
+    found = {r.b: r.running for r in ranking.running_total(df, ["a", "b"], "n").collect()}
+    ordered = sorted(rows)
+    assert found == dict(zip((r[1] for r in ordered), accumulate(r[2] for r in ordered)))
+    placed = ranking._ranged(df, ["a", "b"]).orderBy("a", "b").collect()
+    parts = [(r["__wide"], r["__part"]) for r in placed]
+    assert parts == sorted(parts)
+    sizes = [parts.count(p) for p in set(parts)]
+    assert len(sizes) > 100 and max(sizes) < 8 * 40
+    assert {r["__wide"] for r in placed} == set(range(8))
+
+
+def test_range_bounds_are_searched_not_scanned(spark):
+    df = spark.createDataFrame([(k,) for k in range(100)], "k bigint")
+    bounds = [10, 10, 30, 70]
+    literal = F.array(*[F.struct(F.lit(b).cast("bigint").alias("k")) for b in bounds])
+    found = df.select("k", ranking._passed(literal, F.struct("k"), len(bounds) + 1).alias("n")).collect()
+    assert [(r.k, r.n) for r in found] == [(k, sum(b <= k for b in bounds)) for k in range(100)]
+
+
 def test_running_total_of_nothing(spark):
     assert ranking.running_total(spark.createDataFrame([], "k int, n bigint"), ["k"], "n").collect() == []
 
