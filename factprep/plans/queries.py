@@ -425,10 +425,14 @@ def mounted_inventory(spark: SparkSession, root: str) -> DataFrame:
     mount = f"factprep{zlib.crc32(place.encode())}"
     spark.conf.set(f"fs.viewfs.mounttable.{mount}.link./tables", place)
     source = f"viewfs://{mount}/tables"
-    mounted = inventory.with_checksums(inventory.file_inventory(spark, source), source)
-    direct = inventory.with_checksums(inventory.list_inputs(spark, root), root)
-    same = mounted.sha256 == direct.sha256
-    return mounted.join(direct, "filename").select("filename", mounted.row_count, same.alias("same"))
+
+    def below(files, top: str):
+        return files.withColumn("below", F.substr("path", F.lit(len(top.rstrip("/")) + 1)))
+
+    mounted = below(inventory.with_checksums(inventory.file_inventory(spark, source), source), source)
+    direct = below(inventory.with_checksums(inventory.list_inputs(spark, root), root), place)
+    same = F.coalesce(mounted.sha256 == direct.sha256, F.lit(False))
+    return mounted.join(direct, "below", "left").select(mounted.filename, "row_count", same.alias("same"))
 
 
 def inventory_totals(spark: SparkSession, root: str) -> DataFrame:
