@@ -182,6 +182,12 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 
+# The output columns and how they are stored.
+STORED = """('vendor_id', 'int64'), ('start_ts', 'timestamp[us]'), ('end_ts', 'timestamp[us]'), ('party_size', 'int64'),
+    ('distance', 'double'), ('from_id', 'int64'), ('to_id', 'int64'), ('fare', 'double'), ('total', 'double'),
+    ('from_borough', 'string'), ('from_zone', 'string'), ('to_borough', 'string'), ('to_zone', 'string'),
+    ('duration_seconds', 'double'), ('start_hour', 'int64'), ('speed', 'double')"""
+
 MIDDLE = "(list_sort(list({v}))[(count(*) + 1) // 2] + list_sort(list({v}))[count(*) // 2 + 1]) / CAST(2 AS DOUBLE)"
 
 TRIALS = f"""WITH {HOPS},
@@ -317,6 +323,24 @@ UNION ALL SELECT CAST(-1 AS DOUBLE), count(*) FROM copies""",
     "file_inventory": " UNION ALL ".join(
         f"SELECT '{t}.parquet' AS filename, count(*) AS row_count FROM {t}" for t in TABLES
     ),
+    "resumed_files": FLAGSHIP,
+    "emptied_files": f"""WITH {DIRTY}
+SELECT column_name, stored_type,
+       (SELECT CAST(count(*) AS BIGINT) FROM dirty WHERE (distance = 0 OR isnan(distance)) AND {VALID}) AS row_count
+FROM (VALUES {STORED}) AS t(column_name, stored_type)""",
+    "file_faults": """SELECT l_linenumber AS party_size,
+       CASE l_linenumber WHEN 1 THEN 'total' WHEN 3 THEN 'end_ts,total' ELSE '' END AS lacking,
+       CASE WHEN l_linenumber IN (2, 3) THEN 'start_ts' ELSE '' END AS zoned
+FROM lineitem WHERE l_linenumber <= 3 GROUP BY l_linenumber""",
+    "lookup_fingerprint": f"""WITH {ZONES}
+SELECT sha256(string_agg(concat_ws(',', location_id, borough, zone) || chr(10), '' ORDER BY location_id)) AS sha256
+FROM zones""",
+    "repeated_samples": f"""WITH samples AS (
+  SELECT event_type AS run_id, 'n' || CAST(user_id % 3 AS VARCHAR) AS node, epoch_us(ts) // 3600000000 AS bin FROM events),
+runs AS (SELECT run_id, min(bin) + 24 AS first_bin FROM samples GROUP BY run_id)
+SELECT 'factprep' AS framework, run_id, bin, node, count(*) AS samples
+FROM samples JOIN runs USING (run_id) WHERE bin >= first_bin AND node IN ({NODES})
+GROUP BY run_id, bin, node HAVING count(*) > 1""",
     "mounted_inventory": " UNION ALL ".join(
         f"SELECT '{t}.parquet' AS filename, count(*) AS row_count, TRUE AS same FROM {t}" for t in TABLES
     ),

@@ -413,6 +413,60 @@ def prepared_files(spark: SparkSession, root: str) -> DataFrame:
     return read_bucketed(spark, done.output, "bucket").select(*MOVES.output_columns)
 
 
+def resumed_files(spark: SparkSession, root: str) -> DataFrame:
+    """The job once with staging and once more from what it staged; both outputs must agree, as must their records."""
+    base = scratch_path(spark, "resumed")
+    source, zones, runs = f"{base}/raw", f"{base}/zones", f"{base}/runs"
+    V.dirty_shipments(spark, root).write.parquet(source)
+    V.zones(spark, root).toDF("LocationID", "Borough", "Zone").write.option("header", True).csv(zones)
+    job = dict(contract=MOVES, buckets=BUCKETS, runs=runs)
+    first = P.prepare(spark, source, zones, f"{base}/first", staging=f"{base}/staging", run_id="first", **job)
+    again = P.prepare(spark, source, zones, f"{base}/again", reuse_staging=f"{base}/staging", run_id="again", **job)
+    P.compare(spark, first.output, again.output, contract=MOVES, runs=runlog.latest(runlog.read(spark, runs)))
+    return read_bucketed(spark, again.output, "bucket").select(*MOVES.output_columns)
+
+
+def emptied_files(spark: SparkSession, root: str) -> DataFrame:
+    """The job over rows that the contract rejects, all of them: the columns, types and rows of its output files."""
+    base = scratch_path(spark, "emptied")
+    V.dirty_shipments(spark, root).where("distance = 0D OR isnan(distance)").write.parquet(f"{base}/raw")
+    V.zones(spark, root).toDF("LocationID", "Borough", "Zone").write.option("header", True).csv(f"{base}/zones")
+    done = P.prepare(
+        spark, f"{base}/raw", f"{base}/zones", f"{base}/output", contract=MOVES, staging=f"{base}/staging", buckets=BUCKETS
+    )
+    files = inventory.file_inventory(spark, done.output)
+    stored = F.explode(F.from_json("column_types", "map<string,string>")).alias("column_name", "stored_type")
+    return files.select("row_count", stored).groupBy("column_name", "stored_type").agg(F.sum("row_count").alias("row_count"))
+
+
+def file_faults(spark: SparkSession, root: str) -> DataFrame:
+    """Shipments in a folder for each party size, some without a column or with zoned times; what is wrong with each."""
+    path = scratch_path(spark, "faulty")
+    moves = V.shipments(spark, root).select(*MOVES.columns).persist()
+    kept = [c for c in MOVES.columns if c not in ("end_ts", "total")]
+    for size, part in (
+        ("party_size = 1", moves.drop("total")),
+        ("party_size = 2", moves.withColumn("start_ts", F.col("start_ts").cast("timestamp"))),
+        ("party_size = 3", moves.select(*kept).withColumn("start_ts", F.col("start_ts").cast("timestamp"))),
+        ("party_size > 3", moves),
+    ):
+        named = part.withColumn("folder", F.col("party_size"))
+        named.where(size).write.mode("append").partitionBy("folder").parquet(path)
+    moves.unpersist()
+    faults = inventory.file_faults(inventory.file_inventory(spark, path), MOVES)
+    folder = F.regexp_extract("path", r"/folder=(\d+)/", 1).cast("int")
+    texts = [F.array_join(c, ",").alias(c) for c in ("lacking", "zoned")]
+    return faults.select(folder.alias("party_size"), *texts).distinct()
+
+
+def lookup_fingerprint(spark: SparkSession, root: str) -> DataFrame:
+    """The dimension as one file, as the job records it: its SHA-256."""
+    path = scratch_path(spark, "lookup")
+    zones = V.zones(spark, root).select("location_id", F.concat_ws(",", "location_id", "borough", "zone").alias("line"))
+    zones.coalesce(1).sortWithinPartitions("location_id").select("line").write.text(path)
+    return spark.range(1).select(F.lit(inventory.fingerprint(spark, path)).alias("sha256"))
+
+
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     return inventory.file_inventory(spark, root).select(
         F.element_at(inventory.by_parts(), -1).alias("filename"), "row_count"
@@ -601,6 +655,22 @@ def resource_peaks(spark: SparkSession, root: str) -> DataFrame:
     return resources.peaks(read, runs, SAMPLED_NODES)
 
 
+def repeated_samples(spark: SparkSession, root: str) -> DataFrame:
+    """Events as resource samples, an hour as a second: nodes sampled more than once in one."""
+    since = micros_between("TIMESTAMP_NTZ '1970-01-01 00:00:00'", "start_ts")
+    samples = V.hops(spark, root).selectExpr(
+        "'factprep' AS framework",
+        "event_type AS run_id",
+        "concat('n', vendor_id % 3) AS node",
+        f"{since} / 3600000000D AS epoch_seconds",
+    )
+    runs = samples.groupBy("framework", "run_id").agg(
+        (F.floor(F.min("epoch_seconds")) + 24).cast("double").alias("timed_start_epoch"),
+        F.max("epoch_seconds").alias("timed_end_epoch"),
+    )
+    return resources.repeated_samples(resources.in_interval(samples, runs, SAMPLED_NODES))
+
+
 def _event_runs(spark: SparkSession, root: str) -> DataFrame:
     """Events as complete runs: the type is the framework, the user the run."""
     per_run = V.hops(spark, root).groupBy("event_type", "vendor_id").agg(
@@ -697,6 +767,11 @@ QUERIES = {
         prepared_files,
         file_inventory,
         mounted_inventory,
+        file_faults,
+        lookup_fingerprint,
+        resumed_files,
+        emptied_files,
+        repeated_samples,
         inventory_totals,
         input_manifest,
         file_checksums,

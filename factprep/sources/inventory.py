@@ -303,22 +303,26 @@ def prefix_by_budget(
     return kept
 
 
-def check_files(files: DataFrame, contract: FactContract) -> None:
-    """Raise, naming a file, if it lacks a contract column or stores a zoned timestamp."""
+def file_faults(files: DataFrame, contract: FactContract) -> DataFrame:
+    """Files that cannot be read by the contract: ``path``, the columns it is ``lacking``, its ``zoned`` times."""
     types = F.from_json("column_types", "map<string,string>")
     lacking = F.filter(F.array(*map(F.lit, contract.columns)), lambda c: F.element_at(F.col("t"), c).isNull())
     zoned = F.filter(
         F.array(*map(F.lit, contract.times)), lambda c: F.element_at(F.col("t"), c).contains("tz=")
     )
-    bad = (
+    return (
         files.withColumn("t", types)
-        .select("path", lacking.alias("lacking"), zoned.alias("zoned"))
+        .select("path", F.array_sort(lacking).alias("lacking"), F.array_sort(zoned).alias("zoned"))
         .where((F.size("lacking") > 0) | (F.size("zoned") > 0))
-        .take(1)
     )
+
+
+def check_files(files: DataFrame, contract: FactContract) -> None:
+    """Raise, naming a file, if it lacks a contract column or stores a zoned timestamp."""
+    bad = file_faults(files, contract).take(1)
     if bad:
         row = bad[0]
-        reason = f"lacks columns {sorted(row.lacking)}" if row.lacking else f"has zoned timestamps in {row.zoned}"
+        reason = f"lacks columns {row.lacking}" if row.lacking else f"has zoned timestamps in {row.zoned}"
         raise ValueError(f"{row.path} {reason}")
 
 
