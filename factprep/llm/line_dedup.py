@@ -239,8 +239,10 @@ def without_copies(
     )
     # Merged at any size: rows that repeat one document many times are then split over tasks.
     joined = _keyed(docs, doc_id, text).join(runs.hint("merge"), KEY, "left")
+    # Were it deterministic to Spark, a filter on the results would run it again in workers of its own.
+    delete = F.pandas_udf(_delete, DELETED).asNondeterministic()
     return (
-        joined.withColumn("__kept", F.pandas_udf(_delete, DELETED)(F.col(text), F.col("__runs")))
+        joined.withColumn("__kept", delete(F.col(text), F.col("__runs")))
         .withColumns({text: F.col("__kept.text"), deleted: F.col("__kept.deleted"), lines: F.col("__kept.lines")})
         .drop(*KEY, "__runs", "__kept")
     )

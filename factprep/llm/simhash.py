@@ -77,7 +77,8 @@ def with_fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerpr
     def fingerprints(texts: pd.Series) -> pd.Series:
         return pd.Series([simhash(t, shingle) for t in texts], dtype="int64")
 
-    return docs.withColumn(name, fingerprints(F.col(text).cast("binary")))
+    # Were it deterministic to Spark, a filter or join on the result would run it again in workers of its own.
+    return docs.withColumn(name, fingerprints.asNondeterministic()(F.col(text).cast("binary")))
 
 
 # --- parts and thresholds ---------------------------------------------------

@@ -118,3 +118,10 @@ def test_columns_of_the_same_names_stay(spark):
     left = STAGES["line dedup"](spark, docs, ROOT)
     assert left.columns == docs.columns
     assert sorted((r.doc_id, r.text, r.lines, r.deleted) for r in left.collect()) == [(0, run, 7, ["mine"]), (1, "own", 7, ["mine"])]
+
+
+@pytest.mark.parametrize("name", ["line dedup", "SimHash near-dedup"])
+def test_texts_go_to_one_worker_once(spark, docs, name):
+    """A filter or join on what a Python function returns doesn't run it again, in a second worker for each task."""
+    done = STAGES[name](spark, docs, ROOT)
+    assert done._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
