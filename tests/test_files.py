@@ -14,6 +14,7 @@ from factprep.contract import MOVES, TRIPS
 from factprep.operators import buckets as B
 from factprep.operators import cleaning, dedup
 from factprep.plans import prepare as P
+from factprep.plans import queries as Q
 from factprep.plans import views as V
 from factprep.session import settings
 from factprep.sources import inventory
@@ -368,3 +369,19 @@ def test_account_matches_stages(spark):
         "output": P.transform(raw, dim, MOVES, 8).count(),
     }
     assert dict(P.account(raw.where("false"), dim, MOVES).collect()) == dict.fromkeys(stages, 0)
+
+
+def test_mixed_files_grow_in_number(spark, monkeypatch):
+    """Files for the stream are written by as many tasks as the rows call for, never by two alone."""
+    monkeypatch.setattr(Q, "FILE_ROWS", 1000)
+    sources, stage = [], Q.stage_available
+    monkeypatch.setattr(Q, "stage_available", lambda s, source, *a, **k: (sources.append(source), stage(s, source, *a, **k)))
+    spread = {"spark__sql__autoBroadcastJoinThreshold": -1, "spark__sql__adaptive__coalescePartitions__enabled": "false"}
+    with settings(spark, **spread):
+        found = Q.streamed_mixed_types(spark, SMALL).count()
+    files = inventory.file_inventory(spark, sources[0]).collect()
+    total = V.shipments(spark, SMALL).count()
+    assert sum(f.row_count for f in files) == total
+    kinds = [f.column_types for f in files]
+    assert len(set(kinds)) == 3 and all(kinds.count(k) > 2 for k in kinds)
+    assert 0 < found < total
