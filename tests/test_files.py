@@ -128,6 +128,42 @@ def test_a_broken_file_behind_a_mount_is_an_error(spark, tmp_path):
                 inventory.file_inventory(spark, "viewfs://broken/in").collect()
 
 
+def test_files_behind_a_mount_are_not_read_whole(spark, trips):
+    """Readers of whole files, here of 100 bytes at most, have no part in footers, checksums and streams."""
+    odd = Path(trips.folder) / "a b%20[c]+.parquet"
+    odd.write_bytes(Path(trips.first).read_bytes())
+    limits = {"fs.viewfs.mounttable.pieces.link./in": f"file://{trips.folder}", "spark.sql.sources.binaryFile.maxLength": 100}
+    with settings(spark, **limits):
+        found = []
+        for source in ("viewfs://pieces/in", trips.folder):
+            files = inventory.with_checksums(inventory.file_inventory(spark, source), source)
+            found.append(sorted((r.filename, *r[1:]) for r in files.collect()))
+        assert found[0] == found[1] and [r[0] for r in found[0]] == [odd.name, "first.parquet", "second.parquet"]
+        stage = str(odd.parent.parent / "staged")
+        P.stage_stream(spark, "viewfs://pieces/in", stage, f"{stage}-state", buckets=4, files_per_batch=2)
+        assert read_bucketed(spark, stage).count() > 0
+
+
+def test_a_file_beyond_two_gib_behind_a_mount(spark, trips, tmp_path):
+    """A file that is a hole but for its mark and footer."""
+    small, size = Path(trips.first).read_bytes(), (2 << 30) + 12345
+    large = tmp_path / "large" / "f.parquet"
+    large.parent.mkdir()
+    with large.open("wb") as file:
+        file.write(small[:4])
+        file.seek(size - len(small) + 4)
+        file.write(small[4:])
+    try:
+        with settings(spark, **{"fs.viewfs.mounttable.large.link./in": f"file://{large.parent}"}):
+            source = "viewfs://large/in"
+            row = inventory.with_checksums(inventory.file_inventory(spark, source), source).first()
+        with large.open("rb") as file:
+            expected = hashlib.file_digest(file, "sha256").hexdigest()
+        assert (row.bytes, row.row_count, row.sha256) == (size, len(trips.first_rows), expected)
+    finally:
+        large.unlink()
+
+
 def test_settings_for_s3_come_from_the_session(spark):
     given = {
         "fs.s3a.access.key": "one",
